@@ -88,9 +88,9 @@ def counter_sink(store: CounterStore, to_counts: Callable[[DataFrame], DataFrame
 
 def partition_record_sink(process: Callable[[object], None] | None = None) -> BatchSink:
     """SNK-9: run ``process(pandas_frame)`` on each task's records (the
-    per-partition hook of the original). Arrow batches, not rows; the
-    results are counted and discarded."""
-    def run(batch: DataFrame, batch_id: int) -> None:
+    per-partition hook of the original). Arrow batches, not rows; returns
+    the number of records the hooks saw (one small sum, not the records)."""
+    def run(batch: DataFrame, batch_id: int) -> int:
         def per_part(it):
             import pandas as pd
             n = 0
@@ -99,7 +99,7 @@ def partition_record_sink(process: Callable[[object], None] | None = None) -> Ba
                     process(pdf)
                 n += len(pdf)
             yield pd.DataFrame({"n": [n]})
-        batch.mapInPandas(per_part, "n long").agg(F.sum("n")).collect()
+        return int(batch.mapInPandas(per_part, "n long").agg(F.sum("n")).first()[0] or 0)
     return run
 
 
