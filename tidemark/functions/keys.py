@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.sources.common import col_of
+from tidemark.sources.common import col_of, day_string
 
 # Fixed values that must equal the reference's: the six code alphabets
 # (the mixed one leaves out lower-case l and o) and the key-spreading
@@ -25,7 +25,7 @@ SPLIT_KEYS = list(SALT_ALPHABET)
 
 def day_of(ts) -> Column:
     """``yyyyMMdd`` of a timestamp; time-zone free for TIMESTAMP_NTZ."""
-    return F.date_format(col_of(ts), "yyyyMMdd")
+    return day_string(ts)
 
 
 def counter_key(*parts) -> Column:

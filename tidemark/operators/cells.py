@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.codecs import from_utf8, to_utf8
 from tidemark.session import exists, list_dirs
+from tidemark.sources.common import key_list_frame
 
 CELL_KEY = ["rowkey", "cf", "qualifier"]
 MAX_VERSIONS = 2 ** 31 - 1  # "all versions"
-LIST_BROADCAST_LIMIT = 100_000  # a Python key list above this is joined, not broadcast
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:
@@ -33,10 +33,15 @@ def latest_cells(cells: DataFrame) -> DataFrame:
 
 def cell_versions(cells: DataFrame, max_versions: int = 1) -> DataFrame:
     """LKP-7: ``<= 0`` -> newest only; ``MAX_VERSIONS`` -> all; n -> newest n
-    per cell (with ``version`` = 1 for the newest)."""
+    per cell (with ``version`` = 1 for the newest).
+
+    For a bounded n the ``row_number() <= n`` filter becomes a partial
+    per-group limit before the shuffle, so a cell holding a third of the
+    table sends at most n rows per map task. "All versions" needs no
+    ranking at all and is a plain scan (no ``version`` column)."""
     w = Window.partitionBy(*CELL_KEY).orderBy(F.col("ts").desc(), F.col("seq").desc())
     if max_versions >= MAX_VERSIONS:
-        return cells.withColumn("version", F.row_number().over(w))
+        return cells
     n = 1 if max_versions <= 0 else max_versions
     return cells.withColumn("version", F.row_number().over(w)).filter(F.col("version") <= n)
 
@@ -58,10 +63,7 @@ def _key_frame(spark: SparkSession, keys: list[str] | DataFrame, key: str = "row
     if isinstance(keys, DataFrame):
         return keys.select(F.when(F.col(key).isNull(), F.raise_error(F.lit("null row key")))
                            .otherwise(F.col(key)).alias(key), *[c for c in keys.columns if c != key])
-    if any(k is None for k in keys):
-        raise ValueError("null row key in key list")
-    kdf = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], f"pos int, {key} string")
-    return F.broadcast(kdf) if len(keys) <= LIST_BROADCAST_LIMIT else kdf
+    return key_list_frame(spark, keys, key)
 
 
 def delete_rows(cells: DataFrame, keys: list[str] | DataFrame) -> DataFrame:

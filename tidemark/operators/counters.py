@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.keys import counter_key, day_of
 from tidemark.session import exists, list_dirs
+from tidemark.sources.common import key_list_frame
 
 COUNTER_CF = "info"
 COUNTER_QUALIFIER = "click_count"
@@ -44,17 +45,21 @@ def merge_increments(increments: DataFrame, key: str = "rowkey", amount: str = "
 
 def lookup_counters(counters: DataFrame, keys: DataFrame | list[str], key: str = "rowkey",
                     value: str = "click_count") -> DataFrame:
-    """LKP-3: value per asked key, 0 when absent. ``keys`` keeps its order
-    column ``pos`` when given as a list. A Python list is small by
-    construction and is broadcast; a DataFrame of keys is joined and AQE picks
-    broadcast only when its runtime size is under the threshold."""
+    """LKP-3: value per asked key, 0 when absent.
+
+    A Python list (with its order column ``pos``) first cuts the counters to
+    the asked keys with an IN filter - pushed below the aggregation / into
+    the scan - so the side joined back to the keys is at most one row per
+    key. A DataFrame of keys semi-joins the counters first (AQE broadcasts
+    the keys only when their runtime size is under the threshold)."""
     spark = counters.sparkSession
     if isinstance(keys, list):
-        kdf = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], f"pos int, {key} string")
-        kdf = F.broadcast(kdf)
+        kdf = key_list_frame(spark, keys, key)
+        found = counters.filter(F.col(key).isin(sorted(set(keys)))).select(key, value)
     else:
         kdf = keys
-    return (kdf.join(counters.select(key, value), on=key, how="left")
+        found = counters.join(keys.select(key).distinct(), key, "left_semi").select(key, value)
+    return (kdf.join(found, on=key, how="left")
             .withColumn(value, F.coalesce(F.col(value), F.lit(0).cast("bigint"))))
 
 

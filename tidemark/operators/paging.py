@@ -95,14 +95,17 @@ class Pager:
 
 
 def paginate(df: DataFrame, size: int = DEFAULT_PAGE_SIZE, key: str = "rowkey",
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, tiebreak: list[str] | None = None) -> DataFrame:
     """PAG-4: ``row_num`` (1-based key order) and ``page_index`` for every row.
 
     One range shuffle + in-partition sort, a reliable checkpoint so partition
     ids stay fixed between the two passes, one tiny aggregate of per-partition
-    counts, and a broadcast of those counts (one row per range partition)."""
-    rng = df.repartitionByRange(partitions, key) if partitions else df.repartitionByRange(key)
-    rng = cut_lineage(rng.sortWithinPartitions(key))
+    counts, and a broadcast of those counts (one row per range partition).
+    When keys repeat, ``tiebreak`` columns join the range bounds, so even a
+    key holding a third of the rows is split over many range partitions."""
+    order = [key, *(tiebreak or [])]
+    rng = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    rng = cut_lineage(rng.sortWithinPartitions(*order))
     tagged = rng.withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

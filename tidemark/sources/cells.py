@@ -13,14 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.codecs import to_utf8
+from tidemark.sources.common import epoch_millis
 from tidemark.sources.tables import read_table
 
-EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
-
-def epoch_millis(ts_col: str) -> F.Column:
-    """Epoch milliseconds of a TIMESTAMP_NTZ without a session time zone."""
-    return F.expr(f"timestampdiff(MILLISECOND, {EPOCH_NTZ}, {ts_col})")
 
 
 def cells_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.common import wall_time
 from tidemark.sources.tables import read_table
 
 
@@ -23,7 +24,7 @@ def clicks_from_events(ev: DataFrame, with_ts: bool = True, ts_col: str = "ts",
         F.concat_ws(".", F.lit("10"), F.pmod(F.floor(uid / 65536), F.lit(256)).cast("string"),
                     F.pmod(F.floor(uid / 256), F.lit(256)).cast("string"),
                     F.pmod(uid, F.lit(256)).cast("string")).alias("ip"),
-        F.date_format(F.col(ts_col), "yyyy-MM-dd HH:mm:ss").alias("time"),
+        wall_time(ts_col).alias("time"),
         F.get_json_object(F.col(props_col), "$.k").cast("int").alias("category_id"),
         F.col("event_type").alias("refer"),
         F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status_code"),

@@ -1,8 +1,42 @@
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# A key list given as a Python list lives on the driver already; above this
+# length it is joined without a broadcast hint (AQE still broadcasts it when
+# its runtime size is under the threshold).
+LIST_BROADCAST_LIMIT = 100_000
+
 
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def key_list_frame(spark: SparkSession, keys: list, key: str = "rowkey") -> DataFrame:
+    """(pos, key) rows for a driver-side key list, broadcast when its length
+    (the proven size bound) is under :data:`LIST_BROADCAST_LIMIT`."""
+    if any(k is None for k in keys):
+        raise ValueError("null row key in key list")
+    kdf = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], f"pos int, {key} string")
+    return F.broadcast(kdf) if len(keys) <= LIST_BROADCAST_LIMIT else kdf
+
+
+def epoch_millis(ts) -> Column:
+    """Epoch milliseconds of a TIMESTAMP_NTZ, floored, with no session time
+    zone involved: days since epoch plus the wall-clock time of day."""
+    t = col_of(ts)
+    sec = F.extract(F.lit("SECOND"), t)  # seconds with microsecond fraction
+    return (F.unix_date(t.cast("date")).cast("bigint") * 86_400_000
+            + F.hour(t).cast("bigint") * 3_600_000 + F.minute(t).cast("bigint") * 60_000
+            + F.floor(sec * 1000).cast("bigint")).cast("bigint")
+
+
+def wall_time(ts) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a TIMESTAMP_NTZ (time-zone free)."""
+    return F.substring(col_of(ts).cast("string"), 1, 19)
+
+
+def day_string(ts) -> Column:
+    """``yyyyMMdd`` of a TIMESTAMP_NTZ / DATE (time-zone free)."""
+    return F.date_format(col_of(ts).cast("date"), "yyyyMMdd")

@@ -26,6 +26,7 @@ from tidemark.functions.keys import counter_key, day_of
 from tidemark.operators.counters import CounterStore
 from tidemark.operators.offsets import OffsetLog, offset_ranges, resume_assign, resume_subscribe
 from tidemark.session import exists
+from tidemark.sources.common import wall_time
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -53,7 +54,7 @@ def produce_records(spark: SparkSession, source: DataFrame, ts_col: str = "ts")
     ``1..n``, value = ``"hlw:" + time``, one record per source row."""
     return source.select(
         (F.col("event_id") + 1).cast("string").alias("key"),
-        F.concat(F.lit("hlw:"), F.date_format(F.col(ts_col), "yyyy-MM-dd HH:mm:ss")).alias("value"))
+        F.concat(F.lit("hlw:"), wall_time(ts_col)).alias("value"))
 
 
 def topic_stream(spark: SparkSession, path: str, topics: list[str] | None = None,
