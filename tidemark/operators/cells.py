@@ -119,6 +119,29 @@ def filter_scan(df: DataFrame, *predicates: Column) -> DataFrame:
     return df
 
 
+def scan_cells(cells: DataFrame, start: str | None = None, stop: str | None = None,
+               predicates: tuple = (), max_versions: int = 0) -> DataFrame:
+    """The paged scan's row selection in one call: key range ``[start,
+    stop)``, the caller's predicates, then the version limit (<= 0 newest
+    only). Range and predicates are applied to the versions before the limit,
+    as server-side filters are."""
+    return cell_versions(filter_scan(range_scan(cells, start, stop), *predicates), max_versions)
+
+
+def page_rows(cells: DataFrame, size: int, after_key: str | None = None, start_key: str | None = None) -> DataFrame:
+    """PAG-1 / PAG-2 for a table whose rows hold several cells: the page is
+    the next ``size`` distinct row keys (a per-task top-n of keys), and the
+    cells of exactly those rows are fetched with a semi-join against that
+    page (at most ``size`` keys, so broadcasting it is bounded)."""
+    keys = cells.select("rowkey")
+    if start_key is not None:
+        keys = keys.filter(F.col("rowkey") >= F.lit(start_key))
+    if after_key is not None:
+        keys = keys.filter(F.col("rowkey") > F.lit(after_key))
+    page = keys.distinct().orderBy("rowkey").limit(size)
+    return cells.join(F.broadcast(page), "rowkey", "left_semi")
+
+
 def format_cells(cells: DataFrame) -> DataFrame:
     """SNK-10: readable cell dump (family, qualifier, value as text, time)."""
     return cells.select("rowkey", "cf", "qualifier", from_utf8("value").alias("value_text"), "ts",

@@ -92,6 +92,22 @@ class CounterStore:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id", "batch_id").parquet(self.deltas_path))
 
+    def add_many(self, increments: DataFrame, batch_col: str = "batch_id", key: str = "rowkey",
+                 amount: str | None = "click_count") -> None:
+        """Write the deltas of many batches in one job (backfill / replay of
+        a bounded log): one partition per batch, each replaced as a whole."""
+        b = F.col(batch_col).cast("bigint").alias("batch_id")
+        if amount is None:
+            agg = increments.groupBy(b, F.col(key).alias("rowkey")).agg(F.count(F.lit(1)).alias("delta"))
+        else:
+            agg = increments.groupBy(b, F.col(key).alias("rowkey")).agg(
+                F.sum(amount).cast("bigint").alias("delta"))
+        (agg.withColumn("run_id", F.lit(self.run_id))
+         .select("rowkey", "delta", "run_id", "batch_id")
+         .repartition("run_id", "batch_id")  # one writer task per batch partition
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id", "batch_id").parquet(self.deltas_path))
+
     def increment(self, rowkey: str, amount: int, batch_id: int) -> None:
         """SNK-4: one-key increment, stored like any other batch delta."""
         self.add(self.spark.createDataFrame([(rowkey, int(amount))], "rowkey string, click_count bigint"),

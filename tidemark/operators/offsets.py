@@ -118,6 +118,29 @@ def range_report(ranges: DataFrame) -> DataFrame:
                                                             F.col("until_offset").cast("string"))).alias("line"))
 
 
+OFFSET_PATH_ROOT = "/kafka/offsets"  # fixed value: root of the per-partition path store
+
+
+def offset_paths(latest: DataFrame, root: str = OFFSET_PATH_ROOT) -> DataFrame:
+    """OFF-5 / D7: the per-partition path form ``<root>/<group>/<topic>/<partition>``
+    with the offset as text, for stores keyed by path."""
+    return latest.select(
+        F.concat_ws("/", F.lit(root), "group_id", "topic", F.col("partition").cast("string")).alias("path"),
+        F.col("offset").cast("string").alias("data"))
+
+
+def from_sql_offset_table(df: DataFrame) -> DataFrame:
+    """D5: rows of a SQL offset table ``(topic, groupid, partitions,
+    fromoffset, untiloffset)`` - e.g. read with ``spark.read.jdbc`` - in the
+    offset-log shape, so :func:`latest_offsets` applies unchanged. Such a
+    table keeps one row per key (``replace into``), so no batch order is
+    needed."""
+    return df.select(F.col("groupid").cast("string").alias("group_id"), F.col("topic").cast("string").alias("topic"),
+                     F.col("partitions").cast("int").alias("partition"),
+                     F.col("fromoffset").cast("bigint").alias("from_offset"),
+                     F.col("untiloffset").cast("bigint").alias("until_offset"))
+
+
 class OffsetLog:
     """Offsets in a plain table (SNK-2, OFF-4, OFF-5, OFF-10): one parquet
     partition per (run_id, batch_id) written with dynamic overwrite, so a

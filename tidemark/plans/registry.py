@@ -56,6 +56,17 @@ def q_counter_increment_merge(spark, sf):
     return C.merge_increments(per_batch)
 
 
+def q_counter_store_replay(spark, sf):
+    """SNK-3 on the stored counter table: every batch's deltas are written to
+    its own partition, a batch is then replayed, and the read-back equals the
+    one-shot count (no double counting)."""
+    store = C.CounterStore(spark, scratch_dir(spark, "counters"), run_id=V.RUN_ID)
+    per_record = V.topic(spark, sf).select("batch_id", S.day_category_key(), F.lit(1).alias("click_count"))
+    store.add_many(per_record)
+    store.add(per_record.filter(F.col("batch_id") == 0), batch_id=0)
+    return store.read()
+
+
 def q_counter_get(spark, sf):
     return C.lookup_counters(V.counters(spark, sf), COUNTER_KEYS)
 
@@ -111,6 +122,10 @@ def _records(df):
     return df.select("topic", "partition", "offset", "key", "value")
 
 
+def q_offset_paths(spark, sf):
+    return O.offset_paths(O.latest_offsets(V.offset_log(spark, sf), V.GROUP_ID))
+
+
 def q_offset_commit_before(spark, sf):
     start = O.start_positions(V.offset_log(spark, sf), V.GROUP_ID, commit="before")
     return _records(O.resume_subscribe(V.topic(spark, sf), start))
@@ -173,6 +188,18 @@ def q_cell_versions(spark, sf):
     return CL.cell_versions(V.cells(spark, sf), 3).select("rowkey", "cf", "qualifier", "ts", "seq", "version")
 
 
+def q_scan_page(spark, sf):
+    """The paged scan in one call: key range, predicate, newest 2 versions,
+    then the first page of 10 rows."""
+    cells = CL.scan_cells(V.cells(spark, sf), "u1", "u5", (F.col("qualifier") != "error",), max_versions=2)
+    return V.readable(CL.page_rows(cells, 10), "version")
+
+
+def q_cell_page_rows(spark, sf):
+    """Second page of 10 rows (all their visible cells) after row u105."""
+    return V.readable(CL.page_rows(CL.latest_cells(V.cells(spark, sf)), 10, after_key="u105"))
+
+
 def q_table_scan(spark, sf):
     return V.readable(CL.latest_cells(V.cells(spark, sf)))
 
@@ -307,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "click_count_by_category": q_click_count_by_category,
     "click_count_by_search": q_click_count_by_search,
     "counter_increment_merge": q_counter_increment_merge,
+    "counter_store_replay": q_counter_store_replay,
     "counter_get": q_counter_get,
     "batch_record_count": q_batch_record_count,
     "offset_ranges": q_offset_ranges,
@@ -316,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "offset_latest": q_offset_latest,
     "offset_add_partitions": q_offset_add_partitions,
     "offset_clamp": q_offset_clamp,
+    "offset_paths": q_offset_paths,
     "offset_commit_before": q_offset_commit_before,
     "resume_subscribe": q_resume_subscribe,
     "resume_assign": q_resume_assign,
@@ -329,6 +358,8 @@ QUERIES: dict[str, Query] = {
     "range_scan": q_range_scan,
     "filter_scan": q_filter_scan,
     "cell_versions": q_cell_versions,
+    "scan_page": q_scan_page,
+    "cell_page_rows": q_cell_page_rows,
     "table_scan": q_table_scan,
     "cell_format": q_cell_format,
     "page_first": q_page_first,
@@ -368,6 +399,7 @@ ORACLE: dict[str, str] = {
         "SELECT rowkey, CAST(sum(c) AS BIGINT) AS click_count FROM (SELECT batch_id, concat_ws('_', "
         "strftime(\"timestamp\", '%Y%m%d'), CAST(CAST(json_extract_string(\"value\", '$.k') AS INTEGER) AS VARCHAR))"
         " AS rowkey, count(*) AS c FROM topic_v GROUP BY 1, 2) GROUP BY rowkey", "topic_v"),
+    "counter_store_replay": V.SQL_COUNTERS,
     "counter_get": with_views(
         "SELECT CAST(k.pos AS INTEGER) AS pos, k.rowkey, COALESCE(c.click_count, 0) AS click_count FROM "
         + _values(list(enumerate(COUNTER_KEYS)), "pos, rowkey") + " LEFT JOIN counters_v c ON c.rowkey = k.rowkey",
@@ -396,6 +428,10 @@ ORACLE: dict[str, str] = {
         f"AS \"offset\" FROM ({_LATEST_AT_STOP}) s LEFT JOIN (SELECT topic, \"partition\", min(\"offset\") AS earliest"
         f" FROM topic_v WHERE batch_id >= \"partition\" + {RETENTION_BATCH_SHIFT} GROUP BY topic, \"partition\") e "
         "ON s.topic = e.topic AND s.\"partition\" = e.\"partition\"", "log_v"),
+    "offset_paths": with_views(
+        "SELECT concat_ws('/', '/kafka/offsets', group_id, topic, CAST(\"partition\" AS VARCHAR)) AS path, "
+        "CAST(arg_max(until_offset, batch_id) AS VARCHAR) AS data FROM log_v GROUP BY group_id, topic, \"partition\"",
+        "log_v"),
     "offset_commit_before": with_views(
         f"{_REC} topic_v t WHERE NOT EXISTS (SELECT 1 FROM (SELECT topic, \"partition\", arg_max(from_offset, batch_id)"
         " AS s FROM log_v GROUP BY topic, \"partition\") p WHERE p.topic = t.topic AND p.\"partition\" = t.\"partition\""
@@ -431,6 +467,15 @@ ORACLE: dict[str, str] = {
         "SELECT rowkey, cf, qualifier, ts, seq, CAST(version AS INTEGER) AS version FROM (SELECT *, row_number() OVER"
         " (PARTITION BY rowkey, cf, qualifier ORDER BY ts DESC, seq DESC) AS version FROM cells_v) WHERE version <= 3",
         "cells_v"),
+    "scan_page": with_views(
+        "SELECT CAST(version AS INTEGER) AS version, rowkey, cf, qualifier, ts, seq, value_text FROM (SELECT *, "
+        "row_number() OVER (PARTITION BY rowkey, cf, qualifier ORDER BY ts DESC, seq DESC) AS version FROM cells_v "
+        "WHERE rowkey >= 'u1' AND rowkey < 'u5' AND qualifier <> 'error') WHERE version <= 2 AND rowkey IN "
+        "(SELECT DISTINCT rowkey FROM cells_v WHERE rowkey >= 'u1' AND rowkey < 'u5' AND qualifier <> 'error' "
+        "ORDER BY rowkey LIMIT 10)", "cells_v"),
+    "cell_page_rows": with_views(
+        "SELECT * FROM latest_v WHERE rowkey IN (SELECT DISTINCT rowkey FROM latest_v WHERE rowkey > 'u105' "
+        "ORDER BY rowkey LIMIT 10)", "latest_v"),
     "table_scan": with_views("SELECT * FROM latest_v", "latest_v"),
     "cell_format": with_views(
         "SELECT rowkey, cf, qualifier, value_text, ts, cf || ':' || qualifier || '=' || value_text || ' @' || "
