@@ -121,3 +121,22 @@ def test_kafka_options():
     assert o["startingOffsets"] == '{"events": {"0": 12, "1": 15}}'
     o = kafka_reader_options("b:9092", "events", start=[("events", 1, 15)], assign=True)
     assert o["assign"] == '{"events": [1]}' and "subscribe" not in o
+
+
+def test_kafka_options_fill_partitions_and_job(spark, tmp_root):
+    js = starting_offsets_json([("events", 0, 12)], partition_counts={"events": 3})
+    assert js == '{"events": {"0": 12, "1": -2, "2": -2}}'
+    job, _ = _job(spark, tmp_root)
+    job.kafka_bootstrap = "broker:9092"
+    assert job.kafka_options()["startingOffsets"] == "earliest"  # nothing stored yet
+    ranges = spark.createDataFrame([("events", 0, 0, 10, 10), ("events", 1, 0, 7, 7)],
+                                   "topic string, partition int, from_offset bigint, until_offset bigint, "
+                                   "record_count bigint")
+    job.log.append(ranges, "g", job.run_id, 0)
+    job.partition_counts = {"events": 4}
+    o = job.kafka_options()
+    assert o["subscribe"] == "events"
+    assert o["startingOffsets"] == '{"events": {"0": 10, "1": 7, "2": -2, "3": -2}}'
+    job.mode = "assign"
+    o = job.kafka_options()
+    assert o["assign"] == '{"events": [0, 1]}' and o["startingOffsets"] == '{"events": {"0": 10, "1": 7}}'

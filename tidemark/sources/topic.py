@@ -51,19 +51,33 @@ def select_topics(df: DataFrame, topics: str | list[str]) -> DataFrame:
     return df.filter(F.col("topic").isin(names))
 
 
-def starting_offsets_json(offsets: list[tuple[str, int, int]]) -> str:
+EARLIEST = -2  # Kafka source JSON: start of the partition
+LATEST = -1    # Kafka source JSON: end of the partition
+
+
+def starting_offsets_json(offsets: list[tuple[str, int, int]],
+                          partition_counts: dict[str, int] | None = None,
+                          default_start: str = "earliest") -> str:
     """``startingOffsets`` JSON for the Kafka source from (topic, partition,
-    offset) rows. Partitions not named start at the ``default`` position,
-    which is what Subscribe with a partial offset map does (SRC-2)."""
+    offset) rows. The Kafka source needs every partition named, so with
+    ``partition_counts`` (the topics' current partition counts) partitions
+    without a stored offset are added at the default position: that is the
+    new-partition rule (OFF-7) for a live topic."""
     out: dict[str, dict[str, int]] = {}
     for t, p, o in offsets:
         out.setdefault(t, {})[str(int(p))] = int(o)
+    fill = EARLIEST if default_start == "earliest" else LATEST
+    for t, n in (partition_counts or {}).items():
+        d = out.setdefault(t, {})
+        for p in range(n):
+            d.setdefault(str(p), fill)
     return json.dumps(out, sort_keys=True)
 
 
 def kafka_reader_options(bootstrap: str, topics: str, start: list[tuple[str, int, int]] | None = None,
                          assign: bool = False, default_start: str = "earliest",
-                         min_partitions: int | None = None) -> dict[str, str]:
+                         min_partitions: int | None = None,
+                         partition_counts: dict[str, int] | None = None) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")`` (SRC-1..4).
 
     * no stored offsets -> ``subscribe`` + ``startingOffsets=<default_start>``;
@@ -79,9 +93,10 @@ def kafka_reader_options(bootstrap: str, topics: str, start: list[tuple[str, int
             for t, p, _ in start:
                 parts.setdefault(t, []).append(int(p))
             opts["assign"] = json.dumps({t: sorted(v) for t, v in parts.items()}, sort_keys=True)
+            opts["startingOffsets"] = starting_offsets_json(start)
         else:
             opts["subscribe"] = topics
-        opts["startingOffsets"] = starting_offsets_json(start)
+            opts["startingOffsets"] = starting_offsets_json(start, partition_counts, default_start)
     else:
         opts["subscribe"] = topics
         opts["startingOffsets"] = default_start

@@ -27,6 +27,7 @@ from tidemark.operators.counters import CounterStore
 from tidemark.operators.offsets import OffsetLog, offset_ranges, resume_assign, resume_subscribe
 from tidemark.session import exists
 from tidemark.sources.common import wall_time
+from tidemark.sources.topic import kafka_reader_options, kafka_records
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -128,7 +129,8 @@ class TopicJob:
     def __init__(self, spark: SparkSession, topic_path: str, state_root: str, group_id: str,
                  topics: list[str], sinks: list[BatchSink], commit: str = "after",
                  mode: str = "subscribe", max_files_per_trigger: int | None = None,
-                 checkpoint: str | None = None):
+                 checkpoint: str | None = None, kafka_bootstrap: str | None = None,
+                 partition_counts: dict[str, int] | None = None):
         if commit not in ("after", "before"):
             raise ValueError("commit must be 'after' or 'before'")
         self.spark = spark
@@ -141,11 +143,28 @@ class TopicJob:
         self.mode = mode
         self.max_files = max_files_per_trigger
         self.checkpoint = checkpoint or f"{self.state_root}/checkpoint"
+        self.kafka_bootstrap = kafka_bootstrap
+        self.partition_counts = partition_counts
         self.log = OffsetLog(spark, f"{self.state_root}/offset_log")
         self.run_id = stable_run_id(spark, self.state_root, self.checkpoint)
         self.batches_seen: list[int] = []
 
+    def kafka_options(self) -> dict[str, str]:
+        """Kafka source options for this job's start (STR-3): the stored
+        positions - one row per topic partition, so collecting them is
+        bounded - become ``startingOffsets``; Assign mode names only them."""
+        stored = [(r.topic, r.partition, r.offset)
+                  for r in self.log.latest(self.group_id, self.topics, self.commit).collect()]
+        opts = kafka_reader_options(self.kafka_bootstrap, ",".join(self.topics), start=stored or None,
+                                    assign=self.mode == "assign", partition_counts=self.partition_counts)
+        if self.max_files:
+            opts["maxOffsetsPerTrigger"] = str(self.max_files)
+        return opts
+
     def source(self) -> DataFrame:
+        if self.kafka_bootstrap:
+            raw = self.spark.readStream.format("kafka").options(**self.kafka_options()).load()
+            return kafka_records(raw)
         df = topic_stream(self.spark, self.topic_path, self.topics, self.max_files)
         stored = self.log.latest(self.group_id, self.topics, self.commit)
         if stored.isEmpty():
