@@ -16,3 +16,11 @@ def test_every_query_runs_small(spark):
     for name, fn in E.queries().items():
         df = fn(spark, SF_SMALL)
         assert df.count() >= 0, name
+
+
+def test_scale_conf():
+    from tidemark.session import scale_conf
+    c = scale_conf(100 * 2 ** 40, 8000)
+    assert c["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(1 << 30, 8000)["spark.sql.shuffle.partitions"] == "16000"
+    assert c["spark.sql.adaptive.enabled"] == "true"

@@ -36,6 +36,24 @@ def build_session(master: str = "local[8]", app: str = "tidemark",
     return spark
 
 
+def scale_conf(shuffled_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, from the expected bytes *shuffled* (after
+    partial aggregation - for the counter jobs that is far below the input)
+    and the cluster's cores. Shuffle partitions start high enough that each
+    holds about ``partition_bytes`` and never below two waves of cores; AQE
+    coalesces small ones at run time and splits skewed join partitions."""
+    parts = max(2 * total_cores, -(-shuffled_bytes // partition_bytes))
+    parts = min(parts, 100_000)
+    size = f"{partition_bytes >> 20}m"
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * (partition_bytes >> 20)}m",
+    }
+
+
 def apply_recommended_conf(spark: SparkSession) -> None:
     for k, v in RECOMMENDED_CONF.items():
         spark.conf.set(k, v)
