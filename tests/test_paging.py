@@ -60,3 +60,21 @@ def test_summary_exact_fit_flags(spark):
     paged = paginate(_keys(spark, 20), 10, partitions=3)
     s = sorted((r.page_index, r.has_next, r.has_next_exact) for r in page_summary(paged, 10).collect())
     assert s == [(1, True, True), (2, True, False)]
+
+
+def test_pager_by_row_over_cells(spark):
+    from tidemark.operators.cells import make_put, scan_cells
+    rows = [(f"r{i:02d}", "info", q, f"{i}{q}") for i in range(23) for q in ("a", "b", "c")]
+    cells = make_put(spark, rows, ts=1)
+    p = Pager(scan_cells(cells, start="r01", stop="r20", predicates=(F.col("qualifier") != "c",)),
+              page_size=5, by_row=True)
+    pages = []
+    while True:
+        page = p.next()
+        if p.last_rows == 0:
+            break
+        pages.append(sorted({r.rowkey for r in page.collect()}))
+        assert page.count() == 2 * p.last_rows  # two visible cells per row
+    assert [len(x) for x in pages] == [5, 5, 5, 4]
+    assert pages[0][0] == "r01" and pages[-1][-1] == "r19"
+    assert p.query_total_count == 19 and not p.has_next

@@ -58,16 +58,21 @@ class Pager:
     page_end_key: str | None = None
     query_total_count: int = 0
     last_rows: int = 0
+    by_row: bool = False  # page over rows of a multi-cell table (all cells of a row together)
     _pages: list = field(default_factory=list, repr=False)
 
     def next(self) -> DataFrame:
-        if self.page_end_key is None:
+        if self.by_row:
+            from tidemark.operators.cells import page_rows
+            page = page_rows(self.df, self.page_size, after_key=self.page_end_key,
+                             start_key=self.start_key if self.page_end_key is None else None)
+        elif self.page_end_key is None:
             page = page_first(self.df, self.page_size, self.start_key, self.key)
         else:
             page = page_next(self.df, self.page_end_key, self.page_size, self.key)
         page = page.cache()
-        s = page.agg(F.min(self.key).alias("a"), F.max(self.key).alias("b"),
-                     F.count(F.lit(1)).alias("n")).first()
+        n = F.countDistinct(self.key) if self.by_row else F.count(F.lit(1))
+        s = page.agg(F.min(self.key).alias("a"), F.max(self.key).alias("b"), n.alias("n")).first()
         self.page_index += 1
         self.last_rows = int(s["n"])
         if self.last_rows > 0:

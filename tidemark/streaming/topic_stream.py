@@ -197,6 +197,15 @@ class TopicJob:
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
         return w.start()
 
+    def run(self, interval: str = "5 seconds", marker: str | None = None, poll_s: float = 10.0) -> None:
+        """STR-1 + STR-2: start with a fixed interval and wait; with a
+        ``marker`` path, stop gracefully once it appears (STR-4)."""
+        q = self.start(interval=interval)
+        if marker:
+            stop_on_marker(q, self.spark, marker, poll_s=poll_s)
+        else:
+            q.awaitTermination()
+
     def run_available(self) -> None:
         """Process everything present now and stop (STR-1 in tests)."""
         q = self.start(available_now=True)
