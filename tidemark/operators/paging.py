@@ -70,7 +70,10 @@ class Pager:
             page = page_first(self.df, self.page_size, self.start_key, self.key)
         else:
             page = page_next(self.df, self.page_end_key, self.page_size, self.key)
+        if self._pages:
+            self._pages.pop().unpersist()
         page = page.cache()
+        self._pages.append(page)
         n = F.countDistinct(self.key) if self.by_row else F.count(F.lit(1))
         s = page.agg(F.min(self.key).alias("a"), F.max(self.key).alias("b"), n.alias("n")).first()
         self.page_index += 1

@@ -72,6 +72,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d.rstrip("/")
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir().rstrip("/")

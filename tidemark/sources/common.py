@@ -38,5 +38,7 @@ def wall_time(ts) -> Column:
 
 
 def day_string(ts) -> Column:
-    """``yyyyMMdd`` of a TIMESTAMP_NTZ / DATE (time-zone free)."""
-    return F.date_format(col_of(ts).cast("date"), "yyyyMMdd")
+    """``yyyyMMdd`` of a TIMESTAMP_NTZ / DATE (time-zone free: built from the
+    date's fields, no cast through the session time zone)."""
+    d = col_of(ts).cast("date")
+    return F.format_string("%04d%02d%02d", F.year(d), F.month(d), F.dayofmonth(d))

@@ -213,12 +213,17 @@ class TopicJob:
 
 
 def stop_on_marker(query, spark: SparkSession, marker: str, poll_s: float = 10.0, grace_s: float = 2.0,
-                   drain_timeout_s: float = 60.0) -> bool:
+                   drain_timeout_s: float = 60.0, max_wait_s: float | None = None) -> bool:
     """STR-4: poll every ``poll_s`` seconds; once ``marker`` exists, wait
     ``grace_s``, let the in-flight data finish (bounded by
     ``drain_timeout_s``, since a growing source never drains) and stop.
-    Returns True when stopped by the marker."""
+    Returns True when stopped by the marker. With ``max_wait_s`` the query is
+    stopped (returning False) if no marker appeared in that time."""
+    started = time.time()
     while query.isActive:
+        if max_wait_s is not None and time.time() - started > max_wait_s:
+            query.stop()
+            return False
         if query.awaitTermination(poll_s):
             return False
         if exists(spark, marker):
