@@ -4,7 +4,6 @@ DuckDB oracle. Each query reads the driver tables through the views in
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession

@@ -21,8 +21,8 @@ def clicks_from_events(ev: DataFrame, with_ts: bool = True, ts_col: str = "ts",
                        props_col: str = "props") -> DataFrame:
     uid = F.col("user_id")
     cols = [
-        F.concat_ws(".", F.lit("10"), F.pmod(F.floor(uid / 65536), F.lit(256)).cast("string"),
-                    F.pmod(F.floor(uid / 256), F.lit(256)).cast("string"),
+        F.concat_ws(".", F.lit("10"), F.pmod(F.shiftright(uid, 16), F.lit(256)).cast("string"),
+                    F.pmod(F.shiftright(uid, 8), F.lit(256)).cast("string"),
                     F.pmod(uid, F.lit(256)).cast("string")).alias("ip"),
         wall_time(ts_col).alias("time"),
         F.get_json_object(F.col(props_col), "$.k").cast("int").alias("category_id"),

@@ -37,11 +37,11 @@ def topic_log(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC,
     return ev.select(
         F.lit(topic).alias("topic"),
         F.pmod(F.col("event_id"), F.lit(partitions)).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / F.lit(partitions)).cast("bigint").alias("offset"),
+        F.expr(f"event_id div {int(partitions)}").cast("bigint").alias("offset"),
         F.col("ts").alias("timestamp"),
         F.col("user_id").cast("string").alias("key"),
         F.col("props").alias("value"),
-        F.floor(F.col("event_id") / F.lit(partitions * batch_records)).cast("bigint").alias("batch_id"),
+        F.expr(f"event_id div {int(partitions * batch_records)}").cast("bigint").alias("batch_id"),
     )
 
 
