@@ -57,6 +57,17 @@ def latest_offsets(log: DataFrame, group_id: str | None = None, topics: list[str
     return log.groupBy("group_id", *TP).agg(F.max_by(F.col(position), order).alias("offset"))
 
 
+def found_flags(log: DataFrame, groups: list[str], topic: str) -> DataFrame:
+    """OFF-6 flag per asked group: 1 when the group has anything stored for
+    ``topic``, else 0 (start from the default position)."""
+    spark = log.sparkSession
+    asked = F.broadcast(spark.createDataFrame([(g,) for g in groups], "group_id string"))
+    present = (log.filter(F.col("topic") == topic).select("group_id").distinct()
+               .withColumn("found", F.lit(1)))
+    return asked.join(present, "group_id", "left").select(
+        "group_id", F.coalesce(F.col("found"), F.lit(0)).cast("int").alias("found"))
+
+
 def add_new_partitions(stored: DataFrame, current: DataFrame, start: int = 0) -> DataFrame:
     """OFF-7 = SET-1 + SET-2: partitions in ``current`` (topic, partition) but
     not in ``stored`` (topic, partition, offset) are added at ``start``."""

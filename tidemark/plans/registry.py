@@ -100,7 +100,12 @@ def _stored_at_stop(spark, sf):
 
 
 def q_offset_latest(spark, sf):
-    return _stored_at_stop(spark, sf)
+    """Latest stored position per partition after the whole topic was read."""
+    return O.latest_offsets(V.offset_log(spark, sf), V.GROUP_ID)
+
+
+def q_offset_found(spark, sf):
+    return O.found_flags(V.offset_log(spark, sf), [V.GROUP_ID, "nobody"], "events")
 
 
 def q_offset_add_partitions(spark, sf):
@@ -341,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "offset_encode": q_offset_encode,
     "offset_decode": q_offset_decode,
     "offset_latest": q_offset_latest,
+    "offset_found": q_offset_found,
     "offset_add_partitions": q_offset_add_partitions,
     "offset_clamp": q_offset_clamp,
     "offset_paths": q_offset_paths,
@@ -416,7 +422,13 @@ ORACLE: dict[str, str] = {
         "ORDER BY \"partition\") AS offsets FROM log_v GROUP BY batch_id", "log_v"),
     "offset_decode": with_views(
         "SELECT batch_id, \"partition\", until_offset AS \"offset\" FROM log_v", "log_v"),
-    "offset_latest": with_views(_LATEST_AT_STOP, "log_v"),
+    "offset_latest": with_views(
+        "SELECT group_id, topic, \"partition\", arg_max(until_offset, batch_id) AS \"offset\" FROM log_v "
+        "GROUP BY group_id, topic, \"partition\"", "log_v"),
+    "offset_found": with_views(
+        "SELECT k.group_id, CAST(CASE WHEN EXISTS (SELECT 1 FROM log_v l WHERE l.group_id = k.group_id AND "
+        "l.topic = 'events') THEN 1 ELSE 0 END AS INTEGER) AS found FROM " + _values([("clicks",), ("nobody",)],
+                                                                                       "group_id"), "log_v"),
     "offset_add_partitions": with_views(
         "SELECT topic, \"partition\", arg_max(until_offset, batch_id) AS \"offset\" FROM log_v "
         f"WHERE \"partition\" < {OLD_PARTITION_COUNT} GROUP BY topic, \"partition\" UNION ALL "
