@@ -86,3 +86,15 @@ def test_cell_table_put_delete_put(spark, tmp_root):
     t.put(make_put(spark, [("a", "info", "y", "9")], ts=500))
     got = {(r.rowkey, r.qualifier) for r in t.scan().collect()}
     assert got == {("b", "x"), ("a", "y")}
+
+
+def test_long_key_list_uses_join(spark, monkeypatch):
+    import tidemark.sources.common as common
+    monkeypatch.setattr(common, "LIST_BROADCAST_LIMIT", 3)
+    cells = _cells(spark, [(f"k{i}", "info", "x", str(i)) for i in range(10)])
+    keys = ["k1", "zz", "k3", "k5", "k1"]
+    rows = get_rows(cells, keys).select("pos", "rowkey", from_utf8("value").alias("v")).collect()
+    assert [(r.pos, r.rowkey, r.v) for r in rows] == [(0, "k1", "1"), (1, "zz", None), (2, "k3", "3"),
+                                                      (3, "k5", "5"), (4, "k1", "1")]
+    plan = get_rows(cells, keys)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.codecs import from_utf8, to_utf8
 from tidemark.session import exists, list_dirs
-from tidemark.sources.common import key_list_frame
+from tidemark.sources.common import key_list_frame, restrict_to_keys
 
 CELL_KEY = ["rowkey", "cf", "qualifier"]
 MAX_VERSIONS = 2 ** 31 - 1  # "all versions"
@@ -90,8 +90,7 @@ def get_rows(cells: DataFrame, keys: list[str]) -> DataFrame:
         return spark.createDataFrame([], "pos int, rowkey string, cf string, qualifier string, ts bigint, "
                                          "seq bigint, value binary")
     kdf = _key_frame(spark, keys)
-    wanted = sorted(set(keys))
-    visible = latest_cells(cells.filter(F.col("rowkey").isin(wanted)))
+    visible = latest_cells(restrict_to_keys(cells, keys))
     return kdf.join(visible, "rowkey", "left").orderBy("pos", "cf", "qualifier")
 
 

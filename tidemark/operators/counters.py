@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.keys import counter_key, day_of
 from tidemark.session import exists, list_dirs
-from tidemark.sources.common import key_list_frame
+from tidemark.sources.common import key_list_frame, restrict_to_keys
 
 COUNTER_CF = "info"
 COUNTER_QUALIFIER = "click_count"
@@ -55,7 +55,7 @@ def lookup_counters(counters: DataFrame, keys: DataFrame | list[str], key: str =
     spark = counters.sparkSession
     if isinstance(keys, list):
         kdf = key_list_frame(spark, keys, key)
-        found = counters.filter(F.col(key).isin(sorted(set(keys)))).select(key, value)
+        found = restrict_to_keys(counters, keys, key).select(key, value)
     else:
         kdf = keys
         found = counters.join(keys.select(key).distinct(), key, "left_semi").select(key, value)

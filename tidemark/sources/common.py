@@ -22,6 +22,17 @@ def key_list_frame(spark: SparkSession, keys: list, key: str = "rowkey") -> Data
     return F.broadcast(kdf) if len(keys) <= LIST_BROADCAST_LIMIT else kdf
 
 
+def restrict_to_keys(df: DataFrame, keys: list, key: str = "rowkey") -> DataFrame:
+    """Cut ``df`` to the rows of the asked keys before any other work: an IN
+    filter (pushed into the scan / below aggregations) for a list of
+    ordinary length, a semi-join for a very long list (no plan with a
+    million literals)."""
+    if len(keys) <= LIST_BROADCAST_LIMIT:
+        return df.filter(F.col(key).isin(sorted(set(keys))))
+    kdf = df.sparkSession.createDataFrame([(k,) for k in set(keys)], f"{key} string")
+    return df.join(kdf, key, "left_semi")
+
+
 def epoch_millis(ts) -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ, floored, with no session time
     zone involved: days since epoch plus the wall-clock time of day."""
