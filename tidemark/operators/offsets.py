@@ -61,11 +61,13 @@ def found_flags(log: DataFrame, groups: list[str], topic: str) -> DataFrame:
     """OFF-6 flag per asked group: 1 when the group has anything stored for
     ``topic``, else 0 (start from the default position)."""
     spark = log.sparkSession
-    asked = F.broadcast(spark.createDataFrame([(g,) for g in groups], "group_id string"))
-    present = (log.filter(F.col("topic") == topic).select("group_id").distinct()
-               .withColumn("found", F.lit(1)))
-    return asked.join(present, "group_id", "left").select(
-        "group_id", F.coalesce(F.col("found"), F.lit(0)).cast("int").alias("found"))
+    asked = spark.createDataFrame([(g, 0) for g in groups], "group_id string, found int")
+    present = (log.filter((F.col("topic") == topic) & F.col("group_id").isin(list(groups)))
+               .select("group_id", F.lit(1).alias("found")))
+    # no join: the asked groups (found 0) and the stored rows (found 1) are
+    # unioned and reduced per group; partial aggregation keeps it one row
+    # per group per task
+    return asked.unionByName(present).groupBy("group_id").agg(F.max("found").cast("int").alias("found"))
 
 
 def add_new_partitions(stored: DataFrame, current: DataFrame, start: int = 0) -> DataFrame:

@@ -131,20 +131,28 @@ def page_summary(paged: DataFrame, size: int = DEFAULT_PAGE_SIZE, key: str = "ro
     """PAG-3 + AGG-5 for all pages: boundary keys, first row number,
     prev/next index, ``has_next`` by the original rule (page is full),
     ``has_next_exact`` (a later page exists) and ``total`` = rows fetched up
-    to this page. Every page before the last is full, so the running total is
-    ``(page_index - 1) * size + rows``: no window over pages."""
-    pages = paged.groupBy("page_index").agg(
-        F.min(key).alias("start_key"), F.max(key).alias("end_key"),
-        F.count(F.lit(1)).alias("rows"), F.max("row_num").alias("_last"))
+    to this page.
+
+    Only the first and last row of every page matter, so the rows are cut to
+    those edges (a narrow filter on ``row_num``) before grouping: the
+    aggregation sees two rows per page, never the table. Every page before
+    the last is full, so page sizes and the running total follow from the
+    row count alone: no window over pages."""
+    n = paged.agg(F.max("row_num")).scalar()  # total rows, one long
+    rn = F.col("row_num")
+    edges = paged.filter(((rn - 1) % size == 0) | (rn % size == 0) | (rn == n))
+    pages = edges.groupBy("page_index").agg(F.min(key).alias("start_key"), F.max(key).alias("end_key"),
+                                            F.max("row_num").alias("_last"))
     idx = F.col("page_index")
+    rows = F.least(F.lit(size).cast("bigint"), n - (idx - 1) * size).cast("bigint")
     return pages.select(
         idx,
         "start_key", "end_key",
         ((idx - 1) * size + 1).cast("bigint").alias("first_row"),
         F.when(idx > 1, idx - 1).otherwise(F.lit(1)).cast("int").alias("prev_page"),
         (idx + 1).cast("int").alias("next_page"),
-        (F.col("rows") == size).alias("has_next"),
-        (F.col("_last") < paged.agg(F.max("row_num")).scalar()).alias("has_next_exact"),
-        F.col("rows"),
-        ((idx - 1) * size + F.col("rows")).cast("bigint").alias("total"),
+        (rows == size).alias("has_next"),
+        (F.col("_last") < n).alias("has_next_exact"),
+        rows.alias("rows"),
+        ((idx - 1) * size + rows).cast("bigint").alias("total"),
     )
