@@ -98,3 +98,27 @@ def test_long_key_list_uses_join(spark, monkeypatch):
                                                       (3, "k5", "5"), (4, "k1", "1")]
     plan = get_rows(cells, keys)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_bucketed_cell_table_no_shuffle(spark, tmp_root):
+    from tidemark.operators.cells import BucketedCellTable
+    t = BucketedCellTable(spark, tmp_root, buckets=4)
+    t.put(make_put(spark, [("a", "info", "x", "1"), ("b", "info", "x", "2"), ("c", "info", "y", "5")], ts=1000))
+    t.put(make_put(spark, [("a", "info", "x", "3")], ts=2000))
+    t.delete(["c", "nope"])
+    t.put(make_put(spark, [("c", "info", "z", "9")], ts=10))
+    got = {(r.rowkey, r.qualifier, r.v) for r in t.scan().select("rowkey", "qualifier",
+                                                                  from_utf8("value").alias("v")).collect()}
+    assert got == {("a", "x", "3"), ("b", "x", "2"), ("c", "z", "9")}
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = t.scan()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        lookup = get_row(t.scan(), "a")._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 1 out of 4" in lookup
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    # reopening the same folder (e.g. a new session) sees the same table
+    t2 = BucketedCellTable(spark, tmp_root, buckets=4)
+    assert t2.scan().count() == 3

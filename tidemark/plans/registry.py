@@ -204,6 +204,18 @@ def q_cell_page_rows(spark, sf):
     return V.readable(CL.page_rows(CL.latest_cells(V.cells(spark, sf)), 10, after_key="u105"))
 
 
+def q_bucketed_cells(spark, sf):
+    """The cell table stored bucketed by row key: two put operations (each
+    half of the events), one delete operation, then the visible table."""
+    cells = V.cells(spark, sf)
+    n = spark.read.parquet(f"{sf}/events.parquet").select(F.max("event_id")).scalar()
+    t = CL.BucketedCellTable(spark, scratch_dir(spark, "cells"), buckets=8)
+    t.put(cells.filter(F.col("seq") * 2 <= n))
+    t.put(cells.filter(F.col("seq") * 2 > n))
+    t.delete(DELETE_KEYS)
+    return V.readable(t.scan())
+
+
 def q_table_scan(spark, sf):
     return V.readable(CL.latest_cells(V.cells(spark, sf)))
 
@@ -365,6 +377,7 @@ QUERIES: dict[str, Query] = {
     "cell_versions": q_cell_versions,
     "scan_page": q_scan_page,
     "cell_page_rows": q_cell_page_rows,
+    "bucketed_cells": q_bucketed_cells,
     "table_scan": q_table_scan,
     "cell_format": q_cell_format,
     "page_first": q_page_first,
@@ -487,6 +500,8 @@ ORACLE: dict[str, str] = {
     "cell_page_rows": with_views(
         "SELECT * FROM latest_v WHERE rowkey IN (SELECT DISTINCT rowkey FROM latest_v WHERE rowkey > 'u105' "
         "ORDER BY rowkey LIMIT 10)", "latest_v"),
+    "bucketed_cells": with_views(
+        "SELECT * FROM latest_v WHERE rowkey NOT IN (" + ", ".join(f"'{k}'" for k in DELETE_KEYS) + ")", "latest_v"),
     "table_scan": with_views("SELECT * FROM latest_v", "latest_v"),
     "cell_format": with_views(
         "SELECT rowkey, cf, qualifier, value_text, ts, cf || ':' || qualifier || '=' || value_text || ' @' || "
