@@ -330,6 +330,28 @@ def q_stream_counters(spark, sf):
     return store.read()
 
 
+def q_stream_resume(spark, sf):
+    """STR-3: a consumer reads the first part of the topic and stops; more
+    records arrive; a consumer with a *new* checkpoint starts from the
+    offset log. The counters over both runs equal the one-shot count."""
+    root = scratch_dir(spark, "stream")
+    topic = V.topic(spark, sf)
+    hi = topic.agg(F.max("offset")).first()[0]
+    cut = (hi + 1) // 2
+    S.write_file_topic(topic.filter(F.col("offset") < cut), f"{root}/topic", bursts=2)
+    store = C.CounterStore(spark, f"{root}/state/counters")
+
+    def job(ckpt):
+        j = S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"],
+                       sinks=[S.counter_sink(store)], checkpoint=f"{root}/{ckpt}")
+        store.run_id = j.run_id
+        return j
+    job("ck1").run_available()
+    S.write_file_topic(topic.filter(F.col("offset") >= cut), f"{root}/topic", bursts=2)
+    job("ck2").run_available()
+    return store.read()
+
+
 def q_stream_marker_stop(spark, sf):
     job, store, root = _stream_job(spark, sf, bursts=1)
     q = job.start(interval="1 second")
@@ -393,6 +415,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_list": q_snapshot_list,
     "snapshot_drop": q_snapshot_drop,
     "stream_counters": q_stream_counters,
+    "stream_resume": q_stream_resume,
     "stream_marker_stop": q_stream_marker_stop,
 }
 
@@ -541,5 +564,6 @@ ORACLE: dict[str, str] = {
     "snapshot_drop": with_views(
         "SELECT 'weekly_a' AS snapshot_name, count(*) AS rows FROM latest_v", "latest_v"),
     "stream_counters": V.SQL_COUNTERS,
+    "stream_resume": V.SQL_COUNTERS,
     "stream_marker_stop": "SELECT count(*) AS records FROM events",
 }

@@ -148,6 +148,7 @@ class TopicJob:
         self.log = OffsetLog(spark, f"{self.state_root}/offset_log")
         self.run_id = stable_run_id(spark, self.state_root, self.checkpoint)
         self.batches_seen: list[int] = []
+        self.last_ranges: list[tuple] = []
 
     def kafka_options(self) -> dict[str, str]:
         """Kafka source options for this job's start (STR-3): the stored
@@ -176,17 +177,21 @@ class TopicJob:
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
-            if b.isEmpty():  # FLT-1
+            # OFF-1 / OFF-11: one row per topic partition of the batch, so it
+            # is collected; no rows means an empty batch (FLT-1)
+            rows = offset_ranges(b).collect()
+            if not rows:
                 return
-            ranges = offset_ranges(b).persist()
-            ranges.count()
+            self.last_ranges = [(r.topic, r.partition, r.from_offset, r.until_offset) for r in rows]
+            ranges = self.spark.createDataFrame(
+                [(r.topic, r.partition, r.from_offset, r.until_offset, r.record_count) for r in rows],
+                "topic string, partition int, from_offset bigint, until_offset bigint, record_count bigint")
             if self.commit == "before":  # OFF-9: position saved before the work
                 self.log.append(ranges, self.group_id, self.run_id, batch_id)
             for sink in self.sinks:
                 sink(b, batch_id)
             if self.commit == "after":  # OFF-4: saved once the work is done
                 self.log.append(ranges, self.group_id, self.run_id, batch_id)
-            ranges.unpersist()
             self.batches_seen.append(batch_id)
         finally:
             b.unpersist()
