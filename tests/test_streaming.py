@@ -140,3 +140,22 @@ def test_kafka_options_fill_partitions_and_job(spark, tmp_root):
     job.mode = "assign"
     o = job.kafka_options()
     assert o["assign"] == '{"events": [0, 1]}' and o["startingOffsets"] == '{"events": {"0": 10, "1": 7}}'
+
+
+def test_reused_checkpoint_path_gets_new_run(spark, tmp_root, monkeypatch):
+    import tidemark.streaming.topic_stream as ts
+    topic = topic_log(spark, SF_SMALL)
+    write_file_topic(topic.filter(F.col("offset") < 100), f"{tmp_root}/topic", bursts=1)
+    job, store = _job(spark, tmp_root, checkpoint=f"{tmp_root}/ck")
+    job.run_available()
+    job_again, _ = _job(spark, tmp_root, checkpoint=f"{tmp_root}/ck")
+    assert job_again.run_id == job.run_id  # same live checkpoint: same run
+    # a checkpoint path whose Spark metadata is gone counts as a new run
+    real_exists = ts.exists
+    monkeypatch.setattr(ts, "exists", lambda s, p: False if p.endswith("/metadata") else real_exists(s, p))
+    job2, store2 = _job(spark, tmp_root, checkpoint=f"{tmp_root}/ck")
+    monkeypatch.setattr(ts, "exists", real_exists)
+    assert job2.run_id != job.run_id and job2.run_id > job.run_id
+    write_file_topic(topic.filter(F.col("offset") >= 100), f"{tmp_root}/topic", bursts=1)
+    job2.run_available()
+    assert dict(store2.read().collect()) == _expected(spark)

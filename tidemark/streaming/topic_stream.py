@@ -107,13 +107,15 @@ def partition_record_sink(process: Callable[[object], None] | None = None) -> Ba
 
 def stable_run_id(spark: SparkSession, store_root: str, checkpoint: str) -> str:
     """One run id per checkpoint, kept across restarts of the same
-    checkpoint (batch ids restart at 0 only with a new checkpoint). Sortable:
-    a start stamp first."""
+    checkpoint (batch ids restart at 0 only with a new checkpoint). A
+    checkpoint without Spark's ``metadata`` file is new - even at a reused
+    path - and always gets a new id, so its batch 0 can never overwrite an
+    older run's output. Sortable: a nanosecond start stamp first."""
     tag = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     p = f"{store_root}/runs/ckpt={tag}"
-    if exists(spark, p):
+    if exists(spark, f"{checkpoint.rstrip('/')}/metadata") and exists(spark, p):
         return spark.read.parquet(p).first()["run_id"]
-    rid = time.strftime("%Y%m%d%H%M%S") + f"_{tag}"
+    rid = f"{time.time_ns():020d}_{tag}"
     spark.createDataFrame([(rid,)], "run_id string").coalesce(1).write.mode("overwrite").parquet(p)
     return rid
 
