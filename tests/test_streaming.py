@@ -159,3 +159,13 @@ def test_reused_checkpoint_path_gets_new_run(spark, tmp_root, monkeypatch):
     write_file_topic(topic.filter(F.col("offset") >= 100), f"{tmp_root}/topic", bursts=1)
     job2.run_available()
     assert dict(store2.read().collect()) == _expected(spark)
+
+
+def test_idle_partition_logged_with_empty_range(spark, tmp_root):
+    topic = topic_log(spark, SF_SMALL).drop("batch_id")
+    job, store = _job(spark, tmp_root)
+    job.process_batch(topic.filter("offset < 10"), 0)
+    job.process_batch(topic.filter("offset >= 10 AND offset < 20 AND partition != 2"), 1)
+    b1 = {r.partition: (r.from_offset, r.until_offset, r.record_count)
+          for r in job.log.read().filter("batch_id = 1").collect()}
+    assert b1 == {0: (10, 20, 10), 1: (10, 20, 10), 2: (10, 10, 0), 3: (10, 20, 10)}

@@ -151,6 +151,12 @@ class TopicJob:
         self.run_id = stable_run_id(spark, self.state_root, self.checkpoint)
         self.batches_seen: list[int] = []
         self.last_ranges: list[tuple] = []
+        self._positions: dict[tuple[str, int], int] | None = None
+
+    def _stored_positions(self) -> dict[tuple[str, int], int]:
+        """Last until per topic partition (one row per partition)."""
+        return {(r.topic, r.partition): r.offset
+                for r in self.log.latest(self.group_id, self.topics, "after").collect()}
 
     def kafka_options(self) -> dict[str, str]:
         """Kafka source options for this job's start (STR-3): the stored
@@ -184,10 +190,17 @@ class TopicJob:
             rows = offset_ranges(b).collect()
             if not rows:
                 return
-            self.last_ranges = [(r.topic, r.partition, r.from_offset, r.until_offset) for r in rows]
+            got = [(r.topic, r.partition, r.from_offset, r.until_offset, r.record_count) for r in rows]
+            if self._positions is None:
+                self._positions = self._stored_positions()
+            seen = {(t, p) for t, p, *_ in got}
+            # partitions idle in this batch keep from = until = their position
+            got += [(t, p, o, o, 0) for (t, p), o in sorted(self._positions.items()) if (t, p) not in seen]
+            for t, p, _, u, _ in got:
+                self._positions[(t, p)] = u
+            self.last_ranges = [g[:4] for g in got]
             ranges = self.spark.createDataFrame(
-                [(r.topic, r.partition, r.from_offset, r.until_offset, r.record_count) for r in rows],
-                "topic string, partition int, from_offset bigint, until_offset bigint, record_count bigint")
+                got, "topic string, partition int, from_offset bigint, until_offset bigint, record_count bigint")
             if self.commit == "before":  # OFF-9: position saved before the work
                 self.log.append(ranges, self.group_id, self.run_id, batch_id)
             for sink in self.sinks:
