@@ -169,3 +169,17 @@ def test_idle_partition_logged_with_empty_range(spark, tmp_root):
     b1 = {r.partition: (r.from_offset, r.until_offset, r.record_count)
           for r in job.log.read().filter("batch_id = 1").collect()}
     assert b1 == {0: (10, 20, 10), 1: (10, 20, 10), 2: (10, 10, 0), 3: (10, 20, 10)}
+
+
+def test_stream_with_compaction(spark, tmp_root):
+    from tidemark.session import list_dirs
+    topic = topic_log(spark, SF_SMALL)
+    write_file_topic(topic, f"{tmp_root}/topic", bursts=4)
+    store = CounterStore(spark, f"{tmp_root}/state/counters")
+    job = TopicJob(spark, f"{tmp_root}/topic", f"{tmp_root}/state", "g", ["events"],
+                   sinks=[counter_sink(store, compact_every=2)], max_files_per_trigger=1)
+    store.run_id = job.run_id
+    job.run_available()
+    assert len(job.batches_seen) >= 2
+    assert list_dirs(spark, f"{tmp_root}/state/counters/base")
+    assert dict(store.read().collect()) == _expected(spark)

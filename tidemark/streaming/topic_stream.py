@@ -81,10 +81,15 @@ def day_category_counts(batch: DataFrame) -> DataFrame:
     return batch.groupBy(day_category_key()).agg(F.count(F.lit(1)).alias("click_count"))
 
 
-def counter_sink(store: CounterStore, to_counts: Callable[[DataFrame], DataFrame] = day_category_counts) -> BatchSink:
-    """SNK-3 as a batch sink: pre-aggregated deltas per batch."""
+def counter_sink(store: CounterStore, to_counts: Callable[[DataFrame], DataFrame] = day_category_counts,
+                 compact_every: int | None = None) -> BatchSink:
+    """SNK-3 as a batch sink: pre-aggregated deltas per batch. With
+    ``compact_every`` the deltas are folded into a new base version every n
+    batches, so reading the counters stays one base plus a few deltas."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         store.add(to_counts(batch), batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            store.compact()
     return sink
 
 
