@@ -16,9 +16,8 @@ def _expected(spark):
 def _job(spark, root, checkpoint=None, commit="after", sinks_extra=(), mode="subscribe"):
     store = CounterStore(spark, f"{root}/state/counters")
     job = TopicJob(spark, f"{root}/topic", f"{root}/state", "g", ["events"],
-                   sinks=[counter_sink(store), *sinks_extra], commit=commit, mode=mode,
-                   checkpoint=checkpoint)
-    store.run_id = job.run_id
+                   sinks=list(sinks_extra), commit=commit, mode=mode,
+                   checkpoint=checkpoint, counters=store)
     return job, store
 
 

@@ -318,9 +318,7 @@ def _stream_job(spark, sf, bursts=4):
     root = scratch_dir(spark, "stream")
     S.write_file_topic(V.topic(spark, sf), f"{root}/topic", bursts=bursts)
     store = C.CounterStore(spark, f"{root}/state/counters")
-    job = S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"],
-                     sinks=[S.counter_sink(store)])
-    store.run_id = job.run_id
+    job = S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[], counters=store)
     return job, store, root
 
 
@@ -342,10 +340,8 @@ def q_stream_resume(spark, sf):
     store = C.CounterStore(spark, f"{root}/state/counters")
 
     def job(ckpt):
-        j = S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"],
-                       sinks=[S.counter_sink(store)], checkpoint=f"{root}/{ckpt}")
-        store.run_id = j.run_id
-        return j
+        return S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[],
+                          counters=store, checkpoint=f"{root}/{ckpt}")
     job("ck1").run_available()
     S.write_file_topic(topic.filter(F.col("offset") >= cut), f"{root}/topic", bursts=2)
     job("ck2").run_available()

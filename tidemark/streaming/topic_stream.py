@@ -137,7 +137,10 @@ class TopicJob:
                  topics: list[str], sinks: list[BatchSink], commit: str = "after",
                  mode: str = "subscribe", max_files_per_trigger: int | None = None,
                  checkpoint: str | None = None, kafka_bootstrap: str | None = None,
-                 partition_counts: dict[str, int] | None = None):
+                 partition_counts: dict[str, int] | None = None,
+                 counters: CounterStore | None = None,
+                 counts: Callable[[DataFrame], DataFrame] = day_category_counts,
+                 compact_every: int | None = None):
         if commit not in ("after", "before"):
             raise ValueError("commit must be 'after' or 'before'")
         self.spark = spark
@@ -154,6 +157,10 @@ class TopicJob:
         self.partition_counts = partition_counts
         self.log = OffsetLog(spark, f"{self.state_root}/offset_log")
         self.run_id = stable_run_id(spark, self.state_root, self.checkpoint)
+        if counters is not None:
+            # counter deltas are keyed by this job's run, then written first
+            counters.run_id = self.run_id
+            self.sinks = [counter_sink(counters, counts, compact_every), *self.sinks]
         self.batches_seen: list[int] = []
         self.last_ranges: list[tuple] = []
         self._positions: dict[tuple[str, int], int] | None = None
