@@ -26,3 +26,22 @@ def test_snapshot_lifecycle(spark, tmp_root):
     # a dropped name can be taken again with a new copy
     st.take("daily_1", src.filter("x < 2"))
     assert st.read("daily_1").count() == 2
+
+
+def test_table_snapshot_without_copy(spark, tmp_root):
+    from tidemark.functions.codecs import from_utf8
+    from tidemark.operators.cells import BucketedCellTable, CellTable, make_put
+    from tidemark.session import list_dirs
+    for kind in ("folders", "bucketed"):
+        root = f"{tmp_root}/{kind}"
+        t = CellTable(spark, f"{root}/t") if kind == "folders" else BucketedCellTable(spark, f"{root}/t", 4)
+        st = SnapshotStore(spark, f"{root}/snaps")
+        t.put(make_put(spark, [("a", "info", "x", "1"), ("b", "info", "x", "2")], ts=1000))
+        assert st.take_table("before", t) == 0
+        t.put(make_put(spark, [("a", "info", "x", "3")], ts=2000))
+        t.delete(["b"])
+        view = lambda df: {(r.rowkey, r.v) for r in df.select("rowkey", from_utf8("value").alias("v")).collect()}
+        assert view(st.read("before")) == {("a", "1"), ("b", "2")}
+        assert view(t.scan()) == {("a", "3")}
+        assert list_dirs(spark, f"{root}/snaps/copies") == []  # nothing copied
+        assert sorted(r.snapshot_name for r in st.list("").collect()) == ["before"]

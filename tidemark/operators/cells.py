@@ -176,21 +176,31 @@ class CellTable:
         kdf.write.mode("overwrite").parquet(f"{self.path}/deletes/op={op}")
         return op
 
-    def raw(self) -> DataFrame:
-        """All stored versions still visible after deletes (with ``op``)."""
+    def current_op(self) -> int:
+        """Id of the newest operation (-1 for an empty table)."""
+        return self._next_op() - 1
+
+    def raw(self, as_of: int | None = None) -> DataFrame:
+        """All stored versions still visible after deletes (with ``op``);
+        ``as_of`` reads the table as it was after that operation (the op
+        folders above it are pruned as partitions)."""
         empty = self.spark.createDataFrame([], schemas.CELLS_STORED)
         cells = (self.spark.read.schema(schemas.CELLS_STORED).parquet(f"{self.path}/puts")
                  if exists(self.spark, f"{self.path}/puts") else empty)
+        if as_of is not None:
+            cells = cells.filter(F.col("op") <= as_of)
         if not exists(self.spark, f"{self.path}/deletes"):
             return cells
-        dels = self.spark.read.schema("rowkey string, op int").parquet(f"{self.path}/deletes") \
-            .groupBy("rowkey").agg(F.max("op").alias("_del_op"))
+        dels = self.spark.read.schema("rowkey string, op int").parquet(f"{self.path}/deletes")
+        if as_of is not None:
+            dels = dels.filter(F.col("op") <= as_of)
+        dels = dels.groupBy("rowkey").agg(F.max("op").alias("_del_op"))
         return (cells.join(dels, "rowkey", "left")
                 .filter(F.col("_del_op").isNull() | (F.col("op") > F.col("_del_op"))).drop("_del_op"))
 
-    def scan(self) -> DataFrame:
-        """SRC-6: full scan of the visible table."""
-        return latest_cells(self.raw().drop("op"))
+    def scan(self, as_of: int | None = None) -> DataFrame:
+        """SRC-6: full scan of the visible table (optionally as of an op)."""
+        return latest_cells(self.raw(as_of).drop("op"))
 
 
 class BucketedCellTable:
@@ -227,32 +237,40 @@ class BucketedCellTable:
         self.spark.createDataFrame([(op, kind, int(time.time() * 1000))], "op int, kind string, at_ms bigint") \
             .coalesce(1).write.mode("overwrite").parquet(f"{self.path}/oplog/op={op}")
 
+    def current_op(self) -> int:
+        return self._next_op() - 1
+
+    # The op id is logged before the data is written: a failed write leaves
+    # an id without data (harmless), never data under an id reused later.
     def put(self, cells: DataFrame) -> int:
         op = self._next_op()
+        self._log_op(op, "put")
         (cells.select(*schemas.CELLS.fieldNames()).withColumn("op", F.lit(op))
          .repartition(self.buckets, "rowkey")
          .write.mode("append").insertInto(self.puts_table))
-        self._log_op(op, "put")
         return op
 
     def delete(self, keys: list[str] | DataFrame) -> int | None:
         if isinstance(keys, list) and not keys:
             return None
         op = self._next_op()
+        self._log_op(op, "delete")
         (_key_frame(self.spark, keys).select("rowkey").distinct().withColumn("op", F.lit(op))
          .repartition(self.buckets, "rowkey")
          .write.mode("append").insertInto(self.deletes_table))
-        self._log_op(op, "delete")
         return op
 
-    def raw(self) -> DataFrame:
+    def raw(self, as_of: int | None = None) -> DataFrame:
         cells = self.spark.table(self.puts_table)
-        dels = self.spark.table(self.deletes_table).groupBy("rowkey").agg(F.max("op").alias("_del_op"))
+        dels = self.spark.table(self.deletes_table)
+        if as_of is not None:
+            cells, dels = cells.filter(F.col("op") <= as_of), dels.filter(F.col("op") <= as_of)
+        dels = dels.groupBy("rowkey").agg(F.max("op").alias("_del_op"))
         return (cells.join(dels, "rowkey", "left")
                 .filter(F.col("_del_op").isNull() | (F.col("op") > F.col("_del_op"))).drop("_del_op"))
 
-    def scan(self) -> DataFrame:
-        return latest_cells(self.raw().drop("op"))
+    def scan(self, as_of: int | None = None) -> DataFrame:
+        return latest_cells(self.raw(as_of).drop("op"))
 
 
 def write_sorted(cells: DataFrame, path: str) -> None:

@@ -1,10 +1,20 @@
-"""Named snapshots (SNP-1..4) as dataset copies on the shared folder.
+"""Named snapshots (SNP-1..4).
 
-``<root>/copies/<copy_id>/`` holds the data; ``<root>/registry/`` is an
-append-only list of (snapshot_name, copy_id, action, at_ms) with one row per
-take or drop, so the live list is the names whose newest action is a take.
-The registry has one row per snapshot operation (a handful), so reading it
-to the driver is bounded; the data itself never leaves the executors."""
+Two kinds, one registry:
+
+* **table snapshots** of a :class:`~tidemark.operators.cells.CellTable` or
+  :class:`~tidemark.operators.cells.BucketedCellTable`: nothing is copied.
+  Those tables never rewrite a file (every write is a new operation), so a
+  snapshot only records the table and its newest operation id, and reading
+  it is the table *as of* that operation - the same zero-copy idea as a
+  snapshot that references existing store files;
+* **copies** of any DataFrame under ``<root>/copies/<copy_id>/``.
+
+``<root>/registry/`` is an append-only list of (snapshot_name, copy_id,
+action, at_ms, table_path, table_kind, buckets, as_of_op), one row per take
+or drop; the live list is the names whose newest action is a take. The
+registry has one row per snapshot operation, so reading it to the driver is
+bounded; the data itself never leaves the executors."""
 
 from __future__ import annotations
 
@@ -17,7 +27,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import exists
 
-REGISTRY_SCHEMA = "snapshot_name string, copy_id string, action string, at_ms bigint"
+REGISTRY_SCHEMA = ("snapshot_name string, copy_id string, action string, at_ms bigint, "
+                   "table_path string, table_kind string, buckets int, as_of_op int")
 
 
 class SnapshotStore:
@@ -32,33 +43,57 @@ class SnapshotStore:
         return self.spark.read.schema(REGISTRY_SCHEMA).parquet(p)
 
     def _record(self, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, REGISTRY_SCHEMA).coalesce(1) \
+        full = [tuple(r) + (None,) * (8 - len(r)) for r in rows]
+        self.spark.createDataFrame(full, REGISTRY_SCHEMA).coalesce(1) \
             .write.mode("append").parquet(f"{self.root}/registry")
 
-    def live(self) -> DataFrame:
+    def _live_df(self) -> DataFrame:
         w = Window.partitionBy("snapshot_name").orderBy(F.col("at_ms").desc(), F.col("action").asc())
         r = self._registry().withColumn("_rn", F.row_number().over(w))
-        return r.filter((F.col("_rn") == 1) & (F.col("action") == "take")).select("snapshot_name", "copy_id")
+        return r.filter((F.col("_rn") == 1) & (F.col("action") == "take")).drop("_rn")
 
-    def _live_names(self) -> dict[str, str]:
-        return {r["snapshot_name"]: r["copy_id"] for r in self.live().collect()}
+    def live(self) -> DataFrame:
+        return self._live_df().select("snapshot_name", "copy_id")
 
-    def take(self, name: str, df: DataFrame) -> str:
-        """SNP-1: copy ``df`` under ``name``; a live name is refused."""
+    def _live_records(self) -> dict:
+        return {r["snapshot_name"]: r for r in self._live_df().collect()}
+
+    def _check_new(self, name: str) -> None:
         if not name or not name.strip():
             raise ValueError("snapshot name is blank")
-        if name in self._live_names():
+        if name in self._live_records():
             raise ValueError(f"snapshot {name!r} exists")
+
+    def take(self, name: str, df: DataFrame) -> str:
+        """SNP-1 for any DataFrame: a copy under ``name``; a live name is refused."""
+        self._check_new(name)
         copy_id = uuid.uuid4().hex
         df.write.mode("overwrite").parquet(f"{self.root}/copies/{copy_id}")
         self._record([(name, copy_id, "take", int(time.time() * 1000))])
         return copy_id
 
+    def take_table(self, name: str, table) -> int:
+        """SNP-1 for a cell table, without copying: records the table and its
+        newest operation. Returns that operation id."""
+        from tidemark.operators.cells import BucketedCellTable
+        self._check_new(name)
+        op = table.current_op()
+        kind = "bucketed" if isinstance(table, BucketedCellTable) else "folders"
+        buckets = table.buckets if kind == "bucketed" else None
+        self._record([(name, None, "take", int(time.time() * 1000), table.path, kind, buckets, op)])
+        return op
+
     def read(self, name: str) -> DataFrame:
-        live = self._live_names()
+        live = self._live_records()
         if name not in live:
             raise KeyError(name)
-        return self.spark.read.parquet(f"{self.root}/copies/{live[name]}")
+        r = live[name]
+        if r["table_path"] is not None:
+            from tidemark.operators.cells import BucketedCellTable, CellTable
+            t = (BucketedCellTable(self.spark, r["table_path"], r["buckets"]) if r["table_kind"] == "bucketed"
+                 else CellTable(self.spark, r["table_path"]))
+            return t.scan(as_of=r["as_of_op"])
+        return self.spark.read.parquet(f"{self.root}/copies/{r['copy_id']}")
 
     def list(self, pattern: str | None = None) -> DataFrame:
         """SNP-2: live snapshots whose whole name matches ``pattern``; a
@@ -73,7 +108,7 @@ class SnapshotStore:
         if not pattern or not pattern.strip():
             raise ValueError("snapshot name pattern is blank")
         rx = re.compile(f"^(?:{pattern})$")
-        names = [n for n in self._live_names() if rx.match(n)]
+        names = [n for n in self._live_records() if rx.match(n)]
         if names:
             now = int(time.time() * 1000)
             self._record([(n, None, "drop", now) for n in names])
@@ -83,7 +118,7 @@ class SnapshotStore:
         """SNP-4: drop one snapshot by exact name; blank refused."""
         if not name or not name.strip():
             raise ValueError("snapshot name is blank")
-        if name not in self._live_names():
+        if name not in self._live_records():
             return False
         self._record([(name, None, "drop", int(time.time() * 1000))])
         return True

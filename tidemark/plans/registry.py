@@ -281,6 +281,21 @@ def q_snapshot_roundtrip(spark, sf):
     return V.readable(store.read("cells_latest"))
 
 
+def q_snapshot_table(spark, sf):
+    """A zero-copy snapshot of a cell table taken after the first put (the
+    first half of the events); later puts and deletes do not change it."""
+    cells = V.cells(spark, sf)
+    n = spark.read.parquet(f"{sf}/events.parquet").select(F.max("event_id")).scalar()
+    root = scratch_dir(spark, "snaptable")
+    t = CL.CellTable(spark, f"{root}/cells")
+    store = SnapshotStore(spark, f"{root}/snapshots")
+    t.put(cells.filter(F.col("seq") * 2 <= n))
+    store.take_table("first_half", t)
+    t.put(cells.filter(F.col("seq") * 2 > n))
+    t.delete(DELETE_KEYS)
+    return V.readable(store.read("first_half"))
+
+
 def _three_snapshots(spark, sf):
     store = SnapshotStore(spark, scratch_dir(spark, "snapshots"))
     store.take("daily_a", V.counters(spark, sf))
@@ -408,6 +423,7 @@ QUERIES: dict[str, Query] = {
     "region_skew": q_region_skew,
     "random_code": q_random_code,
     "snapshot_roundtrip": q_snapshot_roundtrip,
+    "snapshot_table": q_snapshot_table,
     "snapshot_list": q_snapshot_list,
     "snapshot_drop": q_snapshot_drop,
     "stream_counters": q_stream_counters,
@@ -554,6 +570,10 @@ ORACLE: dict[str, str] = {
         "CAST(('0x' || substr(md5(rowkey), 1, 8))::BIGINT % 15 + 1 AS INTEGER), 1) || '_' || rowkey AS salted "
         "FROM counters_v) GROUP BY 1", "counters_v"),
     "snapshot_roundtrip": with_views("SELECT * FROM latest_v", "latest_v"),
+    "snapshot_table": with_views(
+        "SELECT rowkey, cf, qualifier, ts, seq, value_text FROM (SELECT *, row_number() OVER (PARTITION BY rowkey, "
+        "cf, qualifier ORDER BY ts DESC, seq DESC) AS rn FROM cells_v WHERE seq * 2 <= (SELECT max(event_id) "
+        "FROM events)) WHERE rn = 1", "cells_v"),
     "snapshot_list": with_views(
         "SELECT 'daily_a' AS snapshot_name, count(*) AS rows FROM counters_v UNION ALL "
         "SELECT 'daily_b' AS snapshot_name, count(*) AS rows FROM search_v", "counters_v", "search_v"),
