@@ -72,3 +72,15 @@ def test_clicks_per_day_category_and_search(spark):
     assert a == {"20171122_1": 3, "20171123_1": 1}
     b = dict(clicks_per_day_search_category(clicks).collect())
     assert b == {"20171122_baidu_1": 2, "20171122_sogou_1": 1, "20171123_baidu_1": 1}
+
+
+def test_half_done_compaction_is_ignored(spark, tmp_root):
+    st = CounterStore(spark, tmp_root, run_id="r1")
+    st.add(_df(spark, SAMPLE), batch_id=0)
+    st.compact()
+    st.add(_df(spark, SAMPLE), batch_id=1)
+    # a compaction that wrote its counters but died before committing
+    _df(spark, [("20171122_1", 999)]).write.parquet(f"{tmp_root}/base/v=7/counters")
+    assert dict(st.read().collect())["20171122_1"] == 600
+    st.compact()  # the next compaction goes above the broken version
+    assert dict(st.read().collect())["20171122_1"] == 600

@@ -114,10 +114,14 @@ class CounterStore:
                  batch_id)
 
     def _base_path(self) -> str | None:
-        versions = [d for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")]
-        if not versions:
-            return None
-        return f"{self.path}/base/{max(versions, key=lambda v: int(v[2:]))}"
+        """Newest *committed* base version: a compaction that died half way
+        has no commit marker and is ignored."""
+        versions = sorted((int(d[2:]) for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")),
+                          reverse=True)
+        for v in versions:
+            if exists(self.spark, f"{self.path}/base/v={v}/_committed"):
+                return f"{self.path}/base/v={v}"
+        return None
 
     def _deltas(self) -> DataFrame | None:
         if not exists(self.spark, self.deltas_path):
@@ -153,8 +157,8 @@ class CounterStore:
         """Fold base + all deltas into base version v+1 (written, then
         switched to by being the highest version; nothing is rewritten in
         place, so readers of the old version are never broken)."""
-        cur = self._base_path()
-        nxt = 0 if cur is None else int(cur.rsplit("=", 1)[1]) + 1
+        versions = [int(d[2:]) for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")]
+        nxt = max(versions) + 1 if versions else 0
         target = f"{self.path}/base/v={nxt}"
         covered = []
         if exists(self.spark, self.deltas_path):
@@ -167,4 +171,7 @@ class CounterStore:
         else:
             self.spark.createDataFrame([], "run_id string, batch_id bigint").write.mode("overwrite") \
                 .parquet(f"{target}/_covered")
+        # written last: only now does this version become the base
+        self.spark.createDataFrame([(nxt,)], "v int").coalesce(1).write.mode("overwrite") \
+            .parquet(f"{target}/_committed")
         return target
