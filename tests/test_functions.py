@@ -84,3 +84,8 @@ def test_decode_malformed_raises(spark, bad):
     df = spark.createDataFrame([(bad,)], "offsets string")
     with pytest.raises(Exception):
         decode_offsets(df).collect()
+
+
+def test_random_code_no_collisions(spark):
+    df = spark.range(200_000).select(random_code(10, seed=3).alias("c"))
+    assert df.distinct().count() == 200_000

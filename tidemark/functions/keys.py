@@ -40,16 +40,14 @@ def random_code(length: int, alphabet: str = "ALL_CHAR", seed: int | None = None
     chars = ALPHABETS.get(alphabet, alphabet)
     if length <= 0:
         return F.lit("")
+    # one uniform draw per row (53 random bits), mixed with the position
     r = F.rand(seed) if seed is not None else F.rand()
-    # rand() inside the lambda is evaluated per element; seed it per row via
-    # a per-row base so results vary by position and by row.
-    base = F.floor(r * F.lit(2 ** 31)).cast("bigint")
     alpha = F.lit(chars)
     n = len(chars)
 
     def pick(i):
         # xxhash64 of (row draw, position) -> uniform index in [0, n)
-        h = F.xxhash64(base, i)
+        h = F.xxhash64(r, i)
         return F.substring(alpha, (F.pmod(h, F.lit(n)) + 1).cast("int"), 1)
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.lit(length)), pick), "")

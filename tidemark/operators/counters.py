@@ -155,8 +155,8 @@ class CounterStore:
 
     def compact(self) -> str:
         """Fold base + all deltas into base version v+1 (written, then
-        switched to by being the highest version; nothing is rewritten in
-        place, so readers of the old version are never broken)."""
+        switched to by being the highest committed version; nothing is
+        rewritten in place, so readers of the old version are never broken)."""
         versions = [int(d[2:]) for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")]
         nxt = max(versions) + 1 if versions else 0
         target = f"{self.path}/base/v={nxt}"
