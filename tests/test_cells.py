@@ -122,3 +122,8 @@ def test_bucketed_cell_table_no_shuffle(spark, tmp_root):
     # reopening the same folder (e.g. a new session) sees the same table
     t2 = BucketedCellTable(spark, tmp_root, buckets=4)
     assert t2.scan().count() == 3
+    # the same files read without the bucket spec give the same table
+    plain = t2.scan(use_buckets=False)
+    assert "WindowGroupLimit" in plain._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, plain.select("rowkey", "qualifier").collect())) == \
+        sorted(map(tuple, t2.scan().select("rowkey", "qualifier").collect()))

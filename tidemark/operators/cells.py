@@ -260,17 +260,26 @@ class BucketedCellTable:
          .write.mode("append").insertInto(self.deletes_table))
         return op
 
-    def raw(self, as_of: int | None = None) -> DataFrame:
-        cells = self.spark.table(self.puts_table)
-        dels = self.spark.table(self.deletes_table)
+    def raw(self, as_of: int | None = None, use_buckets: bool = True) -> DataFrame:
+        """``use_buckets=False`` reads the same files without the bucket spec:
+        for a table where one row holds a large share of all cells, one
+        bucket would be one task; read plainly, the newest-version step gets
+        its map-side partial limit and AQE can split skewed partitions."""
+        if use_buckets:
+            cells, dels = self.spark.table(self.puts_table), self.spark.table(self.deletes_table)
+        else:
+            cells = self.spark.read.schema(schemas.CELLS_STORED).parquet(f"{self.path}/puts")
+            dels = self.spark.read.schema("rowkey string, op int").parquet(f"{self.path}/deletes") \
+                if exists(self.spark, f"{self.path}/deletes") else \
+                self.spark.createDataFrame([], "rowkey string, op int")
         if as_of is not None:
             cells, dels = cells.filter(F.col("op") <= as_of), dels.filter(F.col("op") <= as_of)
         dels = dels.groupBy("rowkey").agg(F.max("op").alias("_del_op"))
         return (cells.join(dels, "rowkey", "left")
                 .filter(F.col("_del_op").isNull() | (F.col("op") > F.col("_del_op"))).drop("_del_op"))
 
-    def scan(self, as_of: int | None = None) -> DataFrame:
-        return latest_cells(self.raw(as_of).drop("op"))
+    def scan(self, as_of: int | None = None, use_buckets: bool = True) -> DataFrame:
+        return latest_cells(self.raw(as_of, use_buckets).drop("op"))
 
 
 def write_sorted(cells: DataFrame, path: str) -> None:
