@@ -77,3 +77,37 @@ def test_resume_subscribe_and_assign(spark):
     assert resume_subscribe(rec, stored, default_start="latest").count() == 3
     asg = resume_assign(rec, stored)
     assert sorted((r.partition, r.offset) for r in asg.collect()) == [(0, 7), (0, 8), (0, 9)]
+
+
+def test_offset_paths_roundtrip(spark):
+    from tidemark.operators.offsets import offset_paths, offsets_from_paths
+    latest = spark.createDataFrame([("g", "t", 0, 12), ("g", "t", 3, 900)],
+                                   "group_id string, topic string, partition int, offset bigint")
+    paths = offset_paths(latest)
+    assert sorted(tuple(r) for r in paths.collect()) == [("/kafka/offsets/g/t/0", "12"),
+                                                        ("/kafka/offsets/g/t/3", "900")]
+    back = sorted(tuple(r) for r in offsets_from_paths(paths).collect())
+    assert back == [("g", "t", 0, 12), ("g", "t", 3, 900)]
+    bad = spark.createDataFrame([("/kafka/offsets/g/t/x", "1")], "path string, data string")
+    import pytest
+    with pytest.raises(Exception):
+        offsets_from_paths(bad).collect()
+
+
+def test_sql_offset_table_mapping(spark):
+    from tidemark.operators.offsets import from_sql_offset_table
+    sql_rows = spark.createDataFrame([("t", "g", 0, 5, 9), ("t", "g", 1, 0, 3), ("t", "other", 0, 0, 1)],
+                                     "topic string, groupid string, partitions int, fromoffset bigint, "
+                                     "untiloffset bigint")
+    got = sorted((r.partition, r.offset) for r in latest_offsets(from_sql_offset_table(sql_rows), "g").collect())
+    assert got == [(0, 9), (1, 3)]
+
+
+def test_default_start_names():
+    import pytest
+
+    from tidemark.sources.topic import default_start
+    assert default_start("smallest") == "earliest" and default_start("largest") == "latest"
+    assert default_start(" Earliest ") == "earliest"
+    with pytest.raises(ValueError):
+        default_start("none")

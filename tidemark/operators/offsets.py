@@ -142,6 +142,21 @@ def offset_paths(latest: DataFrame, root: str = OFFSET_PATH_ROOT) -> DataFrame:
         F.col("offset").cast("string").alias("data"))
 
 
+def offsets_from_paths(entries: DataFrame, root: str = OFFSET_PATH_ROOT) -> DataFrame:
+    """Inverse of :func:`offset_paths`: (path, data) entries of a path store
+    back to (group_id, topic, partition, offset). Entries outside ``root`` or
+    with a non-numeric value raise."""
+    parts = F.split(F.substring(F.col("path"), len(root) + 2, 1 << 20), "/")
+    ok = (F.col("path").startswith(root + "/") & (F.size(parts) == 3) & parts[2].rlike(r"^[0-9]+$")
+          & F.trim(F.col("data")).rlike(r"^-?[0-9]+$"))
+    bad = F.raise_error(F.lit("malformed offset path entry"))
+    return entries.select(
+        F.when(ok, parts[0]).otherwise(bad).alias("group_id"),
+        F.when(ok, parts[1]).otherwise(bad).alias("topic"),
+        F.when(ok, parts[2].cast("int")).otherwise(bad).alias("partition"),
+        F.when(ok, F.trim(F.col("data")).cast("bigint")).otherwise(bad).alias("offset"))
+
+
 def from_sql_offset_table(df: DataFrame) -> DataFrame:
     """D5: rows of a SQL offset table ``(topic, groupid, partitions,
     fromoffset, untiloffset)`` - e.g. read with ``spark.read.jdbc`` - in the

@@ -45,6 +45,19 @@ def topic_log(spark: SparkSession, sf_dir: str, topic: str = DEFAULT_TOPIC,
     )
 
 
+# The old consumer's reset names and the source's names.
+RESET_NAMES = {"smallest": "earliest", "largest": "latest", "earliest": "earliest", "latest": "latest"}
+
+
+def default_start(auto_offset_reset: str) -> str:
+    """``auto.offset.reset`` (old ``smallest``/``largest`` or new names) ->
+    the source's default start."""
+    try:
+        return RESET_NAMES[auto_offset_reset.strip().lower()]
+    except KeyError:
+        raise ValueError(f"unknown auto.offset.reset value {auto_offset_reset!r}") from None
+
+
 def select_topics(df: DataFrame, topics: str | list[str]) -> DataFrame:
     """SRC-4: the ``kafka.topics`` setting is a comma list."""
     names = [t.strip() for t in topics.split(",")] if isinstance(topics, str) else list(topics)
