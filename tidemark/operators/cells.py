@@ -283,6 +283,10 @@ class BucketedCellTable:
 
 
 def write_sorted(cells: DataFrame, path: str) -> None:
-    (cells.repartitionByRange("rowkey")
+    """Files range-partitioned and sorted by key. The range bounds include
+    the cell columns and ``seq``, so a row holding a large share of all
+    cells spans several files instead of one task; key order across files
+    is kept."""
+    (cells.repartitionByRange("rowkey", "cf", "qualifier", "seq")
      .sortWithinPartitions("rowkey", "cf", "qualifier", F.col("ts").desc(), F.col("seq").desc())
      .write.mode("overwrite").parquet(path))

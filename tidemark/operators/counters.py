@@ -104,7 +104,9 @@ class CounterStore:
                 F.sum(amount).cast("bigint").alias("delta"))
         (agg.withColumn("run_id", F.lit(self.run_id))
          .select("rowkey", "delta", "run_id", "batch_id")
-         .repartition("run_id", "batch_id")  # one writer task per batch partition
+         # AQE rebalance: rows of a batch go to the same writers where they
+         # fit, an oversized batch is split over several, small ones merged
+         .hint("rebalance", "run_id", "batch_id")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id", "batch_id").parquet(self.deltas_path))
 

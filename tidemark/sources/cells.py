@@ -39,6 +39,7 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
 def write_cells(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
     """Store a cell table range-partitioned and sorted by key: key lookups
     and range scans then read only the row groups whose min/max cover the key."""
-    out = df.repartitionByRange(files, "rowkey") if files else df.repartitionByRange("rowkey")
+    order = ["rowkey", "cf", "qualifier", "seq"]  # a hot row still spans several files
+    out = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
     out.sortWithinPartitions("rowkey", "cf", "qualifier", F.col("ts").desc(), F.col("seq").desc()) \
         .write.mode(mode).parquet(path)
