@@ -36,6 +36,8 @@ def offset_ranges(records: DataFrame, by: list[str] | None = None,
     )
     if previous is None:
         return ranges
+    if by:
+        raise ValueError("previous positions apply to a single batch (no 'by' grouping)")
     prev = F.broadcast(previous.select(*TP, F.col("offset").alias("_prev")))
     idle = prev.join(ranges.select(*TP), TP, "left_anti").select(
         *TP, F.col("_prev").alias("from_offset"), F.col("_prev").alias("until_offset"),

@@ -128,10 +128,11 @@ def stable_run_id(spark: SparkSession, store_root: str, checkpoint: str) -> str:
 class TopicJob:
     """A resumable topic consumer.
 
-    ``start()`` picks the start (STR-3): with offsets stored for the group,
-    the stream is cut to ``offset >= stored`` per partition (Subscribe: other
-    partitions from the beginning; Assign: only stored partitions); without,
-    it reads from the beginning (SRC-1)."""
+    ``start()`` picks the start (STR-3): an existing checkpoint drives the
+    query; for a new checkpoint with offsets stored for the group, the stream
+    is cut to ``offset >= stored`` per partition (Subscribe: other partitions
+    from the beginning; Assign: only stored partitions); with neither, it
+    reads from the beginning (SRC-1)."""
 
     def __init__(self, spark: SparkSession, topic_path: str, state_root: str, group_id: str,
                  topics: list[str], sinks: list[BatchSink], commit: str = "after",
@@ -187,6 +188,8 @@ class TopicJob:
             raw = self.spark.readStream.format("kafka").options(**self.kafka_options()).load()
             return kafka_records(raw)
         df = topic_stream(self.spark, self.topic_path, self.topics, self.max_files)
+        if exists(self.spark, f"{self.checkpoint.rstrip('/')}/metadata"):
+            return df  # an existing checkpoint drives the query
         stored = self.log.latest(self.group_id, self.topics, self.commit)
         if stored.isEmpty():
             return df
