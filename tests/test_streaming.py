@@ -182,3 +182,17 @@ def test_stream_with_compaction(spark, tmp_root):
     assert len(job.batches_seen) >= 2
     assert list_dirs(spark, f"{tmp_root}/state/counters/base")
     assert dict(store.read().collect()) == _expected(spark)
+
+
+def test_kafka_records_mapping(spark):
+    import datetime
+
+    from tidemark.sources.topic import kafka_records
+    raw = spark.createDataFrame(
+        [(bytearray(b"7"), bytearray(b'{"k": 3}'), "events", 2, 41, datetime.datetime(2024, 1, 5, 10, 0, 0), 0)],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, "
+        "timestampType int")
+    r = kafka_records(raw).first()
+    assert (r.topic, r.partition, r.offset, r.key, r.value) == ("events", 2, 41, "7", '{"k": 3}')
+    assert kafka_records(raw).schema["timestamp"].dataType.typeName() == "timestamp_ntz"
+    assert dict(day_category_counts(kafka_records(raw)).collect()) == {"20240105_3": 1}
