@@ -365,7 +365,7 @@ def q_stream_resume(spark, sf):
 
 def q_stream_marker_stop(spark, sf):
     job, store, root = _stream_job(spark, sf, bursts=1)
-    q = job.start(interval="1 second")
+    q = job.start(interval="500 milliseconds")
     marker = f"{root}/stop.marker"
     import threading
 
@@ -374,7 +374,7 @@ def q_stream_marker_stop(spark, sf):
         spark.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(marker)
     t = threading.Thread(target=drop_marker)
     t.start()
-    S.stop_on_marker(q, spark, marker, poll_s=1.0, grace_s=0.5, drain_timeout_s=60, max_wait_s=600)
+    S.stop_on_marker(q, spark, marker, poll_s=0.5, grace_s=0.2, drain_timeout_s=60, max_wait_s=600)
     t.join()
     return job.log.read().agg(F.sum("record_count").cast("bigint").alias("records"))
 
