@@ -79,3 +79,50 @@ def test_row_number_reference(spark):
     df = spark.createDataFrame([("b",), ("a",)], "rowkey string")
     r = df.withColumn("rn", F.row_number().over(Window.orderBy("rowkey"))).orderBy("rn").collect()
     assert [x.rowkey for x in r] == ["a", "b"]
+
+
+topic_rows = st.lists(st.tuples(st.integers(0, 4), st.integers(0, 60)), min_size=0, max_size=150, unique=True)
+stored_map = st.dictionaries(st.integers(0, 5), st.integers(0, 70), max_size=6)
+
+
+@SETTINGS
+@given(topic_rows, stored_map)
+def test_resume_matches_brute_force(spark, recs, stored):
+    from tidemark.operators.offsets import resume_assign, resume_subscribe
+    rec = spark.createDataFrame([("t", p, o) for p, o in recs], "topic string, partition int, offset bigint")
+    st_df = spark.createDataFrame([("t", p, o) for p, o in stored.items()],
+                                  "topic string, partition int, offset bigint")
+    sub = sorted((r.partition, r.offset) for r in resume_subscribe(rec, st_df).collect())
+    assert sub == sorted((p, o) for p, o in recs if p not in stored or o >= stored[p])
+    asg = sorted((r.partition, r.offset) for r in resume_assign(rec, st_df).collect())
+    assert asg == sorted((p, o) for p, o in recs if p in stored and o >= stored[p])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9), st.integers(0, 10 ** 6)), min_size=1, max_size=120))
+def test_latest_offsets_match_brute_force(spark, writes):
+    from tidemark.operators.offsets import latest_offsets
+    # one log row per (partition, batch): the newest batch's until wins
+    log = {}
+    for p, b, u in writes:
+        log[(p, b)] = u
+    df = spark.createDataFrame([("g", "t", p, u, b) for (p, b), u in log.items()],
+                               "group_id string, topic string, partition int, until_offset bigint, batch_id bigint")
+    got = {r.partition: r.offset for r in latest_offsets(df, "g").collect()}
+    exp = {}
+    for (p, b), u in sorted(log.items()):
+        exp[p] = u  # sorted by batch within partition: the last one stays
+    assert got == exp
+
+
+@SETTINGS
+@given(topic_rows)
+def test_offset_ranges_match_brute_force(spark, recs):
+    from tidemark.operators.offsets import offset_ranges
+    rec = spark.createDataFrame([("t", p, o) for p, o in recs], "topic string, partition int, offset bigint")
+    got = {r.partition: (r.from_offset, r.until_offset, r.record_count) for r in offset_ranges(rec).collect()}
+    exp = {}
+    for p in {p for p, _ in recs}:
+        offs = [o for q, o in recs if q == p]
+        exp[p] = (min(offs), max(offs) + 1, len(offs))
+    assert got == exp
