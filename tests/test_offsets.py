@@ -111,3 +111,29 @@ def test_default_start_names():
     assert default_start(" Earliest ") == "earliest"
     with pytest.raises(ValueError):
         default_start("none")
+
+
+def test_positions_predicate_pushed_and_equal(spark, tmp_root):
+    import tidemark.operators.offsets as O
+    rec = spark.createDataFrame([("t", p, o) for p in range(4) for o in range(200)], REC)
+    rec.repartitionByRange(8, "partition", "offset").sortWithinPartitions("partition", "offset") \
+        .write.parquet(f"{tmp_root}/topic")
+    files = spark.read.parquet(f"{tmp_root}/topic")
+    pos = [("t", 0, 150), ("t", 2, 10)]
+    stored = spark.createDataFrame(pos, REC)
+    for assign in (False, True):
+        a = O.resume_from_positions(files, pos, assign=assign)
+        b = resume_assign(files, stored) if assign else resume_subscribe(files, stored)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(offset,150)" in plan  # reaches the parquet scan
+    # above the limit the join is used, same rows
+    old = O.POSITION_PREDICATE_LIMIT
+    O.POSITION_PREDICATE_LIMIT = 1
+    try:
+        c = O.resume_from_positions(files, pos)
+        assert c.count() == 50 + 200 + 190 + 200
+    finally:
+        O.POSITION_PREDICATE_LIMIT = old
+    assert O.resume_from_positions(files, [], assign=True).count() == 0
+    assert O.resume_from_positions(files, []).count() == 800

@@ -94,6 +94,48 @@ def clamp_to_earliest(stored: DataFrame, earliest: DataFrame) -> DataFrame:
                     F.greatest(F.col("offset"), F.coalesce(F.col("earliest"), F.col("offset"))).alias("offset")))
 
 
+POSITION_PREDICATE_LIMIT = 512  # stored partitions up to which a literal predicate is built
+
+
+def positions_predicate(positions: list[tuple[str, int, int]], assign: bool = False):
+    """The stored positions as one plain predicate: ``(topic, partition) =
+    (t, p) AND offset >= s`` per stored partition, OR-ed; in Subscribe mode
+    partitions without a stored position pass whole. Unlike a join it is
+    pushed into the parquet scan, so row groups below the stored offsets are
+    skipped. Returns None above :data:`POSITION_PREDICATE_LIMIT` partitions."""
+    if len(positions) > POSITION_PREDICATE_LIMIT:
+        return None
+    if not positions:
+        return F.lit(not assign)
+    terms = [(F.col("topic") == t) & (F.col("partition") == int(p)) & (F.col("offset") >= int(o))
+             for t, p, o in positions]
+    cond = terms[0]
+    for c in terms[1:]:
+        cond = cond | c
+    if not assign:
+        by_topic: dict[str, list[int]] = {}
+        for t, p, _ in positions:
+            by_topic.setdefault(t, []).append(int(p))
+        unstored = None
+        for t, ps in by_topic.items():
+            c = (F.col("topic") == t) & ~F.col("partition").isin(ps)
+            unstored = c if unstored is None else unstored | c
+        cond = cond | unstored | ~F.col("topic").isin(list(by_topic))
+    return cond
+
+
+def resume_from_positions(records: DataFrame, positions: list[tuple[str, int, int]],
+                          assign: bool = False) -> DataFrame:
+    """SRC-2 / SRC-3 with driver-side positions (one per topic partition):
+    a pushed-down filter when the partition count allows, else the join."""
+    pred = positions_predicate(positions, assign)
+    if pred is not None:
+        return records.filter(pred)
+    stored = records.sparkSession.createDataFrame(
+        [(t, int(p), int(o)) for t, p, o in positions], "topic string, partition int, offset bigint")
+    return resume_assign(records, stored) if assign else resume_subscribe(records, stored)
+
+
 def resume_subscribe(records: DataFrame, stored: DataFrame, default_start: str = "earliest") -> DataFrame:
     """SRC-2: read a bounded topic from stored offsets in Subscribe mode.
     Partitions missing from ``stored`` start at the default position

@@ -140,6 +140,14 @@ def q_resume_subscribe(spark, sf):
     return _records(O.resume_subscribe(V.topic(spark, sf), stored))
 
 
+def q_resume_pushdown(spark, sf):
+    """Same resume as ``resume_subscribe``, with the stored positions (one
+    per topic partition) applied as a filter that reaches the scan."""
+    stored = _stored_at_stop(spark, sf).filter(F.col("partition").isin(list(STORED_PARTITIONS)))
+    positions = [(r.topic, r.partition, r.offset) for r in stored.collect()]
+    return _records(O.resume_from_positions(V.topic(spark, sf), positions))
+
+
 def q_resume_assign(spark, sf):
     stored = _stored_at_stop(spark, sf).filter(F.col("partition").isin(list(STORED_PARTITIONS)))
     return _records(O.resume_assign(V.topic(spark, sf), stored))
@@ -397,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "offset_paths": q_offset_paths,
     "offset_commit_before": q_offset_commit_before,
     "resume_subscribe": q_resume_subscribe,
+    "resume_pushdown": q_resume_pushdown,
     "resume_assign": q_resume_assign,
     "topic_values": q_topic_values,
     "topic_generate": q_topic_generate,
@@ -499,6 +508,7 @@ ORACLE: dict[str, str] = {
         f"{_REC} topic_v t WHERE NOT EXISTS (SELECT 1 FROM ({_LATEST_AT_STOP}) p WHERE p.\"partition\" IN "
         f"{tuple(STORED_PARTITIONS)} AND p.topic = t.topic AND p.\"partition\" = t.\"partition\" "
         "AND t.\"offset\" < p.\"offset\")", "log_v"),
+    "resume_pushdown": None,  # filled below: same rows as resume_subscribe
     "resume_assign": with_views(
         f"SELECT t.topic, t.\"partition\", t.\"offset\", t.\"key\", t.\"value\" FROM topic_v t JOIN "
         f"({_LATEST_AT_STOP}) p ON p.topic = t.topic AND p.\"partition\" = t.\"partition\" WHERE p.\"partition\" IN "
@@ -583,3 +593,5 @@ ORACLE: dict[str, str] = {
     "stream_resume": V.SQL_COUNTERS,
     "stream_marker_stop": "SELECT count(*) AS records FROM events",
 }
+
+ORACLE["resume_pushdown"] = ORACLE["resume_subscribe"]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.keys import counter_key, day_of
 from tidemark.operators.counters import CounterStore
-from tidemark.operators.offsets import OffsetLog, offset_ranges, resume_assign, resume_subscribe
+from tidemark.operators.offsets import OffsetLog, offset_ranges, resume_from_positions
 from tidemark.session import exists
 from tidemark.sources.common import wall_time
 from tidemark.sources.topic import kafka_reader_options, kafka_records
@@ -190,12 +190,13 @@ class TopicJob:
         df = topic_stream(self.spark, self.topic_path, self.topics, self.max_files)
         if exists(self.spark, f"{self.checkpoint.rstrip('/')}/metadata"):
             return df  # an existing checkpoint drives the query
-        stored = self.log.latest(self.group_id, self.topics, self.commit)
-        if stored.isEmpty():
+        # one row per topic partition: collected, then applied as a filter
+        # that reaches the file scan
+        stored = [(r.topic, r.partition, r.offset)
+                  for r in self.log.latest(self.group_id, self.topics, self.commit).collect()]
+        if not stored:
             return df
-        if self.mode == "assign":
-            return resume_assign(df, stored)
-        return resume_subscribe(df, stored)
+        return resume_from_positions(df, stored, assign=self.mode == "assign")
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
