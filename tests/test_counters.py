@@ -84,3 +84,14 @@ def test_half_done_compaction_is_ignored(spark, tmp_root):
     assert dict(st.read().collect())["20171122_1"] == 600
     st.compact()  # the next compaction goes above the broken version
     assert dict(st.read().collect())["20171122_1"] == 600
+
+
+def test_counter_get_pushes_key_filter(spark, tmp_root):
+    st = CounterStore(spark, tmp_root, run_id="r1")
+    st.add(_df(spark, SAMPLE), batch_id=0)
+    st.compact()
+    st.add(_df(spark, SAMPLE), batch_id=1)
+    got = st.get(["20171122_9"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedFilters: [IsNotNull(rowkey), EqualTo(rowkey,20171122_9)]") == 2  # base and deltas
+    assert [tuple(r) for r in got.select("rowkey", "click_count").collect()] == [("20171122_9", 120)]

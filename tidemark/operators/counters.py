@@ -89,6 +89,7 @@ class CounterStore:
             agg = increments.groupBy(key).agg(F.sum(amount).cast("bigint").alias("delta"))
         (agg.withColumnRenamed(key, "rowkey")
          .withColumn("run_id", F.lit(self.run_id)).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+         .sortWithinPartitions("rowkey")  # key-sorted files: lookups skip row groups
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id", "batch_id").parquet(self.deltas_path))
 
@@ -107,6 +108,7 @@ class CounterStore:
          # AQE rebalance: rows of a batch go to the same writers where they
          # fit, an oversized batch is split over several, small ones merged
          .hint("rebalance", "run_id", "batch_id")
+         .sortWithinPartitions("rowkey")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id", "batch_id").parquet(self.deltas_path))
 
@@ -167,7 +169,8 @@ class CounterStore:
             covered.append(self.spark.read.schema(
                 "rowkey string, delta bigint, run_id string, batch_id bigint").parquet(self.deltas_path)
                 .select("run_id", "batch_id").distinct())
-        self.read().repartitionByRange("rowkey").write.mode("overwrite").parquet(f"{target}/counters")
+        self.read().repartitionByRange("rowkey").sortWithinPartitions("rowkey") \
+            .write.mode("overwrite").parquet(f"{target}/counters")
         if covered:
             covered[0].write.mode("overwrite").parquet(f"{target}/_covered")
         else:
