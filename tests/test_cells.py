@@ -79,6 +79,7 @@ def test_cell_table_put_delete_put(spark, tmp_root):
     t = CellTable(spark, tmp_root)
     t.put(make_put(spark, [("a", "info", "x", "1"), ("b", "info", "x", "2")], ts=1000))
     t.put(make_put(spark, [("a", "info", "x", "3")], ts=2000))
+    assert t.last_put_ms is not None and t.last_put_ms >= 0
     assert {r.rowkey: r.v for r in t.scan().select("rowkey", from_utf8("value").alias("v")).collect()} == \
         {"a": "3", "b": "2"}
     t.delete(["a", "nope"])

@@ -17,6 +17,7 @@ def test_pager_25_rows(spark):
     assert sizes == [10, 10, 5] and flags == [True, True, False]
     assert p.page_index == 3 and p.first_row == 21 and p.prev_page == 2 and p.next_page == 4
     assert p.query_total_count == 25 and p.page_end_key == "k024"
+    assert p.page_count() == 3
 
 
 def test_pager_exact_fit(spark):

@@ -163,9 +163,13 @@ class CellTable:
                for d in list_dirs(self.spark, f"{self.path}/{sub}") if d.startswith("op=")]
         return max(ops) + 1 if ops else 0
 
+    last_put_ms: int | None = None  # elapsed time of the last put (the batch put's return value)
+
     def put(self, cells: DataFrame) -> int:
+        t0 = time.time()
         op = self._next_op()
         write_sorted(cells.select(*schemas.CELLS.fieldNames()), f"{self.path}/puts/op={op}")
+        self.last_put_ms = int((time.time() - t0) * 1000)
         return op
 
     def delete(self, keys: list[str] | DataFrame) -> int | None:
@@ -242,12 +246,16 @@ class BucketedCellTable:
 
     # The op id is logged before the data is written: a failed write leaves
     # an id without data (harmless), never data under an id reused later.
+    last_put_ms: int | None = None
+
     def put(self, cells: DataFrame) -> int:
+        t0 = time.time()
         op = self._next_op()
         self._log_op(op, "put")
         (cells.select(*schemas.CELLS.fieldNames()).withColumn("op", F.lit(op))
          .repartition(self.buckets, "rowkey")
          .write.mode("append").insertInto(self.puts_table))
+        self.last_put_ms = int((time.time() - t0) * 1000)
         return op
 
     def delete(self, keys: list[str] | DataFrame) -> int | None:

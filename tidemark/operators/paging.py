@@ -83,6 +83,12 @@ class Pager:
         self.query_total_count += self.last_rows
         return page
 
+    def page_count(self) -> int:
+        """Number of pages over the whole frame (rows, or distinct keys when
+        paging by row): one count, not a fetch."""
+        n = (self.df.select(self.key).distinct() if self.by_row else self.df).count()
+        return -(-n // self.page_size)
+
     @property
     def first_row(self) -> int:
         return (self.page_index - 1) * self.page_size + 1
