@@ -20,6 +20,7 @@ from tidemark.operators.snapshots import SnapshotStore
 from tidemark.plans import views as V
 from tidemark.plans.views import with_views
 from tidemark.session import scratch_dir
+from tidemark.sources.tables import read_table
 from tidemark.sources.topic import select_topics
 from tidemark.streaming import topic_stream as S
 
@@ -158,7 +159,6 @@ def q_topic_values(spark, sf):
 
 
 def q_topic_generate(spark, sf):
-    from tidemark.sources.tables import read_table
     return S.produce_records(spark, read_table(spark, sf, "events"))
 
 
@@ -166,7 +166,7 @@ def q_topic_generate(spark, sf):
 
 def q_cell_put_latest(spark, sf):
     cells = V.cells(spark, sf)
-    n = spark.read.parquet(f"{sf}/events.parquet").select(F.max("event_id")).scalar()
+    n = read_table(spark, sf, "events").select(F.max("event_id")).scalar()
     base = cells.filter(F.col("seq") * 2 <= n)
     puts = cells.filter(F.col("seq") * 2 > n)
     return V.readable(CL.latest_cells(CL.put_cells(base, puts)))
@@ -216,7 +216,7 @@ def q_bucketed_cells(spark, sf):
     """The cell table stored bucketed by row key: two put operations (each
     half of the events), one delete operation, then the visible table."""
     cells = V.cells(spark, sf)
-    n = spark.read.parquet(f"{sf}/events.parquet").select(F.max("event_id")).scalar()
+    n = read_table(spark, sf, "events").select(F.max("event_id")).scalar()
     t = CL.BucketedCellTable(spark, scratch_dir(spark, "cells"), buckets=8)
     t.put(cells.filter(F.col("seq") * 2 <= n))
     t.put(cells.filter(F.col("seq") * 2 > n))
@@ -255,7 +255,7 @@ def q_page_summary(spark, sf):
 # ---- functions -------------------------------------------------------------
 
 def _signed(spark, sf):
-    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id")
+    ev = read_table(spark, sf, "events").select("event_id")
     return ev.select("event_id", ((F.lit(500) - F.col("event_id")) * F.lit(1000003)).alias("n"))
 
 
@@ -277,7 +277,7 @@ def q_region_skew(spark, sf):
 
 
 def q_random_code(spark, sf):
-    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id")
+    ev = read_table(spark, sf, "events").select("event_id")
     return ev.select("event_id", random_code(8, "ALL_CHAR", seed=7).alias("code"))
 
 
@@ -293,7 +293,7 @@ def q_snapshot_table(spark, sf):
     """A zero-copy snapshot of a cell table taken after the first put (the
     first half of the events); later puts and deletes do not change it."""
     cells = V.cells(spark, sf)
-    n = spark.read.parquet(f"{sf}/events.parquet").select(F.max("event_id")).scalar()
+    n = read_table(spark, sf, "events").select(F.max("event_id")).scalar()
     root = scratch_dir(spark, "snaptable")
     t = CL.CellTable(spark, f"{root}/cells")
     store = SnapshotStore(spark, f"{root}/snapshots")
