@@ -134,9 +134,13 @@ class CounterStore:
             "rowkey string, delta bigint, run_id string, batch_id bigint").parquet(self.deltas_path)
         base = self._base_path()
         if base:
-            # batches already folded into the base are skipped by (run_id, batch_id)
-            upto = self.spark.read.parquet(f"{base}/_covered")
-            d = d.join(F.broadcast(upto), ["run_id", "batch_id"], "left_anti")
+            # batches already folded into the base are skipped. Within a run
+            # batch ids only grow (a repeated id is a replay of the same
+            # batch), so coverage is the highest folded batch id per run:
+            # one row per run, a size bound that does not grow with batches.
+            upto = self.spark.read.schema("run_id string, upto bigint").parquet(f"{base}/_covered")
+            d = (d.join(F.broadcast(upto), "run_id", "left")
+                 .filter(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))).drop("upto"))
         return d
 
     def read(self) -> DataFrame:
@@ -168,13 +172,13 @@ class CounterStore:
         if exists(self.spark, self.deltas_path):
             covered.append(self.spark.read.schema(
                 "rowkey string, delta bigint, run_id string, batch_id bigint").parquet(self.deltas_path)
-                .select("run_id", "batch_id").distinct())
+                .groupBy("run_id").agg(F.max("batch_id").alias("upto")))
         self.read().repartitionByRange("rowkey").sortWithinPartitions("rowkey") \
             .write.mode("overwrite").parquet(f"{target}/counters")
         if covered:
             covered[0].write.mode("overwrite").parquet(f"{target}/_covered")
         else:
-            self.spark.createDataFrame([], "run_id string, batch_id bigint").write.mode("overwrite") \
+            self.spark.createDataFrame([], "run_id string, upto bigint").write.mode("overwrite") \
                 .parquet(f"{target}/_covered")
         # written last: only now does this version become the base
         self.spark.createDataFrame([(nxt,)], "v int").coalesce(1).write.mode("overwrite") \
