@@ -128,3 +128,13 @@ def test_bucketed_cell_table_no_shuffle(spark, tmp_root):
     assert "WindowGroupLimit" in plain._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, plain.select("rowkey", "qualifier").collect())) == \
         sorted(map(tuple, t2.scan().select("rowkey", "qualifier").collect()))
+
+
+def test_first_cell_row(spark):
+    from tidemark.operators.cells import first_cell_row
+    cells = _cells(spark, [("b", "info", "x", "1"), ("b", "info", "y", "2"), ("c", "info", "x", "3"),
+                           ("a", "info", "z", "4")])
+    got = first_cell_row(cells, F.col("qualifier") != "z")
+    assert sorted((r.rowkey, r.qualifier) for r in got.collect()) == [("b", "x"), ("b", "y")]
+    assert first_cell_row(cells, F.col("qualifier") == "nope").count() == 0
+    assert [r.rowkey for r in first_cell_row(cells).collect()] == ["a"]

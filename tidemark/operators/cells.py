@@ -141,6 +141,16 @@ def page_rows(cells: DataFrame, size: int, after_key: str | None = None, start_k
     return cells.join(F.broadcast(page), "rowkey", "left_semi")
 
 
+def first_cell_row(cells: DataFrame, predicate: Column | None = None) -> DataFrame:
+    """LKP-4 on a cell table: the first row (in key order) with a visible
+    cell passing the predicate, with all of that row's visible cells that
+    pass it; empty when none does."""
+    visible = latest_cells(cells)
+    if predicate is not None:
+        visible = visible.filter(predicate)
+    return page_rows(visible, 1)
+
+
 def format_cells(cells: DataFrame) -> DataFrame:
     """SNK-10: readable cell dump (family, qualifier, value as text, time)."""
     return cells.select("rowkey", "cf", "qualifier", from_utf8("value").alias("value_text"), "ts",
