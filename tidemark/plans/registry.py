@@ -188,6 +188,11 @@ def q_first_row(spark, sf):
     return CL.first_row(V.counters(spark, sf), F.col("click_count") >= 5)
 
 
+def q_first_cell_row(spark, sf):
+    """The first row (key order) with a non-error cell, with those cells."""
+    return V.readable(CL.first_cell_row(V.cells(spark, sf), F.col("qualifier") != "error"))
+
+
 def q_range_scan(spark, sf):
     return CL.range_scan(V.counters(spark, sf), "20240105", "20240106")
 
@@ -414,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "get_row": q_get_row,
     "get_rows": q_get_rows,
     "first_row": q_first_row,
+    "first_cell_row": q_first_cell_row,
     "range_scan": q_range_scan,
     "filter_scan": q_filter_scan,
     "cell_versions": q_cell_versions,
@@ -527,6 +533,9 @@ ORACLE: dict[str, str] = {
         "latest_v"),
     "first_row": with_views(
         "SELECT rowkey, click_count FROM counters_v WHERE click_count >= 5 ORDER BY rowkey LIMIT 1", "counters_v"),
+    "first_cell_row": with_views(
+        "SELECT * FROM latest_v WHERE qualifier <> 'error' AND rowkey = (SELECT min(rowkey) FROM latest_v "
+        "WHERE qualifier <> 'error')", "latest_v"),
     "range_scan": with_views(
         "SELECT rowkey, click_count FROM counters_v WHERE rowkey >= '20240105' AND rowkey < '20240106'",
         "counters_v"),
