@@ -28,7 +28,9 @@ def build_session(master: str = "local[8]", app: str = "tidemark",
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         # reliable checkpoints (paging) are removed once unreferenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -51,6 +53,8 @@ def scale_conf(shuffled_bytes: int, total_cores: int, partition_bytes: int = 256
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.files.maxPartitionBytes": size,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * (partition_bytes >> 20)}m",
+        # startup setting (spark-submit --conf): drop unreferenced checkpoints
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
