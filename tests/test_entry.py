@@ -24,3 +24,13 @@ def test_scale_conf():
     assert c["spark.sql.shuffle.partitions"] == "100000"
     assert scale_conf(1 << 30, 8000)["spark.sql.shuffle.partitions"] == "16000"
     assert c["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_shared_root_is_stable(spark):
+    from tidemark.session import checkpoint_root, scratch_dir, shared_root
+    base = shared_root(spark)
+    assert checkpoint_root(spark).startswith(base + "/")
+    assert scratch_dir(spark, "x").startswith(checkpoint_root(spark) + "/")
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if conf:
+        assert base == conf.rstrip("/")

@@ -83,8 +83,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The configured shared folder itself (``spark.checkpoint.dir``),
+    without the per-application sub-folder Spark adds for checkpoints. State
+    that must outlive the application - offset log, counters, cell tables,
+    snapshots, stream checkpoints - goes here; a restarted application then
+    finds it again."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if conf:
+        return conf.rstrip("/")
+    d = checkpoint_root(spark)  # registered by us (local tests): its parent
+    return d.rsplit("/", 1)[0]
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """A fresh, unique folder for query-time state under this application's
+    checkpoint folder (not meant to outlive the application)."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
