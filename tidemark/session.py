@@ -89,11 +89,9 @@ def shared_root(spark: SparkSession) -> str:
     that must outlive the application - offset log, counters, cell tables,
     snapshots, stream checkpoints - goes here; a restarted application then
     finds it again."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf:
-        return conf.rstrip("/")
-    d = checkpoint_root(spark)  # registered by us (local tests): its parent
-    return d.rsplit("/", 1)[0]
+    # Spark puts its per-application folder directly under the configured
+    # one; the parent is the configured folder, fully qualified
+    return checkpoint_root(spark).rsplit("/", 1)[0]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
