@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import (ALPHABETS, bytes_to_long, counter_key, decode_offsets, encode_offsets,
                                 from_utf8, long_to_bytes, long_to_hex, random_code, region_of, salted_key,
-                                to_utf8)
+                                to_utf8, unsalt)
 
 MIN_LONG = -(2 ** 63)
 MAX_LONG = 2 ** 63 - 1
@@ -42,6 +42,7 @@ def test_salted_key_deterministic_and_spread(spark):
     a = df.select(salted_key("k").alias("s"))
     b = df.select(salted_key("k").alias("s"))
     assert a.exceptAll(b).count() == 0
+    assert df.select(unsalt(salted_key("k")).alias("k")).exceptAll(df).count() == 0
     prefixes = {r[0] for r in a.select(F.substring("s", 1, 1)).distinct().collect()}
     assert prefixes == set(ALPHABETS["HBASE_CHAR"])
     per = a.groupBy(region_of("s").alias("r")).count().collect()

@@ -65,6 +65,12 @@ def salted_key(key) -> Column:
     return F.concat(salt_prefix(key), F.lit("_"), col_of(key))
 
 
+def unsalt(salted) -> Column:
+    """The original key of a :func:`salted_key` (everything after the
+    one-character prefix and its ``_``)."""
+    return F.substring(col_of(salted), 3, 1 << 30)
+
+
 def region_of(key, split_keys: list[str] | None = None) -> Column:
     """FN-6: index of the region holding ``key`` on a table pre-split at
     ``split_keys`` (sorted): the number of split keys <= key, so region 0
