@@ -45,3 +45,15 @@ def test_table_snapshot_without_copy(spark, tmp_root):
         assert view(t.scan()) == {("a", "3")}
         assert list_dirs(spark, f"{root}/snaps/copies") == []  # nothing copied
         assert sorted(r.snapshot_name for r in st.list("").collect()) == ["before"]
+
+
+def test_take_after_drop_same_millisecond(spark, tmp_root, monkeypatch):
+    import tidemark.operators.snapshots as snaps
+    st = SnapshotStore(spark, tmp_root)
+    monkeypatch.setattr(snaps.time, "time", lambda: 1_700_000_000.0)  # frozen clock
+    src = spark.range(3).toDF("x")
+    st.take("s", src)
+    st.drop("s")
+    st.take("s", src.filter("x = 0"))
+    assert st.read("s").count() == 1
+    assert [r.snapshot_name for r in st.list("").collect()] == ["s"]

@@ -42,6 +42,13 @@ class SnapshotStore:
             return self.spark.createDataFrame([], REGISTRY_SCHEMA)
         return self.spark.read.schema(REGISTRY_SCHEMA).parquet(p)
 
+    def _now(self) -> int:
+        """Strictly after every recorded action, so the newest action of a
+        name always wins even within one millisecond."""
+        last = self._registry().agg(F.max("at_ms")).first()[0]
+        now = int(time.time() * 1000)
+        return now if last is None or now > last else last + 1
+
     def _record(self, rows: list[tuple]) -> None:
         full = [tuple(r) + (None,) * (8 - len(r)) for r in rows]
         self.spark.createDataFrame(full, REGISTRY_SCHEMA).coalesce(1) \
@@ -69,7 +76,7 @@ class SnapshotStore:
         self._check_new(name)
         copy_id = uuid.uuid4().hex
         df.write.mode("overwrite").parquet(f"{self.root}/copies/{copy_id}")
-        self._record([(name, copy_id, "take", int(time.time() * 1000))])
+        self._record([(name, copy_id, "take", self._now())])
         return copy_id
 
     def take_table(self, name: str, table) -> int:
@@ -80,7 +87,7 @@ class SnapshotStore:
         op = table.current_op()
         kind = "bucketed" if isinstance(table, BucketedCellTable) else "folders"
         buckets = table.buckets if kind == "bucketed" else None
-        self._record([(name, None, "take", int(time.time() * 1000), table.path, kind, buckets, op)])
+        self._record([(name, None, "take", self._now(), table.path, kind, buckets, op)])
         return op
 
     def read(self, name: str) -> DataFrame:
@@ -110,7 +117,7 @@ class SnapshotStore:
         rx = re.compile(f"^(?:{pattern})$")
         names = [n for n in self._live_records() if rx.match(n)]
         if names:
-            now = int(time.time() * 1000)
+            now = self._now()
             self._record([(n, None, "drop", now) for n in names])
         return names
 
@@ -120,5 +127,5 @@ class SnapshotStore:
             raise ValueError("snapshot name is blank")
         if name not in self._live_records():
             return False
-        self._record([(name, None, "drop", int(time.time() * 1000))])
+        self._record([(name, None, "drop", self._now())])
         return True
