@@ -196,3 +196,18 @@ def test_kafka_records_mapping(spark):
     assert (r.topic, r.partition, r.offset, r.key, r.value) == ("events", 2, 41, "7", '{"k": 3}')
     assert kafka_records(raw).schema["timestamp"].dataType.typeName() == "timestamp_ntz"
     assert dict(day_category_counts(kafka_records(raw)).collect()) == {"20240105_3": 1}
+
+
+def test_new_partition_read_from_start_on_resume(spark, tmp_root):
+    topic = topic_log(spark, SF_SMALL)
+    # the topic had partitions 0..2; partition 3 appears while the consumer is stopped
+    write_file_topic(topic.filter("partition < 3 AND offset < 150"), f"{tmp_root}/topic", bursts=1)
+    job, store = _job(spark, tmp_root, checkpoint=f"{tmp_root}/ck1")
+    job.run_available()
+    assert {r.partition for r in job.log.read().collect()} == {0, 1, 2}
+    write_file_topic(topic.filter("partition = 3 OR offset >= 150"), f"{tmp_root}/topic", bursts=2)
+    job2, store2 = _job(spark, tmp_root, checkpoint=f"{tmp_root}/ck2")
+    job2.run_available()
+    assert dict(store2.read().collect()) == _expected(spark)
+    last = {r.partition: r.offset for r in job2.log.latest("g").collect()}
+    assert last == {0: 250, 1: 250, 2: 250, 3: 250}
