@@ -138,3 +138,27 @@ def test_first_cell_row(spark):
     assert sorted((r.rowkey, r.qualifier) for r in got.collect()) == [("b", "x"), ("b", "y")]
     assert first_cell_row(cells, F.col("qualifier") == "nope").count() == 0
     assert [r.rowkey for r in first_cell_row(cells).collect()] == ["a"]
+
+
+def test_cell_table_compaction(spark, tmp_root):
+    from tidemark.operators.snapshots import SnapshotStore
+    t = CellTable(spark, f"{tmp_root}/t")
+    snaps = SnapshotStore(spark, f"{tmp_root}/s")
+    for i in range(4):
+        t.put(make_put(spark, [("a", "info", "x", f"a{i}"), (f"r{i}", "info", "x", str(i))], ts=1000 + i))
+    t.delete(["r1"])
+    snaps.take_table("before", t)
+    view = lambda df: sorted((r.rowkey, r.v) for r in df.select("rowkey", from_utf8("value").alias("v")).collect())
+    before = view(t.scan())
+    assert t.compact(keep_versions=2) == 4
+    assert view(t.scan()) == before
+    assert t.versions(5).filter("rowkey = 'a'").count() == 2  # versions beyond the kept ones are folded away
+    t.put(make_put(spark, [("a", "info", "x", "new")], ts=5000))
+    t.delete(["r2"])
+    after = view(t.scan())
+    assert ("a", "new") in after and not any(k == "r2" for k, _ in after)
+    assert view(snaps.read("before")) == before
+    # reads as of an operation older than the base use the op folders
+    assert ("a", "a1") in view(t.scan(as_of=1)) and ("r1", "1") in view(t.scan(as_of=1))
+    plan = t.scan()._jdf.queryExecution().optimizedPlan().toString()
+    assert "base/v=4" in plan or "v=4" in str(t.raw().inputFiles())

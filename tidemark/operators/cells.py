@@ -173,6 +173,10 @@ class CellTable:
                for d in list_dirs(self.spark, f"{self.path}/{sub}") if d.startswith("op=")]
         return max(ops) + 1 if ops else 0
 
+    def versions(self, max_versions: int, as_of: int | None = None) -> DataFrame:
+        """LKP-7 on the stored table."""
+        return cell_versions(self.raw(as_of).drop("op"), max_versions)
+
     last_put_ms: int | None = None  # elapsed time of the last put (the batch put's return value)
 
     def put(self, cells: DataFrame) -> int:
@@ -194,6 +198,30 @@ class CellTable:
         """Id of the newest operation (-1 for an empty table)."""
         return self._next_op() - 1
 
+    def _base(self, as_of: int | None) -> int | None:
+        """Newest committed compaction usable for a read as of ``as_of``."""
+        bases = sorted((int(d[2:]) for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")),
+                       reverse=True)
+        for b in bases:
+            if (as_of is None or b <= as_of) and exists(self.spark, f"{self.path}/base/v={b}/_committed"):
+                return b
+        return None
+
+    def compact(self, keep_versions: int = 1) -> int | None:
+        """Fold every operation so far into a base: the visible table with
+        the newest ``keep_versions`` versions per cell, written key-sorted as
+        ``base/v=<op>`` and committed by a marker written last. Later reads
+        start from the base plus newer operations; op folders stay, so reads
+        as of older operations (snapshots) are unchanged."""
+        op = self.current_op()
+        if op < 0:
+            return None
+        kept = cell_versions(self.raw(as_of=op).drop("op"), keep_versions).drop("version")
+        write_sorted(kept, f"{self.path}/base/v={op}/cells")
+        self.spark.createDataFrame([(op,)], "op int").coalesce(1).write.mode("overwrite") \
+            .parquet(f"{self.path}/base/v={op}/_committed")
+        return op
+
     def raw(self, as_of: int | None = None) -> DataFrame:
         """All stored versions still visible after deletes (with ``op``);
         ``as_of`` reads the table as it was after that operation (the op
@@ -201,11 +229,19 @@ class CellTable:
         empty = self.spark.createDataFrame([], schemas.CELLS_STORED)
         cells = (self.spark.read.schema(schemas.CELLS_STORED).parquet(f"{self.path}/puts")
                  if exists(self.spark, f"{self.path}/puts") else empty)
+        base = self._base(as_of)
+        if base is not None:
+            # folded operations come from the base; only newer ones are read
+            cells = cells.filter(F.col("op") > base).unionByName(
+                self.spark.read.schema(schemas.CELLS).parquet(f"{self.path}/base/v={base}/cells")
+                .withColumn("op", F.lit(base)))
         if as_of is not None:
             cells = cells.filter(F.col("op") <= as_of)
         if not exists(self.spark, f"{self.path}/deletes"):
             return cells
         dels = self.spark.read.schema("rowkey string, op int").parquet(f"{self.path}/deletes")
+        if base is not None:
+            dels = dels.filter(F.col("op") > base)  # older deletes are applied in the base
         if as_of is not None:
             dels = dels.filter(F.col("op") <= as_of)
         dels = dels.groupBy("rowkey").agg(F.max("op").alias("_del_op"))
