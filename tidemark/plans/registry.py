@@ -229,6 +229,19 @@ def q_bucketed_cells(spark, sf):
     return V.readable(t.scan())
 
 
+def q_cell_table_compacted(spark, sf):
+    """Folder-layout cell table: two puts, a compaction into a base, then a
+    delete after it; the visible table is read from base + newer ops."""
+    cells = V.cells(spark, sf)
+    n = read_table(spark, sf, "events").select(F.max("event_id")).scalar()
+    t = CL.CellTable(spark, scratch_dir(spark, "cells"))
+    t.put(cells.filter(F.col("seq") * 2 <= n))
+    t.put(cells.filter(F.col("seq") * 2 > n))
+    t.compact(keep_versions=1)
+    t.delete(DELETE_KEYS)
+    return V.readable(t.scan())
+
+
 def q_table_scan(spark, sf):
     return V.readable(CL.latest_cells(V.cells(spark, sf)))
 
@@ -426,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "scan_page": q_scan_page,
     "cell_page_rows": q_cell_page_rows,
     "bucketed_cells": q_bucketed_cells,
+    "cell_table_compacted": q_cell_table_compacted,
     "table_scan": q_table_scan,
     "cell_format": q_cell_format,
     "page_first": q_page_first,
@@ -604,3 +618,4 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["resume_pushdown"] = ORACLE["resume_subscribe"]
+ORACLE["cell_table_compacted"] = ORACLE["bucketed_cells"]
