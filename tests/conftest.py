@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -24,8 +23,3 @@ def tmp_root(spark):
     """A fresh folder under the session's checkpoint root."""
     from tidemark.session import scratch_dir
     return scratch_dir(spark, "test")
-
-
-@pytest.fixture()
-def local_tmp():
-    return tempfile.mkdtemp(prefix="tidemark-test-")
