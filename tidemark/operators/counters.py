@@ -21,6 +21,8 @@ from tidemark.functions.keys import counter_key, day_of
 from tidemark.session import exists, list_dirs
 from tidemark.sources.common import key_list_frame, restrict_to_keys
 
+# Fixed values that must equal the original's: the counter cell's family and
+# qualifier (both counter kinds share them).
 COUNTER_CF = "info"
 COUNTER_QUALIFIER = "click_count"
 

@@ -175,7 +175,8 @@ def range_report(ranges: DataFrame) -> DataFrame:
                                                             F.col("until_offset").cast("string"))).alias("line"))
 
 
-OFFSET_PATH_ROOT = "/kafka/offsets"  # fixed value: root of the per-partition path store
+# Fixed value that must equal the original's: root of the per-partition path store.
+OFFSET_PATH_ROOT = "/kafka/offsets"
 
 
 def offset_paths(latest: DataFrame, root: str = OFFSET_PATH_ROOT) -> DataFrame:

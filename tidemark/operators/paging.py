@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
-DEFAULT_PAGE_SIZE = 100      # page model default
-DEFAULT_PAGE_SIZE_NO_MODEL = 10  # when a scan is called without a page model
+# Fixed values that must equal the original's: the page model's default page
+# size, and the size used when a scan is called without a page model.
+DEFAULT_PAGE_SIZE = 100
+DEFAULT_PAGE_SIZE_NO_MODEL = 10
 
 
 def page_first(df: DataFrame, size: int = DEFAULT_PAGE_SIZE, start_key: str | None = None,

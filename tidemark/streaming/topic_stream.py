@@ -31,6 +31,9 @@ from tidemark.sources.topic import kafka_reader_options, kafka_records
 
 BatchSink = Callable[[DataFrame, int], None]
 
+# Fixed value that must equal the original producer's: the value prefix.
+PRODUCER_VALUE_PREFIX = "hlw:"
+
 
 def write_file_topic(records: DataFrame, path: str, bursts: int = 1, offset_col: str = "offset") -> None:
     """SNK-1: the producer side of the file topic. Records are appended in
@@ -55,7 +58,7 @@ def produce_records(spark: SparkSession, source: DataFrame, ts_col: str = "ts")
     ``1..n``, value = ``"hlw:" + time``, one record per source row."""
     return source.select(
         (F.col("event_id") + 1).cast("string").alias("key"),
-        F.concat(F.lit("hlw:"), wall_time(ts_col)).alias("value"))
+        F.concat(F.lit(PRODUCER_VALUE_PREFIX), wall_time(ts_col)).alias("value"))
 
 
 def topic_stream(spark: SparkSession, path: str, topics: list[str] | None = None,
