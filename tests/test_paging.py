@@ -79,3 +79,11 @@ def test_pager_by_row_over_cells(spark):
     assert [len(x) for x in pages] == [5, 5, 5, 4]
     assert pages[0][0] == "r01" and pages[-1][-1] == "r19"
     assert p.query_total_count == 19 and not p.has_next
+
+
+def test_default_page_sizes(spark):
+    df = _keys(spark, 150)
+    assert page_first(df).count() == 10  # no page model: 10 rows
+    assert page_next(df, "k009").count() == 10
+    p = Pager(df)
+    assert p.next().count() == 100  # page model default

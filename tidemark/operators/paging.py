@@ -28,7 +28,7 @@ DEFAULT_PAGE_SIZE = 100
 DEFAULT_PAGE_SIZE_NO_MODEL = 10
 
 
-def page_first(df: DataFrame, size: int = DEFAULT_PAGE_SIZE, start_key: str | None = None,
+def page_first(df: DataFrame, size: int = DEFAULT_PAGE_SIZE_NO_MODEL, start_key: str | None = None,
                key: str = "rowkey") -> DataFrame:
     """PAG-1: up to ``size`` rows in key order from ``start_key`` (inclusive),
     or from the first row when no start is given."""
@@ -37,7 +37,7 @@ def page_first(df: DataFrame, size: int = DEFAULT_PAGE_SIZE, start_key: str | No
     return df.orderBy(key).limit(size)
 
 
-def page_next(df: DataFrame, last_key, size: int = DEFAULT_PAGE_SIZE, key: str = "rowkey") -> DataFrame:
+def page_next(df: DataFrame, last_key, size: int = DEFAULT_PAGE_SIZE_NO_MODEL, key: str = "rowkey") -> DataFrame:
     """PAG-2: the page after ``last_key`` (a value or a Column such as a
     scalar subquery). Strictly greater: a deleted boundary row cannot make
     the next page skip a live row."""
