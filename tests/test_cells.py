@@ -87,6 +87,10 @@ def test_cell_table_put_delete_put(spark, tmp_root):
     t.put(make_put(spark, [("a", "info", "y", "9")], ts=500))
     got = {(r.rowkey, r.qualifier) for r in t.scan().collect()}
     assert got == {("b", "x"), ("a", "y")}
+    # the sample one-cell put: a counter-like value stored as text
+    t.put_one("20171122_1", "info", "cagegory_click_count", "100")
+    v = get_row(t.scan(), "20171122_1").select(from_utf8("value").alias("v")).first().v
+    assert v == "100"
 
 
 def test_long_key_list_uses_join(spark, monkeypatch):

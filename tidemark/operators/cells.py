@@ -186,6 +186,10 @@ class CellTable:
         self.last_put_ms = int((time.time() - t0) * 1000)
         return op
 
+    def put_one(self, rowkey: str, cf: str, qualifier: str, value: str, ts: int | None = None) -> int:
+        """SNK-5: one cell, value stored as UTF-8 text."""
+        return self.put(make_put(self.spark, [(rowkey, cf, qualifier, value)], ts=ts))
+
     def delete(self, keys: list[str] | DataFrame) -> int | None:
         if isinstance(keys, list) and not keys:
             return None
@@ -304,6 +308,9 @@ class BucketedCellTable:
         self.last_put_ms = int((time.time() - t0) * 1000)
         return op
 
+    def put_one(self, rowkey: str, cf: str, qualifier: str, value: str, ts: int | None = None) -> int:
+        return self.put(make_put(self.spark, [(rowkey, cf, qualifier, value)], ts=ts))
+
     def delete(self, keys: list[str] | DataFrame) -> int | None:
         if isinstance(keys, list) and not keys:
             return None
