@@ -359,11 +359,16 @@ def _stream_job(spark, sf, bursts=4):
     root = scratch_dir(spark, "stream")
     S.write_file_topic(V.topic(spark, sf), f"{root}/topic", bursts=bursts)
     store = C.CounterStore(spark, f"{root}/state/counters")
-    job = S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[], counters=store)
+    # one file per trigger: each producer burst becomes its own micro-batch
+    job = S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[], counters=store,
+                     max_files_per_trigger=1)
     return job, store, root
 
 
 def q_stream_counters(spark, sf):
+    """Stream the topic in micro-batches (SRC-1, STR-1): counter deltas per
+    batch, then the offset log; the counters read back equal the one-shot
+    count."""
     job, store, _ = _stream_job(spark, sf)
     job.run_available()
     return store.read()
