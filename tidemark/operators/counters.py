@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.keys import counter_key, day_of
 from tidemark.session import exists, list_dirs
-from tidemark.sources.common import key_list_frame, restrict_to_keys
+from tidemark.sources.common import LIST_BROADCAST_LIMIT, key_list_frame, restrict_to_keys
 
 # Fixed values that must equal the original's: the counter cell's family and
 # qualifier (both counter kinds share them).
@@ -58,6 +58,10 @@ def lookup_counters(counters: DataFrame, keys: DataFrame | list[str], key: str =
     if isinstance(keys, list):
         kdf = key_list_frame(spark, keys, key)
         found = restrict_to_keys(counters, keys, key).select(key, value)
+        if len(keys) <= LIST_BROADCAST_LIMIT:
+            # proven bound: counters are unique per key and cut to the asked
+            # keys, so this side has at most len(keys) rows
+            found = F.broadcast(found)
     else:
         kdf = keys
         found = counters.join(keys.select(key).distinct(), key, "left_semi").select(key, value)

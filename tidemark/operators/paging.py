@@ -146,7 +146,7 @@ def page_summary(paged: DataFrame, size: int = DEFAULT_PAGE_SIZE, key: str = "ro
     aggregation sees two rows per page, never the table. Every page before
     the last is full, so page sizes and the running total follow from the
     row count alone: no window over pages."""
-    n = paged.agg(F.max("row_num")).scalar()  # total rows, one long
+    n = paged.agg(F.max("row_num")).first()[0] or 0  # total rows: one number
     rn = F.col("row_num")
     edges = paged.filter(((rn - 1) % size == 0) | (rn % size == 0) | (rn == n))
     pages = edges.groupBy("page_index").agg(F.min(key).alias("start_key"), F.max(key).alias("end_key"),
