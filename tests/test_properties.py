@@ -126,3 +126,22 @@ def test_offset_ranges_match_brute_force(spark, recs):
         offs = [o for q, o in recs if q == p]
         exp[p] = (min(offs), max(offs) + 1, len(offs))
     assert got == exp
+
+
+@SETTINGS
+@given(st.sets(st.text("abcdef", min_size=1, max_size=4), min_size=1, max_size=120), st.integers(1, 13),
+       st.integers(1, 6))
+def test_page_summary_matches_brute_force(spark, keys, size, parts):
+    from tidemark.operators.paging import page_summary
+    df = spark.createDataFrame([(k,) for k in keys], "rowkey string")
+    summ = {r.page_index: r for r in page_summary(paginate(df, size, partitions=parts), size).collect()}
+    ordered = sorted(keys)
+    pages = [ordered[i:i + size] for i in range(0, len(ordered), size)]
+    assert sorted(summ) == list(range(1, len(pages) + 1))
+    total = 0
+    for i, pg in enumerate(pages, start=1):
+        r = summ[i]
+        total += len(pg)
+        assert (r.start_key, r.end_key, r.rows, r.total) == (pg[0], pg[-1], len(pg), total)
+        assert r.first_row == (i - 1) * size + 1 and r.prev_page == max(i - 1, 1) and r.next_page == i + 1
+        assert r.has_next == (len(pg) == size) and r.has_next_exact == (i < len(pages))
