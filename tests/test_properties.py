@@ -145,3 +145,23 @@ def test_page_summary_matches_brute_force(spark, keys, size, parts):
         assert (r.start_key, r.end_key, r.rows, r.total) == (pg[0], pg[-1], len(pg), total)
         assert r.first_row == (i - 1) * size + 1 and r.prev_page == max(i - 1, 1) and r.next_page == i + 1
         assert r.has_next == (len(pg) == size) and r.has_next_exact == (i < len(pages))
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(1, 50)), min_size=1, max_size=6),
+                min_size=1, max_size=4),
+       st.lists(st.integers(0, 3), max_size=3), st.booleans())
+def test_counter_store_replays(spark, batches, replays, compact_midway):
+    from tidemark.operators.counters import CounterStore
+    from tidemark.session import scratch_dir
+    st_ = CounterStore(spark, scratch_dir(spark, "prop-counters"), run_id="r")
+    order = list(range(len(batches))) + [r for r in replays if r < len(batches)]
+    for n, b in enumerate(order):
+        st_.add(spark.createDataFrame(batches[b], "rowkey string, click_count bigint"), batch_id=b)
+        if compact_midway and n == len(batches) // 2:
+            st_.compact()
+    exp = {}
+    for rows in batches:
+        for k, v in rows:
+            exp[k] = exp.get(k, 0) + v
+    assert dict(st_.read().collect()) == exp
