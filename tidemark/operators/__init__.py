@@ -1,0 +1 @@
+"""Operators of the inventory: counters, offsets, cells, paging, snapshots."""

@@ -1,0 +1 @@
+"""Structured Streaming jobs: file topic, foreachBatch consumer, marker stop."""
