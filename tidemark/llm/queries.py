@@ -13,10 +13,11 @@ from .common import table
 from .dac import read_documents, write_tokens
 from .decontamination import find_contamination
 from .exact import exact_groups
-from .licenses import scan_licenses
+from .licenses import TEMPLATES, scan_licenses
 from .packing import pack
 from .pii import pseudonymise_documents
 from .simhash import near_groups
+from .substrings import remove_repeats
 from .toxicity import score_toxicity
 from .urls import HostRule, PatternRule, judge_urls
 
@@ -49,6 +50,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise_documents(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("n_bytes")
 
@@ -77,7 +82,93 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_file, op2_url_filter, op3_pii, op5_exact_dedup, op6_license_scan,
+    f.__name__: f for f in (op1_token_file, op2_url_filter, op3_pii, op4_repeated_bytes, op5_exact_dedup, op6_license_scan,
                             op7_toxicity, op8_packing, op9_simhash, op10_decontamination)}
 
-ORACLE: dict[str, str] = {}
+# --- DuckDB equivalents, where SQL can express an operator on whole tables ---
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _fits(rule: HostRule) -> str:
+    return (f"(host = '{rule.host}' OR ends_with(host, '.{rule.host}')) AND starts_with(path, '{rule.path}')")
+
+
+def _matches(rule: PatternRule) -> str:
+    return f"regexp_matches(low, '{rule.pattern.replace('*', '.*')}', 's')"
+
+
+def _op2_sql() -> str:
+    hosts = sorted(HOST_RULES, key=lambda r: -len(r.text))
+    patterns = sorted(PATTERN_RULES, key=lambda r: (-len(r.pattern), r.pattern))
+    case = lambda rules, test, value, end: (
+        "CASE " + " ".join(f"WHEN {test(r)} THEN '{value(r)}'" for r in rules) + f" ELSE {end} END")
+    return f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(url, ''), {_LOWER}) AS low,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {_LOWER}) AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+ruled AS (SELECT *, {case(hosts, _fits, lambda r: r.text, 'NULL')} AS rule,
+                 {case(hosts, _fits, lambda r: r.action, 'NULL')} AS action,
+                 {case(patterns, _matches, lambda r: r.pattern, 'NULL')} AS pattern FROM parts)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN pattern IS NOT NULL THEN 'block' END, 'allow') AS verdict, pattern FROM ruled"""
+
+
+_OP5_SQL = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+FROM n WINDOW same AS (PARTITION BY t)"""
+
+_WORDS = (r"list_filter(regexp_split_to_array(translate(coalesce({0}, ''), " + _LOWER
+          + r"), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+
+
+def _op6_sql() -> str:
+    """Every place of every key phrase, by looking at all places."""
+    listed = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    starts = lambda t: (f"list_filter(range(0, greatest(len(w) - {len(t.key) - 1}, 0)), "
+                        f"lambda i: w[i + 1:i + {len(t.key)}] = {listed(t.key)})")
+    places = ", ".join(f"{starts(t)} AS v{k}" for k, t in enumerate(TEMPLATES))
+    base = " || ".join(f"v{k}" for k, t in enumerate(TEMPLATES) if t.base)
+    labels = lambda some: ("array_to_string(list_sort(list_distinct(list_filter([" + ", ".join(
+        f"CASE WHEN len(v{k}) > 0 THEN '{t.label}' END" for k, t in some) + "], lambda x: x IS NOT NULL))), ',')")
+    shares = []
+    for k, t in enumerate(TEMPLATES):
+        here = " + ".join(f"CASE WHEN s + {j - t.key_at} >= 0 AND w[s + {j - t.key_at + 1}] = '{x}' THEN 1 ELSE 0 END"
+                          for j, x in enumerate(t.words))
+        shares.append(f"coalesce(list_max(list_transform(v{k}, lambda s: {here})) / {len(t.words)}::DOUBLE, 0)")
+    pairs = list(enumerate(TEMPLATES))
+    return f"""
+WITH words AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+found AS (SELECT *, {places} FROM words),
+based AS (SELECT *, {base} AS b FROM found)
+SELECT doc_id, len(w) AS n_words, len(b) AS n_base, list_min(b) AS first_word, list_max(b) AS last_word,
+       {labels([p for p in pairs if p[1].base])} AS base_labels, {labels(pairs)} AS labels,
+       greatest({', '.join(shares)}) AS score
+FROM based"""
+
+
+_SHINGLES = ("CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: "
+             "array_to_string(w[i:i + 4], ' ')) "
+             "WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END")
+
+_OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, {_SHINGLES} AS hs
+           FROM (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents)),
+b AS (SELECT item_id, {_SHINGLES} AS ihs FROM (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark)),
+dh AS (SELECT row_no, unnest(hs) AS h, unnest(range(0, len(hs))) AS p FROM d),
+bh AS (SELECT DISTINCT item_id, unnest(ihs) AS h FROM b),
+hit AS (SELECT DISTINCT row_no, item_id, p FROM dh JOIN bh USING (h)),
+starts AS (SELECT DISTINCT row_no, d.doc_id, b.item_id, least(p, greatest(len(hs) - len(ihs), 0)) AS s, hs, ihs
+           FROM hit JOIN d USING (row_no) JOIN b USING (item_id)),
+win AS (SELECT row_no, doc_id, item_id, ihs, hs[s + 1:s + len(ihs)] AS win FROM starts),
+scored AS (SELECT *, list_sum(list_transform(list_distinct(ihs), lambda h: least(
+             len(list_filter(win, lambda x: x = h)), len(list_filter(ihs, lambda x: x = h))))) AS m FROM win)
+SELECT any_value(doc_id) AS doc_id, item_id, max(m / (len(win) + len(ihs) - m)::DOUBLE) AS similarity
+FROM scored GROUP BY row_no, item_id HAVING similarity >= 0.8"""
+
+ORACLE: dict[str, str] = {"op2_url_filter": _op2_sql(), "op5_exact_dedup": _OP5_SQL, "op6_license_scan": _op6_sql(),
+                          "op10_decontamination": _OP10_SQL}
