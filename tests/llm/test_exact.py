@@ -1,0 +1,64 @@
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+from tests.llm.cases import ROWS, docs, none, odd, rows
+from tidemark.llm.exact import drop_copies, exact_groups
+
+
+def brute(pairs):
+    norm = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in pairs]
+    groups = defaultdict(list)
+    for (i, _), t in zip(pairs, norm, strict=True):
+        groups[t].append(i)
+    out, seen = [], set()
+    for (i, _), t in sorted(zip(pairs, norm, strict=True), key=lambda x: (x[0][0] is None, x[0][0] or 0)):
+        ids = [x for x in groups[t] if x is not None]
+        out.append((i, min(ids, default=None), len(groups[t]), t not in seen, hashlib.sha256(t.encode()).hexdigest()))
+        seen.add(t)
+    return sorted(out, key=lambda r: tuple((x is not None, x) for x in r))
+
+
+def test_odd_rows(spark):
+    assert rows(exact_groups(odd(spark)).drop("n_bytes")) == brute(ROWS)
+
+
+def test_no_rows(spark):
+    assert exact_groups(none(spark)).count() == 0
+    assert drop_copies(none(spark)).count() == 0
+
+
+def test_groups_over_many_partitions(spark):
+    r = random.Random(1)
+    texts = ["same  text"] * 400 + ["same\ttext"] * 100 + [f"t {r.randrange(150)}" for _ in range(300)]
+    r.shuffle(texts)
+    pairs = list(enumerate(texts))
+    for partitions in (1, 7, 40):
+        got = exact_groups(docs(spark, texts), partitions=partitions)
+        assert rows(got.drop("n_bytes")) == brute(pairs), partitions
+
+
+def test_hot_group_spreads(spark):
+    """A group with half of all rows is sorted by many tasks."""
+    texts = ["the same"] * 2000 + [f"own {i}" for i in range(2000)]
+    from tidemark.llm import exact
+    seen = []
+    was, exact.stored = exact.stored, lambda df, name: seen.append(was(df, name)) or seen[-1]
+    try:
+        exact_groups(docs(spark, texts), partitions=16).count()
+    finally:
+        exact.stored = was
+    counts = [r["count"] for r in seen[0].groupBy("part").count().collect()]
+    assert len(counts) >= 12 and max(counts) < 1000
+
+
+def test_drop_copies_keeps_columns_and_one_row(spark):
+    df = odd(spark)
+    left = drop_copies(df)
+    assert left.columns == df.columns
+    kept = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    want = {}
+    for i, t in sorted(ROWS, key=lambda x: (x[0] is None, x[0] or 0)):
+        want.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), (i, t))
+    assert kept == sorted(want.values(), key=str)

@@ -18,6 +18,9 @@ from tidemark.session import scratch_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
+#: Spark's estimate for a frame of unknown size is far above any real one.
+UNKNOWN_BYTES = 1 << 60
+
 
 #: The folder that holds the package.
 HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -43,9 +46,11 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def partitions_for(df: DataFrame, bytes_each: int) -> int:
-    """Partitions of about ``bytes_each``, and no fewer than the session's."""
+    """Partitions of about ``bytes_each``, and no fewer than the session's;
+    just these if Spark does not know the size."""
     session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(session, -(-plan_bytes(df) // bytes_each))
+    size = plan_bytes(df)
+    return session if size >= UNKNOWN_BYTES else max(session, -(-size // bytes_each))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
