@@ -93,16 +93,14 @@ def test_cell_table_put_delete_put(spark, tmp_root):
     assert v == "100"
 
 
-def test_long_key_list_uses_join(spark, monkeypatch):
-    import tidemark.sources.common as common
-    monkeypatch.setattr(common, "LIST_BROADCAST_LIMIT", 3)
+def test_key_list_is_a_join_below_the_keys_span(spark):
     cells = _cells(spark, [(f"k{i}", "info", "x", str(i)) for i in range(10)])
     keys = ["k1", "zz", "k3", "k5", "k1"]
     rows = get_rows(cells, keys).select("pos", "rowkey", from_utf8("value").alias("v")).collect()
     assert [(r.pos, r.rowkey, r.v) for r in rows] == [(0, "k1", "1"), (1, "zz", None), (2, "k3", "3"),
                                                       (3, "k5", "5"), (4, "k1", "1")]
     plan = get_rows(cells, keys)._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftSemi" in plan
+    assert "LeftSemi" in plan and ">= k1" in plan and "<= zz" in plan
 
 
 def test_bucketed_cell_table_no_shuffle(spark, tmp_root):
@@ -166,3 +164,14 @@ def test_cell_table_compaction(spark, tmp_root):
     assert ("a", "a1") in view(t.scan(as_of=1)) and ("r1", "1") in view(t.scan(as_of=1))
     plan = t.scan()._jdf.queryExecution().optimizedPlan().toString()
     assert "base/v=4" in plan or "v=4" in str(t.raw().inputFiles())
+
+
+def test_compaction_keeps_every_version(spark, tmp_root):
+    from tidemark.operators.cells import MAX_VERSIONS
+    t = CellTable(spark, tmp_root)
+    for i in range(3):
+        op = t.put(make_put(spark, [("a", "info", "x", str(i))], ts=1000 + i))
+    t.compact()
+    assert t.versions(3).count() == t.versions(MAX_VERSIONS).count() == t.versions(3, as_of=op).count() == 3
+    t.compact(keep_versions=1)
+    assert t.versions(3, as_of=op).count() == 3  # a reader of that operation sees what was there

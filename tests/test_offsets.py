@@ -127,13 +127,10 @@ def test_positions_predicate_pushed_and_equal(spark, tmp_root):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
         plan = a._jdf.queryExecution().executedPlan().toString()
         assert "GreaterThanOrEqual(offset,150)" in plan  # reaches the parquet scan
-    # above the limit the join is used, same rows
-    old = O.POSITION_PREDICATE_LIMIT
-    O.POSITION_PREDICATE_LIMIT = 1
-    try:
-        c = O.resume_from_positions(files, pos)
-        assert c.count() == 50 + 200 + 190 + 200
-    finally:
-        O.POSITION_PREDICATE_LIMIT = old
+    # the same path at any partition count
+    many = [("t", p, 150) for p in range(3000)]
+    plan = O.resume_from_positions(files, many)
+    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count() == files.where("offset >= 150").count()
     assert O.resume_from_positions(files, [], assign=True).count() == 0
     assert O.resume_from_positions(files, []).count() == 800

@@ -68,7 +68,7 @@ def salted_key(key) -> Column:
 def unsalt(salted) -> Column:
     """The original key of a :func:`salted_key` (everything after the
     one-character prefix and its ``_``)."""
-    return F.substring(col_of(salted), 3, 1 << 30)
+    return F.substr(col_of(salted), F.lit(3))
 
 
 def region_of(key, split_keys: list[str] | None = None) -> Column:

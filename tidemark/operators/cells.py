@@ -202,28 +202,33 @@ class CellTable:
         """Id of the newest operation (-1 for an empty table)."""
         return self._next_op() - 1
 
-    def _base(self, as_of: int | None) -> int | None:
-        """Newest committed compaction usable for a read as of ``as_of``."""
-        bases = sorted((int(d[2:]) for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")),
-                       reverse=True)
-        for b in bases:
-            if (as_of is None or b <= as_of) and exists(self.spark, f"{self.path}/base/v={b}/_committed"):
-                return b
+    def _base(self, as_of: int | None) -> tuple[int, str] | None:
+        """(operation, folder) of the newest committed compaction usable for a
+        read as of ``as_of``: an earlier read than now needs every version."""
+        bases = sorted(((int(d[2:].split("-")[0]), d) for d in list_dirs(self.spark, f"{self.path}/base")
+                        if d.startswith("v=")), reverse=True)
+        for b, folder in bases:
+            if ((as_of is None or b <= as_of and folder.endswith("-whole"))
+                    and exists(self.spark, f"{self.path}/base/{folder}/_committed")):
+                return b, folder
         return None
 
-    def compact(self, keep_versions: int = 1) -> int | None:
+    def compact(self, keep_versions: int = MAX_VERSIONS) -> int | None:
         """Fold every operation so far into a base: the visible table with
-        the newest ``keep_versions`` versions per cell, written key-sorted as
-        ``base/v=<op>`` and committed by a marker written last. Later reads
-        start from the base plus newer operations; op folders stay, so reads
-        as of older operations (snapshots) are unchanged."""
+        all versions - or the newest ``keep_versions`` per cell, for a table
+        whose older versions may go - written key-sorted as ``base/v=<op>``
+        and committed by a marker written last. Later reads start from the
+        base plus newer operations; op folders stay. A base that kept only
+        some versions does not serve reads as of its own operation, so
+        snapshots answer as before."""
         op = self.current_op()
         if op < 0:
             return None
         kept = cell_versions(self.raw(as_of=op).drop("op"), keep_versions).drop("version")
-        write_sorted(kept, f"{self.path}/base/v={op}/cells")
+        kind = "whole" if keep_versions >= MAX_VERSIONS else "newest"
+        write_sorted(kept, f"{self.path}/base/v={op}-{kind}/cells")
         self.spark.createDataFrame([(op,)], "op int").coalesce(1).write.mode("overwrite") \
-            .parquet(f"{self.path}/base/v={op}/_committed")
+            .parquet(f"{self.path}/base/v={op}-{kind}/_committed")
         return op
 
     def raw(self, as_of: int | None = None) -> DataFrame:
@@ -233,11 +238,12 @@ class CellTable:
         empty = self.spark.createDataFrame([], schemas.CELLS_STORED)
         cells = (self.spark.read.schema(schemas.CELLS_STORED).parquet(f"{self.path}/puts")
                  if exists(self.spark, f"{self.path}/puts") else empty)
-        base = self._base(as_of)
-        if base is not None:
+        found = self._base(as_of)
+        base = found and found[0]
+        if found:
             # folded operations come from the base; only newer ones are read
             cells = cells.filter(F.col("op") > base).unionByName(
-                self.spark.read.schema(schemas.CELLS).parquet(f"{self.path}/base/v={base}/cells")
+                self.spark.read.schema(schemas.CELLS).parquet(f"{self.path}/base/{found[1]}/cells")
                 .withColumn("op", F.lit(base)))
         if as_of is not None:
             cells = cells.filter(F.col("op") <= as_of)

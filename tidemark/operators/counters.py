@@ -12,14 +12,15 @@ reaches the exchange as one row per map task, not as its raw clicks.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.keys import counter_key, day_of
-from tidemark.session import exists, list_dirs
-from tidemark.sources.common import LIST_BROADCAST_LIMIT, key_list_frame, restrict_to_keys
+from tidemark.session import delete_path, exists, list_dirs, modified_ms
+from tidemark.sources.common import key_list_frame, restrict_to_keys
 
 # Fixed values that must equal the original's: the counter cell's family and
 # qualifier (both counter kinds share them).
@@ -49,19 +50,14 @@ def lookup_counters(counters: DataFrame, keys: DataFrame | list[str], key: str =
                     value: str = "click_count") -> DataFrame:
     """LKP-3: value per asked key, 0 when absent.
 
-    A Python list (with its order column ``pos``) first cuts the counters to
-    the asked keys with an IN filter - pushed below the aggregation / into
-    the scan - so the side joined back to the keys is at most one row per
-    key. A DataFrame of keys semi-joins the counters first (AQE broadcasts
-    the keys only when their runtime size is under the threshold)."""
+    The counters are first cut to the asked keys by a semi-join (a Python
+    list, with its order column ``pos``, also by the span of its keys, which
+    reaches the scan), so the side joined back has at most one row per key.
+    AQE broadcasts a side only when its runtime size allows it."""
     spark = counters.sparkSession
     if isinstance(keys, list):
         kdf = key_list_frame(spark, keys, key)
         found = restrict_to_keys(counters, keys, key).select(key, value)
-        if len(keys) <= LIST_BROADCAST_LIMIT:
-            # proven bound: counters are unique per key and cut to the asked
-            # keys, so this side has at most len(keys) rows
-            found = F.broadcast(found)
     else:
         kdf = keys
         found = counters.join(keys.select(key).distinct(), key, "left_semi").select(key, value)
@@ -69,18 +65,34 @@ def lookup_counters(counters: DataFrame, keys: DataFrame | list[str], key: str =
             .withColumn(value, F.coalesce(F.col(value), F.lit(0).cast("bigint"))))
 
 
+DELTA = "rowkey string, delta bigint"
+
+
+def new_run_id(prefix: str = "run") -> str:
+    """Sortable by time and never equal for two callers."""
+    return f"{prefix}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
 class CounterStore:
     """Replay-safe counter table on a shared folder (SNK-3, SNK-4, LKP-3).
 
     ``add(batch_df, batch_id)`` writes the batch's pre-aggregated deltas to
     the partition of (run_id, batch_id) with dynamic overwrite; ``read()``
-    sums deltas per key. ``compact()`` folds all deltas into a new base
-    version so reads stay cheap as batches accumulate."""
+    sums deltas per key. ``compact()`` folds the deltas that are there into a
+    new base version and records exactly which batches it folded, as ranges
+    of batch ids per run: reads open only the folders of other batches, and a
+    batch that arrives late counts whatever its id. Folders that a committed
+    base has folded are removed by ``vacuum()`` after a retention time.
+
+    A batch is counted once per (run_id, batch_id). A new checkpoint is a new
+    run: a batch whose counters were written, but whose offsets were not yet
+    logged when the process died, is counted again under the new run
+    (at least once across checkpoints, exactly once within one)."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.run_id = run_id or time.strftime("%Y%m%d%H%M%S")
+        self.run_id = run_id or new_run_id()
 
     @property
     def deltas_path(self) -> str:
@@ -118,10 +130,14 @@ class CounterStore:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id", "batch_id").parquet(self.deltas_path))
 
-    def increment(self, rowkey: str, amount: int, batch_id: int) -> None:
-        """SNK-4: one-key increment, stored like any other batch delta."""
-        self.add(self.spark.createDataFrame([(rowkey, int(amount))], "rowkey string, click_count bigint"),
-                 batch_id)
+    def increment(self, rowkey: str, amount: int, batch_id: int | None = None) -> None:
+        """SNK-4: one-key increment. Every call adds (it is a run of its own);
+        with a ``batch_id`` of this store's run a repeated call is a replay."""
+        one = self.spark.createDataFrame([(rowkey, int(amount))], "rowkey string, click_count bigint")
+        if batch_id is None:
+            CounterStore(self.spark, self.path, new_run_id("increment")).add(one, 0)
+        else:
+            self.add(one, batch_id)
 
     def _base_path(self) -> str | None:
         """Newest *committed* base version: a compaction that died half way
@@ -133,30 +149,33 @@ class CounterStore:
                 return f"{self.path}/base/v={v}"
         return None
 
-    def _deltas(self) -> DataFrame | None:
-        if not exists(self.spark, self.deltas_path):
-            return None
-        d = self.spark.read.schema(
-            "rowkey string, delta bigint, run_id string, batch_id bigint").parquet(self.deltas_path)
-        base = self._base_path()
+    def _batches(self) -> set[tuple[str, int]]:
+        """(run_id, batch_id) of every delta folder, from one listing."""
+        return {(run[7:], int(batch[9:])) for run in list_dirs(self.spark, self.deltas_path)
+                if run.startswith("run_id=") for batch in list_dirs(self.spark, f"{self.deltas_path}/{run}")
+                if batch.startswith("batch_id=")}
+
+    def _folded(self, base: str | None) -> dict[str, list[tuple[int, int]]]:
+        """Ranges of batch ids per run that a base has folded: one row per
+        run and gap in its batch ids."""
+        out: dict[str, list[tuple[int, int]]] = {}
         if base:
-            # batches already folded into the base are skipped. Within a run
-            # batch ids only grow (a repeated id is a replay of the same
-            # batch), so coverage is the highest folded batch id per run:
-            # one row per run, a size bound that does not grow with batches.
-            upto = self.spark.read.schema("run_id string, upto bigint").parquet(f"{base}/_covered")
-            d = (d.join(F.broadcast(upto), "run_id", "left")
-                 .filter(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))).drop("upto"))
-        return d
+            for r in self.spark.read.schema("run_id string, first bigint, last bigint").parquet(
+                    f"{base}/_covered").collect():
+                out.setdefault(r["run_id"], []).append((r["first"], r["last"]))
+        return out
 
-    def read(self) -> DataFrame:
+    def _open(self, batches: set[tuple[str, int]], folded: dict[str, list[tuple[int, int]]]) -> set[tuple[str, int]]:
+        return {(run, b) for run, b in batches if not any(x <= b <= y for x, y in folded.get(run, ()))}
+
+    def _sum(self, base: str | None, batches: set[tuple[str, int]]) -> DataFrame:
         parts = []
-        base = self._base_path()
         if base:
-            parts.append(self.spark.read.parquet(f"{base}/counters").selectExpr("rowkey", "click_count AS delta"))
-        d = self._deltas()
-        if d is not None:
-            parts.append(d.select("rowkey", "delta"))
+            parts.append(self.spark.read.schema("rowkey string, click_count bigint").parquet(f"{base}/counters")
+                         .withColumnRenamed("click_count", "delta"))
+        if batches:
+            parts.append(self.spark.read.schema(DELTA).parquet(
+                *(f"{self.deltas_path}/run_id={run}/batch_id={b}" for run, b in sorted(batches))))
         if not parts:
             return self.spark.createDataFrame([], schemas.COUNTER)
         allp = parts[0]
@@ -164,29 +183,60 @@ class CounterStore:
             allp = allp.unionByName(p)
         return allp.groupBy("rowkey").agg(F.sum("delta").cast("bigint").alias("click_count"))
 
+    def read(self) -> DataFrame:
+        base = self._base_path()
+        return self._sum(base, self._open(self._batches(), self._folded(base)))
+
     def get(self, keys: list[str]) -> DataFrame:
         return lookup_counters(self.read(), keys)
 
     def compact(self) -> str:
-        """Fold base + all deltas into base version v+1 (written, then
-        switched to by being the highest committed version; nothing is
-        rewritten in place, so readers of the old version are never broken)."""
+        """Fold base + deltas into base version v+1 (written, then switched to
+        by being the highest committed version; nothing is rewritten in
+        place, so readers of the old version are never broken). One listing
+        says what is folded and what is recorded as folded, so a batch that
+        lands meanwhile stays outside and is read next time."""
         versions = [int(d[2:]) for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")]
         nxt = max(versions) + 1 if versions else 0
         target = f"{self.path}/base/v={nxt}"
-        covered = []
-        if exists(self.spark, self.deltas_path):
-            covered.append(self.spark.read.schema(
-                "rowkey string, delta bigint, run_id string, batch_id bigint").parquet(self.deltas_path)
-                .groupBy("run_id").agg(F.max("batch_id").alias("upto")))
-        self.read().repartitionByRange("rowkey").sortWithinPartitions("rowkey") \
+        base, batches = self._base_path(), self._batches()
+        folded = self._folded(base)
+        added = self._open(batches, folded)
+        self._sum(base, added).repartitionByRange("rowkey").sortWithinPartitions("rowkey") \
             .write.mode("overwrite").parquet(f"{target}/counters")
-        if covered:
-            covered[0].write.mode("overwrite").parquet(f"{target}/_covered")
-        else:
-            self.spark.createDataFrame([], "run_id string, upto bigint").write.mode("overwrite") \
-                .parquet(f"{target}/_covered")
+        # an increment's run is never written again: once its folder is gone it need not be remembered
+        runs = {run for run, _ in batches}
+        ranges = [(run, x, y) for run, some in folded.items() for x, y in some
+                  if run in runs or not run.startswith("increment-")]
+        rows = _joined_ranges(ranges + [(run, b, b) for run, b in added])
+        self.spark.createDataFrame(rows, "run_id string, first bigint, last bigint").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{target}/_covered")
         # written last: only now does this version become the base
         self.spark.createDataFrame([(nxt,)], "v int").coalesce(1).write.mode("overwrite") \
             .parquet(f"{target}/_committed")
         return target
+
+    def vacuum(self, older_than_s: float = 7 * 86_400) -> int:
+        """Remove delta folders that the committed base has folded and that
+        were last written ``older_than_s`` ago (longer than any reader or
+        replay lives). Returns how many were removed."""
+        batches, base = self._batches(), self._base_path()
+        done = batches - self._open(batches, self._folded(base))
+        before, removed = time.time() * 1000 - older_than_s * 1000, 0
+        for run, b in done:
+            folder = f"{self.deltas_path}/run_id={run}/batch_id={b}"
+            if modified_ms(self.spark, folder) <= before:
+                delete_path(self.spark, folder)
+                removed += 1
+        return removed
+
+
+def _joined_ranges(rows: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Ranges per run with neighbours joined."""
+    out: list[tuple[str, int, int]] = []
+    for run, x, y in sorted(rows):
+        if out and out[-1][0] == run and x <= out[-1][2] + 1:
+            out[-1] = (run, out[-1][1], max(y, out[-1][2]))
+        else:
+            out.append((run, x, y))
+    return out

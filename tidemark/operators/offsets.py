@@ -3,8 +3,8 @@ SRC-3, SRC-5, SNK-2).
 
 Every frame here is keyed by (topic, partition) or (group, topic, partition),
 so the *stored* side has one row per topic partition: its size is bounded
-by the partition count of the subscribed topics, never by the data, and it
-is the only side ever broadcast.
+by the partition count of the subscribed topics, never by the data. Joins
+carry no hint: AQE broadcasts a side whose runtime size allows it.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.session import exists
+from tidemark.session import delete_path, exists, list_dirs
 
 TP = ["topic", "partition"]
 
@@ -38,7 +38,7 @@ def offset_ranges(records: DataFrame, by: list[str] | None = None,
         return ranges
     if by:
         raise ValueError("previous positions apply to a single batch (no 'by' grouping)")
-    prev = F.broadcast(previous.select(*TP, F.col("offset").alias("_prev")))
+    prev = previous.select(*TP, F.col("offset").alias("_prev"))
     idle = prev.join(ranges.select(*TP), TP, "left_anti").select(
         *TP, F.col("_prev").alias("from_offset"), F.col("_prev").alias("until_offset"),
         F.lit(0).cast("bigint").alias("record_count"))
@@ -88,30 +88,26 @@ def earliest_available(records: DataFrame) -> DataFrame:
 def clamp_to_earliest(stored: DataFrame, earliest: DataFrame) -> DataFrame:
     """OFF-8: a stored offset older than the earliest available one starts at
     the earliest instead of failing; partitions with no data keep theirs."""
-    e = F.broadcast(earliest.select(*TP, "earliest"))
+    e = earliest.select(*TP, "earliest")
     return (stored.join(e, TP, "left")
             .select(*[c for c in stored.columns if c != "offset"],
                     F.greatest(F.col("offset"), F.coalesce(F.col("earliest"), F.col("offset"))).alias("offset")))
 
 
-POSITION_PREDICATE_LIMIT = 512  # stored partitions up to which a literal predicate is built
-
-
 def positions_predicate(positions: list[tuple[str, int, int]], assign: bool = False):
     """The stored positions as one plain predicate: ``(topic, partition) =
     (t, p) AND offset >= s`` per stored partition, OR-ed; in Subscribe mode
     partitions without a stored position pass whole. Unlike a join it is
     pushed into the parquet scan, so row groups below the stored offsets are
-    skipped. Returns None above :data:`POSITION_PREDICATE_LIMIT` partitions."""
-    if len(positions) > POSITION_PREDICATE_LIMIT:
-        return None
+    skipped. The terms form a balanced tree, so thousands of partitions nest
+    only a few levels deep."""
     if not positions:
         return F.lit(not assign)
     terms = [(F.col("topic") == t) & (F.col("partition") == int(p)) & (F.col("offset") >= int(o))
              for t, p, o in positions]
+    while len(terms) > 1:
+        terms = [a | b for a, b in zip(terms[::2], terms[1::2])] + (terms[-1:] if len(terms) % 2 else [])
     cond = terms[0]
-    for c in terms[1:]:
-        cond = cond | c
     if not assign:
         by_topic: dict[str, list[int]] = {}
         for t, p, _ in positions:
@@ -126,21 +122,16 @@ def positions_predicate(positions: list[tuple[str, int, int]], assign: bool = Fa
 
 def resume_from_positions(records: DataFrame, positions: list[tuple[str, int, int]],
                           assign: bool = False) -> DataFrame:
-    """SRC-2 / SRC-3 with driver-side positions (one per topic partition):
-    a pushed-down filter when the partition count allows, else the join."""
-    pred = positions_predicate(positions, assign)
-    if pred is not None:
-        return records.filter(pred)
-    stored = records.sparkSession.createDataFrame(
-        [(t, int(p), int(o)) for t, p, o in positions], "topic string, partition int, offset bigint")
-    return resume_assign(records, stored) if assign else resume_subscribe(records, stored)
+    """SRC-2 / SRC-3 with driver-side positions (one per topic partition): a
+    filter that is pushed down, at any partition count."""
+    return records.filter(positions_predicate(positions, assign))
 
 
 def resume_subscribe(records: DataFrame, stored: DataFrame, default_start: str = "earliest") -> DataFrame:
     """SRC-2: read a bounded topic from stored offsets in Subscribe mode.
     Partitions missing from ``stored`` start at the default position
     (``earliest`` = everything, ``latest`` = nothing already written)."""
-    s = F.broadcast(stored.select(*TP, F.col("offset").alias("_start")))
+    s = stored.select(*TP, F.col("offset").alias("_start"))
     j = records.join(s, TP, "left")
     if default_start == "earliest":
         cond = F.col("_start").isNull() | (F.col("offset") >= F.col("_start"))
@@ -153,7 +144,7 @@ def resume_subscribe(records: DataFrame, stored: DataFrame, default_start: str =
 
 def resume_assign(records: DataFrame, stored: DataFrame) -> DataFrame:
     """SRC-3: Assign mode reads only the stored partitions, from their offsets."""
-    s = F.broadcast(stored.select(*TP, F.col("offset").alias("_start")))
+    s = stored.select(*TP, F.col("offset").alias("_start"))
     return records.join(s, TP, "inner").filter(F.col("offset") >= F.col("_start")).drop("_start")
 
 
@@ -191,7 +182,7 @@ def offsets_from_paths(entries: DataFrame, root: str = OFFSET_PATH_ROOT) -> Data
     """Inverse of :func:`offset_paths`: (path, data) entries of a path store
     back to (group_id, topic, partition, offset). Entries outside ``root`` or
     with a non-numeric value raise."""
-    parts = F.split(F.substring(F.col("path"), len(root) + 2, 1 << 20), "/")
+    parts = F.split(F.substr(F.col("path"), F.lit(len(root) + 2)), "/")
     ok = (F.col("path").startswith(root + "/") & (F.size(parts) == 3) & parts[2].rlike(r"^[0-9]+$")
           & F.trim(F.col("data")).rlike(r"^-?[0-9]+$"))
     bad = F.raise_error(F.lit("malformed offset path entry"))
@@ -238,6 +229,19 @@ class OffsetLog:
             return self.spark.createDataFrame([], schemas.OFFSET_LOG_STORED)
         return self.spark.read.schema(schemas.OFFSET_LOG_STORED).parquet(self.path)
 
+    def fold(self) -> None:
+        """Keep one row per (group, topic, partition) of each run: the rows of
+        a run's newest batch. Older batch folders of that run are removed; the
+        newest one of each partition stays where it is, so a reader at any
+        moment finds every latest position."""
+        newest = (self.read().groupBy("group_id", *TP, "run_id").agg(F.max("batch_id").alias("batch_id"))
+                  .select("run_id", "batch_id").distinct().collect())  # one row per topic partition at most
+        keep = {(r.run_id, r.batch_id) for r in newest}
+        for run in list_dirs(self.spark, self.path):
+            for batch in list_dirs(self.spark, f"{self.path}/{run}") if run.startswith("run_id=") else ():
+                if batch.startswith("batch_id=") and (run[7:], int(batch[9:])) not in keep:
+                    delete_path(self.spark, f"{self.path}/{run}/{batch}")
+
     def latest(self, group_id: str, topics: list[str] | None = None, commit: str = "after") -> DataFrame:
         return start_positions(self.read(), group_id, commit, topics)
 

@@ -45,7 +45,6 @@ def scale_conf(shuffled_bytes: int, total_cores: int, partition_bytes: int = 256
     holds about ``partition_bytes`` and never below two waves of cores; AQE
     coalesces small ones at run time and splits skewed join partitions."""
     parts = max(2 * total_cores, -(-shuffled_bytes // partition_bytes))
-    parts = min(parts, 100_000)
     size = f"{partition_bytes >> 20}m"
     return {
         **RECOMMENDED_CONF,
@@ -130,6 +129,19 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def modified_ms(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 def env_cpus(default: int = 8) -> int:
     try:
         return int(os.environ.get("BENCH_CPUS", default))

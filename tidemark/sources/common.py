@@ -3,34 +3,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key list given as a Python list lives on the driver already; above this
-# length it is joined without a broadcast hint (AQE still broadcasts it when
-# its runtime size is under the threshold).
-LIST_BROADCAST_LIMIT = 100_000
-
-
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def key_list_frame(spark: SparkSession, keys: list, key: str = "rowkey") -> DataFrame:
-    """(pos, key) rows for a driver-side key list, broadcast when its length
-    (the proven size bound) is under :data:`LIST_BROADCAST_LIMIT`."""
+    """(pos, key) rows for a driver-side key list. No join hint: AQE picks the
+    join from the frame's size, whatever its length."""
     if any(k is None for k in keys):
         raise ValueError("null row key in key list")
-    kdf = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], f"pos int, {key} string")
-    return F.broadcast(kdf) if len(keys) <= LIST_BROADCAST_LIMIT else kdf
+    return spark.createDataFrame([(i, k) for i, k in enumerate(keys)], f"pos int, {key} string")
 
 
 def restrict_to_keys(df: DataFrame, keys: list, key: str = "rowkey") -> DataFrame:
-    """Cut ``df`` to the rows of the asked keys before any other work: an IN
-    filter (pushed into the scan / below aggregations) for a list of
-    ordinary length, a semi-join for a very long list (no plan with a
-    million literals)."""
-    if len(keys) <= LIST_BROADCAST_LIMIT:
-        return df.filter(F.col(key).isin(sorted(set(keys))))
-    kdf = df.sparkSession.createDataFrame([(k,) for k in set(keys)], f"{key} string")
-    return df.join(kdf, key, "left_semi")
+    """Cut ``df`` to the rows of the asked keys before any other work. The
+    span of the keys is a range filter that reaches the scan of a key-sorted
+    table; a semi-join with the key frame does the rest. One plan for key
+    lists of every length."""
+    asked = sorted(set(keys))
+    if not asked:
+        return df.limit(0)
+    kdf = df.sparkSession.createDataFrame([(k,) for k in asked], f"{key} string")
+    return df.filter((F.col(key) >= F.lit(asked[0])) & (F.col(key) <= F.lit(asked[-1]))).join(kdf, key, "left_semi")
 
 
 def epoch_millis(ts) -> Column:

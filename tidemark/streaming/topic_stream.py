@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.keys import counter_key, day_of
 from tidemark.operators.counters import CounterStore
-from tidemark.operators.offsets import OffsetLog, offset_ranges, resume_from_positions
-from tidemark.session import exists
+from tidemark.operators.offsets import OffsetLog, offset_ranges, resume_from_positions, start_positions
+from tidemark.session import delete_path, exists, scratch_dir
 from tidemark.sources.common import wall_time
-from tidemark.sources.topic import kafka_reader_options, kafka_records
+from tidemark.sources.topic import default_start, kafka_reader_options, kafka_records
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -35,22 +35,29 @@ BatchSink = Callable[[DataFrame, int], None]
 PRODUCER_VALUE_PREFIX = "hlw:"
 
 
-def write_file_topic(records: DataFrame, path: str, bursts: int = 1, offset_col: str = "offset") -> None:
-    """SNK-1: the producer side of the file topic. Records are appended in
-    ``bursts`` offset-ordered writes (each a normal distributed write), so
-    files of later offsets are always newer: a file source then reads every
-    partition's offsets in order."""
-    cols = [c for c in schemas.TOPIC_RECORD.fieldNames()]
-    if bursts <= 1:
-        records.select(*cols).write.mode("append").parquet(path)
+def write_file_topic(records: DataFrame, path: str, bursts: int = 1, offset_col: str = "offset",
+                     files_per_burst: int = 1) -> None:
+    """SNK-1: the producer side of the file topic. The records are written
+    once to a staging folder, range-partitioned and sorted by offset, and then
+    appended as ``bursts * files_per_burst`` files, each a commit of its own,
+    in offset order: a later file holds later offsets of every partition, so
+    a file source reads them in order however many files it takes at a time.
+    Reading a file's offset range from the staging folder is pruned."""
+    spark = records.sparkSession
+    cols = schemas.TOPIC_RECORD.fieldNames()
+    bounds = records.agg(F.min(offset_col), F.max(offset_col)).first()
+    if bounds[1] is None:
         return
-    hi = records.agg(F.max(offset_col)).first()[0]
-    if hi is None:
-        return
-    step = hi // bursts + 1
-    for b in range(bursts):
-        (records.filter((F.col(offset_col) >= b * step) & (F.col(offset_col) < (b + 1) * step))
-         .select(*cols).write.mode("append").parquet(path))
+    files = bursts * files_per_burst
+    lo, step = bounds[0], (bounds[1] - bounds[0]) // files + 1
+    staging = scratch_dir(spark, "topic-staging")
+    (records.select(*cols).repartitionByRange(files, offset_col).sortWithinPartitions(offset_col, "partition")
+     .write.parquet(staging))
+    staged = spark.read.schema(records.select(*cols).schema).parquet(staging)
+    for k in range(files):
+        (staged.filter((F.col(offset_col) >= lo + k * step) & (F.col(offset_col) < lo + (k + 1) * step))
+         .coalesce(1).write.mode("append").parquet(path))
+    delete_path(spark, staging)
 
 
 def produce_records(spark: SparkSession, source: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -96,46 +103,73 @@ def counter_sink(store: CounterStore, to_counts: Callable[[DataFrame], DataFrame
     return sink
 
 
-def partition_record_sink(process: Callable[[object], None] | None = None) -> BatchSink:
-    """SNK-9: run ``process(pandas_frame)`` on each task's records (the
-    per-partition hook of the original). Arrow batches, not rows; returns
-    the number of records the hooks saw (one small sum, not the records)."""
+def partition_record_sink(process: Callable[[object], None] | None = None,
+                          open: Callable[[int], object] | None = None,  # noqa: A002 - names of the hook
+                          close: Callable[[object], None] | None = None) -> BatchSink:
+    """SNK-9: per-partition record processing. ``open(partition)`` runs once
+    per task and may return a resource, ``process(pandas_frame)`` - or
+    ``process(resource, pandas_frame)`` with an ``open`` - gets the task's
+    records in Arrow batches, ``close(resource)`` runs once at the end, also
+    after an error. The sink returns the number of records the hooks saw (one
+    small sum, not the records)."""
     def run(batch: DataFrame, batch_id: int) -> int:
-        def per_part(it):
-            import pandas as pd
-            n = 0
+        return int(partition_records(batch, process, open, close).agg(F.sum("records")).first()[0] or 0)
+    return run
+
+
+def partition_records(batch: DataFrame, process=None, open=None, close=None) -> DataFrame:  # noqa: A002
+    """The hooks of :func:`partition_record_sink` over a frame: (task,
+    records) for every task."""
+    def per_part(it):
+        import pandas as pd
+        from pyspark import TaskContext
+        task, n = TaskContext.get().partitionId(), 0
+        resource = open(task) if open is not None else None
+        try:
             for pdf in it:
                 if process is not None:
-                    process(pdf)
+                    process(resource, pdf) if open is not None else process(pdf)
                 n += len(pdf)
-            yield pd.DataFrame({"n": [n]})
-        return int(batch.mapInPandas(per_part, "n long").agg(F.sum("n")).first()[0] or 0)
-    return run
+        finally:
+            if close is not None:
+                close(resource)
+        yield pd.DataFrame({"task": [task], "records": [n]})
+    return batch.mapInPandas(per_part, "task int, records long")
 
 
-def stable_run_id(spark: SparkSession, store_root: str, checkpoint: str) -> str:
-    """One run id per checkpoint, kept across restarts of the same
-    checkpoint (batch ids restart at 0 only with a new checkpoint). A
+def checkpoint_run(spark: SparkSession, store_root: str, checkpoint: str,
+                   positions: Callable[[], list[tuple[str, int, int]]]) -> tuple[str, list[tuple[str, int, int]]]:
+    """(run id, start positions) of a checkpoint, kept across its restarts. A
     checkpoint without Spark's ``metadata`` file is new - even at a reused
-    path - and always gets a new id, so its batch 0 can never overwrite an
-    older run's output. Sortable: a nanosecond start stamp first."""
+    path - and gets a new id (sortable: a nanosecond start stamp first), so
+    its batch 0 can never overwrite an older run's output; what ``positions``
+    returns then is stored with the id. Every start of the checkpoint applies
+    those same positions: files it has not reached yet may hold older
+    offsets."""
     tag = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     p = f"{store_root}/runs/ckpt={tag}"
+    schema = "run_id string, starts array<struct<topic:string,partition:int,offset:bigint>>"
     if exists(spark, f"{checkpoint.rstrip('/')}/metadata") and exists(spark, p):
-        return spark.read.parquet(p).first()["run_id"]
-    rid = f"{time.time_ns():020d}_{tag}"
-    spark.createDataFrame([(rid,)], "run_id string").coalesce(1).write.mode("overwrite").parquet(p)
-    return rid
+        row = spark.read.schema(schema).parquet(p).first()
+        return row["run_id"], [tuple(x) for x in row["starts"] or []]
+    rid, starts = f"{time.time_ns():020d}_{tag}", positions()
+    spark.createDataFrame([(rid, starts)], schema).coalesce(1).write.mode("overwrite").parquet(p)
+    return rid, starts
 
 
 class TopicJob:
     """A resumable topic consumer.
 
     ``start()`` picks the start (STR-3): an existing checkpoint drives the
-    query; for a new checkpoint with offsets stored for the group, the stream
-    is cut to ``offset >= stored`` per partition (Subscribe: other partitions
-    from the beginning; Assign: only stored partitions); with neither, it
-    reads from the beginning (SRC-1)."""
+    query, cut to the positions it began from; for a new checkpoint with
+    offsets stored for the group, the stream is cut to ``offset >= stored``
+    per partition (Subscribe: other partitions from the beginning - new ones
+    too, OFF-7; Assign: only stored partitions); with neither,
+    ``auto_offset_reset`` decides (SRC-1): the beginning, or what arrives
+    after this start.
+
+    A topic partition's offsets must arrive in order. A batch that starts
+    below the position an earlier one reached is refused."""
 
     def __init__(self, spark: SparkSession, topic_path: str, state_root: str, group_id: str,
                  topics: list[str], sinks: list[BatchSink], commit: str = "after",
@@ -144,7 +178,7 @@ class TopicJob:
                  partition_counts: dict[str, int] | None = None,
                  counters: CounterStore | None = None,
                  counts: Callable[[DataFrame], DataFrame] = day_category_counts,
-                 compact_every: int | None = None):
+                 compact_every: int | None = None, auto_offset_reset: str = "earliest"):
         if commit not in ("after", "before"):
             raise ValueError("commit must be 'after' or 'before'")
         self.spark = spark
@@ -160,7 +194,8 @@ class TopicJob:
         self.kafka_bootstrap = kafka_bootstrap
         self.partition_counts = partition_counts
         self.log = OffsetLog(spark, f"{self.state_root}/offset_log")
-        self.run_id = stable_run_id(spark, self.state_root, self.checkpoint)
+        self.default_start = default_start(auto_offset_reset)
+        self.run_id, self.starts = checkpoint_run(spark, self.state_root, self.checkpoint, self._first_positions)
         if counters is not None:
             # counter deltas are keyed by this job's run, then written first
             counters.run_id = self.run_id
@@ -168,20 +203,36 @@ class TopicJob:
         self.batches_seen: list[int] = []
         self.last_ranges: list[tuple] = []
         self._positions: dict[tuple[str, int], int] | None = None
+        self._newest_batch = -1
 
-    def _stored_positions(self) -> dict[tuple[str, int], int]:
-        """Last until per topic partition (one row per partition)."""
+    def _first_positions(self) -> list[tuple[str, int, int]]:
+        """Where a new checkpoint starts: the stored positions; without any,
+        and with ``latest``, the end of the file topic as it is now (the
+        Kafka source knows its own end). One row per topic partition."""
+        stored = [(r.topic, r.partition, r.offset)
+                  for r in self.log.latest(self.group_id, self.topics, self.commit).collect()]
+        if stored or self.default_start == "earliest" or self.kafka_bootstrap or not exists(
+                self.spark, self.topic_path):
+            return stored
+        there = self.spark.read.schema(schemas.TOPIC_RECORD).parquet(self.topic_path)
+        return [(r.topic, r.partition, r.until_offset) for r in offset_ranges(
+            there.filter(F.col("topic").isin(self.topics))).collect()]
+
+    def _stored_positions(self, batch_id: int) -> dict[tuple[str, int], int]:
+        """Last position per topic partition, as the commit order stores it,
+        without what an earlier try of this batch has written."""
+        log = self.log.read().filter(~((F.col("run_id") == self.run_id) & (F.col("batch_id") >= batch_id)))
         return {(r.topic, r.partition): r.offset
-                for r in self.log.latest(self.group_id, self.topics, "after").collect()}
+                for r in start_positions(log, self.group_id, self.commit, self.topics).collect()}
 
     def kafka_options(self) -> dict[str, str]:
         """Kafka source options for this job's start (STR-3): the stored
         positions - one row per topic partition, so collecting them is
         bounded - become ``startingOffsets``; Assign mode names only them."""
-        stored = [(r.topic, r.partition, r.offset)
-                  for r in self.log.latest(self.group_id, self.topics, self.commit).collect()]
-        opts = kafka_reader_options(self.kafka_bootstrap, ",".join(self.topics), start=stored or None,
-                                    assign=self.mode == "assign", partition_counts=self.partition_counts)
+        start = self.starts or self._first_positions()  # the source itself ignores them once it has a checkpoint
+        opts = kafka_reader_options(self.kafka_bootstrap, ",".join(self.topics), start=start or None,
+                                    assign=self.mode == "assign", default_start=self.default_start,
+                                    partition_counts=self.partition_counts)
         if self.max_files:
             opts["maxOffsetsPerTrigger"] = str(self.max_files)
         return opts
@@ -191,15 +242,9 @@ class TopicJob:
             raw = self.spark.readStream.format("kafka").options(**self.kafka_options()).load()
             return kafka_records(raw)
         df = topic_stream(self.spark, self.topic_path, self.topics, self.max_files)
-        if exists(self.spark, f"{self.checkpoint.rstrip('/')}/metadata"):
-            return df  # an existing checkpoint drives the query
-        # one row per topic partition: collected, then applied as a filter
-        # that reaches the file scan
-        stored = [(r.topic, r.partition, r.offset)
-                  for r in self.log.latest(self.group_id, self.topics, self.commit).collect()]
-        if not stored:
-            return df
-        return resume_from_positions(df, stored, assign=self.mode == "assign")
+        # one row per topic partition, applied on every start of this
+        # checkpoint as a filter that reaches the file scan
+        return resume_from_positions(df, self.starts, assign=self.mode == "assign") if self.starts else df
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
@@ -210,8 +255,13 @@ class TopicJob:
             if not rows:
                 return
             got = [(r.topic, r.partition, r.from_offset, r.until_offset, r.record_count) for r in rows]
-            if self._positions is None:
-                self._positions = self._stored_positions()
+            if self._positions is None or batch_id <= self._newest_batch:  # first batch, or a replay
+                self._positions = self._stored_positions(batch_id)
+            self._newest_batch = batch_id
+            back = [(t, p, f) for t, p, f, *_ in got if f < self._positions.get((t, p), f)]
+            if back:
+                raise ValueError(f"offsets out of order: batch {batch_id} starts again at {back}, "
+                                 f"positions are {self._positions}")
             seen = {(t, p) for t, p, *_ in got}
             # partitions idle in this batch keep from = until = their position
             got += [(t, p, o, o, 0) for (t, p), o in sorted(self._positions.items()) if (t, p) not in seen]
@@ -252,12 +302,13 @@ class TopicJob:
 
 
 def stop_on_marker(query, spark: SparkSession, marker: str, poll_s: float = 10.0, grace_s: float = 2.0,
-                   drain_timeout_s: float = 60.0, max_wait_s: float | None = None) -> bool:
+                   more_triggers: int = 1, max_wait_s: float | None = None) -> bool:
     """STR-4: poll every ``poll_s`` seconds; once ``marker`` exists, wait
-    ``grace_s``, let the in-flight data finish (bounded by
-    ``drain_timeout_s``, since a growing source never drains) and stop.
-    Returns True when stopped by the marker. With ``max_wait_s`` the query is
-    stopped (returning False) if no marker appeared in that time."""
+    ``grace_s`` and stop between two triggers. A running trigger is waited
+    for, however long it takes; a source that always has more data gets at
+    most ``more_triggers`` further ones. Returns True when stopped by the
+    marker. With ``max_wait_s`` the query is stopped (returning False) if no
+    marker appeared in that time."""
     started = time.time()
     while query.isActive:
         if max_wait_s is not None and time.time() - started > max_wait_s:
@@ -267,12 +318,13 @@ def stop_on_marker(query, spark: SparkSession, marker: str, poll_s: float = 10.0
             return False
         if exists(spark, marker):
             time.sleep(grace_s)
-            deadline = time.time() + drain_timeout_s
-            while time.time() < deadline:
+            done = lambda: (query.lastProgress or {}).get("batchId", -1)
+            first = done()
+            while query.isActive:
                 st = query.status
-                if not st["isDataAvailable"] and not st["isTriggerActive"]:
+                if not st["isTriggerActive"] and (not st["isDataAvailable"] or done() - first >= more_triggers):
                     break
-                time.sleep(0.2)
+                time.sleep(0.02)
             query.stop()
             return True
     return False
