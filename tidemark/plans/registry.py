@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.codecs import bytes_to_long, long_to_bytes, long_to_hex
+from tidemark import schemas
+from tidemark.functions.codecs import bytes_to_long, from_utf8, long_to_bytes, long_to_hex
 from tidemark.functions.keys import random_code, region_of, salted_key
 from tidemark.functions.offsets import decode_offsets, encode_offsets
 from tidemark.operators import cells as CL
@@ -26,16 +27,17 @@ from tidemark.streaming import topic_stream as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Parameters of the resume scenarios: a consumer that stopped after batch 4,
-# a group that stored only partitions 0 and 1, a topic that had 3 partitions,
-# and retention that kept batches >= partition + 3 of each partition.
-STOP_AFTER_BATCH = 4
+# Parameters of the resume scenarios: a consumer that stopped half way through
+# the topic's batches, a group that stored only partitions 0 and 1, a topic
+# that had 3 partitions, and retention that dropped a third of the batches and
+# one more for each higher partition.
 STORED_PARTITIONS = (0, 1)
 OLD_PARTITION_COUNT = 3
-RETENTION_BATCH_SHIFT = 3
+INCREMENTS = [("20240101_1", 5), ("20991231_0", 2), ("20240101_1", 7)]
 COUNTER_KEYS = ["20240101_1", "20240115_42", "20991231_0"]
 CELL_KEYS = ["u5", "nope", "u1", "u5"]
 DELETE_KEYS = ["u5", "u1", "nope"]
+PUT_TS = 9_000_000_000_000  # later than every event
 
 
 # ---- counters --------------------------------------------------------------
@@ -67,6 +69,30 @@ def q_counter_store_replay(spark, sf):
     return store.read()
 
 
+def q_counter_late_batch(spark, sf):
+    """Batches are written and compacted, then one of a lower id arrives and
+    one is replayed; the counters are compacted again."""
+    store = C.CounterStore(spark, scratch_dir(spark, "counters"), run_id=V.RUN_ID)
+    late = _last_batch(spark, sf) // 2
+    per_record = V.topic(spark, sf).select("batch_id", S.day_category_key(), F.lit(1).alias("click_count"))
+    store.add_many(per_record.filter(F.col("batch_id") != late))
+    store.compact()
+    store.add(per_record.filter(F.col("batch_id") == late), batch_id=late)
+    store.add(per_record.filter(F.col("batch_id") == 0), batch_id=0)
+    store.compact()
+    return store.read()
+
+
+def q_counter_increment_one(spark, sf):
+    """SNK-4: one-key increments on top of the counters, each call adds."""
+    store = C.CounterStore(spark, scratch_dir(spark, "counters"))
+    store.add(V.counters(spark, sf), batch_id=0)
+    for key, amount in INCREMENTS:
+        store.increment(key, amount)
+    store.compact()
+    return store.read()
+
+
 def q_counter_get(spark, sf):
     return C.lookup_counters(V.counters(spark, sf), COUNTER_KEYS)
 
@@ -78,8 +104,51 @@ def q_batch_record_count(spark, sf):
     return t.groupBy("batch_id").agg(F.count(F.lit(1)).alias("record_count")).filter(F.col("record_count") > 0)
 
 
+def q_empty_batch_skip(spark, sf):
+    """FLT-1: the job is handed the topic's batches with an empty one before
+    and after; only batches with records reach the sinks and the log."""
+    root = scratch_dir(spark, "skip")
+    topic = V.topic(spark, sf)
+    job = S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"],
+                     sinks=[lambda b, i: b.select("topic", "partition", "offset").withColumn("handed", F.lit(i))
+                            .write.parquet(f"{root}/seen/{i}")])
+    half = _last_batch(spark, sf) // 2
+    for i, batch in enumerate((topic.limit(0), topic.filter(F.col("batch_id") <= half), topic.limit(0),
+                               topic.filter(F.col("batch_id") > half), topic.limit(0))):
+        job.process_batch(batch.drop("batch_id"), i)
+    seen = [spark.read.parquet(f"{root}/seen/{i}") for i in job.batches_seen]
+    logged = job.log.read().groupBy("batch_id").agg(F.sum("record_count").alias("logged"))
+    handed = seen[0]
+    for df in seen[1:]:
+        handed = handed.unionByName(df)
+    return (handed.groupBy(F.col("handed").cast("bigint").alias("batch_id")).agg(F.count("*").alias("records"))
+            .join(logged, "batch_id", "full").select("batch_id", "records", "logged"))
+
+
+def q_record_sink(spark, sf):
+    """SNK-9: per-partition setup, processing and teardown over the topic's
+    records dealt out by topic partition."""
+    topic = V.topic(spark, sf)
+
+    def process(resource, pdf):
+        resource["records"] += len(pdf)
+        resource["bytes"] += int(pdf["value"].str.len().sum())
+
+    counted = S.partition_records(topic.repartition(V.DEFAULT_PARTITIONS, "partition"), process,
+                                  open=lambda task: {"records": 0, "bytes": 0}, close=dict.clear)
+    return counted.agg(F.sum("records").alias("records"))
+
+
 def q_offset_ranges(spark, sf):
-    return O.offset_ranges(V.topic(spark, sf), by=["batch_id"])
+    """With the partitions that were idle in the last batch: of that batch
+    only the records of partition 0 are taken."""
+    topic = V.topic(spark, sf)
+    last = _last_batch(spark, sf)
+    before = topic.filter(F.col("batch_id") < last)
+    previous = before.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("offset"))
+    now = topic.filter((F.col("batch_id") == last) & (F.col("partition") == 0))
+    ranges = O.offset_ranges(now, previous=previous).withColumn("batch_id", F.lit(last).cast("bigint"))
+    return O.offset_ranges(before, by=["batch_id"]).unionByName(ranges)
 
 
 def q_offset_range_report(spark, sf):
@@ -95,8 +164,12 @@ def q_offset_decode(spark, sf):
     return decode_offsets(enc, keep=["batch_id"])
 
 
+def _last_batch(spark, sf) -> int:
+    return V.topic(spark, sf).agg(F.max("batch_id")).first()[0] or 0
+
+
 def _stored_at_stop(spark, sf):
-    log = V.offset_log(spark, sf).filter(F.col("batch_id") <= STOP_AFTER_BATCH)
+    log = V.offset_log(spark, sf).filter(F.col("batch_id") <= _last_batch(spark, sf) // 2)
     return O.latest_offsets(log, V.GROUP_ID)
 
 
@@ -119,7 +192,7 @@ def q_offset_add_partitions(spark, sf):
 
 def q_offset_clamp(spark, sf):
     t = V.topic(spark, sf)
-    retained = t.filter(F.col("batch_id") >= F.col("partition") + RETENTION_BATCH_SHIFT)
+    retained = t.filter(F.col("batch_id") >= F.col("partition") + _last_batch(spark, sf) // 3)
     return O.clamp_to_earliest(_stored_at_stop(spark, sf), O.earliest_available(retained))
 
 
@@ -159,19 +232,55 @@ def q_topic_values(spark, sf):
 
 
 def q_topic_generate(spark, sf):
-    return S.produce_records(spark, read_table(spark, sf, "events"))
+    """SNK-1: the generated records go through the topic writer and are read
+    back from its files."""
+    made = S.produce_records(spark, read_table(spark, sf, "events"))
+    number = F.col("key").cast("bigint") - 1
+    records = made.select(
+        F.lit("generated").alias("topic"), F.pmod(number, F.lit(V.DEFAULT_PARTITIONS)).cast("int").alias("partition"),
+        F.expr(f"(CAST(key AS BIGINT) - 1) div {V.DEFAULT_PARTITIONS}").alias("offset"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"), "key", "value")
+    path = f"{scratch_dir(spark, 'generated')}/topic"
+    S.write_file_topic(records, path, bursts=2)
+    return spark.read.schema(schemas.TOPIC_RECORD).parquet(path).select("key", "value")
 
 
 # ---- cells -----------------------------------------------------------------
 
 def q_cell_put_latest(spark, sf):
+    """Last write wins by (ts, seq): the later half of the writes carries
+    times out of order, every third of them older than all earlier ones."""
     cells = V.cells(spark, sf)
     n = read_table(spark, sf, "events").select(F.max("event_id")).scalar()
     base = cells.filter(F.col("seq") * 2 <= n)
     puts = cells.filter(F.col("seq") * 2 > n)
+    puts = puts.withColumn("ts", F.when(F.col("seq") % 3 == 0, F.lit(n) - F.col("seq")).otherwise(F.col("ts")))
     return V.readable(CL.latest_cells(CL.put_cells(base, puts)))
 
 
+def q_cell_put_one(spark, sf):
+    """SNK-5 on a stored table: the last record's cell of each event type is
+    put again, one cell at a time, with a later time."""
+    cells = V.cells(spark, sf)
+    t = CL.CellTable(spark, scratch_dir(spark, "cells"))
+    t.put(cells)
+    newest = cells.groupBy("qualifier").agg(F.max_by("rowkey", "seq").alias("rowkey"), F.max("seq").alias("seq"))
+    for r in newest.collect():  # one row per event type
+        t.put_one(r["rowkey"], "info", r["qualifier"], f"again {r['seq']}", ts=PUT_TS)
+    return t.scan().select("rowkey", "cf", "qualifier", "ts", from_utf8("value").alias("value_text"))
+
+
+def q_cell_versions_compacted(spark, sf):
+    """All versions of a table written in two halves, after compaction."""
+    cells = V.cells(spark, sf)
+    n = read_table(spark, sf, "events").select(F.max("event_id")).scalar()
+    t = CL.CellTable(spark, scratch_dir(spark, "cells"))
+    t.put(cells.filter(F.col("seq") * 2 <= n))
+    t.put(cells.filter(F.col("seq") * 2 > n))
+    t.compact()
+    return V.readable(t.versions(CL.MAX_VERSIONS))
+
+
 def q_cell_delete(spark, sf):
     return V.readable(CL.delete_rows(V.cells(spark, sf), DELETE_KEYS))
 
@@ -299,6 +408,16 @@ def q_random_code(spark, sf):
     return ev.select("event_id", random_code(8, "ALL_CHAR", seed=7).alias("code"))
 
 
+def q_random_code_check(spark, sf):
+    """FN-4, what holds for every random code: one per row, of the asked
+    length, from the alphabet, not all alike."""
+    code = q_random_code(spark, sf)
+    return code.agg(F.count("code").alias("codes"), F.min(F.length("code")).alias("shortest"),
+                    F.max(F.length("code")).alias("longest"),
+                    F.sum(F.length(F.regexp_replace("code", "[0-9A-Za-z]", ""))).alias("other_characters"),
+                    (F.countDistinct("code") > 1).alias("vary"))
+
+
 # ---- snapshots -------------------------------------------------------------
 
 def q_snapshot_roundtrip(spark, sf):
@@ -394,6 +513,89 @@ def q_stream_resume(spark, sf):
     return store.read()
 
 
+class _Crash:
+    """A sink that fails from its n-th call on: what a crash leaves behind."""
+
+    def __init__(self, calls: int):
+        self.calls = calls
+
+    def __call__(self, batch, batch_id):
+        self.calls -= 1
+        if self.calls <= 0:
+            raise RuntimeError("crash of the scenario")
+
+
+def _run_to_crash(job):
+    try:
+        job.run_available()
+    except Exception as e:  # noqa: BLE001 - only the scenario's own crash is expected
+        if "crash of the scenario" not in str(e):
+            raise
+
+
+def q_stream_restart_from_log(spark, sf):
+    """A new checkpoint begins from the offset log, does one trigger, stops
+    and is started again: nothing is counted twice."""
+    root = scratch_dir(spark, "stream")
+    topic = V.topic(spark, sf)
+    cut = ((topic.agg(F.max("offset")).first()[0] or 0) + 1) // 2
+    store = C.CounterStore(spark, f"{root}/state/counters")
+
+    def job(ckpt, files=None):
+        return S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[], counters=store,
+                          checkpoint=f"{root}/{ckpt}", max_files_per_trigger=files)
+    S.write_file_topic(topic.filter(F.col("offset") < cut), f"{root}/topic", bursts=2)
+    job("ck1").run_available()
+    S.write_file_topic(topic.filter(F.col("offset") >= cut), f"{root}/topic", bursts=2)
+    stopped = job("ck2", files=3)
+    stopped.sinks.insert(0, _Crash(2))
+    _run_to_crash(stopped)
+    job("ck2").run_available()
+    return store.read()
+
+
+def q_stream_commit_before_replay(spark, sf):
+    """Positions saved before the work: a crash before any work, then a
+    checkpoint whose first batch holds one partition only and that crashes
+    after it. Every record is seen at least once in the end."""
+    root = scratch_dir(spark, "stream")
+    topic = V.topic(spark, sf)
+    for p in range(V.DEFAULT_PARTITIONS):
+        S.write_file_topic(topic.filter(F.col("partition") == p), f"{root}/topic")
+
+    def job(ckpt, files=None):
+        return S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], commit="before",
+                          sinks=[lambda b, i: b.select("topic", "partition", "offset").write.mode("append")
+                                 .parquet(f"{root}/seen")],
+                          checkpoint=f"{root}/{ckpt}", max_files_per_trigger=files)
+    first = job("ck1")
+    first.sinks.insert(0, _Crash(1))
+    _run_to_crash(first)
+    second = job("ck2", files=1)
+    second.sinks.insert(0, _Crash(2))
+    _run_to_crash(second)
+    job("ck3").run_available()
+    return spark.read.parquet(f"{root}/seen").distinct()
+
+
+def q_stream_resume_multi_file(spark, sf):
+    """A burst of four files, written from records dealt out by key, read a
+    file at a time; the consumer stops after the first batch and a new
+    checkpoint goes on from the log."""
+    root = scratch_dir(spark, "stream")
+    S.write_file_topic(V.topic(spark, sf).repartition(4, "key"), f"{root}/topic", files_per_burst=4)
+    store = C.CounterStore(spark, f"{root}/state/counters")
+
+    def job(ckpt):
+        return S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[], counters=store,
+                          checkpoint=f"{root}/{ckpt}", max_files_per_trigger=1)
+    stopped = job("ck1")
+    stopped.sinks.insert(0, _Crash(2))
+    _run_to_crash(stopped)
+    job("ck2").run_available()
+    return store.read()
+
+
 def q_stream_marker_stop(spark, sf):
     job, store, root = _stream_job(spark, sf, bursts=1)
     q = job.start(interval="500 milliseconds")
@@ -405,7 +607,7 @@ def q_stream_marker_stop(spark, sf):
         spark.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(marker)
     t = threading.Thread(target=drop_marker)
     t.start()
-    S.stop_on_marker(q, spark, marker, poll_s=0.5, grace_s=0.2, drain_timeout_s=60, max_wait_s=600)
+    S.stop_on_marker(q, spark, marker, poll_s=0.5, grace_s=0.2, max_wait_s=600)
     t.join()
     return job.log.read().agg(F.sum("record_count").cast("bigint").alias("records"))
 
@@ -415,8 +617,12 @@ QUERIES: dict[str, Query] = {
     "click_count_by_search": q_click_count_by_search,
     "counter_increment_merge": q_counter_increment_merge,
     "counter_store_replay": q_counter_store_replay,
+    "counter_late_batch": q_counter_late_batch,
+    "counter_increment_one": q_counter_increment_one,
     "counter_get": q_counter_get,
     "batch_record_count": q_batch_record_count,
+    "empty_batch_skip": q_empty_batch_skip,
+    "record_sink": q_record_sink,
     "offset_ranges": q_offset_ranges,
     "offset_range_report": q_offset_range_report,
     "offset_encode": q_offset_encode,
@@ -433,6 +639,7 @@ QUERIES: dict[str, Query] = {
     "topic_values": q_topic_values,
     "topic_generate": q_topic_generate,
     "cell_put_latest": q_cell_put_latest,
+    "cell_put_one": q_cell_put_one,
     "cell_delete": q_cell_delete,
     "get_row": q_get_row,
     "get_rows": q_get_rows,
@@ -441,6 +648,7 @@ QUERIES: dict[str, Query] = {
     "range_scan": q_range_scan,
     "filter_scan": q_filter_scan,
     "cell_versions": q_cell_versions,
+    "cell_versions_compacted": q_cell_versions_compacted,
     "scan_page": q_scan_page,
     "cell_page_rows": q_cell_page_rows,
     "bucketed_cells": q_bucketed_cells,
@@ -456,12 +664,16 @@ QUERIES: dict[str, Query] = {
     "salted_key": q_salted_key,
     "region_skew": q_region_skew,
     "random_code": q_random_code,
+    "random_code_check": q_random_code_check,
     "snapshot_roundtrip": q_snapshot_roundtrip,
     "snapshot_table": q_snapshot_table,
     "snapshot_list": q_snapshot_list,
     "snapshot_drop": q_snapshot_drop,
     "stream_counters": q_stream_counters,
     "stream_resume": q_stream_resume,
+    "stream_restart_from_log": q_stream_restart_from_log,
+    "stream_commit_before_replay": q_stream_commit_before_replay,
+    "stream_resume_multi_file": q_stream_resume_multi_file,
     "stream_marker_stop": q_stream_marker_stop,
 }
 
@@ -469,7 +681,7 @@ QUERIES: dict[str, Query] = {
 
 _REC = "SELECT topic, \"partition\", \"offset\", \"key\", \"value\" FROM"
 _LATEST_AT_STOP = ("SELECT group_id, topic, \"partition\", arg_max(until_offset, batch_id) AS \"offset\" "
-                   f"FROM log_v WHERE batch_id <= {STOP_AFTER_BATCH} GROUP BY group_id, topic, \"partition\"")
+                   "FROM log_v WHERE batch_id <= (SELECT max(batch_id) // 2 FROM log_v) GROUP BY group_id, topic, \"partition\"")
 _PAGED = ("SELECT rowkey, click_count, row_number() OVER (ORDER BY rowkey) AS row_num FROM counters_v")
 
 
@@ -487,15 +699,25 @@ ORACLE: dict[str, str] = {
         "strftime(\"timestamp\", '%Y%m%d'), CAST(CAST(json_extract_string(\"value\", '$.k') AS INTEGER) AS VARCHAR))"
         " AS rowkey, count(*) AS c FROM topic_v GROUP BY 1, 2) GROUP BY rowkey", "topic_v"),
     "counter_store_replay": V.SQL_COUNTERS,
+    "counter_late_batch": V.SQL_COUNTERS,
+    "counter_increment_one": with_views(
+        "SELECT rowkey, CAST(sum(click_count) AS BIGINT) AS click_count FROM (SELECT * FROM counters_v UNION ALL SELECT * "
+        "FROM " + _values(INCREMENTS, "rowkey, click_count") + ") GROUP BY rowkey", "counters_v"),
     "counter_get": with_views(
         "SELECT CAST(k.pos AS INTEGER) AS pos, k.rowkey, COALESCE(c.click_count, 0) AS click_count FROM "
         + _values(list(enumerate(COUNTER_KEYS)), "pos, rowkey") + " LEFT JOIN counters_v c ON c.rowkey = k.rowkey",
         "counters_v"),
     "batch_record_count": with_views(
         "SELECT batch_id, count(*) AS record_count FROM topic_v GROUP BY batch_id", "topic_v"),
+    "empty_batch_skip": with_views(
+        "SELECT CAST(CASE WHEN batch_id <= half THEN 1 ELSE 3 END AS BIGINT) AS batch_id, count(*) AS records, count(*) "
+        "AS logged FROM topic_v, (SELECT max(batch_id) // 2 AS half FROM topic_v) GROUP BY 1", "topic_v"),
+    "record_sink": "SELECT count(*) AS records FROM events",
     "offset_ranges": with_views(
-        "SELECT batch_id, topic, \"partition\", min(\"offset\") AS from_offset, max(\"offset\") + 1 AS until_offset,"
-        " count(*) AS record_count FROM topic_v GROUP BY batch_id, topic, \"partition\"", "topic_v"),
+        "SELECT l.* EXCLUDE (group_id) FROM log_v l WHERE batch_id < (SELECT max(batch_id) FROM log_v) OR "
+        "\"partition\" = 0 UNION ALL SELECT topic, \"partition\", max(until_offset) AS from_offset, max(until_offset) AS "
+        "until_offset, CAST(0 AS BIGINT) AS record_count, (SELECT max(batch_id) FROM log_v) AS batch_id FROM log_v "
+        "WHERE batch_id < (SELECT max(batch_id) FROM log_v) AND \"partition\" <> 0 GROUP BY topic, \"partition\"", "log_v"),
     "offset_range_report": with_views(
         "SELECT batch_id, '---' || concat_ws(',', topic, CAST(\"partition\" AS VARCHAR), CAST(from_offset AS VARCHAR),"
         " CAST(until_offset AS VARCHAR)) AS line FROM log_v", "log_v"),
@@ -519,7 +741,7 @@ ORACLE: dict[str, str] = {
     "offset_clamp": with_views(
         f"SELECT s.group_id, s.topic, s.\"partition\", greatest(s.\"offset\", coalesce(e.earliest, s.\"offset\")) "
         f"AS \"offset\" FROM ({_LATEST_AT_STOP}) s LEFT JOIN (SELECT topic, \"partition\", min(\"offset\") AS earliest"
-        f" FROM topic_v WHERE batch_id >= \"partition\" + {RETENTION_BATCH_SHIFT} GROUP BY topic, \"partition\") e "
+        " FROM topic_v WHERE batch_id >= \"partition\" + (SELECT max(batch_id) // 3 FROM topic_v) GROUP BY topic, \"partition\") e "
         "ON s.topic = e.topic AND s.\"partition\" = e.\"partition\"", "log_v"),
     "offset_paths": with_views(
         "SELECT concat_ws('/', '/kafka/offsets', group_id, topic, CAST(\"partition\" AS VARCHAR)) AS path, "
@@ -542,7 +764,17 @@ ORACLE: dict[str, str] = {
         "SELECT topic, \"partition\", \"offset\", \"value\" FROM topic_v WHERE topic IN ('events')", "topic_v"),
     "topic_generate": ("SELECT CAST(event_id + 1 AS VARCHAR) AS \"key\", 'hlw:' || strftime(ts, '%Y-%m-%d %H:%M:%S')"
                        " AS \"value\" FROM events"),
-    "cell_put_latest": with_views("SELECT * FROM latest_v", "latest_v"),
+    "cell_put_latest": with_views(
+        "SELECT rowkey, cf, qualifier, ts, seq, value_text FROM (SELECT *, row_number() OVER (PARTITION BY rowkey, cf,"
+        " qualifier ORDER BY ts DESC, seq DESC) AS rn FROM (SELECT rowkey, cf, qualifier, CASE WHEN seq * 2 > n AND "
+        "seq % 3 = 0 THEN n - seq ELSE ts END AS ts, seq, value_text FROM cells_v, (SELECT max(event_id) AS n FROM "
+        "events))) WHERE rn = 1", "cells_v"),
+    "cell_put_one": with_views(
+        "SELECT l.rowkey, l.cf, l.qualifier, CASE WHEN a.seq IS NULL THEN l.ts ELSE "
+        f"{PUT_TS} END AS ts, CASE WHEN a.seq IS NULL THEN l.value_text ELSE 'again ' || a.seq END AS value_text FROM "
+        "latest_v l LEFT JOIN (SELECT qualifier, arg_max(rowkey, seq) AS rowkey, max(seq) AS seq FROM cells_v GROUP BY "
+        "qualifier) a ON l.rowkey = a.rowkey AND l.qualifier = a.qualifier", "latest_v"),
+    "cell_versions_compacted": with_views("SELECT * FROM cells_v", "cells_v"),
     "cell_delete": with_views(
         "SELECT * FROM cells_v WHERE rowkey NOT IN (" + ", ".join(f"'{k}'" for k in DELETE_KEYS) + ")", "cells_v"),
     "get_row": with_views("SELECT * FROM latest_v WHERE rowkey = 'u5'", "latest_v"),
@@ -607,6 +839,8 @@ ORACLE: dict[str, str] = {
         "lambda s: s <= salted)) AS INTEGER) AS region, count(*) AS keys FROM (SELECT substr('123456789ABCDEF', "
         "CAST(('0x' || substr(md5(rowkey), 1, 8))::BIGINT % 15 + 1 AS INTEGER), 1) || '_' || rowkey AS salted "
         "FROM counters_v) GROUP BY 1", "counters_v"),
+    "random_code_check": ("SELECT count(*) AS codes, CAST(8 AS INTEGER) AS shortest, CAST(8 AS INTEGER) AS longest, "
+                          "CAST(0 AS BIGINT) AS other_characters, true AS vary FROM events"),
     "snapshot_roundtrip": with_views("SELECT * FROM latest_v", "latest_v"),
     "snapshot_table": with_views(
         "SELECT rowkey, cf, qualifier, ts, seq, value_text FROM (SELECT *, row_number() OVER (PARTITION BY rowkey, "
@@ -619,6 +853,9 @@ ORACLE: dict[str, str] = {
         "SELECT 'weekly_a' AS snapshot_name, count(*) AS rows FROM latest_v", "latest_v"),
     "stream_counters": V.SQL_COUNTERS,
     "stream_resume": V.SQL_COUNTERS,
+    "stream_restart_from_log": V.SQL_COUNTERS,
+    "stream_commit_before_replay": with_views("SELECT topic, \"partition\", \"offset\" FROM topic_v", "topic_v"),
+    "stream_resume_multi_file": V.SQL_COUNTERS,
     "stream_marker_stop": "SELECT count(*) AS records FROM events",
 }
 
