@@ -12,6 +12,8 @@ the library whole.
 from __future__ import annotations
 
 import os
+from itertools import accumulate
+from operator import itemgetter
 
 import numpy as np
 
@@ -69,23 +71,20 @@ class CachedEncoder:
             some = pieces[k:k + PIECES_A_CALL]
             led = [p if p[:1] == "\n" else " " + p for p in some]
             got = self.tokenizer.encode("".join(led), add_special_tokens=False)
-            ids = np.array(got.ids, self.dtype)
-            if not len(ids):
-                found.update(dict.fromkeys(some, b""))
-                continue
-            starts = np.cumsum([0] + [len(p) for p in led[:-1]])
-            owner = np.searchsorted(starts, np.array(got.offsets, np.int64)[:, 0], "right") - 1
-            ends = np.searchsorted(owner, np.arange(len(some)), "right")
+            ids = np.array(got.ids, self.dtype).tobytes()
+            ends = list(accumulate(map(len, led)))  # characters up to each piece's end
+            at = np.fromiter(map(itemgetter(0), got.offsets), np.int64)
+            cuts = (np.searchsorted(at, ends, "left") * self.dtype.itemsize).tolist()
             begin = 0
-            for p, end in zip(some, ends.tolist(), strict=True):
-                found[p] = ids[begin:end].tobytes()
+            for p, end in zip(some, cuts, strict=True):
+                found[p] = ids[begin:end]
                 begin = end
         return found
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, in the encoder's ``dtype``."""
         split = [self._pieces(t) for t in texts]
-        new = sorted({p for s in split if s for p in s} - self.cache.keys())
+        new = list(set().union(*filter(None, split)).difference(self.cache))
         known = self._learn(new)
         room = CACHE_PIECES - len(self.cache)
         if len(known) <= room:
