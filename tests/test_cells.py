@@ -116,9 +116,9 @@ def test_bucketed_cell_table_no_shuffle(spark, tmp_root):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = t.scan()._jdf.queryExecution().executedPlan().toString()
+        plan = t.scan(use_buckets=True)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Bucketed: true" in plan
-        lookup = get_row(t.scan(), "a")._jdf.queryExecution().executedPlan().toString()
+        lookup = get_row(t.scan(use_buckets=True), "a")._jdf.queryExecution().executedPlan().toString()
         assert "SelectedBucketsCount: 1 out of 4" in lookup
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
@@ -126,10 +126,10 @@ def test_bucketed_cell_table_no_shuffle(spark, tmp_root):
     t2 = BucketedCellTable(spark, tmp_root, buckets=4)
     assert t2.scan().count() == 3
     # the same files read without the bucket spec give the same table
-    plain = t2.scan(use_buckets=False)
+    plain = t2.scan()
     assert "WindowGroupLimit" in plain._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, plain.select("rowkey", "qualifier").collect())) == \
-        sorted(map(tuple, t2.scan().select("rowkey", "qualifier").collect()))
+        sorted(map(tuple, t2.scan(use_buckets=True).select("rowkey", "qualifier").collect()))
 
 
 def test_first_cell_row(spark):
@@ -175,3 +175,36 @@ def test_compaction_keeps_every_version(spark, tmp_root):
     assert t.versions(3).count() == t.versions(MAX_VERSIONS).count() == t.versions(3, as_of=op).count() == 3
     t.compact(keep_versions=1)
     assert t.versions(3, as_of=op).count() == 3  # a reader of that operation sees what was there
+
+
+def test_stored_lookups(spark, tmp_root):
+    t = CellTable(spark, tmp_root)
+    rows = [(f"r{i:04d}", "info", q, f"{q}{i}") for i in range(300) for q in ("x", "y")]
+    t.put(make_put(spark, rows, ts=1000))
+    t.put(make_put(spark, [("r0002", "info", "x", "later")], ts=2000))
+    t.delete(["r0001"])
+    text = lambda df: sorted((r.rowkey, r.qualifier, r.v) for r in
+                             df.select("rowkey", "qualifier", from_utf8("value").alias("v")).collect())
+    assert text(t.get("r0002")) == [("r0002", "x", "later"), ("r0002", "y", "y2")]
+    assert text(t.get("r0001")) == text(t.get("nope")) == []
+    assert [(r.pos, r.rowkey, r.qualifier) for r in t.get_many(["r0299", "nope", "r0001", "r0002"]).collect()] == [
+        (0, "r0299", "x"), (0, "r0299", "y"), (1, "nope", None), (2, "r0001", None), (3, "r0002", "x"),
+        (3, "r0002", "y")]
+    page = t.page(2, after="r0000", predicates=(F.col("qualifier") == "x",), max_versions=5)
+    assert sorted((r.rowkey, r.version) for r in page.collect()) == [("r0002", 1), ("r0002", 2), ("r0003", 1)]
+    assert t.page(2, after="r0299").count() == 0
+    # only the newest version counts, and keys are tried a few at a time
+    assert text(t.first(from_utf8("value").isin("x2", "x200"), step=3)) == [("r0200", "x", "x200")]
+    assert t.first(F.lit(False)).count() == 0
+    for df in (t.get("r0002"), t.page(3, after="r0100")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [IsNotNull(rowkey), " in plan
+
+
+def test_operation_ids_are_claimed(spark, tmp_root, monkeypatch):
+    """Two writers that saw the same listing do not take one id."""
+    a, b = CellTable(spark, tmp_root), CellTable(spark, tmp_root)
+    monkeypatch.setattr(a, "_next_op", lambda: 0)
+    monkeypatch.setattr(b, "_next_op", lambda: 0)
+    assert [x.put(make_put(spark, [(k, "info", "x", k)])) for x, k in ((a, "p"), (b, "q"))] == [0, 1]
+    assert CellTable(spark, tmp_root).scan().count() == 2

@@ -87,3 +87,10 @@ def test_default_page_sizes(spark):
     assert page_next(df, "k009").count() == 10
     p = Pager(df)
     assert p.next().count() == 100  # page model default
+
+
+def test_repeated_keys_number_the_same_rows_each_time(spark):
+    df = spark.range(2000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) AS rowkey", "id")
+    numbers = [sorted((r.id, r.row_num) for r in paginate(df.repartition(n), 100, partitions=8).collect())
+               for n in (2, 5)]
+    assert numbers[0] == numbers[1] and sorted(n for _, n in numbers[0]) == list(range(1, 2001))

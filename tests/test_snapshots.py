@@ -57,3 +57,14 @@ def test_take_after_drop_same_millisecond(spark, tmp_root, monkeypatch):
     st.take("s", src.filter("x = 0"))
     assert st.read("s").count() == 1
     assert [r.snapshot_name for r in st.list("").collect()] == ["s"]
+
+
+def test_one_regex_dialect(spark, tmp_root):
+    from tidemark.operators.snapshots import SnapshotStore
+    store = SnapshotStore(spark, tmp_root)
+    for name in ("daily_a", "daily_B"):
+        store.take(name, spark.range(1))
+    pattern = r"\p{Lower}+_a"
+    assert [r["snapshot_name"] for r in store.list(pattern).collect()] == ["daily_a"]
+    assert store.drop_matching(pattern) == ["daily_a"]
+    assert [r["snapshot_name"] for r in store.list().collect()] == ["daily_B"]

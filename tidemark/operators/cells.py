@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.codecs import from_utf8, to_utf8
-from tidemark.session import exists, list_dirs
+from tidemark.session import create_file, exists, list_dirs
 from tidemark.sources.common import key_list_frame, restrict_to_keys
 
 CELL_KEY = ["rowkey", "cf", "qualifier"]
@@ -131,14 +131,14 @@ def page_rows(cells: DataFrame, size: int, after_key: str | None = None, start_k
     """PAG-1 / PAG-2 for a table whose rows hold several cells: the page is
     the next ``size`` distinct row keys (a per-task top-n of keys), and the
     cells of exactly those rows are fetched with a semi-join against that
-    page (at most ``size`` keys, so broadcasting it is bounded)."""
+    page (at most ``size`` keys; AQE broadcasts it when it is small)."""
     keys = cells.select("rowkey")
     if start_key is not None:
         keys = keys.filter(F.col("rowkey") >= F.lit(start_key))
     if after_key is not None:
         keys = keys.filter(F.col("rowkey") > F.lit(after_key))
     page = keys.distinct().orderBy("rowkey").limit(size)
-    return cells.join(F.broadcast(page), "rowkey", "left_semi")
+    return cells.join(page, "rowkey", "left_semi")
 
 
 def first_cell_row(cells: DataFrame, predicate: Column | None = None) -> DataFrame:
@@ -173,6 +173,14 @@ class CellTable:
                for d in list_dirs(self.spark, f"{self.path}/{sub}") if d.startswith("op=")]
         return max(ops) + 1 if ops else 0
 
+    def _claim_op(self) -> int:
+        """A new operation id, claimed by a file that only one writer can
+        create; a second writer that saw the same listing takes the next."""
+        op = self._next_op()
+        while not create_file(self.spark, f"{self.path}/ops/{op}"):
+            op += 1
+        return op
+
     def versions(self, max_versions: int, as_of: int | None = None) -> DataFrame:
         """LKP-7 on the stored table."""
         return cell_versions(self.raw(as_of).drop("op"), max_versions)
@@ -181,7 +189,7 @@ class CellTable:
 
     def put(self, cells: DataFrame) -> int:
         t0 = time.time()
-        op = self._next_op()
+        op = self._claim_op()
         write_sorted(cells.select(*schemas.CELLS.fieldNames()), f"{self.path}/puts/op={op}")
         self.last_put_ms = int((time.time() - t0) * 1000)
         return op
@@ -193,11 +201,54 @@ class CellTable:
     def delete(self, keys: list[str] | DataFrame) -> int | None:
         if isinstance(keys, list) and not keys:
             return None
-        op = self._next_op()
+        op = self._claim_op()
         kdf = _key_frame(self.spark, keys).select("rowkey").distinct()
-        kdf.write.mode("overwrite").parquet(f"{self.path}/deletes/op={op}")
+        kdf.write.parquet(f"{self.path}/deletes/op={op}")
         return op
 
+    def get(self, rowkey: str, as_of: int | None = None) -> DataFrame:
+        """LKP-1 on the stored table: the key reaches the scan."""
+        return get_row(self.raw(as_of).drop("op"), rowkey)
+
+    def get_many(self, keys: list[str], as_of: int | None = None) -> DataFrame:
+        """LKP-2 on the stored table: the keys' span reaches the scan."""
+        return get_rows(self.raw(as_of).drop("op"), keys)
+
+    def page(self, size: int, after: str | None = None, start: str | None = None, stop: str | None = None,
+             predicates: tuple = (), max_versions: int = 0, as_of: int | None = None) -> DataFrame:
+        """The paged scan in one call: the next ``size`` row keys after
+        ``after`` within [start, stop) that have a stored version passing the
+        predicates, with those versions up to the limit (<= 0 newest only). The
+        page's keys come first, as a top-n of distinct keys without ranking
+        any cell; being the smallest ones, they are a key range, which the
+        scan for their cells is pruned to."""
+        picked = filter_scan(range_scan(self.raw(as_of).drop("op"), start, stop), *predicates)
+        if after is not None:
+            picked = picked.filter(F.col("rowkey") > F.lit(after))
+        keys = [r[0] for r in picked.select("rowkey").distinct().orderBy("rowkey").limit(size).collect()]
+        if not keys:
+            return cell_versions(picked.limit(0), max_versions)
+        return cell_versions(picked.filter(F.col("rowkey").between(keys[0], keys[-1])), max_versions)
+
+    def first(self, predicate: Column | None = None, as_of: int | None = None, step: int = 64) -> DataFrame:
+        """LKP-4 on the stored table: the first row with a visible cell that
+        passes, with those cells. Row keys are tried in order, ``step`` at a
+        time, so only the start of the table is ranked."""
+        conds, after = (predicate,) if predicate is not None else (), None
+        raw = self.raw(as_of).drop("op")
+        while True:
+            found = filter_scan(raw, *conds)
+            if after is not None:
+                found = found.filter(F.col("rowkey") > F.lit(after))
+            keys = [r[0] for r in found.select("rowkey").distinct().orderBy("rowkey").limit(step).collect()]
+            if not keys:
+                return latest_cells(raw.limit(0))
+            shown = filter_scan(latest_cells(raw.filter(F.col("rowkey").between(keys[0], keys[-1]))), *conds)
+            first = shown.agg(F.min("rowkey")).first()[0]
+            if first is not None:
+                return filter_scan(get_row(raw, first), *conds)
+            after = keys[-1]
+
     def current_op(self) -> int:
         """Id of the newest operation (-1 for an empty table)."""
         return self._next_op() - 1
@@ -308,8 +359,7 @@ class BucketedCellTable:
         t0 = time.time()
         op = self._next_op()
         self._log_op(op, "put")
-        (cells.select(*schemas.CELLS.fieldNames()).withColumn("op", F.lit(op))
-         .repartition(self.buckets, "rowkey")
+        (cells.select(*schemas.CELLS.fieldNames()).withColumn("op", F.lit(op)).transform(self._by_bucket)
          .write.mode("append").insertInto(self.puts_table))
         self.last_put_ms = int((time.time() - t0) * 1000)
         return op
@@ -322,16 +372,21 @@ class BucketedCellTable:
             return None
         op = self._next_op()
         self._log_op(op, "delete")
-        (_key_frame(self.spark, keys).select("rowkey").distinct().withColumn("op", F.lit(op))
-         .repartition(self.buckets, "rowkey")
+        (_key_frame(self.spark, keys).select("rowkey").distinct().withColumn("op", F.lit(op)).transform(self._by_bucket)
          .write.mode("append").insertInto(self.deletes_table))
         return op
 
-    def raw(self, as_of: int | None = None, use_buckets: bool = True) -> DataFrame:
-        """``use_buckets=False`` reads the same files without the bucket spec:
-        for a table where one row holds a large share of all cells, one
-        bucket would be one task; read plainly, the newest-version step gets
-        its map-side partial limit and AQE can split skewed partitions."""
+    def _by_bucket(self, rows: DataFrame) -> DataFrame:
+        """Rows of a bucket go to the same writer; AQE splits a bucket that is
+        too large for one (a row with a large share of all cells)."""
+        return (rows.withColumn("_bucket", F.pmod(F.hash("rowkey"), F.lit(self.buckets)))
+                .hint("rebalance", "_bucket").drop("_bucket"))
+
+    def raw(self, as_of: int | None = None, use_buckets: bool = False) -> DataFrame:
+        """Read plainly by default: the newest-version step gets its map-side
+        partial limit and AQE can split skewed partitions. ``use_buckets=True``
+        reads with the bucket spec and no shuffle, one task per bucket: for
+        tables in which no row holds a large share of all cells."""
         if use_buckets:
             cells, dels = self.spark.table(self.puts_table), self.spark.table(self.deletes_table)
         else:
@@ -345,7 +400,7 @@ class BucketedCellTable:
         return (cells.join(dels, "rowkey", "left")
                 .filter(F.col("_del_op").isNull() | (F.col("op") > F.col("_del_op"))).drop("_del_op"))
 
-    def scan(self, as_of: int | None = None, use_buckets: bool = True) -> DataFrame:
+    def scan(self, as_of: int | None = None, use_buckets: bool = False) -> DataFrame:
         return latest_cells(self.raw(as_of, use_buckets).drop("op"))
 
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import scratch_dir
 
 # Fixed values that must equal the original's: the page model's default page
 # size, and the size used when a scan is called without a page model.
@@ -114,16 +114,20 @@ def paginate(df: DataFrame, size: int = DEFAULT_PAGE_SIZE, key: str = "rowkey",
              partitions: int | None = None, tiebreak: list[str] | None = None) -> DataFrame:
     """PAG-4: ``row_num`` (1-based key order) and ``page_index`` for every row.
 
-    One range shuffle + in-partition sort, a reliable checkpoint so partition
-    ids stay fixed between the two passes, one tiny aggregate of per-partition
-    counts, and a broadcast of those counts (one row per range partition).
-    When keys repeat, ``tiebreak`` columns join the range bounds, so even a
-    key holding a third of the rows is split over many range partitions."""
-    order = [key, *(tiebreak or [])]
+    One range shuffle + in-partition sort, written once to the shared folder
+    as Parquet with each row's partition and place in it, one tiny aggregate
+    of per-partition counts (reading the partition column alone), and a
+    broadcast of those counts (one row per range partition). ``tiebreak``
+    columns order rows of one key and join the range bounds, so even a key
+    holding a third of the rows is split over many range partitions; without
+    them a hash of the whole row does, so numbers do not depend on the run."""
+    order = [F.col(key), *(map(F.col, tiebreak) if tiebreak else [F.xxhash64(*df.columns)])]
     rng = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    rng = cut_lineage(rng.sortWithinPartitions(*order))
-    tagged = rng.withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+    tagged = rng.sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+    path = scratch_dir(df.sparkSession, "paged")
+    tagged.write.parquet(path)
+    tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: the running sum over this small frame is the base
     bases = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(

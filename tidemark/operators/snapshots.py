@@ -18,7 +18,6 @@ bounded; the data itself never leaves the executors."""
 
 from __future__ import annotations
 
-import re
 import time
 import uuid
 
@@ -54,21 +53,25 @@ class SnapshotStore:
         self.spark.createDataFrame(full, REGISTRY_SCHEMA).coalesce(1) \
             .write.mode("append").parquet(f"{self.root}/registry")
 
-    def _live_df(self) -> DataFrame:
+    def _live_df(self, name: str | None = None) -> DataFrame:
+        """Live snapshots; with a name only its own actions are read."""
         w = Window.partitionBy("snapshot_name").orderBy(F.col("at_ms").desc(), F.col("action").asc())
-        r = self._registry().withColumn("_rn", F.row_number().over(w))
+        r = self._registry()
+        if name is not None:
+            r = r.filter(F.col("snapshot_name") == F.lit(name))
+        r = r.withColumn("_rn", F.row_number().over(w))
         return r.filter((F.col("_rn") == 1) & (F.col("action") == "take")).drop("_rn")
 
     def live(self) -> DataFrame:
         return self._live_df().select("snapshot_name", "copy_id")
 
-    def _live_records(self) -> dict:
-        return {r["snapshot_name"]: r for r in self._live_df().collect()}
+    def _live_record(self, name: str):
+        return self._live_df(name).first()
 
     def _check_new(self, name: str) -> None:
         if not name or not name.strip():
             raise ValueError("snapshot name is blank")
-        if name in self._live_records():
+        if self._live_record(name) is not None:
             raise ValueError(f"snapshot {name!r} exists")
 
     def take(self, name: str, df: DataFrame) -> str:
@@ -91,10 +94,9 @@ class SnapshotStore:
         return op
 
     def read(self, name: str) -> DataFrame:
-        live = self._live_records()
-        if name not in live:
+        r = self._live_record(name)
+        if r is None:
             raise KeyError(name)
-        r = live[name]
         if r["table_path"] is not None:
             from tidemark.operators.cells import BucketedCellTable, CellTable
             t = (BucketedCellTable(self.spark, r["table_path"], r["buckets"]) if r["table_kind"] == "bucketed"
@@ -114,8 +116,7 @@ class SnapshotStore:
         """SNP-3: drop every live snapshot whose name matches; blank refused."""
         if not pattern or not pattern.strip():
             raise ValueError("snapshot name pattern is blank")
-        rx = re.compile(f"^(?:{pattern})$")
-        names = [n for n in self._live_records() if rx.match(n)]
+        names = [r["snapshot_name"] for r in self.list(pattern).collect()]  # the names to drop
         if names:
             now = self._now()
             self._record([(n, None, "drop", now) for n in names])
@@ -125,7 +126,7 @@ class SnapshotStore:
         """SNP-4: drop one snapshot by exact name; blank refused."""
         if not name or not name.strip():
             raise ValueError("snapshot name is blank")
-        if name not in self._live_records():
+        if self._live_record(name) is None:
             return False
         self._record([(name, None, "drop", self._now())])
         return True

@@ -93,8 +93,16 @@ def q_counter_increment_one(spark, sf):
     return store.read()
 
 
+def _stored_counters(spark, sf):
+    """The counters as a stored table: a compacted, key-sorted base."""
+    store = C.CounterStore(spark, scratch_dir(spark, "counters"))
+    store.add(V.counters(spark, sf), batch_id=0)
+    store.compact()
+    return store
+
+
 def q_counter_get(spark, sf):
-    return C.lookup_counters(V.counters(spark, sf), COUNTER_KEYS)
+    return _stored_counters(spark, sf).get(COUNTER_KEYS)
 
 
 # ---- batches and offsets ---------------------------------------------------
@@ -285,12 +293,19 @@ def q_cell_delete(spark, sf):
     return V.readable(CL.delete_rows(V.cells(spark, sf), DELETE_KEYS))
 
 
+def _stored_cells(spark, sf) -> CL.CellTable:
+    """The cells as a stored, key-sorted table: lookups prune its scan."""
+    t = CL.CellTable(spark, scratch_dir(spark, "cells"))
+    t.put(V.cells(spark, sf))
+    return t
+
+
 def q_get_row(spark, sf):
-    return V.readable(CL.get_row(V.cells(spark, sf), "u5"))
+    return V.readable(_stored_cells(spark, sf).get("u5"))
 
 
 def q_get_rows(spark, sf):
-    return V.readable(CL.get_rows(V.cells(spark, sf), CELL_KEYS), "pos")
+    return V.readable(_stored_cells(spark, sf).get_many(CELL_KEYS), "pos")
 
 
 def q_first_row(spark, sf):
@@ -299,11 +314,11 @@ def q_first_row(spark, sf):
 
 def q_first_cell_row(spark, sf):
     """The first row (key order) with a non-error cell, with those cells."""
-    return V.readable(CL.first_cell_row(V.cells(spark, sf), F.col("qualifier") != "error"))
+    return V.readable(_stored_cells(spark, sf).first(F.col("qualifier") != "error"))
 
 
 def q_range_scan(spark, sf):
-    return CL.range_scan(V.counters(spark, sf), "20240105", "20240106")
+    return CL.range_scan(_stored_counters(spark, sf).read(), "20240105", "20240106")
 
 
 def q_filter_scan(spark, sf):
@@ -317,13 +332,14 @@ def q_cell_versions(spark, sf):
 def q_scan_page(spark, sf):
     """The paged scan in one call: key range, predicate, newest 2 versions,
     then the first page of 10 rows."""
-    cells = CL.scan_cells(V.cells(spark, sf), "u1", "u5", (F.col("qualifier") != "error",), max_versions=2)
-    return V.readable(CL.page_rows(cells, 10), "version")
+    page = _stored_cells(spark, sf).page(10, start="u1", stop="u5", predicates=(F.col("qualifier") != "error",),
+                                         max_versions=2)
+    return V.readable(page, "version")
 
 
 def q_cell_page_rows(spark, sf):
     """Second page of 10 rows (all their visible cells) after row u105."""
-    return V.readable(CL.page_rows(CL.latest_cells(V.cells(spark, sf)), 10, after_key="u105"))
+    return V.readable(_stored_cells(spark, sf).page(10, after="u105"))
 
 
 def q_bucketed_cells(spark, sf):
