@@ -39,6 +39,9 @@ STEMS = (4, 5, 6)
 NEAR = 5
 #: Rows of one in so many are kept from the trees for the calibration.
 CALIBRATION_SHARE = 4
+#: Clean rows that the calibration supposes at its highest margin: a score of
+#: 0.5 then needs more toxic rows than these there, not two or three by chance.
+SUPPOSED_CLEAN = 3
 #: Share of the margin's own order that separates scores the isotonic steps tie.
 TIE_SHARE = 1e-3
 
@@ -200,9 +203,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
         known.where(~calibrates)).select("features", F.col("toxic").cast("double").alias("label"))
     trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.3, minInstancesPerNode=5, seed=7).fit(train)
-    held = _margin(trees, known.where(calibrates), ["toxic"])
-    steps = IsotonicRegression(featuresCol="margin", labelCol="label").fit(
-        held.select("margin", F.col("toxic").cast("double").alias("label")))
+    held = _margin(trees, known.where(calibrates), ["toxic"]).select(
+        "margin", F.col("toxic").cast("double").alias("label"))
+    top = held.agg(F.max("margin")).first()[0]
+    supposed = held.sparkSession.createDataFrame([(top, 0.0)] * SUPPOSED_CLEAN, "margin double, label double")
+    steps = IsotonicRegression(featuresCol="margin", labelCol="label").fit(held.unionByName(supposed))
     return ToxicityModel(lexicon, trees, steps, bad / sum(sizes.values()))
 
 
