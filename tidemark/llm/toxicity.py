@@ -207,7 +207,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         "margin", F.col("toxic").cast("double").alias("label"))
     top = held.agg(F.max("margin")).first()[0]
     supposed = held.sparkSession.createDataFrame([(top, 0.0)] * SUPPOSED_CLEAN, "margin double, label double")
-    steps = IsotonicRegression(featuresCol="margin", labelCol="label").fit(held.unionByName(supposed))
+    # Most clean rows share a margin: one row per margin, weighted, instead of ties in one task.
+    weighed = held.unionByName(supposed).groupBy("margin").agg(
+        F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
+    steps = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(weighed)
     return ToxicityModel(lexicon, trees, steps, bad / sum(sizes.values()))
 
 
