@@ -3,8 +3,8 @@ SRC-3, SRC-5, SNK-2).
 
 Every frame here is keyed by (topic, partition) or (group, topic, partition),
 so the *stored* side has one row per topic partition: its size is bounded
-by the partition count of the subscribed topics, never by the data. Joins
-carry no hint: AQE broadcasts a side whose runtime size allows it.
+by the partition count of the subscribed topics, never by the data. Only
+that side is broadcast to records, after it was counted.
 """
 
 from __future__ import annotations
@@ -127,12 +127,23 @@ def resume_from_positions(records: DataFrame, positions: list[tuple[str, int, in
     return records.filter(positions_predicate(positions, assign))
 
 
+#: Stored positions up to which they are broadcast to the records (about 50
+#: bytes each); above, the join is left to Spark.
+BROADCAST_POSITIONS = 1_000_000
+
+
+def _starts(stored: DataFrame) -> DataFrame:
+    """The stored side of a resume: one row per topic partition, counted
+    before it is broadcast, so that the records are not shuffled for it."""
+    s = stored.select(*TP, F.col("offset").alias("_start"))
+    return F.broadcast(s) if s.limit(BROADCAST_POSITIONS + 1).count() <= BROADCAST_POSITIONS else s
+
+
 def resume_subscribe(records: DataFrame, stored: DataFrame, default_start: str = "earliest") -> DataFrame:
     """SRC-2: read a bounded topic from stored offsets in Subscribe mode.
     Partitions missing from ``stored`` start at the default position
     (``earliest`` = everything, ``latest`` = nothing already written)."""
-    s = stored.select(*TP, F.col("offset").alias("_start"))
-    j = records.join(s, TP, "left")
+    j = records.join(_starts(stored), TP, "left")
     if default_start == "earliest":
         cond = F.col("_start").isNull() | (F.col("offset") >= F.col("_start"))
     elif default_start == "latest":
@@ -144,8 +155,7 @@ def resume_subscribe(records: DataFrame, stored: DataFrame, default_start: str =
 
 def resume_assign(records: DataFrame, stored: DataFrame) -> DataFrame:
     """SRC-3: Assign mode reads only the stored partitions, from their offsets."""
-    s = stored.select(*TP, F.col("offset").alias("_start"))
-    return records.join(s, TP, "inner").filter(F.col("offset") >= F.col("_start")).drop("_start")
+    return records.join(_starts(stored), TP, "inner").filter(F.col("offset") >= F.col("_start")).drop("_start")
 
 
 def start_positions(log: DataFrame, group_id: str, commit: str = "after",

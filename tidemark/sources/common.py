@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,11 +9,13 @@ def col_of(c) -> Column:
 
 
 def key_list_frame(spark: SparkSession, keys: list, key: str = "rowkey") -> DataFrame:
-    """(pos, key) rows for a driver-side key list. No join hint: AQE picks the
-    join from the frame's size, whatever its length."""
+    """(pos, key) rows for a driver-side key list. It is a local relation, whose
+    size the planner knows: joins broadcast it below the session's threshold
+    and sort-merge it above, without a hint."""
     if any(k is None for k in keys):
         raise ValueError("null row key in key list")
-    return spark.createDataFrame([(i, k) for i, k in enumerate(keys)], f"pos int, {key} string")
+    return spark.createDataFrame(pa.table({"pos": pa.array(range(len(keys)), pa.int32()),
+                                           key: pa.array(keys, pa.string())}))
 
 
 def restrict_to_keys(df: DataFrame, keys: list, key: str = "rowkey") -> DataFrame:
@@ -23,7 +26,7 @@ def restrict_to_keys(df: DataFrame, keys: list, key: str = "rowkey") -> DataFram
     asked = sorted(set(keys))
     if not asked:
         return df.limit(0)
-    kdf = df.sparkSession.createDataFrame([(k,) for k in asked], f"{key} string")
+    kdf = df.sparkSession.createDataFrame(pa.table({key: pa.array(asked, pa.string())}))
     return df.filter((F.col(key) >= F.lit(asked[0])) & (F.col(key) <= F.lit(asked[-1]))).join(kdf, key, "left_semi")
 
 
