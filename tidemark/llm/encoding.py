@@ -12,17 +12,22 @@ the library whole.
 from __future__ import annotations
 
 import os
+import re
 from itertools import accumulate
 from operator import itemgetter
 
 import numpy as np
 
 #: Distinct pieces that a worker keeps (about 200 bytes each).
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 
 #: Pieces that one call of the library gets.
 PIECES_A_CALL = 512
 
+#: A full stop or comma after a letter or digit begins a pre-token, so words
+#: are found in the cache whatever follows them; not after any other sign.
+AFTER_SIGN = re.compile(r"[\W_][.,]")
+
 _ENCODERS: dict[tuple[str, str], CachedEncoder] = {}
 
 
@@ -54,19 +59,30 @@ class CachedEncoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _pieces(self, text: str) -> list[str] | None:
-        """The text's pieces, or None if its borders are not certain."""
+        """The text's pieces, or None if its borders are not certain. In a
+        ``space_led`` piece the leading space is left out; a piece that has
+        none begins with a line break or, for stops and commas, with NUL."""
         if self.kind == "whole" or any(s in text for s in self.special):
             return None
         if self.kind == "space_free":
+            if not AFTER_SIGN.search(text):
+                text = text.replace(".", " .").replace(",", " ,")
             return text.replace("\n", " ").split(" ")
-        if text.split() != text.replace("\n", " ").split(" "):
+        if "\0" in text or text.split() != text.replace("\n", " ").split(" "):
             return None
-        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+        text = "\n" + text
+        if not AFTER_SIGN.search(text):
+            text = text.replace(".", " \0.").replace(",", " \0,")
+        return text.replace("\n", " \n").split(" ")[1:]
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces, many in one call: they are joined as they would
         stand in a text, and a token belongs to the piece it starts in."""
         found: dict[str, bytes] = {}
+        if self.kind == "space_led":
+            alone = [p for p in pieces if p[:1] == "\0"]
+            found.update((p, np.array(self._encode(p[1:]), self.dtype).tobytes()) for p in alone)
+            pieces = [p for p in pieces if p[:1] != "\0"]
         for k in range(0, len(pieces), PIECES_A_CALL):
             some = pieces[k:k + PIECES_A_CALL]
             led = [p if p[:1] == "\n" else " " + p for p in some]
