@@ -60,3 +60,25 @@ def test_rules_are_filed_under_their_rarest_token():
 def test_no_rows_and_no_rules(spark):
     assert judge_urls(frame(spark, ["x"]).limit(0), HOST_RULES, PATTERN_RULES).count() == 0
     assert [r.verdict for r in judge_urls(frame(spark, URLS), [], []).collect()] == ["allow"] * len(URLS)
+
+
+#: By hand: verdict and pattern of the registered query.
+BY_HAND = {"http://a.org/login/x": ("block", "/login/"), "https://example.org/login/": ("block", "/login/"),
+           "https://example.org/wp-admin/x.php": ("block", "/wp-admin/"), "http://a.org/xlogin/": ("allow", None),
+           "http://a.org/login": ("allow", None), "http://spam-farms.org/": ("block", "spam-farm"),
+           "http://myspam-farm.com/": ("allow", "spam-farm"), "http://casino-win.org/wp-admin/": ("block", "/wp-admin/"),
+           "http://a.org/?xutm_source=1&ref=2": ("block", "utm_source=*&ref=*"), "http://a.org/?utm_sources=1&ref=2": ("allow", None)}
+
+
+def test_registered_query_finds_patterns_without_borders(spark, tmp_path, monkeypatch):
+    import duckdb
+    from tidemark.llm.queries import ORACLE, op2_url_filter
+    some = [*BY_HAND, *URLS]
+    frame(spark, some).select("page_id", "url").write.parquet(f"{tmp_path}/pages.parquet")
+    want = duckdb.sql(f"WITH pages AS (FROM '{tmp_path}/pages.parquet/*.parquet') SELECT * FROM ({ORACLE['op2_url_filter']})")
+    want = sorted(want.fetchall())
+    for most in (urls.RULES_A_PASS, 2):
+        monkeypatch.setattr(urls, "RULES_A_PASS", most)
+        got = sorted(map(tuple, op2_url_filter(spark, str(tmp_path)).collect()))
+        assert [(r[4], r[5]) for r in got[:len(BY_HAND)]] == list(BY_HAND.values())
+        assert got == want

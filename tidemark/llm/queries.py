@@ -43,7 +43,7 @@ def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"), HOST_RULES, PATTERN_RULES)
+    return judge_urls(table(spark, sf_dir, "pages"), HOST_RULES, PATTERN_RULES, plain=True)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

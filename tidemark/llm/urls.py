@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,10 +55,12 @@ class HostRule:
 @dataclass(frozen=True)
 class PatternRule:
     """A glob: ``*`` stands for any characters. Ends without ``*`` fall on
-    token borders. Matched anywhere in the URL with A-Z lower-cased."""
+    token borders, unless the rule is ``anywhere``. Matched anywhere in the URL
+    with A-Z lower-cased."""
 
     action: str
     pattern: str
+    anywhere: bool = False
 
     @property
     def text(self) -> str:
@@ -67,13 +69,13 @@ class PatternRule:
     @property
     def regex(self) -> str:
         parts = [re.escape(p) for p in self.pattern.translate(TO_LOWER).split("*")]
-        return rf"(?s).*?(?<![a-z0-9]){'.*'.join(parts)}(?![a-z0-9])" if "*" not in (
+        return rf"(?s).*?(?<![a-z0-9]){'.*'.join(parts)}(?![a-z0-9])" if not self.anywhere and "*" not in (
             self.pattern[:1], self.pattern[-1:]) else "(?s).*?" + ".*".join(parts)
 
     @property
     def tokens(self) -> set[str]:
         text = self.pattern.translate(TO_LOWER)
-        open_ends = text[:1] == "*" or text[-1:] == "*"
+        open_ends = self.anywhere or text[:1] == "*" or text[-1:] == "*"
         return {m[0] for m in TOKEN.finditer(text)
                 if "*" not in (text[m.start() - 1:m.start()], text[m.end():m.end() + 1])
                 and not (open_ends and (m.start() == 0 or m.end() == len(text)))}
@@ -109,11 +111,12 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host.translate(TO_LOWER), re.split("[?#]", rest[len(host):], maxsplit=1)[0]
 
 
-def _judge(index: dict[str, list]):
+def _judge(index: dict[str, list], smaller: bool):
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = {r: re.compile(r.regex) for rules in index.values() for r in rules}
-        better = lambda a, b: b if a is None or (len(b.text), b.action == "block", b.text) > (
-            len(a.text), a.action == "block", a.text) else a
+        rank = lambda r: (len(r.text), r.action == "block")
+        better = lambda a, b: b if a is None or rank(b) > rank(a) or rank(b) == rank(a) and (
+            b.text < a.text if smaller else b.text > a.text) else a
         for batch in slices(batches, "__url"):
             hosts, paths, found = [], [], {"rule": [], "action": [], "pattern": [], "pattern_action": []}
             for url in batch.column("__url").to_pylist():
@@ -138,17 +141,21 @@ def _judge(index: dict[str, list]):
 
 
 def judge_urls(pages: DataFrame, host_rules: list[HostRule], pattern_rules: list[PatternRule],
-               id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
+               id_col: str = "page_id", url_col: str = "url", default: str = "allow",
+               plain: bool = False) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule (the longest
     host rule that fits, else null), verdict, pattern (the longest pattern
     rule that fits, else null).
 
     The verdict is the host rule's, else the pattern rule's, else ``default``.
-    Of rules of one length a block wins, then the larger text. A null or empty
+    Of rules of one length a block wins, then the larger text. With ``plain``
+    patterns ask for no token borders, and the smaller text wins. A null or empty
     URL, or one without ``://``, has an empty host and path and can only fit
     pattern rules. Repeated rows are judged each by itself; other columns are
     not read; an empty frame gives no rows.
     """
+    if plain:
+        pattern_rules = [replace(r, anywhere=True) for r in pattern_rules]
     rules = [*dict.fromkeys([*host_rules, *pattern_rules])]
     counts = token_counts(pages, url_col, {t for r in rules for t in r.tokens}) if rules else {}
     names = ("host", "path", "rule", "action", "pattern", "pattern_action")
@@ -156,12 +163,13 @@ def judge_urls(pages: DataFrame, host_rules: list[HostRule], pattern_rules: list
     passes = [rules[k:k + RULES_A_PASS] for k in range(0, len(rules), RULES_A_PASS)] or [[]]
     for k, some in enumerate(passes):
         schema = T.StructType([*out.schema.fields, *(T.StructField(f"__{n}", T.StringType()) for n in names)])
-        out = out.mapInArrow(_judge(index_rules(some, counts)), schema)
+        out = out.mapInArrow(_judge(index_rules(some, counts), plain), schema)
         if k:  # the better of this pass and those before
             for name, act in (("rule", "action"), ("pattern", "pattern_action")):
-                key = lambda n, a: F.struct(F.length(n), F.col(a) == "block", F.col(n))
-                new = F.col(f"__{name}").isNotNull() & (
-                    F.col(name).isNull() | (key(f"__{name}", f"__{act}") > key(name, act)))
+                rank = lambda n, a: F.struct(F.length(n), F.col(a) == "block")
+                a, b = rank(name, act), rank(f"__{name}", f"__{act}")
+                first = F.col(f"__{name}") < F.col(name) if plain else F.col(f"__{name}") > F.col(name)
+                new = F.col(f"__{name}").isNotNull() & (F.col(name).isNull() | (b > a) | ((b == a) & first))
                 out = out.withColumns({name: F.when(new, F.col(f"__{name}")).otherwise(F.col(name)),
                                        act: F.when(new, F.col(f"__{act}")).otherwise(F.col(act))})
             out = out.drop(*(f"__{n}" for n in names))
