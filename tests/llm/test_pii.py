@@ -85,3 +85,30 @@ def test_whole_table_inverts(spark):
 
 def test_no_rows(spark):
     assert pseudonymise_documents(none(spark), KEY).count() == 0
+
+
+def test_values_next_to_other_digits_and_capitals():
+    card, be, es = "4111 1111 1111 1111", "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332"
+    new = {v: pseudonym("iban" if v[0] > "9" else "card", v, KEY) for v in (card, be, es)}
+    for text, value in ((f"{card} 12/25", card), (f"{card} 123", card), (f"2 {card}", card), (f"2-{card}-77", card),
+                        (f"2020-01-05 {card} {card}.", card), (f"{be} BIC", be), (f"{es} IBAN", es), (f"XX99 {be} GEBABEBB", be),
+                        (f"{card} 10.0.0.1", card), (f"AB12 {card}", card), (f"AB12 {card} 12", card)):
+        counts = dict.fromkeys(KINDS, 0)
+        changed = pseudonymise(text, KEY, counts)
+        assert value not in changed and new[value] in changed, text
+        assert counts["iban" if value[0] > "9" else "card"] == text.count(value), text
+        assert pseudonymise(changed, KEY, back=True) == text
+
+
+def test_cards_among_digits_invert():
+    r = random.Random(4)
+    for _ in range(1500):
+        payload = "".join(r.choices("0123456789", k=r.choice((12, 13, 14, 15, 15, 15, 18))))
+        digits = payload + luhn_digit(payload)
+        card = digits if r.random() < .3 else " ".join(digits[i:i + 4] for i in range(0, len(digits), 4))
+        around = [" ".join("".join(r.choices("0123456789", k=r.choice((1, 2, 3, 4)))) for _ in range(r.randrange(3))) for _ in "ab"]
+        text = f"{r.choice(('', 'AB12 '))}{around[0]} {card} {around[1]}"
+        counts = dict.fromkeys(KINDS, 0)
+        changed = pseudonymise(text, KEY, counts)
+        assert counts["card"] + counts["iban"] and changed != text
+        assert pseudonymise(changed, KEY, back=True) == text, text

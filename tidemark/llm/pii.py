@@ -32,16 +32,24 @@ FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 LAST_DAY = datetime.date(2099, 12, 31).toordinal()
 
 #: Numbers and dates; which alternative matched tells the kind. The lookahead
-#: passes over other characters quickly.
+#: passes over other characters quickly. A card is only begun here: its digits
+#: are among the groups of the RUN that starts there.
 PATTERN = re.compile(
     r"(?=[\d+(]|[A-Z]{2}\d)(?:"
     r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"
-    r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))"
+    r"|(?P<card>(?<![\d-])(?=\d(?:[ -]?\d){12})\d+)"
     r"|(?P<phone>\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)))",
     re.ASCII)
+RUN = re.compile(r"\d+(?:[ -]\d+)*", re.ASCII)
+GROUP = re.compile(r"\d+", re.ASCII)
+#: Groups that cards are written in; tried before other groups of a run.
+CARD_SHAPES = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)}
+#: Rounds in search of a pseudonym that is read back as the same value, divided
+#: by the square of the number of values in the run of digits.
+WALKS = 200
 EMAIL = re.compile(r"(?P<email>[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})", re.ASCII)
 #: Characters before an @ within which an address begins.
 LOCAL_PART = 64
@@ -191,7 +199,7 @@ def pseudonym(kind: str, text: str, key: bytes, back: bool = False) -> str | Non
         return "".join(c if c == " " else next(new) for c in text)
     digits = _digits(text)
     if kind == "card":
-        if luhn_digit(digits[:-1]) != digits[-1]:
+        if not _is_card(digits):
             return None
         n = len(digits) - 1
         new = f"{move(int(digits[:-1]), 10 ** n):0{n}d}"
@@ -209,14 +217,129 @@ def pseudonym(kind: str, text: str, key: bytes, back: bool = False) -> str | Non
     return _into(text, head + f"{move(int(ten), 10 ** 10):010d}")
 
 
+def _is_card(digits: str) -> bool:
+    return luhn_digit(digits[:-1]) == digits[-1]
+
+
+def _cards(text: str, start: int, end: int, mistyped: tuple[int, int]) -> list[tuple[int, int]]:
+    """The cards in a run of digit groups: all 13 to 19 digits between group
+    borders are tried, in the usual shapes first, then from the left, longer
+    ones first. 17 or 18 digits that are all of an IBAN behind wrong check
+    digits are no card."""
+    groups, tries = [m.span() for m in GROUP.finditer(text, start, end)], []
+    for i in range(len(groups)):
+        shape = ()
+        for j in range(i, len(groups)):
+            shape += (groups[j][1] - groups[j][0],)
+            if sum(shape) > 19:
+                break
+            if sum(shape) >= 13 and not (groups[j][1] == end and text[end:end + 1] == "-"):
+                if sum(shape) not in (17, 18) or (groups[i][0], groups[j][1]) != mistyped:
+                    tries.append((len(shape) > 1 and shape not in CARD_SHAPES, i, -j))
+    taken, used = [], set()
+    for _, i, j in sorted(tries):
+        some = range(i, 1 - j)
+        if used.isdisjoint(some) and _is_card(_digits(text[groups[i][0]:groups[-j][1]])):
+            used.update(some)
+            taken.append((groups[i][0], groups[-j][1]))
+    return sorted(taken)
+
+
+def _ibans(m: re.Match, key: bytes, back: bool) -> int | None:
+    """Where the IBAN that starts a match ends: at its end or a space in it."""
+    end = m.end()
+    while end > m.start():
+        if _cached("iban", m.string[m.start():end], key, back) is not None:
+            return end
+        end = m.string.rfind(" ", m.start(), end)
+    return None
+
+
+def _values(text: str, key: bytes, back: bool, at: int = 0) -> list[tuple[str, int, int, tuple[int, int] | None]]:
+    """Kind, start and end of the valid values, and the range in which other
+    places were tried for it (None: it could only be this one)."""
+    found, cards, run, around, failed = [], [], (0, 0), (0, 0), (0, 0, 0)
+    while True:
+        m = PATTERN.search(text, at)
+        if cards and (m is None or m.start() >= cards[0][0] or m.lastgroup != "card" and m.end() > cards[0][0]):
+            start, at = cards.pop(0)
+            shape = tuple(len(g) for g in GROUP.findall(text, start, at))
+            alone = (start, at) == run and (len(shape) == 1 or shape in CARD_SHAPES)
+            found.append(("card", start, at, None if alone and around == run else around))
+            continue
+        if m is None:
+            return found
+        kind, start, end = m.lastgroup, m.start(), m.end()
+        if kind == "card":
+            if start >= run[1]:
+                run = RUN.match(text, start).span()
+                around = (failed[0] if start < failed[2] else start, run[1])
+                cards = _cards(text, *run, failed[1:])
+                if cards and cards[0][0] == start:
+                    continue
+            at = end  # other values may begin at the next group
+        elif kind == "iban":
+            here = _ibans(m, key, back)
+            if here is not None:
+                found.append((kind, start, here, None if here == end else (start, end)))
+            # else values may begin behind the first group
+            space = text.find(" ", start, end)
+            at = here if here is not None else end if space < 0 else space
+            if here is None:
+                failed = (failed[0] if start < failed[2] else start, at + 1, end)
+        else:
+            if _cached(kind, text[start:end], key, back) is not None:
+                found.append((kind, start, end, around if start < run[1] else None))
+            at = end
+
+
+def _change_numbers(text: str, key: bytes, back: bool, counts: dict[str, int] | None) -> str:
+    """Values whose place was chosen among several take the next pseudonyms
+    of their cycle until the new text is read as the same values."""
+    out, done, at, found = [], 0, 0, _values(text, key, back)
+    while at < len(found):
+        around, n = found[at][3], 1
+        while around is not None and at + n < len(found) and found[at + n][3] == around:
+            n += 1
+        some, at = found[at:at + n], at + n
+        if counts is not None:
+            for kind, *_ in some:
+                counts[kind] += 1
+        low, high = some[0][1], some[-1][2]
+        if around is not None:
+            low, high = min(low, around[0]), max(high, around[1])
+            high = min(high, found[at][1]) if at < len(found) else high
+        low = max(low, done)
+        values, first = [text[s:e] for _, s, e, _ in some], None
+        for _ in range(max(1, WALKS // n ** 2)):
+            values = [_cached(v[0], old, key, back) for v, old in zip(some, values)]
+            body, want, k = text[max(low - 1, done):low], [], low
+            start = len(body)
+            for (kind, s, e, _), new in zip(some, values):
+                body += text[k:s]
+                want.append((kind, len(body), len(body) + len(new)))
+                body, k = body + new, e
+            body += text[k:high]
+            first = first or body[start:]
+            if around is None or [v[:3] for v in _values(body + text[high:high + 40], key, back, start)
+                                  if v[1] < len(body)] == want:
+                first = body[start:]
+                break
+        out += [text[done:low], first]
+        done = high
+    out.append(text[done:])
+    return "".join(out)
+
+
 def pseudonymise(text: str, key: bytes, counts: dict[str, int] | None = None, back: bool = False) -> str:
+    """Values that stand alone have one pseudonym everywhere. One whose place
+    among neighbouring digits or capitals is read from its check digits may
+    have another there, so that it can be inverted; where ``WALKS`` rounds
+    find none, it has its usual one and inversion may fail."""
     def change(m: re.Match) -> str:
-        new = _cached(m.lastgroup, m[0], key, back)
-        if new is None:
-            return m[0]
         if counts is not None:
-            counts[m.lastgroup] += 1
-        return new
+            counts["email"] += 1
+        return _cached("email", m[0], key, back)
 
     done, out, at = 0, [], text.find("@")
     while at >= 0:  # addresses are rare: look only around each @
@@ -224,10 +347,10 @@ def pseudonymise(text: str, key: bytes, counts: dict[str, int] | None = None, ba
         if m is None:
             break
         if m.end() > at:
-            out += [PATTERN.sub(change, text[done:m.start()]), change(m)]
+            out += [_change_numbers(text[done:m.start()], key, back, counts), change(m)]
             done = m.end()
         at = text.find("@", max(at + 1, done))
-    out.append(PATTERN.sub(change, text[done:]))
+    out.append(_change_numbers(text[done:], key, back, counts))
     return "".join(out)
 
 
