@@ -112,3 +112,21 @@ def test_cards_among_digits_invert():
         changed = pseudonymise(text, KEY, counts)
         assert counts["card"] + counts["iban"] and changed != text
         assert pseudonymise(changed, KEY, back=True) == text, text
+
+
+def test_written_forms_of_phones():
+    forms = ["555-123-4567", "212 555 0100", "212.555.0100", "1-212-555-0100", "+44 20 7946 0958", "+49 30 901820",
+             "+33 1 42 68 53 00", "+442079460958", "+353 86 123 4567", "+49 (30) 901820", "+44 (0)20 7946 0958", "+1 212 555 0100"]
+    for v in forms:
+        for text in (v, f"Tel.{v}, or", f"call {v}.", f"({v})", f"{v} 4111 1111 1111 1111", f"{v}\n12"):
+            counts = dict.fromkeys(KINDS, 0)
+            changed = pseudonymise(text, KEY, counts)
+            assert counts["phone"] == 1 and v not in changed, text
+            assert len(changed) == len(text) and pseudonymise(changed, KEY, back=True) == text, text
+    new = lambda v: "".join(c for c in pseudonymise(v, KEY) if c.isdigit())
+    assert new("+442079460958") == new("+44 20 7946 0958") and new("+44 20 7946 0958")[:2] == "44"
+    assert new("212 555 0100") == new("(212) 555-0100") == new("+1 212.555.0100")[1:]
+    for text in ("1.212.555.01000", "2020-01-05", "12345-212-555-0100", "+1234567"):
+        counts = dict.fromkeys(KINDS, 0)
+        pseudonymise(text, KEY, counts)
+        assert counts["phone"] == 0, text

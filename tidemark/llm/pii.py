@@ -31,6 +31,17 @@ KINDS = ("email", "card", "iban", "ssn", "phone", "ip", "date")
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 LAST_DAY = datetime.date(2099, 12, 31).toordinal()
 
+#: Phones: a country code and 3-3-4 digits; an area code in parentheses; a
+#: country code and other groups, 8 to 15 digits in all (7 with a one-digit area
+#: code in parentheses); 3-3-4 digits, also behind a 1.
+PHONES = (r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+          r"|\+[1-9]\d{0,2} ?\(\d{1,4}\)(?:[ ./-]?\d){5,8}(?!\d)|\+[1-9](?:[ ./-]?\d){7,14}(?!\d)"
+          r"|(?<![\d+])(?<!\d[.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)(?![.-]\d)")
+PHONE = re.compile(PHONES, re.ASCII)
+#: Country codes of one and two digits; all others have three.
+SHORT_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64"
+               " 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+
 #: Numbers and dates; which alternative matched tells the kind. The lookahead
 #: passes over other characters quickly. A card is only begun here: its digits
 #: are among the groups of the RUN that starts there.
@@ -41,7 +52,7 @@ PATTERN = re.compile(
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"
     r"|(?P<card>(?<![\d-])(?=\d(?:[ -]?\d){12})\d+)"
-    r"|(?P<phone>\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)))",
+    rf"|(?P<phone>{PHONES}))",
     re.ASCII)
 RUN = re.compile(r"\d+(?:[ -]\d+)*", re.ASCII)
 GROUP = re.compile(r"\d+", re.ASCII)
@@ -213,8 +224,11 @@ def pseudonym(kind: str, text: str, key: bytes, back: bool = False) -> str | Non
         at, serial = divmod(move(at, len(areas) * 99 * 9999), 9999)
         area, group = divmod(at, 99)
         return f"{areas[area]:03d}-{group + 1:02d}-{serial + 1:04d}"
-    head, ten = digits[:-10], digits[-10:]  # phone: the country code stays
-    return _into(text, head + f"{move(int(ten), 10 ** 10):010d}")
+    code = len(digits) - 10  # phone: the country code stays
+    if text[0] == "+":
+        code = next((n for n in (1, 2) if digits[:n] in SHORT_CODES), 3)
+    n = len(digits) - code
+    return _into(text, digits[:code] + f"{move(int(digits[code:]), 10 ** n):0{n}d}")
 
 
 def _is_card(digits: str) -> bool:
@@ -277,6 +291,10 @@ def _values(text: str, key: bytes, back: bool, at: int = 0) -> list[tuple[str, i
                 cards = _cards(text, *run, failed[1:])
                 if cards and cards[0][0] == start:
                     continue
+            phone = PHONE.match(text, start)
+            if phone and not (cards and phone.end() > cards[0][0]):
+                found.append(("phone", start, phone.end(), around))
+                end = phone.end()
             at = end  # other values may begin at the next group
         elif kind == "iban":
             here = _ibans(m, key, back)
