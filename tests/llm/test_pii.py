@@ -130,3 +130,9 @@ def test_written_forms_of_phones():
         counts = dict.fromkeys(KINDS, 0)
         pseudonymise(text, KEY, counts)
         assert counts["phone"] == 0, text
+
+
+def test_an_iban_has_one_pseudonym_however_it_is_spaced():
+    spaced = pseudonym("iban", "DE89 3704 0044 0532 0130 00", KEY)
+    assert spaced.replace(" ", "") == pseudonym("iban", "DE89370400440532013000", KEY)
+    assert pseudonym("iban", spaced.replace(" ", ""), KEY, back=True) == "DE89370400440532013000"

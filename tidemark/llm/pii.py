@@ -187,8 +187,8 @@ def _days(sep: str, shape: str, widths: tuple[int, int]) -> Sequence[int]:
 
 def pseudonym(kind: str, text: str, key: bytes, back: bool = False) -> str | None:
     """The value's pseudonym (``back``: its original); None if not valid."""
-    move = lambda value, size: permute(value, size, key, f"{kind}:{len(text)}".encode()
-                                       if kind in ("email", "iban") else kind.encode(), back)
+    tweak = {"email": f"email:{len(text)}", "iban": f"iban:{text[:2]}:{len(text) - text.count(' ')}"}.get(kind, kind).encode()
+    move = lambda value, size: permute(value, size, key, tweak, back)
     if kind == "email":
         local, domain = text.split("@")
         return f"{_mixed(local, move)}@{domain}"
