@@ -343,3 +343,17 @@ def test_new_partition_read_from_start_on_resume(spark, tmp_root):
     assert dict(store2.read().collect()) == _expected(spark)
     last = {r.partition: r.offset for r in job2.log.latest("g").collect()}
     assert last == {0: 250, 1: 250, 2: 250, 3: 250}
+
+
+def test_marker_query_has_no_time_limit(spark, monkeypatch):
+    import itertools
+    import types
+    from tidemark.plans import registry
+    from tidemark.streaming import topic_stream
+    clock = itertools.count(0, 1000)  # a thousand seconds between any two looks
+    monkeypatch.setattr(topic_stream, "time", types.SimpleNamespace(
+        time=lambda: next(clock), sleep=time.sleep, time_ns=time.time_ns))
+    assert registry.q_stream_marker_stop(spark, SF_SMALL).first()[0] == 1000
+    monkeypatch.setattr(registry.S, "stop_on_marker", lambda *a, **k: stop_on_marker(*a, **k) and False)
+    with pytest.raises(RuntimeError, match="before the marker"):
+        registry.q_stream_marker_stop(spark, SF_SMALL)

@@ -618,13 +618,23 @@ def q_stream_marker_stop(spark, sf):
     marker = f"{root}/stop.marker"
     import threading
 
+    failed = []
+
     def drop_marker():
-        q.processAllAvailable()
-        spark.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(marker)
+        try:
+            q.processAllAvailable()
+            spark.createDataFrame([(1,)], "x int").write.mode("overwrite").parquet(marker)
+        except BaseException as e:  # noqa: BLE001 - raised below
+            failed.append(e)
+            q.stop()  # no marker will come
     t = threading.Thread(target=drop_marker)
     t.start()
-    S.stop_on_marker(q, spark, marker, poll_s=0.5, grace_s=0.2, max_wait_s=600)
+    stopped = S.stop_on_marker(q, spark, marker, poll_s=0.5, grace_s=0.2)
     t.join()
+    if failed:
+        raise failed[0]
+    if not stopped:
+        raise RuntimeError("the query ended before the marker appeared")
     return job.log.read().agg(F.sum("record_count").cast("bigint").alias("records"))
 
 
