@@ -98,3 +98,11 @@ def test_no_python_in_the_plan(spark):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     plan = find_contamination(odd(spark), bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
+
+
+def test_repeated_shingles_that_differ(spark):
+    words = " ".join(f"u{i}" for i in range(230))
+    items = spark.createDataFrame([(f"i{k}", f"{words} v{k} " + f"x{k} " * 26) for k in range(4)], "item_id string, text string")
+    docs = spark.createDataFrame([(k, f"{words} v{k} " + f"y{k} " * 26) for k in range(4)], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in find_contamination(docs, items).collect()}
+    assert {(k, f"i{k}") for k in range(4)} <= found

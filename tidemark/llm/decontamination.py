@@ -10,7 +10,10 @@ looked up in every document, and windows that hold enough of them become
 candidates (nothing that could reach the similarity is left out). A candidate
 window gets a SimHash over its shingles, and its 64 bits in ``max_bits`` + 1
 blocks meet the items' blocks: within ``max_bits`` bits one block at least is
-equal. What is within the radius is verified by the exact similarity.
+equal. What is within the radius is verified by the exact similarity. The
+radius holds for shingles that occur once; where one occurs more often in the
+item or the window, or the window is shorter than the item, few shingles may
+turn many bits, and the pair is verified whatever its bits are.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import let, stored, text_of
 from .licenses import words_column
 
+#: The block in which pairs meet that are verified whatever their bits are.
+ALL_BITS = -1
 #: Shingles of items that are looked up in one pass over the documents.
 SHINGLES_A_BLOCK = 50_000
 BITS = 64
@@ -58,6 +63,10 @@ def first_equal_block(difference, max_bits: int):
     return F.array_position(F.transform(bit_blocks(difference, max_bits), lambda x: x["value"] == 0), True) - 1
 
 
+def repeats(hs):
+    return F.size(F.array_distinct(hs)) < F.size(hs)
+
+
 def needed(window, item, similarity: float):
     """Shared shingles without which ``similarity`` cannot be reached."""
     return F.ceil((window + item) * (similarity / (1 + similarity)) - 1e-9)
@@ -123,10 +132,10 @@ def _search(texts: DataFrame, items: DataFrame, similarity: float, max_bits: int
             .withColumn("row", F.monotonically_increasing_id()))
     held = stored(held, "decontaminate-held")
 
-    postings = items.select("item_no", "n", F.explode(F.array_distinct("hs")).alias("h"))
+    postings = items.select("item_no", "n", repeats(F.col("hs")).alias("heavy"), F.explode(F.array_distinct("hs")).alias("h"))
     pairs = (held.select("row", F.size("hs").alias("size"), F.explode("hits").alias("p"), "hs")
              .select("row", "size", "p", F.get("hs", F.col("p")).alias("h"))
-             .join(F.broadcast(postings), "h").groupBy("row", "size", "item_no", "n")
+             .join(F.broadcast(postings), "h").groupBy("row", "size", "item_no", "n", "heavy")
              .agg(F.sort_array(F.collect_list("p")).alias("ps")))
     window = F.least("size", "n")
     need = needed(window, F.col("n"), similarity).cast("int")
@@ -137,17 +146,23 @@ def _search(texts: DataFrame, items: DataFrame, similarity: float, max_bits: int
         (p <= last) & (F.get("ps", j + need - 1) < p + window), p)), lambda s: s.isNotNull())
     at_end = F.when(F.get("ps", F.size("ps") - need) >= last, F.array(last)).otherwise(F.array().cast("array<int>"))
     starts = (pairs.where(F.size("ps") >= need)
-              .select("row", "n", window.alias("w"), F.explode(F.array_union(at_hits, at_end)).alias("s")).distinct())
+              .select("row", "n", "item_no", "heavy", window.alias("w"), F.explode(F.array_union(at_hits, at_end)).alias("s"))
+              .groupBy("row", "n", "w", "s").agg(F.collect_list(F.struct("item_no", "heavy")).alias("near")))
     windows = (starts.join(held.select("row", "doc_id", "text_key", "hs"), "row")
                .withColumn("win", F.slice("hs", F.col("s") + 1, F.col("w"))).drop("hs")
                .withColumn("wfp", simhash_of(F.col("win"))))
+    any_bits = lambda no: F.struct(F.lit(ALL_BITS).alias("block"), no.alias("value"))
+    heavy = repeats(F.col("win")) | (F.col("w") < F.col("n"))
+    direct = F.transform(F.filter("near", lambda i: heavy | i["heavy"]), lambda i: any_bits(i["item_no"]))
     indexed = items.select("item_no", "item_id", F.col("hs").alias("ihs"), F.col("n").alias("item_n"), "fp",
-                           F.explode(bit_blocks(F.col("fp"), max_bits)).alias("ib"))
-    met = (windows.withColumn("wb", F.explode(bit_blocks(F.col("wfp"), max_bits)))
+                           F.explode(F.concat(bit_blocks(F.col("fp"), max_bits), F.array(any_bits(F.col("item_no")))))
+                           .alias("ib"))
+    met = (windows.withColumn("wb", F.explode(F.concat(bit_blocks(F.col("wfp"), max_bits), direct))).drop("near")
            .join(F.broadcast(indexed), (F.col("n") == F.col("item_n")) & (F.col("wb.block") == F.col("ib.block"))
                  & (F.col("wb.value") == F.col("ib.value")))
            .withColumn("x", F.col("wfp").bitwiseXOR(F.col("fp"))).withColumn("bits", F.bit_count("x"))
-           .where((F.col("bits") <= max_bits) & (first_equal_block(F.col("x"), max_bits) == F.col("wb.block"))))
+           .where((F.col("wb.block") == ALL_BITS)
+                  | (F.col("bits") <= max_bits) & (first_equal_block(F.col("x"), max_bits) == F.col("wb.block"))))
     both = shared(F.col("win"), F.col("ihs"))
     return (met.withColumn("both", both)
             .withColumn("similarity", F.col("both") / (F.size("win") + F.col("item_n") - F.col("both")))
