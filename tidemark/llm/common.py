@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -75,7 +76,7 @@ def arrow_rows(fields: list[pa.Field], rows: dict[str, list]) -> pa.RecordBatch:
                                       schema=pa.schema(fields))
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``most`` bytes in each: long
     texts then never pile up in one step. A single longer text stays whole."""
     for batch in batches:
@@ -90,6 +91,19 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 16 << 20)
             yield batch.slice(start)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000):
+    """Arrow batches of at most so many rows while an action runs: a Python
+    worker then holds a few megabytes of texts at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_of(docs: DataFrame, text_col: str):
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import arrow_rows, id_type, partitions_for, slices, text_of
+from .common import arrow_rows, id_type, partitions_for, slices, small_batches, text_of
 from .encoding import encoder
 
 CHUNK_BITS = 8
@@ -130,8 +130,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, kind: str = "whole"
                            T.StructField("doc_ids", T.ArrayType(kind_of_id)),
                            T.StructField("doc_tokens", T.ArrayType(T.LongType())),
                            T.StructField("levels", T._parse_datatype_string(level))])
-    (texts.mapInArrow(_segments(tokenizer, kind, end_id, to_arrow_type(kind_of_id)), schema)
-     .write.option("compression", "none").parquet(path))
+    with small_batches(docs.sparkSession):
+        (texts.mapInArrow(_segments(tokenizer, kind, end_id, to_arrow_type(kind_of_id)), schema)
+         .write.option("compression", "none").parquet(path))
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:

@@ -7,10 +7,15 @@ distinct piece, and joins the pieces' ids; natural text repeats nearly all of
 its words, so most pieces are found in the cache. Texts in which the borders
 are not certain (runs of white space, unusual spaces, special tokens) go to
 the library whole.
+
+The cache is bounded in bytes. It has two generations: pieces that are asked
+for enter the young one; when that is full it becomes the old one, and what the
+old one held and nobody asked for again is gone.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from itertools import accumulate
@@ -18,8 +23,12 @@ from operator import itemgetter
 
 import numpy as np
 
-#: Distinct pieces that a worker keeps (about 200 bytes each).
-CACHE_PIECES = 1_000_000
+#: Bytes that a worker's cache of pieces takes at most: two generations of half of it.
+CACHE_BYTES = 160 << 20
+
+#: What a piece takes besides its characters and ids: two object headers, a dict
+#: slot at the least load, and the allocator's rounding.
+PIECE_BYTES = 190
 
 #: Pieces that one call of the library gets.
 PIECES_A_CALL = 512
@@ -28,6 +37,13 @@ PIECES_A_CALL = 512
 #: are found in the cache whatever follows them; not after any other sign.
 AFTER_SIGN = re.compile(r"[\W_][.,]")
 
+#: White space other than a space or line break.
+OTHER_SPACE = re.compile(r"[^\S \n]")
+
+#: Letters below this code point are letters in every Unicode version in use,
+#: so that Python and the tokenizer agree on them.
+OLD_LETTERS = "\u0530"
+
 _ENCODERS: dict[tuple[str, str], CachedEncoder] = {}
 
 
@@ -51,7 +67,10 @@ class CachedEncoder:
         self.kind = kind
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.young_bytes = 0
+        self.letters = self._letters()
         if kind == "space_led":
             self.break_ids = len(self._encode("\n")) * self.dtype.itemsize
 
@@ -68,17 +87,54 @@ class CachedEncoder:
             if not AFTER_SIGN.search(text):
                 text = text.replace(".", " .").replace(",", " ,")
             return text.replace("\n", " ").split(" ")
-        if "\0" in text or text.split() != text.replace("\n", " ").split(" "):
+        if "\0" in text or OTHER_SPACE.search(text):
             return None
         text = "\n" + text
         if not AFTER_SIGN.search(text):
             text = text.replace(".", " \0.").replace(",", " \0,")
-        return text.replace("\n", " \n").split(" ")[1:]
+        pieces = text.replace("\n", " \n").split(" ")[1:]
+        # white space in a row, or at an end of the text
+        return None if "" in pieces or "\n" in pieces else pieces
+
+    def _letters(self) -> dict[int, str] | None:
+        """The byte-level alphabet, where a word of letters is one pre-token
+        of a byte-pair model, so that the model alone can be asked for it."""
+        made = json.loads(self.tokenizer.to_str())
+        before = made["pre_tokenizer"] or {}
+        last = (before.get("pretokenizers") or [before])[-1]
+        if made["model"]["type"] != "BPE" or last.get("type") != "ByteLevel" or last["add_prefix_space"]:
+            return None
+        one = " Word" if self.kind == "space_led" else "word"
+        if self.kind == "whole" or len(self.tokenizer.pre_tokenizer.pre_tokenize_str(one)) != 1:
+            return None
+        # bytes that can be seen stand for themselves, the others for the characters from 256 on, in order
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [x for x in range(256) if x not in seen]
+        return {x: chr(x) for x in seen} | {x: chr(256 + i) for i, x in enumerate(rest)}
+
+    def _learn_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters from the model alone: the same ids at a
+        fraction of the time. Words that normalising changes into something
+        else than letters are left out."""
+        plain = words
+        if self.tokenizer.normalizer:
+            plain = self.tokenizer.normalizer.normalize_str(" ".join(words)).split(" ")
+            if len(plain) != len(words):
+                return {}
+        ask, lead = self.tokenizer.model.tokenize, " " if self.kind == "space_led" else ""
+        return {word: np.array([t.id for t in ask((lead + p).encode().decode("latin-1").translate(self.letters))],
+                               self.dtype).tobytes()
+                for word, p in zip(words, plain, strict=True) if p.isalpha() and max(p) < OLD_LETTERS}
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces, many in one call: they are joined as they would
         stand in a text, and a token belongs to the piece it starts in."""
         found: dict[str, bytes] = {}
+        if self.letters:
+            words = [p for p in pieces if p.isalpha() and max(p) < OLD_LETTERS]
+            for k in range(0, len(words), PIECES_A_CALL):
+                found.update(self._learn_words(words[k:k + PIECES_A_CALL]))
+            pieces = [p for p in pieces if p not in found]
         if self.kind == "space_led":
             alone = [p for p in pieces if p[:1] == "\0"]
             found.update((p, np.array(self._encode(p[1:]), self.dtype).tobytes()) for p in alone)
@@ -97,39 +153,41 @@ class CachedEncoder:
                 begin = end
         return found
 
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self.young[piece] = ids
+        # four bytes a character at the most
+        self.young_bytes += PIECE_BYTES + len(ids) + (len(piece) if piece.isascii() else 4 * len(piece))
+
+    def _find(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that the young generation lacks."""
+        found = {p: self.old[p] for p in pieces if p in self.old}
+        found.update(self._learn([p for p in pieces if p not in found]))
+        for p, ids in found.items():
+            self._keep(p, ids)
+            if self.young_bytes > CACHE_BYTES // 2:
+                self.old, self.young, self.young_bytes = self.young, {}, 0
+        return found
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, in the encoder's ``dtype``."""
         split = [self._pieces(t) for t in texts]
-        new = list(set().union(*filter(None, split)).difference(self.cache))
-        known = self._learn(new)
-        room = CACHE_PIECES - len(self.cache)
-        if len(known) <= room:
-            self.cache.update(known)
-            ids = self.cache
-        else:
-            self.cache.update(list(known.items())[:max(0, room)])
-            ids = _Both(known, self.cache)
+        parts = [pieces and list(map(self.young.get, pieces)) for pieces in split]
+        holes = [some and [i for i, ids in enumerate(some) if ids is None] for some in parts]
+        new = self._find({pieces[i] for pieces, at in zip(split, holes, strict=True) for i in at or ()})
         out = []
-        for text, pieces in zip(texts, split, strict=True):
+        for text, pieces, some, at in zip(texts, split, parts, holes, strict=True):
             if pieces is None:
                 out.append(np.array(self._encode(text), self.dtype))
                 continue
-            joined = b"".join(map(ids.__getitem__, pieces))
+            for i in at:
+                some[i] = new[pieces[i]]
+            joined = b"".join(some)
             if self.kind == "space_led":
                 joined = joined[self.break_ids:]
             out.append(np.frombuffer(joined, self.dtype))
         return out
 
 
-class _Both:
-    def __init__(self, first: dict, second: dict):
-        self.first, self.second = first, second
-
-    def __getitem__(self, key):
-        found = self.first.get(key)
-        return self.second[key] if found is None else found
-
-
 def encoder(path: str, kind: str) -> CachedEncoder:
     """The worker's encoder for this tokenizer file; kept between tasks."""
     if (path, kind) not in _ENCODERS:

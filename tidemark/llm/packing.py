@@ -24,12 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import arrow_rows, id_type, slices, stored, text_of
+from .common import arrow_rows, id_type, slices, small_batches, stored, text_of
 from .encoding import encoder
 
-#: Rows of a plan up to which it is broadcast (32 bytes each).
-PLAN_BROADCAST_ROWS = 200_000
-
 
 def plan_best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
     """Best-fit decreasing over {length: pieces}. Returns slots (length,
@@ -114,8 +111,9 @@ def pack(docs: DataFrame, tokenizer: str, kind: str = "whole", capacity: int = 4
                            T.StructField("ids_crc32", T.LongType()), T.StructField("part", T.IntegerType()),
                            T.StructField("rank_in_part", T.LongType())])
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text"))
-    pieces = stored(texts.mapInArrow(_pieces(tokenizer, kind, end_id, capacity, to_arrow_type(kind_of_id)), schema),
-                    "pack-pieces")
+    with small_batches(docs.sparkSession):
+        pieces = stored(texts.mapInArrow(_pieces(tokenizer, kind, end_id, capacity, to_arrow_type(kind_of_id)), schema),
+                        "pack-pieces")
 
     by_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,7 +125,6 @@ def pack(docs: DataFrame, tokenizer: str, kind: str = "whole", capacity: int = 4
     slots = plan_best_fit(counts, capacity)
     spark = docs.sparkSession
     plan = spark.createDataFrame(slots, "length long, first_rank long, number long, first_sequence long, offset long")
-    plan = F.broadcast(plan) if len(slots) <= PLAN_BROADCAST_ROWS else plan
     fits = ((ranked["length"] == plan["length"]) & (ranked["rank"] >= plan["first_rank"])
             & (ranked["rank"] < plan["first_rank"] + plan["number"]))
     return ranked.join(plan, fits).select(

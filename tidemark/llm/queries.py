@@ -13,9 +13,11 @@ from .common import table
 from .dac import read_documents, write_tokens
 from .decontamination import find_contamination
 from .exact import exact_groups
+from .harmonic import pack_harmonic
 from .licenses import TEMPLATES, scan_licenses
 from .packing import pack
 from .pii import pseudonymise_documents
+from .search import search
 from .simhash import near_groups
 from .substrings import remove_repeats
 from .toxicity import score_toxicity
@@ -32,6 +34,8 @@ PATTERN_RULES = [PatternRule("block", "spam-farm"), PatternRule("block", "cheap-
 PSEUDONYM_KEY = b"registered query, not a secret"
 
 PACK_CAPACITY, PACK_END_ID = 4096, 1
+HARMONIC_END_ID = 2
+SEARCH_TOP = 10
 NEAR_SHINGLE, NEAR_BITS = 4, 4
 
 
@@ -81,9 +85,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "item_id", "similarity"))
 
 
+def op12_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_harmonic(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                         kind="space_free", capacity=PACK_CAPACITY, end_id=HARMONIC_END_ID)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=SEARCH_TOP)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_file, op2_url_filter, op3_pii, op4_repeated_bytes, op5_exact_dedup, op6_license_scan,
-                            op7_toxicity, op8_packing, op9_simhash, op10_decontamination)}
+                            op7_toxicity, op8_packing, op9_simhash, op10_decontamination, op12_harmonic_packing,
+                            op13_ranked_search)}
 
 # --- DuckDB equivalents, where SQL can express an operator on whole tables ---
 
@@ -170,5 +184,20 @@ scored AS (SELECT *, list_sum(list_transform(list_distinct(ihs), lambda h: least
 SELECT any_value(doc_id) AS doc_id, item_id, max(m / (len(win) + len(ihs) - m)::DOUBLE) AS similarity
 FROM scored GROUP BY row_no, item_id HAVING similarity >= 0.8"""
 
+_TERMS = r"regexp_extract_all(translate(coalesce({0}, ''), " + _LOWER + r"), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, {_TERMS.format('text')} AS w FROM documents),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS nd, coalesce(sum(len(w)), 0)::BIGINT AS nt FROM d),
+i AS (SELECT row_number() OVER () AS item_no, item_id, unnest(list_distinct({_TERMS.format('text')})) AS t FROM benchmark),
+p AS (SELECT row_no, t, count(*) AS tf FROM (SELECT row_no, unnest(w) AS t FROM d) GROUP BY ALL),
+f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+s AS (SELECT item_no, any_value(item_id) AS item_id, row_no, any_value(doc_id) AS doc_id,
+             sum(floor(1000 * ln((2 * nd + 2) / (2 * df + 1)))::BIGINT
+                 * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * len(w) * nd) // nt)))))::BIGINT AS score
+      FROM i JOIN p USING (t) JOIN f USING (t) JOIN d USING (row_no), c GROUP BY item_no, row_no)
+SELECT item_id, (row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10"""
+
 ORACLE: dict[str, str] = {"op2_url_filter": _op2_sql(), "op5_exact_dedup": _OP5_SQL, "op6_license_scan": _op6_sql(),
-                          "op10_decontamination": _OP10_SQL}
+                          "op10_decontamination": _OP10_SQL, "op13_ranked_search": _OP13_SQL}
