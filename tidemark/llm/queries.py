@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_dir
 
+from .collocations import collocations
 from .common import table
 from .dac import read_documents, write_tokens
 from .decontamination import find_contamination
@@ -36,6 +37,7 @@ PSEUDONYM_KEY = b"registered query, not a secret"
 PACK_CAPACITY, PACK_END_ID = 4096, 1
 HARMONIC_END_ID = 2
 SEARCH_TOP = 10
+PHRASE_LEAST, PHRASE_TOP = 100, 2000
 NEAR_SHINGLE, NEAR_BITS = 4, 4
 
 
@@ -85,6 +87,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "item_id", "similarity"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), PHRASE_LEAST, PHRASE_TOP)
+
+
 def op12_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_harmonic(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                          kind="space_free", capacity=PACK_CAPACITY, end_id=HARMONIC_END_ID)
@@ -96,7 +102,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_file, op2_url_filter, op3_pii, op4_repeated_bytes, op5_exact_dedup, op6_license_scan,
-                            op7_toxicity, op8_packing, op9_simhash, op10_decontamination, op12_harmonic_packing,
+                            op7_toxicity, op8_packing, op9_simhash, op10_decontamination, op11_collocations, op12_harmonic_packing,
                             op13_ranked_search)}
 
 # --- DuckDB equivalents, where SQL can express an operator on whole tables ---
@@ -199,5 +205,26 @@ s AS (SELECT item_no, any_value(item_id) AS item_id, row_no, any_value(doc_id) A
 SELECT item_id, (row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
 FROM s WHERE score > 0 QUALIFY rank <= 10"""
 
+_OP11_SQL = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}),
+                  '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, range(1, 6) r(k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= {PHRASE_LEAST}),
+cut AS (SELECT lang, phrase, f AS a, w, unnest(range(1, k)) AS c FROM c),
+s AS (SELECT cut.lang, cut.phrase, c, a, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:c], ' ')
+      JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[c + 1:], ' ') JOIN n ON n.lang = cut.lang),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+longer AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS most
+           FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       score::BIGINT AS score
+FROM low LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a QUALIFY rank <= {PHRASE_TOP}"""
+
 ORACLE: dict[str, str] = {"op2_url_filter": _op2_sql(), "op5_exact_dedup": _OP5_SQL, "op6_license_scan": _op6_sql(),
-                          "op10_decontamination": _OP10_SQL, "op13_ranked_search": _OP13_SQL}
+                          "op10_decontamination": _OP10_SQL, "op11_collocations": _OP11_SQL,
+                          "op13_ranked_search": _OP13_SQL}
