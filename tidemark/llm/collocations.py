@@ -37,9 +37,9 @@ _FOLD = bytes(b + 32 if chr(b) in UPPER else 10 if b in _BREAKS else 32 if b ==
 _BREAK = b"\n"
 
 #: Bytes of text whose n-grams are counted together.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 6 << 20
 #: Bytes of words that a worker keeps numbered.
-VOCABULARY_BYTES = 64 << 20
+VOCABULARY_BYTES = 48 << 20
 #: Bytes of documents a hash partition of the summaries stands for.
 PARTITION_BYTES = 1 << 20
 #: Bits of the filter of survivors (a broadcast of an eighth of as many bytes).
@@ -77,13 +77,13 @@ def _walk(batch: pa.RecordBatch, words: _Words) -> Iterator[tuple[str, np.ndarra
     langs = batch.column("lang").to_pylist()
     texts = batch.column("text").cast(pa.binary())
     for lang in sorted(set(langs)):
-        flat = bytearray()
+        found = []
         for text, own in zip(texts, langs, strict=True):
             if own == lang:
-                flat += text.as_py().translate(_FOLD) + _BREAK
-        parts = bytes(flat).replace(_BREAK, b" \n ").split(b" ")
-        numbers = np.fromiter(map(words.__getitem__, parts), np.int64, len(parts))
-        yield lang, numbers[numbers >= 0]
+                parts = (text.as_py().translate(_FOLD) + _BREAK).replace(_BREAK, b" \n ").split(b" ")
+                numbers = np.fromiter(map(words.__getitem__, parts), np.int64, len(parts))
+                found.append(numbers[numbers >= 0])
+        yield lang, np.concatenate(found)
 
 
 def _codes(lang: str, numbers: np.ndarray, words: _Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -133,8 +133,11 @@ def _summarise(bits: int):
             for lang, numbers in _walk(batch, words):
                 seen[lang] += int(np.count_nonzero(numbers))
                 found += [code for _, code in _codes(lang, numbers, words)]
-            codes, counts = np.unique(np.concatenate(found), return_counts=True)
-            del found
+            codes = np.concatenate(found)
+            found.clear()
+            codes.sort()
+            first = np.flatnonzero(np.diff(codes, prepend=codes[:1] ^ np.uint64(1)))
+            codes, counts = codes[first], np.diff(first, append=len(codes))
             ends = np.searchsorted(codes >> np.uint64(64 - bits), np.arange(1 << bits), "right")
             codes = (codes >> np.uint64(32 - bits)).astype(np.uint32)
             for hp, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
