@@ -35,3 +35,23 @@ def test_shared_root_is_stable(spark):
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf:
         assert base.endswith(conf.rstrip("/"))
+
+
+def test_entry_without_the_corpus_side(tmp_path):
+    """A copy without the corpus folders still names every other query."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    from tidemark.plans.registry import ORACLE, QUERIES
+    home = Path(__file__).parent.parent
+    say = "import __spark_entry__ as e; print(*sorted(e.queries()), '|', *sorted(e.oracle_sql()))"
+    for keep_pipeline in (True, False):
+        copy = tmp_path / f"copy{keep_pipeline}"
+        shutil.copytree(home / "tidemark", copy / "tidemark", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        for name in ("__spark_entry__.py", *(["corpus_pipeline.py"] if keep_pipeline else [])):
+            shutil.copy(home / name, copy / name)
+        got = subprocess.run([sys.executable, "-c", say], cwd=copy, capture_output=True, text=True, check=True).stdout
+        names, sql = got.strip().split(" | ")
+        assert names.split() == sorted(QUERIES) and sql.split() == sorted(ORACLE)

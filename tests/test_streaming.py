@@ -179,8 +179,8 @@ def test_many_files_a_burst_resume(spark, tmp_root):
     _run_to_crash(job)
     job2, store = _job(spark, tmp_root, checkpoint=f"{tmp_root}/ck2")
     job2.run_available()
-    # the second batch was counted under the first run too, its offsets were not logged
-    assert sum(r.click_count for r in store.read().collect()) == 1000 + 252
+    # the second batch was counted under the first run too, but not committed
+    assert sum(r.click_count for r in store.read().collect()) == 1000
     assert job2.log.read().agg(F.sum("record_count")).first()[0] == 1000
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.codecs import from_utf8, to_utf8
-from tidemark.session import create_file, exists, list_dirs
+from tidemark.session import create_file, delete_path, exists, list_dirs, list_files
 from tidemark.sources.common import key_list_frame, restrict_to_keys
 
 CELL_KEY = ["rowkey", "cf", "qualifier"]
@@ -187,10 +187,21 @@ class CellTable:
 
     last_put_ms: int | None = None  # elapsed time of the last put (the batch put's return value)
 
+    def _finish(self, op: int) -> None:
+        create_file(self.spark, f"{self.path}/finished/{op}")
+
+    def abandon(self, op: int) -> None:
+        """Give up an operation whose writer is known to be dead: what it left
+        is removed and it no longer holds back compactions and snapshots."""
+        for kind in ("puts", "deletes"):
+            delete_path(self.spark, f"{self.path}/{kind}/op={op}")
+        self._finish(op)
+
     def put(self, cells: DataFrame) -> int:
         t0 = time.time()
         op = self._claim_op()
         write_sorted(cells.select(*schemas.CELLS.fieldNames()), f"{self.path}/puts/op={op}")
+        self._finish(op)
         self.last_put_ms = int((time.time() - t0) * 1000)
         return op
 
@@ -204,6 +215,7 @@ class CellTable:
         op = self._claim_op()
         kdf = _key_frame(self.spark, keys).select("rowkey").distinct()
         kdf.write.parquet(f"{self.path}/deletes/op={op}")
+        self._finish(op)
         return op
 
     def get(self, rowkey: str, as_of: int | None = None) -> DataFrame:
@@ -250,8 +262,12 @@ class CellTable:
             after = keys[-1]
 
     def current_op(self) -> int:
-        """Id of the newest operation (-1 for an empty table)."""
-        return self._next_op() - 1
+        """Id of the newest operation up to which all are finished (-1 for
+        none). One that a slow writer has claimed but not finished holds it
+        back: a compaction or snapshot as of a later one would miss its rows."""
+        claimed = {int(n) for n in list_files(self.spark, f"{self.path}/ops")}
+        running = claimed - {int(n) for n in list_files(self.spark, f"{self.path}/finished")}
+        return min(running) - 1 if running else max(claimed, default=-1)
 
     def _base(self, as_of: int | None) -> tuple[int, str] | None:
         """(operation, folder) of the newest committed compaction usable for a

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.keys import counter_key, day_of
-from tidemark.session import delete_path, exists, list_dirs, modified_ms
+from tidemark.operators.commits import CommitFile
+from tidemark.session import create_file, delete_path, exists, list_dirs, modified_ms
 from tidemark.sources.common import key_list_frame, restrict_to_keys
 
 # Fixed values that must equal the original's: the counter cell's family and
@@ -66,6 +67,7 @@ def lookup_counters(counters: DataFrame, keys: DataFrame | list[str], key: str =
 
 
 DELTA = "rowkey string, delta bigint"
+BOUND = "run_id string, commit_path string"
 
 
 def new_run_id(prefix: str = "run") -> str:
@@ -84,10 +86,15 @@ class CounterStore:
     batch that arrives late counts whatever its id. Folders that a committed
     base has folded are removed by ``vacuum()`` after a retention time.
 
-    A batch is counted once per (run_id, batch_id). A new checkpoint is a new
-    run: a batch whose counters were written, but whose offsets were not yet
-    logged when the process died, is counted again under the new run
-    (at least once across checkpoints, exactly once within one)."""
+    A batch is counted once per (run_id, batch_id). A run that is *bound* to
+    a group's commit file (``bind``) shares one commit with its offsets: a
+    delta counts only once the file says that its run has finished the batch.
+    If a process dies in between, the delta stays invisible; the same
+    checkpoint replays the batch over it, and a new checkpoint, which starts
+    from the file's positions, counts the records under its own run. So a
+    record counts exactly once, across checkpoints too. Compaction folds
+    visible batches only. Runs that are not bound (single increments,
+    backfills) count as they are written."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str | None = None):
         self.spark = spark
@@ -98,6 +105,31 @@ class CounterStore:
     def deltas_path(self) -> str:
         return f"{self.path}/deltas"
 
+    @property
+    def bound_path(self) -> str:
+        return f"{self.path}/bound"
+
+    def bind(self, run_id: str, commits: CommitFile) -> None:
+        """From now on this run's deltas count only as the commit file says.
+        Recorded with the store, so that every reader goes by it."""
+        if run_id not in self._bound():
+            self.spark.createDataFrame([(run_id, commits.path)], BOUND).coalesce(1).write.mode("append") \
+                .parquet(self.bound_path)
+
+    def _bound(self) -> dict[str, str]:
+        """Commit file of each bound run: one row per run."""
+        if not exists(self.spark, self.bound_path):
+            return {}
+        return {r["run_id"]: r["commit_path"] for r in self.spark.read.schema(BOUND).parquet(self.bound_path).collect()}
+
+    def _visible(self, batches: set[tuple[str, int]]) -> set[tuple[str, int]]:
+        """The batches that count. The commit files are read after the deltas
+        were listed: a batch that is finished has its delta there whole."""
+        bound = self._bound()
+        read = {path: CommitFile(self.spark, path).read() for path in set(bound.values())}
+        finished = {run: read[path].finished.get(run, -1) if read[path] else -1 for run, path in bound.items()}
+        return {(run, b) for run, b in batches if run not in bound or b <= finished[run]}
+
     def add(self, increments: DataFrame, batch_id: int, key: str = "rowkey",
             amount: str | None = "click_count") -> None:
         """Write one batch of increments. ``amount=None`` counts rows."""
@@ -185,7 +217,7 @@ class CounterStore:
 
     def read(self) -> DataFrame:
         base = self._base_path()
-        return self._sum(base, self._open(self._batches(), self._folded(base)))
+        return self._sum(base, self._visible(self._open(self._batches(), self._folded(base))))
 
     def get(self, keys: list[str]) -> DataFrame:
         return lookup_counters(self.read(), keys)
@@ -198,10 +230,13 @@ class CounterStore:
         lands meanwhile stays outside and is read next time."""
         versions = [int(d[2:]) for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")]
         nxt = max(versions) + 1 if versions else 0
+        # one caller gets a version; each is whole in itself, the highest committed one is read
+        while not create_file(self.spark, f"{self.path}/base/claims/{nxt}"):
+            nxt += 1
         target = f"{self.path}/base/v={nxt}"
         base, batches = self._base_path(), self._batches()
         folded = self._folded(base)
-        added = self._open(batches, folded)
+        added = self._visible(self._open(batches, folded))
         self._sum(base, added).repartitionByRange("rowkey").sortWithinPartitions("rowkey") \
             .write.mode("overwrite").parquet(f"{target}/counters")
         # an increment's run is never written again: once its folder is gone it need not be remembered

@@ -3,8 +3,8 @@ SRC-3, SRC-5, SNK-2).
 
 Every frame here is keyed by (topic, partition) or (group, topic, partition),
 so the *stored* side has one row per topic partition: its size is bounded
-by the partition count of the subscribed topics, never by the data. Only
-that side is broadcast to records, after it was counted.
+by the partition count of the subscribed topics, never by the data. Whether
+it is broadcast to records is left to Spark, which knows its size.
 """
 
 from __future__ import annotations
@@ -127,16 +127,10 @@ def resume_from_positions(records: DataFrame, positions: list[tuple[str, int, in
     return records.filter(positions_predicate(positions, assign))
 
 
-#: Stored positions up to which they are broadcast to the records (about 50
-#: bytes each); above, the join is left to Spark.
-BROADCAST_POSITIONS = 1_000_000
-
-
 def _starts(stored: DataFrame) -> DataFrame:
-    """The stored side of a resume: one row per topic partition, counted
-    before it is broadcast, so that the records are not shuffled for it."""
-    s = stored.select(*TP, F.col("offset").alias("_start"))
-    return F.broadcast(s) if s.limit(BROADCAST_POSITIONS + 1).count() <= BROADCAST_POSITIONS else s
+    """The stored side of a resume, one row per topic partition: Spark
+    broadcasts it while its size allows."""
+    return stored.select(*TP, F.col("offset").alias("_start"))
 
 
 def resume_subscribe(records: DataFrame, stored: DataFrame, default_start: str = "earliest") -> DataFrame:
@@ -239,18 +233,22 @@ class OffsetLog:
             return self.spark.createDataFrame([], schemas.OFFSET_LOG_STORED)
         return self.spark.read.schema(schemas.OFFSET_LOG_STORED).parquet(self.path)
 
-    def fold(self) -> None:
-        """Keep one row per (group, topic, partition) of each run: the rows of
-        a run's newest batch. Older batch folders of that run are removed; the
-        newest one of each partition stays where it is, so a reader at any
-        moment finds every latest position."""
+    def fold(self) -> int:
+        """Remove batch folders that hold no latest position of their run. One
+        listing says what may be removed: a batch that lands meanwhile is not
+        in it, and a reader at any moment finds every latest position. Returns
+        how many were removed."""
+        listed = {(run[7:], int(batch[9:])) for run in list_dirs(self.spark, self.path) if run.startswith("run_id=")
+                  for batch in list_dirs(self.spark, f"{self.path}/{run}") if batch.startswith("batch_id=")}
         newest = (self.read().groupBy("group_id", *TP, "run_id").agg(F.max("batch_id").alias("batch_id"))
                   .select("run_id", "batch_id").distinct().collect())  # one row per topic partition at most
-        keep = {(r.run_id, r.batch_id) for r in newest}
-        for run in list_dirs(self.spark, self.path):
-            for batch in list_dirs(self.spark, f"{self.path}/{run}") if run.startswith("run_id=") else ():
-                if batch.startswith("batch_id=") and (run[7:], int(batch[9:])) not in keep:
-                    delete_path(self.spark, f"{self.path}/{run}/{batch}")
+        keep, last = {(r.run_id, r.batch_id) for r in newest}, {}
+        for run, b in keep:
+            last[run] = max(b, last.get(run, b))
+        gone = [(run, b) for run, b in listed - keep if b < last.get(run, -1)]
+        for run, b in gone:
+            delete_path(self.spark, f"{self.path}/run_id={run}/batch_id={b}")
+        return len(gone)
 
     def latest(self, group_id: str, topics: list[str] | None = None, commit: str = "after") -> DataFrame:
         return start_positions(self.read(), group_id, commit, topics)

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +21,13 @@ from tidemark.operators import paging as P
 from tidemark.operators.snapshots import SnapshotStore
 from tidemark.plans import views as V
 from tidemark.plans.views import with_views
-from tidemark.session import scratch_dir
+from tidemark.session import delete_path, scratch_dir
 from tidemark.sources.tables import read_table
 from tidemark.sources.topic import select_topics
 from tidemark.streaming import topic_stream as S
+from tidemark.streaming.record_writer import EpochFiles, as_json, write_records
+from tidemark.streaming.report import RangeReport
+from tidemark.streaming.state_counters import StateCounters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,19 +138,48 @@ def q_empty_batch_skip(spark, sf):
 
 
 def q_record_sink(spark, sf):
-    """SNK-9: per-partition setup, processing and teardown over the topic's
-    records dealt out by topic partition."""
+    """SNK-9 over a bounded topic: the hooks of each task (open, process,
+    close) over the records dealt out by topic partition."""
     topic = V.topic(spark, sf)
 
     def process(resource, pdf):
         resource["records"] += len(pdf)
         resource["bytes"] += int(pdf["value"].str.len().sum())
 
-    counted = S.partition_records(topic.repartition(V.DEFAULT_PARTITIONS, "partition"), process,
+    counted = S.partition_records(topic.repartition("partition"), process,
                                   open=lambda task: {"records": 0, "bytes": 0}, close=dict.clear)
     return counted.agg(F.sum("records").alias("records"))
 
 
+def q_stream_foreach_records(spark, sf):
+    """SNK-9 on a running query: records go through ``foreach`` to one file
+    per partition and epoch. The first run fails in an epoch after some of its
+    partitions were published; the restart replays it and handles the rest.
+    Each record comes out once."""
+    root = scratch_dir(spark, "foreach")
+    files = S.write_file_topic(V.topic(spark, sf), f"{root}/topic", bursts=2)
+    place = f"{root}/records"
+
+    def fail(row):
+        if row["partition"] == V.DEFAULT_PARTITIONS - 1 and row["offset"] >= V.DEFAULT_BATCH_RECORDS // 2:
+            raise RuntimeError("crash of the scenario")
+        return as_json(row)
+
+    def run(process):
+        stream = S.topic_stream(spark, f"{root}/topic", ["events"], files).select("topic", "partition", "offset")
+        write_records(stream, EpochFiles(place, process), f"{root}/checkpoint").awaitTermination()
+    try:
+        run(fail)
+    except StreamingQueryException as e:
+        if "crash of the scenario" not in str(e):
+            raise
+    run(as_json)
+    seen = spark.read.schema("topic string, partition int, offset bigint").json(place)
+    return seen.groupBy("topic", "partition").agg(
+        F.count("*").alias("records"), F.countDistinct("offset").alias("offsets"), F.min("offset").alias("first"),
+        F.max("offset").alias("last"))
+
+
 def q_offset_ranges(spark, sf):
     """With the partitions that were idle in the last batch: of that batch
     only the records of partition 0 are taken."""
@@ -249,7 +282,7 @@ def q_topic_generate(spark, sf):
         F.expr(f"(CAST(key AS BIGINT) - 1) div {V.DEFAULT_PARTITIONS}").alias("offset"),
         F.lit(None).cast("timestamp_ntz").alias("timestamp"), "key", "value")
     path = f"{scratch_dir(spark, 'generated')}/topic"
-    S.write_file_topic(records, path, bursts=2)
+    records.write.parquet(path)  # a generated topic needs no order between its files
     return spark.read.schema(schemas.TOPIC_RECORD).parquet(path).select("key", "value")
 
 
@@ -492,11 +525,11 @@ def q_snapshot_drop(spark, sf):
 
 def _stream_job(spark, sf, bursts=4):
     root = scratch_dir(spark, "stream")
-    S.write_file_topic(V.topic(spark, sf), f"{root}/topic", bursts=bursts)
+    # each producer burst becomes a micro-batch of its own
+    files = S.write_file_topic(V.topic(spark, sf), f"{root}/topic", bursts=bursts)
     store = C.CounterStore(spark, f"{root}/state/counters")
-    # one file per trigger: each producer burst becomes its own micro-batch
     job = S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[], counters=store,
-                     max_files_per_trigger=1)
+                     max_files_per_trigger=files, partition_counts={"events": V.DEFAULT_PARTITIONS})
     return job, store, root
 
 
@@ -562,8 +595,8 @@ def q_stream_restart_from_log(spark, sf):
                           checkpoint=f"{root}/{ckpt}", max_files_per_trigger=files)
     S.write_file_topic(topic.filter(F.col("offset") < cut), f"{root}/topic", bursts=2)
     job("ck1").run_available()
-    S.write_file_topic(topic.filter(F.col("offset") >= cut), f"{root}/topic", bursts=2)
-    stopped = job("ck2", files=3)
+    files = S.write_file_topic(topic.filter(F.col("offset") >= cut), f"{root}/topic", bursts=2)
+    stopped = job("ck2", files=3 * files)
     stopped.sinks.insert(0, _Crash(2))
     _run_to_crash(stopped)
     job("ck2").run_available()
@@ -577,7 +610,7 @@ def q_stream_commit_before_replay(spark, sf):
     root = scratch_dir(spark, "stream")
     topic = V.topic(spark, sf)
     for p in range(V.DEFAULT_PARTITIONS):
-        S.write_file_topic(topic.filter(F.col("partition") == p), f"{root}/topic")
+        files = S.write_file_topic(topic.filter(F.col("partition") == p), f"{root}/topic")
 
     def job(ckpt, files=None):
         return S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], commit="before",
@@ -587,7 +620,7 @@ def q_stream_commit_before_replay(spark, sf):
     first = job("ck1")
     first.sinks.insert(0, _Crash(1))
     _run_to_crash(first)
-    second = job("ck2", files=1)
+    second = job("ck2", files=files)
     second.sinks.insert(0, _Crash(2))
     _run_to_crash(second)
     job("ck3").run_available()
@@ -612,8 +645,91 @@ def q_stream_resume_multi_file(spark, sf):
     return store.read()
 
 
+class _CrashAtCommit:
+    """A commit file whose n-th commit fails: counters and the log's rows are
+    written then, the commit is not."""
+
+    def __init__(self, commits, calls: int):
+        self.commits, self.calls = commits, calls
+
+    def __getattr__(self, name):
+        return getattr(self.commits, name)
+
+    def commit(self, *args):
+        self.calls -= 1
+        if self.calls <= 0:
+            raise RuntimeError("crash of the scenario")
+        self.commits.commit(*args)
+
+
+def q_stream_crash_between_writes(spark, sf):
+    """STR-5 / SNK-3: a consumer dies after a batch's counters and before its
+    commit; a new checkpoint goes on from the committed position. Every click
+    counts once."""
+    job, store, root = _stream_job(spark, sf)
+    job.commits = _CrashAtCommit(job.commits, 3)
+    _run_to_crash(job)
+    S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[], counters=store,
+               checkpoint=f"{root}/ck2", max_files_per_trigger=job.max_files).run_available()
+    return store.read()
+
+
+def q_stream_clamped_start(spark, sf):
+    """OFF-8 in the live start: a consumer stops after the first quarter of
+    the offsets, the second quarter expires, a new checkpoint starts at the
+    earliest offset present and reports what is lost."""
+    root = scratch_dir(spark, "stream")
+    topic = V.topic(spark, sf)
+    top = (topic.agg(F.max("offset")).first()[0] or 0) + 1
+    store = C.CounterStore(spark, f"{root}/state/counters")
+
+    def job(ckpt):
+        return S.TopicJob(spark, f"{root}/topic", f"{root}/state", V.GROUP_ID, ["events"], sinks=[], counters=store,
+                          checkpoint=f"{root}/{ckpt}")
+    S.write_file_topic(topic.filter(F.col("offset") < top // 4), f"{root}/topic")
+    job("ck1").run_available()
+    delete_path(spark, f"{root}/topic")
+    S.write_file_topic(topic.filter(F.col("offset") >= top // 2), f"{root}/topic", bursts=2)
+    last = job("ck2")
+    last.run_available()
+    read = last.log.read().groupBy("topic", "partition").agg(F.sum("record_count").cast("bigint").alias("records"))
+    return (last.lost().select("kind", "topic", "partition", "stored", "begins", "lost")
+            .join(read, ["topic", "partition"], "full"))
+
+
+def q_stream_range_report(spark, sf):
+    """OFF-11 of a running query: a listener's row per trigger, next to what
+    the offset log says of that batch."""
+    job, _, root = _stream_job(spark, sf)
+    report = RangeReport(spark, f"{root}/report")
+    spark.streams.addListener(report)
+    try:
+        job.run_available()
+        if not report.ended.wait(600):
+            raise RuntimeError("the end of the query was not reported")
+    finally:
+        spark.streams.removeListener(report)
+    logged = job.log.read().groupBy("batch_id").agg(F.sum("record_count").cast("bigint").alias("logged_rows"),
+                                                    F.count("*").alias("partitions"))
+    return report.read().select("batch_id", "input_rows").join(logged, "batch_id", "full")
+
+
+def q_stream_counters_state(spark, sf):
+    """AGG-3 as a streaming aggregation in update mode, stopped after some
+    triggers and started again: equal to the one-shot count."""
+    root = scratch_dir(spark, "stream")
+    topic = V.topic(spark, sf)
+    cut = ((topic.agg(F.max("offset")).first()[0] or 0) + 1) // 2
+    counters = StateCounters(spark, f"{root}/counters")
+    for part in (F.col("offset") < cut, F.col("offset") >= cut):
+        files = S.write_file_topic(topic.filter(part), f"{root}/topic", bursts=2)
+        keys = S.topic_stream(spark, f"{root}/topic", ["events"], files).select(S.day_category_key())
+        counters.start(keys).awaitTermination()
+    return counters.read()
+
+
 def q_stream_marker_stop(spark, sf):
-    job, store, root = _stream_job(spark, sf, bursts=1)
+    job, store, root = _stream_job(spark, sf)
     q = job.start(interval="500 milliseconds")
     marker = f"{root}/stop.marker"
     import threading
@@ -701,6 +817,11 @@ QUERIES: dict[str, Query] = {
     "stream_commit_before_replay": q_stream_commit_before_replay,
     "stream_resume_multi_file": q_stream_resume_multi_file,
     "stream_marker_stop": q_stream_marker_stop,
+    "stream_crash_between_writes": q_stream_crash_between_writes,
+    "stream_foreach_records": q_stream_foreach_records,
+    "stream_clamped_start": q_stream_clamped_start,
+    "stream_range_report": q_stream_range_report,
+    "stream_counters_state": q_stream_counters_state,
 }
 
 # ---- oracles ---------------------------------------------------------------
@@ -883,6 +1004,21 @@ ORACLE: dict[str, str] = {
     "stream_commit_before_replay": with_views("SELECT topic, \"partition\", \"offset\" FROM topic_v", "topic_v"),
     "stream_resume_multi_file": V.SQL_COUNTERS,
     "stream_marker_stop": "SELECT count(*) AS records FROM events",
+    "stream_crash_between_writes": V.SQL_COUNTERS,
+    "stream_foreach_records": with_views(
+        "SELECT topic, \"partition\", count(*) AS records, count(DISTINCT \"offset\") AS offsets, "
+        "min(\"offset\") AS first, max(\"offset\") AS last FROM topic_v GROUP BY ALL", "topic_v"),
+    "stream_clamped_start": with_views(
+        ", top AS (SELECT max(\"offset\") + 1 AS n FROM topic_v), parts AS (SELECT topic, \"partition\", "
+        "max(\"offset\") FILTER (\"offset\" < n // 4) + 1 AS stored, min(\"offset\") FILTER (\"offset\" >= n // 2) AS begins, "
+        "count(*) FILTER (\"offset\" < n // 4 OR \"offset\" >= n // 2) AS records FROM topic_v, top GROUP BY ALL) "
+        "SELECT 'expired' AS kind, topic, \"partition\", stored, begins, begins - stored AS lost, records FROM parts",
+        "topic_v"),
+    "stream_range_report": with_views(
+        ", b AS (SELECT min(\"offset\") AS lo, (max(\"offset\") - min(\"offset\")) // 4 + 1 AS step FROM topic_v) "
+        "SELECT (\"offset\" - lo) // step AS batch_id, count(*) AS input_rows, count(*) AS logged_rows, "
+        "count(DISTINCT \"partition\") AS partitions FROM topic_v, b GROUP BY 1", "topic_v"),
+    "stream_counters_state": V.SQL_COUNTERS,
 }
 
 ORACLE["resume_pushdown"] = ORACLE["resume_subscribe"]

@@ -129,6 +129,16 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path``; none if it is not there."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(n for s in fs.listStatus(p) if s.isFile() and not (n := s.getPath().getName()).startswith("."))
+
+
 def create_file(spark: SparkSession, path: str) -> bool:
     """Create an empty file; False if it was there (one caller wins)."""
     jvm = spark.sparkContext._jvm
@@ -136,6 +146,56 @@ def create_file(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(p))
 
 
+def _mounted(spark: SparkSession, path: str) -> str | None:
+    """The plain path of a local or mounted file, None elsewhere. Hadoop's
+    local file system keeps checksums in files beside, which can't be replaced
+    in one step with the file; such files are read and written plainly."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """Text of a small file, by the driver."""
+    plain = _mounted(spark, path)
+    if plain:
+        with open(plain, encoding="utf-8") as f:
+            return f.read()
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_file(spark: SparkSession, path: str, aside: str, text: str) -> None:
+    """Write ``text`` to ``aside`` and rename it over ``path`` in one step.
+    That step is atomic where the file system's rename is (HDFS, local and
+    mounted ones); object stores need a committer of their own."""
+    plain = _mounted(spark, path)
+    if plain:
+        os.makedirs(os.path.dirname(plain), exist_ok=True)
+        with open(_mounted(spark, aside), "w", encoding="utf-8") as f:
+            f.write(text)
+            f.flush()
+            os.fsync(f.fileno())
+        os.replace(_mounted(spark, aside), plain)
+        return
+    sc = spark.sparkContext
+    conf, fs = sc._jsc.hadoopConfiguration(), sc._jvm.org.apache.hadoop.fs
+    src, dst = fs.Path(aside), fs.Path(path)
+    out = src.getFileSystem(conf).create(src, False)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    overwrite = sc._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(fs, "Options$Rename").OVERWRITE
+    fs.FileContext.getFileContext(src.getFileSystem(conf).getUri(), conf).rename(src, dst, overwrite)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
