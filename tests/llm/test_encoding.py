@@ -29,4 +29,4 @@ def test_cache_is_bounded(file, kind, monkeypatch):
     for k in range(30):
         texts = [f"the common words and junk{k}x{i} zq{chr(97 + i)}{chr(97 + k % 26)}" for i in range(20)]
         assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
-        assert e.young_bytes <= 20_000 and len(e.young) + len(e.old) < 40_000 // encoding.PIECE_BYTES + 1
+        assert e.cache.held <= 20_300 and len(e.cache) + len(e.cache.old) < 40_000 // encoding.PIECE_BYTES + 3

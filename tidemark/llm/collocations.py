@@ -45,6 +45,9 @@ PARTITION_BYTES = 1 << 20
 #: Bits of the filter of survivors (a broadcast of an eighth of as many bytes).
 FILTER_BITS = 1 << 26
 
+#: Phrases that a task counts before it passes them on.
+HELD_PHRASES = 250_000
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -239,9 +242,6 @@ def _filter_words(bits: int, size: int):
 def _count_exactly(bits: int, size: int, bitmap):
     """Second pass, by runs: the occurrences of n-grams that pass the filter,
     counted by their words."""
-    fields = [pa.field("lang", pa.string()), pa.field("phrase", pa.string()), pa.field("k", pa.int32()),
-              pa.field("f", pa.int64())]
-
     def passes(code: np.ndarray, there: np.ndarray) -> np.ndarray:
         hp = code >> np.uint64(64 - bits)
         cut = (code >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)
@@ -251,7 +251,7 @@ def _count_exactly(bits: int, size: int, bitmap):
         return ok
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, there = _Words(), np.frombuffer(bitmap.value, np.uint8)
+        words, there, held = _Words(), np.frombuffer(bitmap.value, np.uint8), {}
         for batch in _runs(slices(batches, "text")):
             for lang, numbers in _walk(batch, words):
                 # an n-gram is known by the number of its first words, given
@@ -267,11 +267,23 @@ def _count_exactly(bits: int, size: int, bitmap):
                     known = np.full(len(numbers) + 1, -1, np.int64)
                     known[at] = number
                     before = known
-                    if len(first):
-                        phrases = [b" ".join(map(words.words.__getitem__, numbers[a:a + k].tolist()))
-                                   for a in at[first].tolist()]
-                        yield arrow_rows(fields, {"lang": [lang] * len(f), "phrase": [p.decode() for p in phrases],
-                                                  "k": [k] * len(f), "f": f.tolist()})
+                    own = held.setdefault((lang, k), {})
+                    for a, n in zip(at[first].tolist(), f.tolist()):
+                        phrase = b" ".join(map(words.words.__getitem__, numbers[a:a + k].tolist()))
+                        own[phrase] = own.get(phrase, 0) + n
+            if sum(map(len, held.values())) > HELD_PHRASES:
+                yield from out(held)
+        yield from out(held)
+
+    def out(held: dict[tuple[str, int], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        """What a task has counted over its runs so far."""
+        for (lang, k), own in held.items():
+            if own:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(own), pa.string()), pa.array(list(own), pa.binary()).cast(pa.string()),
+                     pa.array(np.full(len(own), k), pa.int32()), pa.array(list(own.values()), pa.int64())],
+                    ["lang", "phrase", "k", "f"])
+        held.clear()
 
     return count
 

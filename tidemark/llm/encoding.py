@@ -3,7 +3,7 @@
 Byte-pair merges never cross a pre-token, so a text's ids are its pre-tokens'
 ids in a row. ``CachedEncoder`` cuts texts at places that are pre-token
 borders for the given kind of tokenizer, asks the library once for each
-distinct piece, and joins the pieces' ids; natural text repeats nearly all of
+distinct piece it holds, and joins the pieces' ids; natural text repeats nearly all of
 its words, so most pieces are found in the cache. Texts in which the borders
 are not certain (runs of white space, unusual spaces, special tokens) go to
 the library whole.
@@ -18,8 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import accumulate
-from operator import itemgetter
+from struct import pack
 
 import numpy as np
 
@@ -30,9 +29,6 @@ CACHE_BYTES = 160 << 20
 #: slot at the least load, and the allocator's rounding.
 PIECE_BYTES = 190
 
-#: Pieces that one call of the library gets.
-PIECES_A_CALL = 512
-
 #: A full stop or comma after a letter or digit begins a pre-token, so words
 #: are found in the cache whatever follows them; not after any other sign.
 AFTER_SIGN = re.compile(r"[\W_][.,]")
@@ -66,11 +62,10 @@ class CachedEncoder:
         self.tokenizer.no_padding()
         self.kind = kind
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.young_bytes = 0
-        self.letters = self._letters()
+        self.cache = _Cache(self._learn)
+        self.letters, self.model = self._letters(), self.tokenizer.model
         if kind == "space_led":
             self.break_ids = len(self._encode("\n")) * self.dtype.itemsize
 
@@ -87,14 +82,14 @@ class CachedEncoder:
             if not AFTER_SIGN.search(text):
                 text = text.replace(".", " .").replace(",", " ,")
             return text.replace("\n", " ").split(" ")
-        if "\0" in text or OTHER_SPACE.search(text):
+        if not text or "\0" in text or OTHER_SPACE.search(text):
+            return None
+        if text[0] in " \n" or text[-1] in " \n" or any(run in text for run in ("  ", " \n", "\n ", "\n\n")):
             return None
         text = "\n" + text
         if not AFTER_SIGN.search(text):
             text = text.replace(".", " \0.").replace(",", " \0,")
-        pieces = text.replace("\n", " \n").split(" ")[1:]
-        # white space in a row, or at an end of the text
-        return None if "" in pieces or "\n" in pieces else pieces
+        return text.replace("\n", " \n").split(" ")[1:]
 
     def _letters(self) -> dict[int, str] | None:
         """The byte-level alphabet, where a word of letters is one pre-token
@@ -112,82 +107,56 @@ class CachedEncoder:
         rest = [x for x in range(256) if x not in seen]
         return {x: chr(x) for x in seen} | {x: chr(256 + i) for i, x in enumerate(rest)}
 
-    def _learn_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words of letters from the model alone: the same ids at a
-        fraction of the time. Words that normalising changes into something
-        else than letters are left out."""
-        plain = words
-        if self.tokenizer.normalizer:
-            plain = self.tokenizer.normalizer.normalize_str(" ".join(words)).split(" ")
-            if len(plain) != len(words):
-                return {}
-        ask, lead = self.tokenizer.model.tokenize, " " if self.kind == "space_led" else ""
-        return {word: np.array([t.id for t in ask((lead + p).encode().decode("latin-1").translate(self.letters))],
-                               self.dtype).tobytes()
-                for word, p in zip(words, plain, strict=True) if p.isalpha() and max(p) < OLD_LETTERS}
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, many in one call: they are joined as they would
-        stand in a text, and a token belongs to the piece it starts in."""
-        found: dict[str, bytes] = {}
-        if self.letters:
-            words = [p for p in pieces if p.isalpha() and max(p) < OLD_LETTERS]
-            for k in range(0, len(words), PIECES_A_CALL):
-                found.update(self._learn_words(words[k:k + PIECES_A_CALL]))
-            pieces = [p for p in pieces if p not in found]
-        if self.kind == "space_led":
-            alone = [p for p in pieces if p[:1] == "\0"]
-            found.update((p, np.array(self._encode(p[1:]), self.dtype).tobytes()) for p in alone)
-            pieces = [p for p in pieces if p[:1] != "\0"]
-        for k in range(0, len(pieces), PIECES_A_CALL):
-            some = pieces[k:k + PIECES_A_CALL]
-            led = [p if p[:1] == "\n" else " " + p for p in some]
-            got = self.tokenizer.encode("".join(led), add_special_tokens=False)
-            ids = np.array(got.ids, self.dtype).tobytes()
-            ends = list(accumulate(map(len, led)))  # characters up to each piece's end
-            at = np.fromiter(map(itemgetter(0), got.offsets), np.int64)
-            cuts = (np.searchsorted(at, ends, "left") * self.dtype.itemsize).tolist()
-            begin = 0
-            for p, end in zip(some, cuts, strict=True):
-                found[p] = ids[begin:end]
-                begin = end
-        return found
-
-    def _keep(self, piece: str, ids: bytes) -> None:
-        self.young[piece] = ids
-        # four bytes a character at the most
-        self.young_bytes += PIECE_BYTES + len(ids) + (len(piece) if piece.isascii() else 4 * len(piece))
-
-    def _find(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that the young generation lacks."""
-        found = {p: self.old[p] for p in pieces if p in self.old}
-        found.update(self._learn([p for p in pieces if p not in found]))
-        for p, ids in found.items():
-            self._keep(p, ids)
-            if self.young_bytes > CACHE_BYTES // 2:
-                self.old, self.young, self.young_bytes = self.young, {}, 0
-        return found
+    def _learn(self, piece: str) -> bytes:
+        """A piece's ids. A word of letters is asked of the model alone, at a
+        fraction of the time, unless normalising makes something else of it."""
+        lead = " " if self.kind == "space_led" else ""
+        if self.letters and piece.isalpha() and max(piece) < OLD_LETTERS:
+            plain = self.tokenizer.normalizer.normalize_str(piece) if self.tokenizer.normalizer else piece
+            if plain.isalpha() and max(plain) < OLD_LETTERS:
+                seen = (lead + plain).encode().decode("latin-1").translate(self.letters)
+                return pack(f"<{len(got := self.model.tokenize(seen))}{self.code}", *[t.id for t in got])
+        if lead and piece[:1] == "\0":
+            piece = piece[1:]
+        elif piece[:1] != "\n":
+            piece = lead + piece
+        return np.array(self._encode(piece), self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, in the encoder's ``dtype``."""
-        split = [self._pieces(t) for t in texts]
-        parts = [pieces and list(map(self.young.get, pieces)) for pieces in split]
-        holes = [some and [i for i, ids in enumerate(some) if ids is None] for some in parts]
-        new = self._find({pieces[i] for pieces, at in zip(split, holes, strict=True) for i in at or ()})
-        out = []
-        for text, pieces, some, at in zip(texts, split, parts, holes, strict=True):
+        out, ids = [], self.cache.__getitem__
+        for text in texts:
+            pieces = self._pieces(text)
             if pieces is None:
                 out.append(np.array(self._encode(text), self.dtype))
                 continue
-            for i in at:
-                some[i] = new[pieces[i]]
-            joined = b"".join(some)
+            joined = b"".join(map(ids, pieces))
             if self.kind == "space_led":
                 joined = joined[self.break_ids:]
             out.append(np.frombuffer(joined, self.dtype))
         return out
 
 
+class _Cache(dict):
+    """Ids of pieces: the young generation is the dict itself; a piece that
+    it lacks is taken over from the old one, or learnt."""
+
+    def __init__(self, learn):
+        self.learn, self.old, self.held = learn, {}, 0
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.learn(piece)
+        if self.held > CACHE_BYTES // 2:
+            self.old, self.held = dict(self), 0
+            self.clear()
+        self[piece] = ids
+        # four bytes a character at the most
+        self.held += PIECE_BYTES + len(ids) + (len(piece) if piece.isascii() else 4 * len(piece))
+        return ids
+
+
 def encoder(path: str, kind: str) -> CachedEncoder:
     """The worker's encoder for this tokenizer file; kept between tasks."""
     if (path, kind) not in _ENCODERS:
