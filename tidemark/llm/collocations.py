@@ -37,16 +37,16 @@ _FOLD = bytes(b + 32 if chr(b) in UPPER else 10 if b in _BREAKS else 32 if b ==
 _BREAK = b"\n"
 
 #: Bytes of text whose n-grams are counted together.
-RUN_BYTES = 6 << 20
+RUN_BYTES = 3 << 20
 #: Bytes of words that a worker keeps numbered.
-VOCABULARY_BYTES = 48 << 20
+VOCABULARY_BYTES = 32 << 20
 #: Bytes of documents a hash partition of the summaries stands for.
 PARTITION_BYTES = 1 << 20
 #: Bits of the filter of survivors (a broadcast of an eighth of as many bytes).
 FILTER_BITS = 1 << 26
 
 #: Phrases that a task counts before it passes them on.
-HELD_PHRASES = 250_000
+HELD_PHRASES = 150_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
