@@ -17,8 +17,10 @@ rare. The filter's size changes how much is counted, never a result.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -276,18 +278,41 @@ def _count_exactly(bits: int, size: int, bitmap):
         yield from out(held)
 
     def out(held: dict[tuple[str, int], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
-        """What a task has counted over its runs so far."""
-        for (lang, k), own in held.items():
-            if own:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(own), pa.string()), pa.array(list(own), pa.binary()).cast(pa.string()),
-                     pa.array(np.full(len(own), k), pa.int32()), pa.array(list(own.values()), pa.int64())],
-                    ["lang", "phrase", "k", "f"])
+        """What a task has counted over its runs so far, a row for each
+        bucket of phrases."""
+        rows = [(zlib.crc32(phrase) >> (32 - bits), lang, phrase, k, n)
+                for (lang, k), own in held.items() for phrase, n in own.items()]
         held.clear()
+        if rows:
+            rows.sort(key=itemgetter(0))
+            at, langs, phrases, ks, fs = zip(*rows)
+            buckets, first = np.unique(np.array(at), return_index=True)
+            ends = pa.array([*first.tolist(), len(rows)], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets, pa.int32()), *(pa.ListArray.from_arrays(ends, x) for x in (
+                    pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
+                    pa.array(ks, pa.int32()), pa.array(fs, pa.int64())))], ["bucket", "langs", "phrases", "ks", "fs"])
 
     return count
 
 
+def _add_up(threshold: int):
+    """A bucket's phrases with their counts over all tasks, the frequent ones."""
+    def merge(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, int] = {}
+        for batch in parts:
+            langs, phrases, ks, fs = (batch.column(c).flatten().to_pylist() for c in ("langs", "phrases", "ks", "fs"))
+            for *phrase, f in zip(langs, phrases, ks, fs, strict=True):
+                phrase = tuple(phrase)
+                total[phrase] = total.get(phrase, 0) + f
+        kept = [(*phrase, f) for phrase, f in total.items() if f >= threshold]
+        names = ("lang", "phrase", "k", "f")
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in kept], t) for i, t in enumerate(kinds)], names)
+
+    return merge
+
+
 def count_frequent(docs: DataFrame, threshold: int = 100, lang_col: str = "lang",
                    text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k, f): every phrase of 1 to 5 words with at least
@@ -311,10 +336,9 @@ def count_frequent(docs: DataFrame, threshold: int = 100, lang_col: str = "lang"
     there[marked.column("at").to_numpy()] = marked.column("bits").to_numpy()
     bitmap = spark.sparkContext.broadcast(there.tobytes())
     with small_batches(spark):
-        counts = stored(texts.mapInArrow(_count_exactly(bits, FILTER_BITS, bitmap),
-                                         "lang string, phrase string, k int, f long")
-                        .groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).where(F.col("f") >= threshold),
-                        "phrase-counts")
+        counts = stored(texts.mapInArrow(_count_exactly(bits, FILTER_BITS, bitmap), "bucket int, langs array<string>, "
+                                         "phrases array<string>, ks array<int>, fs array<long>").groupBy("bucket")
+                        .applyInArrow(_add_up(threshold), "lang string, phrase string, k int, f long"), "phrase-counts")
     return counts, words
 
 
