@@ -1,0 +1,140 @@
+"""Pre-split tables and key lookups that skip files."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.keys import SPLIT_KEYS, salted_key
+from tidemark.operators.cells import CellTable, get_rows, latest_cells, make_put
+from tidemark.session import list_dirs
+from tidemark.sources.common import KEY_TERMS, key_terms, restrict_to_keys
+
+
+@pytest.fixture()
+def plain_plans(spark):
+    """Plans whose scans can be looked at; files as many as partitions."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _scans(df):
+    """(files, rows) that each file scan of a collected frame has read."""
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("Scan parquet"):
+            m = leaf.metrics()
+            out.append((m.apply("numFiles").value(), m.apply("numOutputRows").value()))
+    return out
+
+
+def _numbered(spark, n, step=2):
+    return (spark.range(n).select(F.format_string("k%06d", F.col("id") * step).alias("rowkey"), F.lit("info").alias("cf"),
+                                  F.lit("x").alias("qualifier"), F.lit(1).cast("bigint").alias("ts"),
+                                  F.col("id").alias("seq"), F.col("id").cast("string").cast("binary").alias("value")))
+
+
+def _keys(df):
+    return sorted(r["rowkey"] for r in df.select("rowkey").collect())
+
+
+def test_scattered_keys_skip_row_groups(spark, tmp_root, plain_plans):
+    t = CellTable(spark, tmp_root)
+    t.put(_numbered(spark, 8000))
+    scan = t.raw().drop("op")
+    # absent keys inside the span of every file: nothing is read
+    absent = restrict_to_keys(scan, ["k000001", "k007001", "k015997"])
+    assert absent.collect() == []
+    assert [rows for _, rows in _scans(absent)] == [0]
+    many = restrict_to_keys(scan, [f"k{i * 600 + 1:06d}" for i in range(25)])  # more than one term holds
+    assert many.collect() == [] and [rows for _, rows in _scans(many)] == [0]
+    # two keys of one file between absent ones: one file's rows at most
+    some = restrict_to_keys(scan, ["k000003", "k000002", "k000004", "k009001", "k015997"])
+    assert sorted(r["rowkey"] for r in some.collect()) == ["k000002", "k000004"]
+    assert [0 < rows < 8000 / 2 for _, rows in _scans(some)] == [True]
+
+
+def test_key_lists_of_every_length(spark, tmp_root):
+    t = CellTable(spark, tmp_root)
+    t.put(_numbered(spark, 4000))
+    for n in (1, 10, 11, 700, 10 * KEY_TERMS, 10 * KEY_TERMS + 1, 3000):
+        asked = [f"k{i * 3:06d}" for i in range(n)]
+        assert _keys(restrict_to_keys(t.raw(), asked)) == [k for k in asked if int(k[1:]) % 2 == 0 and int(k[1:]) < 8000]
+    assert str(key_terms([f"{i:08d}" for i in range(100_000)])).count("OR") <= KEY_TERMS
+
+
+def test_null_and_empty_key_lists(spark, tmp_root):
+    t = CellTable(spark, tmp_root, split_keys=["b"])
+    t.put(make_put(spark, [("a", "info", "x", "1")], ts=1))
+    assert t.get_many([]).collect() == []
+    with pytest.raises(ValueError):
+        t.get_many(["a", None])
+    got = t.get_many(["z", "a", "a"]).collect()
+    assert [(r["pos"], r["rowkey"], r["cf"]) for r in got] == [(0, "z", None), (1, "a", "info"), (2, "a", "info")]
+
+
+def test_a_lookup_reads_one_region(spark, tmp_root, plain_plans):
+    cells = _numbered(spark, 3000).withColumn("rowkey", salted_key("rowkey"))
+    t = CellTable(spark, tmp_root, split_keys=SPLIT_KEYS)
+    op = t.put(cells)
+    assert len(list_dirs(spark, f"{tmp_root}/puts/op={op}")) == 15  # nothing lies below the first split key
+    key = cells.orderBy("rowkey").first()["rowkey"]
+    row = t.get(key)
+    assert [r["rowkey"] for r in row.collect()] == [key]
+    region = SPLIT_KEYS.index(key[0]) + 1
+    files = t.raw(regions=t._regions_of([key])).inputFiles()
+    assert files and all(f"/region={region}/" in f for f in files)
+    assert [n for n, _ in _scans(row)] == [len(files)]
+    assert len(files) < len(t.raw().inputFiles())
+    # a range spans its regions' folders only
+    assert {f.split("region=")[1].split("/")[0] for f in t.raw(regions=t._regions_between("4", "7")).inputFiles()} == \
+        {"4", "5", "6"}
+    assert _keys(t.range("4", "7")) == _keys(cells.filter("rowkey >= '4' and rowkey < '7'"))
+    assert _keys(t.range("6_k", None)) == _keys(cells.filter("rowkey >= '6_k'"))
+    assert _keys(t.range(None, "2")) == _keys(cells.filter("rowkey < '2'"))
+    assert _keys(t.range("7", "4")) == []
+
+
+def test_empty_regions_and_empty_tables_answer(spark, tmp_root):
+    t = CellTable(spark, tmp_root, split_keys=SPLIT_KEYS)
+    assert t.get("1_a").collect() == [] and t.scan().collect() == []
+    t.put(make_put(spark, [("1_a", "info", "x", "1")], ts=1))
+    assert t.get("9_a").collect() == [] and t.range("8", "A").collect() == []
+    assert [r["cf"] for r in t.get_many(["9_a", "1_a"]).collect()] == [None, "info"]
+    t.compact()
+    assert t.get("9_a").collect() == [] and _keys(t.get("1_a")) == ["1_a"]
+    t.put(make_put(spark, [("9_a", "info", "x", "2")], ts=2))
+    assert _keys(t.get("9_a")) == ["9_a"]
+    t.put(make_put(spark, [], ts=3))
+    assert _keys(t.scan()) == ["1_a", "9_a"]
+
+
+def test_regions_agree_with_a_plain_table(spark, tmp_root):
+    cells = _numbered(spark, 500, 1).withColumn("rowkey", salted_key("rowkey"))
+    keys = _keys(cells)[::40]
+    tables = [CellTable(spark, f"{tmp_root}/plain"), CellTable(spark, f"{tmp_root}/split", split_keys=SPLIT_KEYS)]
+    for t in tables:
+        t.put(cells)
+        t.delete(keys[:3])
+        t.compact()
+        t.put(cells.filter(F.col("rowkey") < "5").withColumn("ts", F.lit(2).cast("bigint")))
+        t.delete(keys[-2:])
+    plain, split = tables
+    same = lambda f: sorted(map(str, f(plain).collect())) == sorted(map(str, f(split).collect()))
+    assert same(lambda t: t.scan()) and same(lambda t: t.scan(as_of=0)) and same(lambda t: t.versions(5))
+    assert same(lambda t: t.get_many(keys)) and same(lambda t: t.range("3", "C")) and same(lambda t: t.first())
+    assert same(lambda t: t.page(7, after=keys[2], stop="B")) and same(lambda t: get_rows(t.scan(), keys))
+    assert latest_cells(split.raw().drop("op")).columns == plain.scan().columns
+
+
+def test_split_keys_are_the_tables_own(spark, tmp_root):
+    CellTable(spark, tmp_root, split_keys=["m", "c"]).put(make_put(spark, [("d", "info", "x", "1")], ts=1))
+    again = CellTable(spark, tmp_root)
+    assert again.split_keys == ["c", "m"] and _keys(again.get("d")) == ["d"]
+    with pytest.raises(ValueError):
+        CellTable(spark, tmp_root, split_keys=["q"])
+    CellTable(spark, f"{tmp_root}/old").put(make_put(spark, [("d", "info", "x", "1")], ts=1))
+    with pytest.raises(ValueError):
+        CellTable(spark, f"{tmp_root}/old", split_keys=["q"])

@@ -8,14 +8,29 @@ table)."""
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.codecs import from_utf8, to_utf8
-from tidemark.session import create_file, delete_path, exists, list_dirs, list_files
+from tidemark.functions.keys import region_of
+from tidemark.session import (
+    create_file,
+    delete_path,
+    exists,
+    list_dirs,
+    list_files,
+    matches,
+    modified_ms,
+    read_small,
+    replace_file,
+)
 from tidemark.sources.common import key_list_frame, restrict_to_keys
 
 CELL_KEY = ["rowkey", "cf", "qualifier"]
@@ -162,16 +177,48 @@ class CellTable:
     """A cell table on the shared folder. Every write is a new folder
     (``puts/op=<n>`` or ``deletes/op=<n>``): nothing is rewritten while it may
     be read. A delete hides the row's versions written by earlier operations
-    (a later put shows again)."""
+    (a later put shows again).
 
-    def __init__(self, spark: SparkSession, path: str):
+    ``split_keys`` make a new table pre-split: its cells lie in one folder per
+    region (``region=<number of split keys up to the row key>``), so lookups by
+    key and key ranges list and read their regions' folders only. They are
+    stored with the table, which is opened without them later on. A region that
+    holds a large share of all cells still is many files, written by many tasks.
+    Row keys that all sort into one region should be salted (FN-5)."""
+
+    def __init__(self, spark: SparkSession, path: str, split_keys: list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.split_keys = self._splits(split_keys)
+
+    def _splits(self, asked: list[str] | None) -> list[str] | None:
+        """The table's split keys; those asked for are stored if it is new."""
+        path, asked = f"{self.path}/regions", asked and sorted(set(asked))
+        if asked and not exists(self.spark, path):
+            if list_files(self.spark, f"{self.path}/ops"):
+                raise ValueError("the table has cells and no regions")
+            replace_file(self.spark, path, f"{path}.{uuid.uuid4().hex}", json.dumps(asked))
+        stored = json.loads(read_small(self.spark, path)) if exists(self.spark, path) else None
+        if asked and asked != stored:
+            raise ValueError("the table has other split keys")
+        return stored
+
+    def _regions_of(self, keys: list[str]) -> list[int] | None:
+        """Regions that hold the keys; None (all) for a table without."""
+        return sorted({bisect_right(self.split_keys, k) for k in keys}) if self.split_keys else None
+
+    def _regions_between(self, start: str | None, stop: str | None) -> list[int] | None:
+        """Regions that may hold keys of ``[start, stop)``."""
+        if not self.split_keys:
+            return None
+        first = bisect_right(self.split_keys, start) if start is not None else 0
+        last = bisect_left(self.split_keys, stop) if stop is not None else len(self.split_keys)
+        return list(range(first, last + 1))
 
     def _next_op(self) -> int:
         ops = [int(d.split("=")[1]) for sub in ("puts", "deletes")
                for d in list_dirs(self.spark, f"{self.path}/{sub}") if d.startswith("op=")]
-        return max(ops) + 1 if ops else 0
+        return max([*ops, *map(int, list_files(self.spark, f"{self.path}/ops"))], default=-1) + 1
 
     def _claim_op(self) -> int:
         """A new operation id, claimed by a file that only one writer can
@@ -200,7 +247,7 @@ class CellTable:
     def put(self, cells: DataFrame) -> int:
         t0 = time.time()
         op = self._claim_op()
-        write_sorted(cells.select(*schemas.CELLS.fieldNames()), f"{self.path}/puts/op={op}")
+        write_sorted(cells.select(*schemas.CELLS.fieldNames()), f"{self.path}/puts/op={op}", self.split_keys)
         self._finish(op)
         self.last_put_ms = int((time.time() - t0) * 1000)
         return op
@@ -219,12 +266,19 @@ class CellTable:
         return op
 
     def get(self, rowkey: str, as_of: int | None = None) -> DataFrame:
-        """LKP-1 on the stored table: the key reaches the scan."""
-        return get_row(self.raw(as_of).drop("op"), rowkey)
+        """LKP-1 on the stored table: the key reaches the scan, which lists
+        the key's region only."""
+        return get_row(self.raw(as_of, self._regions_of([rowkey])).drop("op"), rowkey)
 
     def get_many(self, keys: list[str], as_of: int | None = None) -> DataFrame:
-        """LKP-2 on the stored table: the keys' span reaches the scan."""
-        return get_rows(self.raw(as_of).drop("op"), keys)
+        """LKP-2 on the stored table: the keys reach the scan, in terms that
+        statistics and the row keys' Bloom filters skip row groups by."""
+        regions = self._regions_of([k for k in keys if k is not None])
+        return get_rows(self.raw(as_of, regions).drop("op"), keys)
+
+    def range(self, start: str | None = None, stop: str | None = None, as_of: int | None = None) -> DataFrame:
+        """LKP-5 on the stored table: visible cells of rows in [start, stop)."""
+        return latest_cells(range_scan(self.raw(as_of, self._regions_between(start, stop)).drop("op"), start, stop))
 
     def page(self, size: int, after: str | None = None, start: str | None = None, stop: str | None = None,
              predicates: tuple = (), max_versions: int = 0, as_of: int | None = None) -> DataFrame:
@@ -234,7 +288,8 @@ class CellTable:
         page's keys come first, as a top-n of distinct keys without ranking
         any cell; being the smallest ones, they are a key range, which the
         scan for their cells is pruned to."""
-        picked = filter_scan(range_scan(self.raw(as_of).drop("op"), start, stop), *predicates)
+        regions = self._regions_between(max((k for k in (start, after) if k is not None), default=None), stop)
+        picked = filter_scan(range_scan(self.raw(as_of, regions).drop("op"), start, stop), *predicates)
         if after is not None:
             picked = picked.filter(F.col("rowkey") > F.lit(after))
         keys = [r[0] for r in picked.select("rowkey").distinct().orderBy("rowkey").limit(size).collect()]
@@ -293,24 +348,97 @@ class CellTable:
             return None
         kept = cell_versions(self.raw(as_of=op).drop("op"), keep_versions).drop("version")
         kind = "whole" if keep_versions >= MAX_VERSIONS else "newest"
-        write_sorted(kept, f"{self.path}/base/v={op}-{kind}/cells")
+        write_sorted(kept, f"{self.path}/base/v={op}-{kind}/cells", self.split_keys)
         self.spark.createDataFrame([(op,)], "op int").coalesce(1).write.mode("overwrite") \
             .parquet(f"{self.path}/base/v={op}-{kind}/_committed")
         return op
 
-    def raw(self, as_of: int | None = None) -> DataFrame:
+    def pin(self, op: int) -> str:
+        """Keep the table as of ``op`` readable: garbage collection leaves what
+        such a read needs until ``unpin`` of the returned id."""
+        pin = f"{op}.{uuid.uuid4().hex}"
+        create_file(self.spark, f"{self.path}/pins/{pin}")
+        try:
+            self._check_there(op, self._base(op))
+        except LookupError:
+            self.unpin(pin)
+            raise
+        return pin
+
+    def unpin(self, pin: str) -> None:
+        delete_path(self.spark, f"{self.path}/pins/{pin}")
+
+    def _check_there(self, as_of: int, found: tuple[int, str] | None) -> None:
+        """A read as of an operation that was not pinned when others up to it
+        were collected would miss their rows."""
+        base = found[0] if found else -1
+        if any(base < int(op) <= as_of for op in list_files(self.spark, f"{self.path}/collected")):
+            raise LookupError(f"the table as of operation {as_of} was collected")
+
+    def collect_garbage(self, grace_s: float = 86_400) -> list[str]:
+        """Remove what no read needs any more, and return the folders removed.
+
+        Kept are the newest base with all versions that was committed
+        ``grace_s`` ago or earlier (longer than any reader or snapshot taker
+        lives), everything newer, and for each pinned operation the base below
+        it and the operations between. Operations are marked as collected
+        before their folders go, so that a read as of one is refused instead of
+        answered short, and a run that died half way is taken up by the next."""
+        before = (time.time() - grace_s) * 1000
+        bases = {d: exists(self.spark, f"{self.path}/base/{d}/_committed")
+                 for d in list_dirs(self.spark, f"{self.path}/base") if d.startswith("v=")}
+        at = {d: int(d[2:].split("-")[0]) for d in bases}
+        whole = [at[d] for d, committed in bases.items() if committed and d.endswith("-whole")]
+        floor = max((at[d] for d, committed in bases.items() if committed and d.endswith("-whole")
+                     and modified_ms(self.spark, f"{self.path}/base/{d}/_committed") <= before), default=None)
+        if floor is None:
+            return []
+        # (base, operation]: what each pinned read below the floor needs
+        needed = [(max((b for b in whole if b <= pin), default=-1), pin)
+                  for pin in {int(p.split(".")[0]) for p in list_files(self.spark, f"{self.path}/pins")} if pin < floor]
+        gone = [f"{kind}/{d}" for kind in ("puts", "deletes") for d in list_dirs(self.spark, f"{self.path}/{kind}")
+                if d.startswith("op=") and (op := int(d[3:])) <= floor
+                and not any(base < op <= pin for base, pin in needed)]
+        used = {base for base, _ in needed}
+        gone += [f"base/{d}" for d, committed in bases.items()
+                 if at[d] < floor and not (committed and d.endswith("-whole") and at[d] in used)
+                 and (committed or modified_ms(self.spark, f"{self.path}/base/{d}") <= before)]
+        for folder in gone:
+            if "/op=" in folder:
+                create_file(self.spark, f"{self.path}/collected/{folder.split('=')[1]}")
+        for folder in gone:
+            delete_path(self.spark, f"{self.path}/{folder}")
+        return gone
+
+    def _read(self, folder: str, below: str, schema, regions: list[int] | None) -> DataFrame:
+        """Cells under ``folder``; ``below`` leads from it to the region
+        folders. With regions given only theirs are listed; one that no write
+        has reached is empty."""
+        if not self.split_keys:
+            return self.spark.read.schema(schema).parquet(folder)
+        paths = [folder] if regions is None else [p for r in regions if matches(
+            self.spark, p := f"{folder}/{below}region={r}")]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        located = T.StructType([*schema.fields, T.StructField("region", T.IntegerType())])
+        return self.spark.read.schema(located).option("basePath", folder).parquet(*paths).drop("region")
+
+    def raw(self, as_of: int | None = None, regions: list[int] | None = None) -> DataFrame:
         """All stored versions still visible after deletes (with ``op``);
         ``as_of`` reads the table as it was after that operation (the op
-        folders above it are pruned as partitions)."""
+        folders above it are pruned as partitions), ``regions`` the cells of
+        some regions of a pre-split table."""
         empty = self.spark.createDataFrame([], schemas.CELLS_STORED)
-        cells = (self.spark.read.schema(schemas.CELLS_STORED).parquet(f"{self.path}/puts")
+        cells = (self._read(f"{self.path}/puts", "op=*/", schemas.CELLS_STORED, regions)
                  if exists(self.spark, f"{self.path}/puts") else empty)
         found = self._base(as_of)
         base = found and found[0]
+        if as_of is not None:
+            self._check_there(as_of, found)
         if found:
             # folded operations come from the base; only newer ones are read
             cells = cells.filter(F.col("op") > base).unionByName(
-                self.spark.read.schema(schemas.CELLS).parquet(f"{self.path}/base/{found[1]}/cells")
+                self._read(f"{self.path}/base/{found[1]}/cells", "", schemas.CELLS, regions)
                 .withColumn("op", F.lit(base)))
         if as_of is not None:
             cells = cells.filter(F.col("op") <= as_of)
@@ -420,11 +548,19 @@ class BucketedCellTable:
         return latest_cells(self.raw(as_of, use_buckets).drop("op"))
 
 
-def write_sorted(cells: DataFrame, path: str) -> None:
-    """Files range-partitioned and sorted by key. The range bounds include
-    the cell columns and ``seq``, so a row holding a large share of all
-    cells spans several files instead of one task; key order across files
-    is kept."""
-    (cells.repartitionByRange("rowkey", "cf", "qualifier", "seq")
-     .sortWithinPartitions("rowkey", "cf", "qualifier", F.col("ts").desc(), F.col("seq").desc())
-     .write.mode("overwrite").parquet(path))
+#: Parquet writes a Bloom filter of each row group's row keys, sized by what it holds.
+BLOOM = {"parquet.bloom.filter.enabled#rowkey": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
+def write_sorted(cells: DataFrame, path: str, split_keys: list[str] | None = None) -> None:
+    """Files range-partitioned and sorted by key, in a folder per region if
+    there are split keys. The range bounds include the cell columns and
+    ``seq``, so a row holding a large share of all cells spans several files
+    instead of one task; key order across files is kept."""
+    order = ["rowkey", "cf", "qualifier", F.col("ts").desc(), F.col("seq").desc()]
+    out = cells.repartitionByRange("rowkey", "cf", "qualifier", "seq")
+    if split_keys:  # regions ascend with the keys: this order serves both
+        out = out.withColumn("region", region_of("rowkey", split_keys)).sortWithinPartitions("region", *order)
+        out.write.mode("overwrite").options(**BLOOM).partitionBy("region").parquet(path)
+    else:
+        out.sortWithinPartitions(*order).write.mode("overwrite").options(**BLOOM).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.codecs import bytes_to_long, from_utf8, long_to_bytes, long_to_hex
-from tidemark.functions.keys import random_code, region_of, salted_key
+from tidemark.functions.keys import SPLIT_KEYS, random_code, region_of, salted_key
 from tidemark.functions.offsets import decode_offsets, encode_offsets
 from tidemark.operators import cells as CL
 from tidemark.operators import counters as C
@@ -22,6 +22,7 @@ from tidemark.operators.snapshots import SnapshotStore
 from tidemark.plans import views as V
 from tidemark.plans.views import with_views
 from tidemark.session import delete_path, scratch_dir
+from tidemark.sources.common import key_list_frame
 from tidemark.sources.tables import read_table
 from tidemark.sources.topic import select_topics
 from tidemark.streaming import topic_stream as S
@@ -439,6 +440,37 @@ def q_long_to_bytes_hex(spark, sf):
     return _signed(spark, sf).select("event_id", "n", long_to_hex("n").alias("hex"))
 
 
+def _presplit_cells(spark, sf) -> CL.CellTable:
+    """Cells under salted row keys in a table pre-split at the 15 split keys:
+    two puts with a compaction between them."""
+    cells = V.cells(spark, sf).withColumn("rowkey", salted_key("rowkey"))
+    n = read_table(spark, sf, "events").select(F.max("event_id")).scalar()
+    t = CL.CellTable(spark, scratch_dir(spark, "cells"), split_keys=SPLIT_KEYS)
+    t.put(cells.filter(F.col("seq") * 2 <= n))
+    t.compact()
+    t.put(cells.filter(F.col("seq") * 2 > n))
+    return t
+
+
+def _salted(spark, keys: list[str]) -> list[str]:
+    return [r[0] for r in key_list_frame(spark, keys).select(salted_key("rowkey")).collect()]  # a key list
+
+
+def q_region_get_row(spark, sf):
+    """One row of a pre-split table, from its region's folders."""
+    return V.readable(_presplit_cells(spark, sf).get(*_salted(spark, ["u5"])))
+
+
+def q_region_get_rows(spark, sf):
+    """Scattered rows of a pre-split table, a missing and a repeated one too."""
+    return V.readable(_presplit_cells(spark, sf).get_many(_salted(spark, CELL_KEYS)), "pos")
+
+
+def q_region_range(spark, sf):
+    """A key range over several regions."""
+    return V.readable(_presplit_cells(spark, sf).range("4_u3", "B"))
+
+
 def q_bytes_to_long(spark, sf):
     return _signed(spark, sf).select("event_id", "n", bytes_to_long(long_to_bytes("n")).alias("decoded"))
 
@@ -490,6 +522,30 @@ def q_snapshot_table(spark, sf):
     return V.readable(store.read("first_half"))
 
 
+def q_snapshot_collect(spark, sf):
+    """Two snapshots of a cell table and one copy; after a compaction the first
+    snapshot and the copy are dropped and what only they needed is removed. The
+    second snapshot and the table are read afterwards."""
+    cells = V.cells(spark, sf)
+    n = read_table(spark, sf, "events").select(F.max("event_id")).scalar()
+    root = scratch_dir(spark, "snapcollect")
+    t = CL.CellTable(spark, f"{root}/cells")
+    store = SnapshotStore(spark, f"{root}/snapshots")
+    t.put(cells.filter(F.col("seq") * 2 <= n))
+    store.take_table("first_half", t)
+    t.compact()
+    t.put(cells.filter(F.col("seq") * 2 > n))
+    store.take_table("all", t)
+    store.take("copy", t.scan())
+    t.delete(DELETE_KEYS)
+    t.compact()
+    store.drop("first_half")
+    store.drop("copy")
+    gone = store.collect_garbage(grace_s=0)
+    kept = store.read("all").withColumn("name", F.lit("all")).unionByName(t.scan().withColumn("name", F.lit("table")))
+    return V.readable(kept, "name", F.lit(len(gone)).alias("folders_removed"))
+
+
 def _three_snapshots(spark, sf):
     store = SnapshotStore(spark, scratch_dir(spark, "snapshots"))
     store.take("daily_a", V.counters(spark, sf))
@@ -805,12 +861,16 @@ QUERIES: dict[str, Query] = {
     "bytes_to_long": q_bytes_to_long,
     "salted_key": q_salted_key,
     "region_skew": q_region_skew,
+    "region_get_row": q_region_get_row,
+    "region_get_rows": q_region_get_rows,
+    "region_range": q_region_range,
     "random_code": q_random_code,
     "random_code_check": q_random_code_check,
     "snapshot_roundtrip": q_snapshot_roundtrip,
     "snapshot_table": q_snapshot_table,
     "snapshot_list": q_snapshot_list,
     "snapshot_drop": q_snapshot_drop,
+    "snapshot_collect": q_snapshot_collect,
     "stream_counters": q_stream_counters,
     "stream_resume": q_stream_resume,
     "stream_restart_from_log": q_stream_restart_from_log,
@@ -829,6 +889,8 @@ QUERIES: dict[str, Query] = {
 _REC = "SELECT topic, \"partition\", \"offset\", \"key\", \"value\" FROM"
 _LATEST_AT_STOP = ("SELECT group_id, topic, \"partition\", arg_max(until_offset, batch_id) AS \"offset\" "
                    "FROM log_v WHERE batch_id <= (SELECT max(batch_id) // 2 FROM log_v) GROUP BY group_id, topic, \"partition\"")
+_SALTED = ("substr('123456789ABCDEF', CAST(('0x' || substr(md5(rowkey), 1, 8))::BIGINT % 15 + 1 AS INTEGER), 1) || '_'"
+           " || rowkey AS rowkey")
 _PAGED = ("SELECT rowkey, click_count, row_number() OVER (ORDER BY rowkey) AS row_num FROM counters_v")
 
 
@@ -986,6 +1048,15 @@ ORACLE: dict[str, str] = {
         "lambda s: s <= salted)) AS INTEGER) AS region, count(*) AS keys FROM (SELECT substr('123456789ABCDEF', "
         "CAST(('0x' || substr(md5(rowkey), 1, 8))::BIGINT % 15 + 1 AS INTEGER), 1) || '_' || rowkey AS salted "
         "FROM counters_v) GROUP BY 1", "counters_v"),
+    "region_get_row": with_views(
+        f"SELECT {_SALTED}, * EXCLUDE (rowkey) FROM latest_v WHERE rowkey = 'u5'", "latest_v"),
+    "region_get_rows": with_views(
+        f"SELECT CAST(k.pos AS INTEGER) AS pos, {_SALTED.replace('rowkey', 'k.rowkey', 2)}, l.cf, l.qualifier, l.ts, "
+        "l.seq, l.value_text FROM " + _values(list(enumerate(CELL_KEYS)), "pos, rowkey")
+        + " LEFT JOIN latest_v l ON l.rowkey = k.rowkey", "latest_v"),
+    "region_range": with_views(
+        f"SELECT * FROM (SELECT {_SALTED}, * EXCLUDE (rowkey) FROM latest_v) WHERE rowkey >= '4_u3' AND rowkey < 'B'",
+        "latest_v"),
     "random_code_check": ("SELECT count(*) AS codes, CAST(8 AS INTEGER) AS shortest, CAST(8 AS INTEGER) AS longest, "
                           "CAST(0 AS BIGINT) AS other_characters, true AS vary FROM events"),
     "snapshot_roundtrip": with_views("SELECT * FROM latest_v", "latest_v"),
@@ -993,6 +1064,12 @@ ORACLE: dict[str, str] = {
         "SELECT rowkey, cf, qualifier, ts, seq, value_text FROM (SELECT *, row_number() OVER (PARTITION BY rowkey, "
         "cf, qualifier ORDER BY ts DESC, seq DESC) AS rn FROM cells_v WHERE seq * 2 <= (SELECT max(event_id) "
         "FROM events)) WHERE rn = 1", "cells_v"),
+    # removed: the copy, the first put (in the first base) and the delete (in the second base); the first base and the
+    # second put serve the snapshot that is left
+    "snapshot_collect": with_views(
+        "SELECT 'all' AS name, CAST(3 AS INTEGER) AS folders_removed, * FROM latest_v UNION ALL "
+        "SELECT 'table' AS name, CAST(3 AS INTEGER) AS folders_removed, * FROM latest_v WHERE rowkey NOT IN ("
+        + ", ".join(f"'{k}'" for k in DELETE_KEYS) + ")", "latest_v"),
     "snapshot_list": with_views(
         "SELECT 'daily_a' AS snapshot_name, count(*) AS rows FROM counters_v UNION ALL "
         "SELECT 'daily_b' AS snapshot_name, count(*) AS rows FROM search_v", "counters_v", "search_v"),

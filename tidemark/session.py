@@ -139,6 +139,19 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for s in fs.listStatus(p) if s.isFile() and not (n := s.getPath().getName()).startswith("."))
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits a glob pattern."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``; 0 if it is not there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def create_file(spark: SparkSession, path: str) -> bool:
     """Create an empty file; False if it was there (one caller wins)."""
     jvm = spark.sparkContext._jvm
