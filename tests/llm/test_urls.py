@@ -57,6 +57,46 @@ def test_rules_are_filed_under_their_rarest_token():
     assert rules[1] in index["of"]  # its other words may go on
 
 
+def test_every_pattern_has_a_key():
+    from dataclasses import replace
+    for rule in PATTERN_RULES:
+        assert rule.tokens and replace(rule, anywhere=True).tokens
+    keys = lambda text, anywhere=False: PatternRule("block", text, anywhere).tokens
+    assert keys("spam-farm") == {"spam", "farm"} and keys("spam-farm", True) == {">spam", "<farm"}
+    assert keys("casino", True) == {"*casino"} and keys("*casino*") == {"*casino"} and keys("/x/", True) == {"x"}
+    assert keys("a*b", True) == {"*a", "*b"} and keys("a*b") == {"<a", ">b"} and keys("*.*", True) == set()
+    index = index_rules([PatternRule("block", "farm-casino", True)], {">farm": 3, "<casino": 2})
+    assert list(index) == ["<casino"]
+
+
+def test_parts_of_tokens_fetch_the_same_rules(spark, monkeypatch):
+    r = random.Random(5)
+    bits = ["ab", "b", "abc", "a", "1", "-", "/", ".", "*", "=", "ca"]
+    texts = sorted({"".join(r.choices(bits, k=r.randrange(1, 5))) for _ in range(150)} - {"*"})
+    rules = [PatternRule(r.choice(["allow", "block"]), t) for t in texts]
+    some = [None, "", "*", "<ab", *("".join(r.choices([b for b in bits if b != "*"], k=r.randrange(1, 9))) for _ in range(300))]
+    for plain in (False, True):
+        rank = lambda p: (len(p.text), p.action == "block")
+        want = []
+        for u in some:
+            hits = [p for p in rules if re.search("(?s)" + ".*".join(map(re.escape, p.text.split("*"))) if plain or "*" in (
+                p.text[0], p.text[-1]) else "(?s)(?<![a-z0-9])" + ".*".join(map(re.escape, p.text.split("*"))) + "(?![a-z0-9])",
+                u or "")]
+            top = max(map(rank, hits), default=None)
+            texts = sorted(p.text for p in hits if rank(p) == top)
+            want.append(texts and (texts[0] if plain else texts[-1]) or None)
+        for most in (urls.RULES_A_PASS, 40):
+            monkeypatch.setattr(urls, "RULES_A_PASS", most)
+            got = judge_urls(frame(spark, some), [], rules, plain=plain).orderBy("page_id").collect()
+            assert [row["pattern"] for row in got] == want
+
+
+def test_counts_of_token_parts(spark):
+    some = ["http://spamfarm.org/spam", "ab-abab", "", None, "SPAM", "xspam yspam"]
+    counts = urls.token_counts(frame(spark, some), "url", {"spam", ">spam", "<spam", "*ba", "*am", "<abc", "none"})
+    assert counts == {"spam": 2, ">spam": 3, "<spam": 2, "*ba": 1, "*am": 3}
+
+
 def test_no_rows_and_no_rules(spark):
     assert judge_urls(frame(spark, ["x"]).limit(0), HOST_RULES, PATTERN_RULES).count() == 0
     assert [r.verdict for r in judge_urls(frame(spark, URLS), [], []).collect()] == ["allow"] * len(URLS)

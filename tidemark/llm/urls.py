@@ -1,9 +1,11 @@
 """URL filters: rules found through their rarest literal token.
 
 A rule is either a host with a path prefix, or a glob pattern over the whole
-URL. Every rule must contain its literal tokens (runs of ASCII letters and
-digits), so it is filed under the one that is rarest over all URLs; a URL's
-tokens fetch candidate rules, and only those run their regular expression.
+URL. A URL that fits must contain the rule's literal tokens (runs of ASCII
+letters and digits), so the rule is filed under the one that is rarest over all
+URLs; a URL's tokens fetch candidate rules, and only those run their regular
+expression. A pattern's token that may go on at one end or both is a beginning,
+end or inner part of a URL's token, and is asked for as such.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ TOKEN = re.compile("[a-z0-9]+")
 #: Rules that travel to the executors in one pass (a few hundred bytes each);
 #: more rules take more passes over the URLs.
 RULES_A_PASS = 100_000
+#: Kinds of token parts, written before a part to tell it from a whole token.
+BEGINS, ENDS, INSIDE = "<", ">", "*"
 TO_LOWER = str.maketrans(UPPER, LOWER)
 
 
@@ -54,9 +58,9 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """A glob: ``*`` stands for any characters. Ends without ``*`` fall on
-    token borders, unless the rule is ``anywhere``. Matched anywhere in the URL
-    with A-Z lower-cased."""
+    """A glob: ``*`` stands for any characters. Without ``*`` at either end,
+    both ends fall on token borders, unless the rule is ``anywhere``. Matched
+    anywhere in the URL with A-Z lower-cased."""
 
     action: str
     pattern: str
@@ -76,29 +80,63 @@ class PatternRule:
     def tokens(self) -> set[str]:
         text = self.pattern.translate(TO_LOWER)
         open_ends = self.anywhere or text[:1] == "*" or text[-1:] == "*"
-        return {m[0] for m in TOKEN.finditer(text)
-                if "*" not in (text[m.start() - 1:m.start()], text[m.end():m.end() + 1])
-                and not (open_ends and (m.start() == 0 or m.end() == len(text)))}
+        keys = set()
+        for m in TOKEN.finditer(text):
+            before = text[m.start() - 1:m.start()] == "*" or open_ends and m.start() == 0
+            after = text[m.end():m.end() + 1] == "*" or open_ends and m.end() == len(text)
+            keys.add((INSIDE if before and after else ENDS if before else BEGINS if after else "") + m[0])
+        return keys
 
     over_url = True
 
 
+def _lengths(keys: Iterable[str]) -> dict[str, list[int]]:
+    """Lengths of the token parts among keys, by their kind."""
+    return {kind: sorted({len(k) - 1 for k in keys if k[:1] == kind}) for kind in (BEGINS, ENDS, INSIDE)}
+
+
+def _asked(tokens: set[str], lengths: dict[str, list[int]]) -> set[str]:
+    """The keys that a URL's tokens fetch rules by: the tokens, and of each
+    the parts of the lengths that rules are filed under."""
+    keys = {"", *tokens}
+    for t in tokens:
+        keys.update(BEGINS + t[:n] for n in lengths[BEGINS] if n <= len(t))
+        keys.update(ENDS + t[-n:] for n in lengths[ENDS] if n <= len(t))
+        keys.update(INSIDE + t[i:i + n] for n in lengths[INSIDE] for i in range(len(t) - n + 1))
+    return keys
+
+
 def token_counts(urls: DataFrame, url_col: str, wanted: set[str]) -> dict[str, int]:
-    """Over all URLs, how many have each of the rules' tokens. The result has
-    a row for each token of the rules at most."""
-    tokens = F.explode(F.array_distinct(F.split(lower_ascii(F.col(url_col).cast("string")), "[^a-z0-9]+")))
+    """Over all URLs, how many have each of the rules' tokens and parts of
+    tokens. The result has a row for each key of the rules at most."""
+    tokens = F.array_distinct(F.split(lower_ascii(F.col(url_col).cast("string")), "[^a-z0-9]+"))
+    lengths = _lengths(wanted)
+
+    def inner(t, n):
+        starts = F.when(F.length(t) >= n, F.sequence(F.lit(1), F.length(t) - (n - 1))).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat(F.lit(INSIDE), F.substring(t, i, F.lit(n))))
+
+    def parts(t):
+        return F.concat(F.array(t, *(F.concat(F.lit(BEGINS), F.left(t, F.lit(n))) for n in lengths[BEGINS]),
+                                *(F.concat(F.lit(ENDS), F.right(t, F.lit(n))) for n in lengths[ENDS])),
+                        *(inner(t, n) for n in lengths[INSIDE]))
+
+    keys = F.explode(F.array_distinct(F.flatten(F.transform(tokens, parts))))
     spark = urls.sparkSession
     asked = spark.createDataFrame([(t,) for t in sorted(wanted)], "token string")
     asked = F.broadcast(asked) if len(wanted) <= RULES_A_PASS else asked
-    counted = urls.select(tokens.alias("token")).join(asked, "token", "left_semi").groupBy("token").count()
+    counted = urls.select(keys.alias("token")).join(asked, "token", "left_semi").groupBy("token").count()
     return {r["token"]: r["count"] for r in counted.collect()}
 
 
 def index_rules(rules: list, counts: dict[str, int]) -> dict[str, list]:
-    """Rules by their rarest literal token; ``""``: rules without one."""
+    """Rules by their rarest literal token or part of one, of equally rare
+    ones a whole token; ``""``: rules without a letter or digit."""
     index = defaultdict(list)
     for rule in rules:
-        index[min(rule.tokens, key=lambda t: (counts.get(t, 0), t), default="")].append(rule)
+        rarest = min(rule.tokens, key=lambda t: (counts.get(t, 0), t[:1] in (BEGINS, ENDS, INSIDE), t), default="")
+        index[rarest].append(rule)
     return dict(index)
 
 
@@ -115,6 +153,7 @@ def _judge(index: dict[str, list], smaller: bool):
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = {r: re.compile(r.regex) for rules in index.values() for r in rules}
         rank = lambda r: (len(r.text), r.action == "block")
+        lengths = _lengths(index)
         better = lambda a, b: b if a is None or rank(b) > rank(a) or rank(b) == rank(a) and (
             b.text < a.text if smaller else b.text > a.text) else a
         for batch in slices(batches, "__url"):
@@ -123,8 +162,8 @@ def _judge(index: dict[str, list], smaller: bool):
                 host, path = split_url(url)
                 low = (url or "").translate(TO_LOWER)
                 best = {False: None, True: None}
-                for token in ("", *set(TOKEN.findall(low))):
-                    for rule in index.get(token, ()):
+                for key in _asked(set(TOKEN.findall(low)), lengths):
+                    for rule in index.get(key, ()):
                         if compiled[rule].match(low if rule.over_url else host + path):
                             best[rule.over_url] = better(best[rule.over_url], rule)
                 hosts.append(host)
