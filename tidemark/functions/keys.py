@@ -35,8 +35,8 @@ def counter_key(*parts) -> Column:
 
 def random_code(length: int, alphabet: str = "ALL_CHAR", seed: int | None = None) -> Column:
     """FN-4: ``length`` characters drawn uniformly, with replacement, from one
-    of :data:`ALPHABETS`. Built from ``sequence``/``transform`` so every
-    position draws its own random number, fully JVM-side."""
+    of :data:`ALPHABETS`, fully JVM-side: one random number a row, hashed with
+    each position (a transform's lambda can't draw for each element)."""
     chars = ALPHABETS.get(alphabet, alphabet)
     if length <= 0:
         return F.lit("")
