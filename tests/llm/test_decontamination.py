@@ -106,3 +106,39 @@ def test_repeated_shingles_that_differ(spark):
     docs = spark.createDataFrame([(k, f"{words} v{k} " + f"y{k} " * 26) for k in range(4)], "doc_id long, text string")
     found = {(r.doc_id, r.item_id) for r in find_contamination(docs, items).collect()}
     assert {(k, f"i{k}") for k in range(4)} <= found
+
+
+def test_shared_counts_repeats(spark):
+    r = random.Random(4)
+    pairs = [([r.randrange(6) for _ in range(r.randrange(1, 12))], [r.randrange(6) for _ in range(r.randrange(1, 12))])
+             for _ in range(60)]
+    often = [[(h, c) for h, c in Counter(b).items() if c > 1] for _, b in pairs]
+    df = spark.createDataFrame([(a, b, o) for (a, b), o in zip(pairs, often, strict=True)],
+                               "a array<long>, b array<long>, o array<struct<h:long,times:long>>")
+    got = [r.m for r in df.select(decontamination.shared(F.col("a"), F.col("b"), F.col("o")).alias("m")).collect()]
+    assert got == [sum((Counter(a) & Counter(b)).values()) for a, b in pairs]
+
+
+def test_fingerprints_are_majorities(spark):
+    r = random.Random(6)
+    windows = [[r.getrandbits(64) - (1 << 63) for _ in range(r.randrange(1, 40))] for _ in range(20)] + [[-1], [0]]
+    want = {i: sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) for i, hs in enumerate(windows)}
+    df = spark.createDataFrame(list(enumerate(windows)), "i long, hs array<long>").select("i", F.size("hs").alias("n"),
+                                                                                          F.explode("hs").alias("h"))
+    got = df.groupBy("i", "n").agg(*decontamination.bit_sums(F.col("h"))).select(
+        "i", decontamination.bits_over(F.col("n")).alias("fp")).collect()
+    assert {r.i: r.fp % (1 << 64) for r in got} == want
+
+
+def test_long_document_that_repeats_an_item(spark):
+    """60,000 words, an item over and over: as many windows as words."""
+    item = " ".join(f"w{i}" for i in range(60))
+    bench = spark.createDataFrame([(1, item), (2, item + " and some more words at its end")], "item_id long, text string")
+    got = find_contamination(docs(spark, [f"{item} " * 1_000, f"x {item} " * 100]), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.similarity) for r in got if r.item_id == 1) == [(0, 1, 1.0), (1, 1, 1.0)]
+
+
+def test_columns_of_any_name_stay(spark):
+    left = drop_contaminated(odd(spark), spark.createDataFrame([(1, "one small text")], "item_id long, text string"))
+    assert left.columns == odd(spark).columns
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == [2, 3, 4, 5, 6, 7, 7, 8]

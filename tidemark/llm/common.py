@@ -108,6 +108,13 @@ def text_of(docs: DataFrame, text_col: str):
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
+def whole_rows(docs: DataFrame, id_col: str, key) -> DataFrame:
+    """id, key and whole, a struct of all columns: no name of theirs can clash
+    with what an operator adds."""
+    return docs.select(F.col(id_col).alias("id"), key.alias("key"),
+                       F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("whole"))
+
+
 def let(value, body):
     """``body`` over a value that is computed once: an expression that a
     lambda refers to would else be put into it, and run for each element."""

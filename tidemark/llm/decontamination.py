@@ -8,8 +8,8 @@ The benchmark is the query set; it is taken in blocks. Such a window must hold
 a certain number of the item's shingles, so shingles of the block's items are
 looked up in every document, and windows that hold enough of them become
 candidates (nothing that could reach the similarity is left out). A candidate
-window gets a SimHash over its shingles, and its 64 bits in ``max_bits`` + 1
-blocks meet the items' blocks: within ``max_bits`` bits one block at least is
+window gets a SimHash over its shingles (sums over its exploded hashes, so the
+work grows with its length alone), and its 64 bits in ``max_bits`` + 1 blocks meet the items' blocks: within ``max_bits`` bits one block at least is
 equal. What is within the radius is verified by the exact similarity. The
 radius holds for shingles that occur once; where one occurs more often in the
 item or the window, or the window is shorter than the item, few shingles may
@@ -21,14 +21,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, stored, text_of
+from .common import let, stored, text_of, whole_rows
 from .licenses import words_column
 
-#: The block in which pairs meet that are verified whatever their bits are.
-ALL_BITS = -1
 #: Shingles of items that are looked up in one pass over the documents.
 SHINGLES_A_BLOCK = 50_000
 BITS = 64
+HALF = BITS // 2
 
 
 def with_shingles(df: DataFrame, text, size: int) -> DataFrame:
@@ -42,14 +41,6 @@ def with_shingles(df: DataFrame, text, size: int) -> DataFrame:
                                    .when(F.size(wh) > 0, whole(wh)).otherwise(F.array().cast("array<long>"))))
 
 
-def simhash_of(hs):
-    """A bit is 1 if it is set in over half of the hashes."""
-    is_set = lambda b: F.size(F.filter(hs, lambda h: F.call_function("getbit", h, b) == 1)) * 2 > F.size(hs)
-    return F.aggregate(
-        F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), is_set), F.lit(0).cast("long"),
-        lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
-
-
 def bit_blocks(fp, max_bits: int):
     """The fingerprint in ``max_bits`` + 1 blocks: array of (block, value)."""
     edges = [BITS * k // (max_bits + 1) for k in range(max_bits + 2)]
@@ -72,14 +63,34 @@ def needed(window, item, similarity: float):
     return F.ceil((window + item) * (similarity / (1 + similarity)) - 1e-9)
 
 
-def shared(a, b):
-    """Size of the multiset intersection of two arrays."""
-    times = lambda xs, h: F.size(F.filter(xs, lambda x: x == h))
-    return F.aggregate(F.array_distinct(b), F.lit(0), lambda acc, h: acc + F.least(times(a, h), times(b, h)))
+def shared(window, item, often):
+    """Size of the multiset intersection of a window and an item, of which
+    ``often`` lists the hashes that it holds more than once."""
+    again = F.aggregate(often, F.lit(0).cast("long"), lambda acc, o: acc + F.greatest(F.lit(0), F.least(
+        o["times"], F.size(F.filter(window, lambda x: x == o["h"]))) - 1))
+    return F.size(F.array_intersect(window, item)) + again
+
+
+def bit_sums(h):
+    """Aggregates m0 .. m31: in how many hashes bit k is set, and in the upper
+    half of the same number bit k + 32."""
+    bit = lambda k: F.call_function("getbit", h, F.lit(k)).cast("long")
+    return [F.sum(bit(k) + F.call_function("shiftleft", bit(k + HALF), F.lit(HALF))).alias(f"m{k}") for k in range(HALF)]
+
+
+def bits_over(size):
+    """The fingerprint from ``bit_sums``: bits set in over half of ``size`` hashes."""
+    low = [F.col(f"m{k}").bitwiseAND(F.lit((1 << HALF) - 1)) for k in range(HALF)]
+    high = [F.call_function("shiftrightunsigned", F.col(f"m{k}"), F.lit(HALF)) for k in range(HALF)]
+    whole = F.lit(0).cast("long")
+    for k, n in enumerate(low + high):
+        whole = whole.bitwiseOR(F.when(n * 2 > size, F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(k)))
+                                .otherwise(F.lit(0).cast("long")))
+    return whole
 
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, item_text: str, shingle: int) -> DataFrame:
-    """item_no, item_id, hs, n, fp and the block of items it is looked up in."""
+    """item_no, item_id, hs, n, often, fp and the block of items it is looked up in."""
     items = (with_shingles(benchmark.select(F.col(item_id).alias("item_id"), text_of(benchmark, item_text).alias("t")),
                            F.col("t"), shingle).drop("t").where(F.size("hs") > 0)
              .withColumn("n", F.size("hs")).withColumn("item_no", F.monotonically_increasing_id()))
@@ -87,8 +98,15 @@ def benchmark_blocks(benchmark: DataFrame, item_id: str, item_text: str, shingle
     # Sizes are added up within a few groups of items, not over one sorted list.
     lanes = items.withColumn("lane", F.pmod(F.xxhash64("item_no"), F.lit(max(1, -(-items.count() // 10_000)))))
     so_far = Window.partitionBy("lane").orderBy("item_no").rowsBetween(Window.unboundedPreceding, 0)
-    return lanes.withColumn("block_no", F.struct("lane", F.floor(F.sum("n").over(so_far) / SHINGLES_A_BLOCK).alias("k"))
-                            ).drop("lane").withColumn("fp", simhash_of(F.col("hs")))
+    blocks = lanes.withColumn("block_no", F.struct("lane", F.floor(F.sum("n").over(so_far) / SHINGLES_A_BLOCK).alias("k"))
+                              ).drop("lane")
+    prints = (items.select("item_no", "n", F.explode("hs").alias("h")).groupBy("item_no", "n").agg(*bit_sums(F.col("h")))
+              .select("item_no", bits_over(F.col("n")).alias("fp")))
+    often = (items.select("item_no", F.explode("hs").alias("h")).groupBy("item_no", "h").agg(F.count("*").alias("times"))
+             .where("times > 1").groupBy("item_no").agg(F.collect_list(F.struct("h", "times")).alias("often")))
+    none = F.array().cast("array<struct<h:bigint,times:bigint>>")
+    return (blocks.join(prints, "item_no").join(often, "item_no", "left")
+            .withColumn("often", F.coalesce("often", none)))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8,
@@ -145,27 +163,35 @@ def _search(texts: DataFrame, items: DataFrame, similarity: float, max_bits: int
     at_hits = F.filter(F.transform("ps", lambda p, j: F.when(
         (p <= last) & (F.get("ps", j + need - 1) < p + window), p)), lambda s: s.isNotNull())
     at_end = F.when(F.get("ps", F.size("ps") - need) >= last, F.array(last)).otherwise(F.array().cast("array<int>"))
-    starts = (pairs.where(F.size("ps") >= need)
-              .select("row", "n", "item_no", "heavy", window.alias("w"), F.explode(F.array_union(at_hits, at_end)).alias("s"))
-              .groupBy("row", "n", "w", "s").agg(F.collect_list(F.struct("item_no", "heavy")).alias("near")))
-    windows = (starts.join(held.select("row", "doc_id", "text_key", "hs"), "row")
-               .withColumn("win", F.slice("hs", F.col("s") + 1, F.col("w"))).drop("hs")
-               .withColumn("wfp", simhash_of(F.col("win"))))
-    any_bits = lambda no: F.struct(F.lit(ALL_BITS).alias("block"), no.alias("value"))
-    heavy = repeats(F.col("win")) | (F.col("w") < F.col("n"))
-    direct = F.transform(F.filter("near", lambda i: heavy | i["heavy"]), lambda i: any_bits(i["item_no"]))
-    indexed = items.select("item_no", "item_id", F.col("hs").alias("ihs"), F.col("n").alias("item_n"), "fp",
-                           F.explode(F.concat(bit_blocks(F.col("fp"), max_bits), F.array(any_bits(F.col("item_no")))))
-                           .alias("ib"))
-    met = (windows.withColumn("wb", F.explode(F.concat(bit_blocks(F.col("wfp"), max_bits), direct))).drop("near")
-           .join(F.broadcast(indexed), (F.col("n") == F.col("item_n")) & (F.col("wb.block") == F.col("ib.block"))
-                 & (F.col("wb.value") == F.col("ib.value")))
-           .withColumn("x", F.col("wfp").bitwiseXOR(F.col("fp"))).withColumn("bits", F.bit_count("x"))
-           .where((F.col("wb.block") == ALL_BITS)
-                  | (F.col("bits") <= max_bits) & (first_equal_block(F.col("x"), max_bits) == F.col("wb.block"))))
-    both = shared(F.col("win"), F.col("ihs"))
-    return (met.withColumn("both", both)
-            .withColumn("similarity", F.col("both") / (F.size("win") + F.col("item_n") - F.col("both")))
+    starts = stored(pairs.where(F.size("ps") >= need).select(
+        "row", "n", "item_no", "heavy", window.alias("w"), F.explode(F.array_union(at_hits, at_end)).alias("s")),
+        "decontaminate-starts")
+
+    place = ["row", "n", "w", "s"]
+    inside = F.slice("hs", F.col("s") + 1, F.col("w"))
+    hashes = (starts.select(place).distinct().join(held.select("row", "hs"), "row")
+              .select(*place, inside.alias("win"))
+              .select(*place, (repeats(F.col("win")) | (F.col("w") < F.col("n"))).alias("loose"), F.explode("win").alias("h")))
+    windows = stored(hashes.groupBy(*place, "loose").agg(*bit_sums(F.col("h")))
+                     .select(*place, "loose", bits_over(F.col("w")).alias("wfp")), "decontaminate-windows")
+
+    indexed = items.select("item_no", F.col("n").alias("item_n"), "fp", F.explode(bit_blocks(F.col("fp"), max_bits)).alias("ib"))
+    near = (windows.select(*place, "wfp", F.explode(bit_blocks(F.col("wfp"), max_bits)).alias("wb"))
+            .join(F.broadcast(indexed), (F.col("n") == F.col("item_n")) & (F.col("wb.block") == F.col("ib.block"))
+                  & (F.col("wb.value") == F.col("ib.value")))
+            .withColumn("x", F.col("wfp").bitwiseXOR(F.col("fp"))).withColumn("bits", F.bit_count("x"))
+            .where(F.col("bits") <= max_bits).where(first_equal_block(F.col("x"), max_bits) == F.col("wb.block"))
+            .select("row", "w", "s", "item_no", "bits"))
+    direct = (starts.join(windows, place).where(F.col("heavy") | F.col("loose"))
+              .join(F.broadcast(items.select("item_no", "fp")), "item_no")
+              .select("row", "w", "s", "item_no", F.bit_count(F.col("wfp").bitwiseXOR(F.col("fp"))).alias("bits")))
+    candidates = stored(near.unionByName(direct).distinct(), "decontaminate-candidates")
+
+    verified = (candidates.join(held.select("row", "doc_id", "text_key", "hs"), "row")
+                .join(F.broadcast(items.select("item_no", "item_id", "n", F.col("hs").alias("ihs"), "often")), "item_no")
+                .select("row", "item_no", "doc_id", "text_key", "item_id", "bits", "s", F.col("w").alias("size"), "n",
+                        let(inside, lambda win: shared(win, F.col("ihs"), F.col("often"))).alias("both")))
+    return (verified.withColumn("similarity", F.col("both") / (F.col("size") + F.col("n") - F.col("both")))
             .where(F.col("similarity") >= similarity)
             .groupBy("row", "item_no")
             .agg(F.max(F.struct("similarity", -F.col("bits"), -F.col("s"))).alias("best"),
@@ -177,9 +203,15 @@ def _search(texts: DataFrame, items: DataFrame, similarity: float, max_bits: int
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **options) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates, with all
-    their columns."""
+    their columns, whatever these are called.
+
+    Null or empty texts match nothing and stay. Null ids are judged like any
+    other. Rows repeated with one id and text go or stay together; of rows with
+    one id and different texts only those with a contaminated text go. An empty
+    benchmark leaves all rows, an empty frame none.
+    """
     found = stored(find_contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options), "contaminated")
-    out = found.select(F.col("doc_id").alias("__out_id"), F.col("text_key").alias("__out_key")).distinct()
-    marked = docs.withColumn("__key", F.xxhash64(text_of(docs, text_col)))
-    same = marked[id_col].eqNullSafe(out["__out_id"]) & (marked["__key"] == out["__out_key"])
-    return marked.join(out, same, "left_anti").drop("__key")
+    out = found.select(F.col("doc_id").alias("out_id"), F.col("text_key").alias("out_key")).distinct()
+    rows = whole_rows(docs, id_col, F.xxhash64(text_of(docs, text_col)))
+    same = F.col("id").eqNullSafe(F.col("out_id")) & (F.col("key") == F.col("out_key"))
+    return rows.join(out, same, "left_anti").select("whole.*")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import arrow_rows, id_type, partitions_for, slices, stored, text_of
+from .common import arrow_rows, id_type, partitions_for, slices, stored, text_of, whole_rows
 
 #: Characters of a text that splitters are sampled from, beside its SHA-256.
 SPLITTER_CHARS = 32
@@ -120,11 +120,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Rows repeated
-    with one id and equal texts leave one row. Ties as in ``exact_groups``."""
+    """The rows of ``docs`` that stay, with all their columns, whatever these
+    are called. A null text counts as empty, so of null, empty and equal texts
+    one row stays. Rows repeated with one id and equal texts leave one row.
+    Null ids and ties as in ``exact_groups``; an empty frame stays empty."""
     stay = (exact_groups(docs, id_col, text_col).where("kept")
-            .select(F.col("doc_id").alias("__stay_id"), F.col("text_sha256").alias("__stay_sha")))
-    marked = docs.withColumn("__sha", F.sha2(normalised(text_of(docs, text_col)), 256))
-    same = marked[id_col].eqNullSafe(stay["__stay_id"]) & (marked["__sha"] == stay["__stay_sha"])
-    one = marked.join(stay, same, "left_semi")
-    return one.dropDuplicates([id_col, "__sha"]).drop("__sha")
+            .select(F.col("doc_id").alias("stay_id"), F.col("text_sha256").alias("stay_sha")))
+    rows = whole_rows(docs, id_col, F.sha2(normalised(text_of(docs, text_col)), 256))
+    same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("key") == F.col("stay_sha"))
+    return rows.join(stay, same, "left_semi").dropDuplicates(["id", "key"]).select("whole.*")

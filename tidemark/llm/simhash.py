@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import arrow_rows, id_type, slices, stored, text_of
+from .common import arrow_rows, id_type, slices, stored, text_of, whole_rows
 
 BITS = 64
 SEED = 42
@@ -339,13 +339,15 @@ def near_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: st
 
 def drop_near(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of every
-    component the row with the smallest id (of rows with that id the one with
-    the smallest text hash, once)."""
+    """The rows of ``docs`` that stay, with all their columns, whatever these
+    are called: of every component the row with the smallest id (of rows with
+    that id the one with the smallest text hash, once). Null texts count as
+    empty and are linked like any other; a row with a null id stays only where
+    its component has no other. An empty frame stays empty."""
     groups = near_groups(docs, shingle, max_bits, id_col, text_col)
     stay = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("root").agg(F.first("component_id").alias("__stay_id"), F.min("text_key").alias("__stay_key"))
+            .groupBy("root").agg(F.first("component_id").alias("stay_id"), F.min("text_key").alias("stay_key"))
             .drop("root"))
-    marked = docs.withColumn("__key", F.xxhash64(text_of(docs, text_col)))
-    same = marked[id_col].eqNullSafe(stay["__stay_id"]) & (marked["__key"] == stay["__stay_key"])
-    return marked.join(stay, same, "left_semi").dropDuplicates([id_col, "__key"]).drop("__key")
+    rows = whole_rows(docs, id_col, F.xxhash64(text_of(docs, text_col)))
+    same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("key") == F.col("stay_key"))
+    return rows.join(stay, same, "left_semi").dropDuplicates(["id", "key"]).select("whole.*")
