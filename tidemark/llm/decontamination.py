@@ -26,6 +26,9 @@ from .licenses import words_column
 
 #: Shingles of items that are looked up in one pass over the documents.
 SHINGLES_A_BLOCK = 50_000
+#: Window starts that one piece of a document's hashes serves: a long document
+#: is many pieces, so its windows are cut from short arrays, on many tasks.
+STARTS_A_PIECE = 1_024
 BITS = 64
 HALF = BITS // 2
 
@@ -41,17 +44,21 @@ def with_shingles(df: DataFrame, text, size: int) -> DataFrame:
                                    .when(F.size(wh) > 0, whole(wh)).otherwise(F.array().cast("array<long>"))))
 
 
-def bit_blocks(fp, max_bits: int):
-    """The fingerprint in ``max_bits`` + 1 blocks: array of (block, value)."""
+def block_values(fp, max_bits: int) -> list:
+    """The fingerprint's bits in ``max_bits`` + 1 blocks."""
     edges = [BITS * k // (max_bits + 1) for k in range(max_bits + 2)]
-    return F.array(*(F.struct(F.lit(k).alias("block"),
-                              F.call_function("shiftrightunsigned", fp, F.lit(a)).bitwiseAND(F.lit((1 << (b - a)) - 1))
-                              .alias("value")) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))))
+    return [F.call_function("shiftrightunsigned", fp, F.lit(a)).bitwiseAND(F.lit((1 << (b - a)) - 1))
+            for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def bit_blocks(fp, max_bits: int):
+    """Array of (block, value)."""
+    return F.array(*(F.struct(F.lit(k).alias("block"), v.alias("value")) for k, v in enumerate(block_values(fp, max_bits))))
 
 
 def first_equal_block(difference, max_bits: int):
     """The lowest block in which two fingerprints agree, from their XOR."""
-    return F.array_position(F.transform(bit_blocks(difference, max_bits), lambda x: x["value"] == 0), True) - 1
+    return F.coalesce(*(F.when(v == 0, F.lit(k)) for k, v in enumerate(block_values(difference, max_bits))))
 
 
 def repeats(hs):
@@ -74,8 +81,8 @@ def shared(window, item, often):
 def bit_sums(h):
     """Aggregates m0 .. m31: in how many hashes bit k is set, and in the upper
     half of the same number bit k + 32."""
-    bit = lambda k: F.call_function("getbit", h, F.lit(k)).cast("long")
-    return [F.sum(bit(k) + F.call_function("shiftleft", bit(k + HALF), F.lit(HALF))).alias(f"m{k}") for k in range(HALF)]
+    return [F.sum(F.call_function("shiftrightunsigned", h, F.lit(k)).bitwiseAND(F.lit((1 << HALF) | 1))).alias(f"m{k}")
+            for k in range(HALF)]
 
 
 def bits_over(size):
@@ -149,6 +156,11 @@ def _search(texts: DataFrame, items: DataFrame, similarity: float, max_bits: int
     held = (texts.withColumn("hits", hits).where(F.size("hits") >= least)
             .withColumn("row", F.monotonically_increasing_id()))
     held = stored(held, "decontaminate-held")
+    longest = items.agg(F.max("n")).first()[0]
+    pieces = stored(held.select("row", "doc_id", "text_key", "hs", F.explode(F.sequence(
+        F.lit(0), F.floor((F.size("hs") - 1) / STARTS_A_PIECE).cast("int"))).alias("piece"))
+        .withColumn("hs", F.slice("hs", F.col("piece") * STARTS_A_PIECE + 1, STARTS_A_PIECE + longest - 1)),
+        "decontaminate-pieces")
 
     postings = items.select("item_no", "n", repeats(F.col("hs")).alias("heavy"), F.explode(F.array_distinct("hs")).alias("h"))
     pairs = (held.select("row", F.size("hs").alias("size"), F.explode("hits").alias("p"), "hs")
@@ -168,8 +180,9 @@ def _search(texts: DataFrame, items: DataFrame, similarity: float, max_bits: int
         "decontaminate-starts")
 
     place = ["row", "n", "w", "s"]
-    inside = F.slice("hs", F.col("s") + 1, F.col("w"))
-    hashes = (starts.select(place).distinct().join(held.select("row", "hs"), "row")
+    at_piece = F.floor(F.col("s") / STARTS_A_PIECE).cast("int").alias("piece")
+    inside = F.slice("hs", F.col("s") - F.col("piece") * STARTS_A_PIECE + 1, F.col("w"))
+    hashes = (starts.select(*place, at_piece).distinct().join(pieces.select("row", "piece", "hs"), ["row", "piece"])
               .select(*place, inside.alias("win"))
               .select(*place, (repeats(F.col("win")) | (F.col("w") < F.col("n"))).alias("loose"), F.explode("win").alias("h")))
     windows = stored(hashes.groupBy(*place, "loose").agg(*bit_sums(F.col("h")))
@@ -187,10 +200,10 @@ def _search(texts: DataFrame, items: DataFrame, similarity: float, max_bits: int
               .select("row", "w", "s", "item_no", F.bit_count(F.col("wfp").bitwiseXOR(F.col("fp"))).alias("bits")))
     candidates = stored(near.unionByName(direct).distinct(), "decontaminate-candidates")
 
-    verified = (candidates.join(held.select("row", "doc_id", "text_key", "hs"), "row")
+    verified = (candidates.select("*", at_piece).join(pieces, ["row", "piece"])
+                .select("row", "item_no", "doc_id", "text_key", "bits", "s", F.col("w").alias("size"), inside.alias("win"))
                 .join(F.broadcast(items.select("item_no", "item_id", "n", F.col("hs").alias("ihs"), "often")), "item_no")
-                .select("row", "item_no", "doc_id", "text_key", "item_id", "bits", "s", F.col("w").alias("size"), "n",
-                        let(inside, lambda win: shared(win, F.col("ihs"), F.col("often"))).alias("both")))
+                .withColumn("both", shared(F.col("win"), F.col("ihs"), F.col("often"))))
     return (verified.withColumn("similarity", F.col("both") / (F.col("size") + F.col("n") - F.col("both")))
             .where(F.col("similarity") >= similarity)
             .groupBy("row", "item_no")
