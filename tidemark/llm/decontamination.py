@@ -184,7 +184,8 @@ def _search(texts: DataFrame, items: DataFrame, similarity: float, max_bits: int
     inside = F.slice("hs", F.col("s") - F.col("piece") * STARTS_A_PIECE + 1, F.col("w"))
     hashes = (starts.select(*place, at_piece).distinct().join(pieces.select("row", "piece", "hs"), ["row", "piece"])
               .select(*place, inside.alias("win"))
-              .select(*place, (repeats(F.col("win")) | (F.col("w") < F.col("n"))).alias("loose"), F.explode("win").alias("h")))
+              .withColumn("loose", repeats(F.col("win")) | (F.col("w") < F.col("n")))
+              .select(*place, "loose", F.explode("win").alias("h")))
     windows = stored(hashes.groupBy(*place, "loose").agg(*bit_sums(F.col("h")))
                      .select(*place, "loose", bits_over(F.col("w")).alias("wfp")), "decontaminate-windows")
 
