@@ -57,6 +57,15 @@ def test_drop_keeps_clean_documents_and_columns(spark):
     assert truth.count(0) >= 0.98 * clean and truth.count(1) <= 0.05 * (docs.count() - clean)
 
 
+def test_few_toxic_labels_reject(spark):
+    docs, _ = corpus(spark)
+    bad = [r.doc_id for r in docs.where("truth = 1").orderBy("doc_id").collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    labels = docs.where(F.col("doc_id").isin(bad[:10]) | (F.col("truth") == 0)).select("doc_id", F.col("truth").alias("toxic"))
+    truth = [r.truth for r in drop_toxic(docs, labels).collect()]
+    clean = docs.where("truth = 0").count()
+    assert truth.count(0) >= 0.98 * clean and truth.count(1) <= 0.5 * (docs.count() - clean)
+
+
 def test_odd_rows_and_one_class(spark):
     df = odd(spark)
     for labels in ([], [(1, 0), (3, 0)], [(1, 1), (1, 0), (3, None), (None, 1)]):

@@ -20,13 +20,14 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, stored, text_of
 
-#: Labelled rows that the model is fitted on, chosen by a hash of their id.
+#: Labelled ids that the model is fitted on, half of them toxic at most and half
+#: clean, chosen by a hash of their id and weighted back to the classes' shares.
 LABELLED_ROWS = 20_000
 #: A lexicon entry stands in so many toxic documents at least, and is so many
 #: times likelier in them; the strongest ones are kept.
@@ -39,9 +40,6 @@ STEMS = (4, 5, 6)
 NEAR = 5
 #: Rows of one in so many are kept from the trees for the calibration.
 CALIBRATION_SHARE = 4
-#: Clean rows that the calibration supposes at its highest margin: a score of
-#: 0.5 then needs more toxic rows than these there, not two or three by chance.
-SUPPOSED_CLEAN = 3
 #: Share of the margin's own order that separates scores the isotonic steps tie.
 TIE_SHARE = 1e-3
 
@@ -173,43 +171,46 @@ def _margin(trees: GBTClassificationModel, rows: DataFrame, kept: list[str]) ->
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str,
                   held_out_share: int, most: int) -> DataFrame:
-    """(text, toxic, row hash) of at most ``most`` labelled ids that are not
-    held out. An id labelled twice takes its larger label."""
+    """(text, toxic, rank in its class, weight) of labelled ids that are not held
+    out, at most half of ``most`` of each class: rare toxic labels are all
+    used. An id labelled twice takes its larger label."""
     known = (labels.select(F.col(label_id).alias("__id"), F.col(label_col).cast("int").alias("toxic"))
              .where("__id is not null and toxic is not null")
              .where(F.crc32(F.col("__id").cast("string")) % held_out_share != 0)
              .groupBy("__id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
-             .withColumn("order", F.xxhash64("__id", F.lit(7))).orderBy("order", "__id").limit(most))
+             .withColumn("order", F.xxhash64("__id", F.lit(7))))
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    clean, toxic = (known.where(F.col("toxic") == t).orderBy("order", "__id").limit(most // 2)
+                    .withColumn("weight", F.lit(max(1.0, sizes.get(t, 0) / (most // 2)))) for t in (0, 1))
+    ranked = clean.unionByName(toxic).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("toxic").orderBy("order", "__id")))
     return (docs.select(F.col(id_col).alias("__id"), text_of(docs, text_col).alias("text"))
-            .join(F.broadcast(known), "__id").select("text", "toxic", "order"))
+            .join(F.broadcast(ranked), "__id").select("text", "toxic", "rank", "weight"))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_id: str = "doc_id", label_col: str = "toxic", held_out_share: int = 5,
                  most: int = LABELLED_ROWS) -> ToxicityModel:
     """Fit on labelled ids whose crc32 (of the id as text) is not divisible by
-    ``held_out_share``, ``most`` of them at most. One quarter of these rows is
+    ``held_out_share``, ``most`` of them at most. One quarter of each class is
     kept from the trees and calibrates them."""
     rows = stored(labelled_rows(docs, labels, id_col, text_col, label_id, label_col, held_out_share, most),
                   "toxic-labelled")
-    calibrates = F.pmod("order", F.lit(CALIBRATION_SHARE)) == 0
+    calibrates = F.col("rank") % CALIBRATION_SHARE == 0
     sizes = {(r["c"], r["toxic"]): r["n"] for r in rows.groupBy(calibrates.alias("c"), "toxic")
-             .agg(F.count("*").alias("n")).collect()}
+             .agg(F.sum("weight").alias("n")).collect()}
     bad = sizes.get((False, 1), 0) + sizes.get((True, 1), 0)
     if min(sizes.get((c, t), 0) for c in (False, True) for t in (0, 1)) == 0:
         return ToxicityModel({}, None, None, bad / max(1, sum(sizes.values())))
     lexicon = learn_lexicon(rows.where(~calibrates))
     known = stored(with_features(rows, lexicon), "toxic-features")
     train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        known.where(~calibrates)).select("features", F.col("toxic").cast("double").alias("label"))
-    trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.3, minInstancesPerNode=5, seed=7).fit(train)
-    held = _margin(trees, known.where(calibrates), ["toxic"]).select(
-        "margin", F.col("toxic").cast("double").alias("label"))
-    top = held.agg(F.max("margin")).first()[0]
-    supposed = held.sparkSession.createDataFrame([(top, 0.0)] * SUPPOSED_CLEAN, "margin double, label double")
+        known.where(~calibrates)).select("features", F.col("toxic").cast("double").alias("label"), "weight")
+    trees = GBTClassifier(weightCol="weight", maxIter=20, maxDepth=3, stepSize=0.3, minInstancesPerNode=5, seed=7).fit(train)
+    held = _margin(trees, known.where(calibrates), ["toxic", "weight"])
     # Most clean rows share a margin: one row per margin, weighted, instead of ties in one task.
-    weighed = held.unionByName(supposed).groupBy("margin").agg(
-        F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
+    weighed = held.groupBy("margin").agg((F.sum(F.col("toxic") * F.col("weight")) / F.sum("weight")).alias("label"),
+                                         F.sum("weight").alias("weight"))
     steps = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(weighed)
     return ToxicityModel(lexicon, trees, steps, bad / sum(sizes.values()))
 
@@ -232,7 +233,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, with all their columns."""
+    """The rows of ``docs`` that score below 0.5, with all their columns. Null
+    and empty texts are scored as empty ones, null ids like others; rows with
+    equal texts go or stay together. Without labels of both classes all rows
+    score the share of toxic labels. An empty frame stays empty."""
     model = fit_toxicity(docs, labels, id_col, text_col)
     packed = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("__row"), text_of(docs, text_col).alias("text"))
     return model.score(packed).where("score < 0.5").select("__row.*")
