@@ -1,6 +1,7 @@
 import re
 
 import corpus_pipeline
+from tidemark.llm import exact, packing, simhash, toxicity
 from tests.llm.cases import odd
 from tests.llm.test_decontamination import brute as leaks
 from tests.llm.test_packing import brute as pieces
@@ -56,3 +57,35 @@ def test_registered(spark):
     numbers = {int(n[2:].split("_")[0]) for n in E.queries() if n.startswith("op") and n[2].isdigit()}
     assert numbers == set(range(1, 11)) and E.queries()["pipeline"] is corpus_pipeline.run
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_workers_hold_small_batches(spark, monkeypatch):
+    """Texts reach Python workers a thousand rows at a time, in whatever action."""
+    docs = spark.range(6_000).selectExpr("id as doc_id", "concat('some words of the text ', id) as text").coalesce(1)
+    labels = spark.range(400).selectExpr("id as doc_id", "int(id % 2) as toxic")
+    whole = toxicity.slices
+
+    def checked(batches, column):
+        for batch in batches:
+            assert batch.num_rows <= 1_000
+            yield from whole([batch], column)
+
+    for module in (exact, packing, simhash, toxicity):
+        monkeypatch.setattr(module, "slices", checked)
+    assert toxicity.drop_toxic(docs, labels).count() <= 6_000
+    assert toxicity.score_toxicity(docs, labels).count() == 6_000
+    assert exact.drop_copies(docs).count() == 6_000
+    assert simhash.drop_near(docs).count() <= 6_000
+    assert corpus_pipeline.packing(spark, docs, SF).count() == 6_000
+
+
+def test_stages_start_no_rdd_workers(spark, monkeypatch):
+    """Rows from a list go through an RDD's Python workers, which stay beside the others."""
+    def refuse(*_, **__):
+        raise AssertionError("rows from a list")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 10 = 0")
+    for _, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, docs, SF)
+        assert kept.count() > 0

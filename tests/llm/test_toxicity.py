@@ -1,4 +1,6 @@
 import random
+import subprocess
+import sys
 import zlib
 
 from pyspark.sql import functions as F
@@ -90,3 +92,17 @@ def test_features():
     assert row["lexicon_share"] > 0 and row["near_second_person"] == 1 and row["exclamations"] > 0
     assert row["obfuscated"] > 0 and row["capitals"] > 0
     assert features("", {}, frozenset()) == [0.0] * len(FEATURES)
+
+
+def test_workers_load_no_spark_ml():
+    """Python workers import the module for its features alone."""
+    code = "import sys, tidemark.llm.toxicity; sys.exit(bool({'pyspark.ml', 'pandas'} & set(sys.modules)))"
+    assert subprocess.run([sys.executable, "-c", code], check=False).returncode == 0
+
+
+def test_columns_that_no_file_holds(spark):
+    docs, labels = corpus(spark, 300)
+    odd_types = docs.selectExpr("*", "null as nothing", "interval 1 day as span")
+    left = drop_toxic(odd_types, labels)
+    assert left.columns == odd_types.columns
+    assert sorted(r.doc_id for r in left.collect()) == sorted(r.doc_id for r in drop_toxic(docs, labels).collect())

@@ -63,6 +63,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def storable(df: DataFrame) -> bool:
+    """Whether ``stored`` can write the frame: Parquet has no void and no
+    interval columns."""
+    return not any(t in f.dataType.simpleString() for f in df.schema for t in ("void", "interval"))
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame. Made from a list, it would start Python workers of RDD
+    jobs, which stay in memory beside those of the operators."""
+    return spark.range(0, 0, 1, 1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A frame of long columns from rows of the driver; as ``no_rows``, without
+    Python workers."""
+    columns = zip(*rows, strict=True) if rows else [()] * len(names)
+    return spark.createDataFrame(pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)}))
+
+
 def id_type(docs: DataFrame, id_col: str) -> T.DataType:
     return docs.schema[id_col].dataType
 

@@ -20,8 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import let, stored, text_of, whole_rows
+from .common import let, no_rows, stored, text_of, whole_rows
 from .licenses import words_column
 
 #: Shingles of items that are looked up in one pass over the documents.
@@ -134,10 +135,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, shingle: int = 5,
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("t"))
     texts = (with_shingles(texts, F.col("t"), shingle)
              .select("doc_id", F.xxhash64("t").alias("text_key"), "hs"))
-    spark = docs.sparkSession
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in (texts.schema["doc_id"], items.schema["item_id"])]
-    found = spark.createDataFrame(
-        [], f"{kinds[0]}, text_key long, {kinds[1]}, similarity double, bits int, start_word int")
+    found = no_rows(docs.sparkSession, T.StructType([
+        texts.schema["doc_id"], T.StructField("text_key", T.LongType()), items.schema["item_id"],
+        T.StructField("similarity", T.DoubleType()), T.StructField("bits", T.IntegerType()),
+        T.StructField("start_word", T.IntegerType())]))
     for row in items.select("block_no").distinct().collect():
         block = items.where((F.col("block_no.lane") == row["block_no"]["lane"])
                             & (F.col("block_no.k") == row["block_no"]["k"])).drop("block_no")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import arrow_rows, id_type, partitions_for, slices, stored, text_of, whole_rows
+from .common import arrow_rows, id_type, partitions_for, slices, small_batches, stored, text_of, whole_rows
 
 #: Characters of a text that splitters are sampled from, beside its SHA-256.
 SPLITTER_CHARS = 32
@@ -99,7 +99,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                            T.StructField("run", T.LongType()), T.StructField("first", T.BooleanType()),
                            T.StructField("run_id", kind), T.StructField("run_rows", T.LongType()),
                            T.StructField("edge", T.BooleanType())])
-    runs = stored(dealt.mapInArrow(_runs(to_arrow_type(kind)), schema), "exact-runs")
+    with small_batches(docs.sparkSession):
+        runs = stored(dealt.mapInArrow(_runs(to_arrow_type(kind)), schema), "exact-runs")
 
     # Two rows at most for each partition: its first and its last run.
     in_order = Window.orderBy("part", "run")

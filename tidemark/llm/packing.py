@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import arrow_rows, id_type, slices, small_batches, stored, text_of
+from .common import arrow_rows, id_type, local_rows, slices, small_batches, stored, text_of
 from .encoding import encoder
 
 
@@ -123,8 +123,7 @@ def pack(docs: DataFrame, tokenizer: str, kind: str = "whole", capacity: int = 4
 
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = plan_best_fit(counts, capacity)
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(slots, "length long, first_rank long, number long, first_sequence long, offset long")
+    plan = local_rows(docs.sparkSession, slots, ["length", "first_rank", "number", "first_sequence", "offset"])
     fits = ((ranked["length"] == plan["length"]) & (ranked["rank"] >= plan["first_rank"])
             & (ranked["rank"] < plan["first_rank"] + plan["number"]))
     return ranked.join(plan, fits).select(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import arrow_rows, id_type, slices, stored, text_of, whole_rows
+from .common import arrow_rows, id_type, no_rows, slices, small_batches, stored, text_of, whole_rows
 
 BITS = 64
 SEED = 42
@@ -237,7 +237,7 @@ def linked_fingerprints(fps: DataFrame, max_bits: int) -> DataFrame:
     fingerprints are connected through edges exactly when they are through
     links of at most ``max_bits`` bits."""
     spark = fps.sparkSession
-    edges = spark.createDataFrame([], "a long, b long")
+    edges = no_rows(spark, T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
     left = fps
     number = max_bits + 1
     count = left.count()
@@ -325,7 +325,8 @@ def near_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: st
     rows have one fingerprint and so one component. Only the id and text
     columns are read; an empty frame gives an empty result.
     """
-    docs_fp = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
+    with small_batches(docs.sparkSession):
+        docs_fp = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
     by_fp = stored(docs_fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     stars = components(linked_fingerprints(by_fp.select("fp"), max_bits))
     rooted = by_fp.join(stars, by_fp["fp"] == stars["node"], "left").select(

@@ -14,17 +14,20 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, stored, text_of
+from .common import slices, small_batches, storable, stored, text_of
+
+# Spark ML is imported where it is used, on the driver: Python workers import
+# this module for the features, and Spark ML would load pandas in each of them.
+if TYPE_CHECKING:
+    from pyspark.ml.classification import GBTClassificationModel
+    from pyspark.ml.regression import IsotonicRegressionModel
 
 #: Labelled ids that the model is fitted on, half of them toxic at most and half
 #: clean, chosen by a hash of their id and weighted back to the classes' shares.
@@ -138,8 +141,9 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
              .groupBy("entry").agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
              .where(F.col("n1") >= LEAST_TOXIC_DOCUMENTS).withColumn("ratio", ratio)
              .where(F.col("ratio") >= LEAST_RATIO)
-             .orderBy(F.desc("ratio"), F.desc("n1"), "entry").limit(LEXICON_ENTRIES).collect())
-    return {r["entry"]: math.log(r["ratio"]) for r in found}
+             .orderBy(F.desc("ratio"), F.desc("n1"), "entry").limit(LEXICON_ENTRIES))
+    with small_batches(labelled.sparkSession):
+        return {r["entry"]: math.log(r["ratio"]) for r in found.collect()}
 
 
 @dataclass
@@ -165,6 +169,9 @@ class ToxicityModel:
 
 
 def _margin(trees: GBTClassificationModel, rows: DataFrame, kept: list[str]) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
     joined = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
     return trees.transform(joined).select(*kept, vector_to_array("rawPrediction")[1].alias("margin"))
 
@@ -194,6 +201,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Fit on labelled ids whose crc32 (of the id as text) is not divisible by
     ``held_out_share``, ``most`` of them at most. One quarter of each class is
     kept from the trees and calibrates them."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import IsotonicRegression
+
     rows = stored(labelled_rows(docs, labels, id_col, text_col, label_id, label_col, held_out_share, most),
                   "toxic-labelled")
     calibrates = F.col("rank") % CALIBRATION_SHARE == 0
@@ -203,7 +214,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     if min(sizes.get((c, t), 0) for c in (False, True) for t in (0, 1)) == 0:
         return ToxicityModel({}, None, None, bad / max(1, sum(sizes.values())))
     lexicon = learn_lexicon(rows.where(~calibrates))
-    known = stored(with_features(rows, lexicon), "toxic-features")
+    with small_batches(docs.sparkSession):
+        known = stored(with_features(rows, lexicon), "toxic-features")
     train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
         known.where(~calibrates)).select("features", F.col("toxic").cast("double").alias("label"), "weight")
     trees = GBTClassifier(weightCol="weight", maxIter=20, maxDepth=3, stepSize=0.3, minInstancesPerNode=5, seed=7).fit(train)
@@ -228,8 +240,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     model = fit_toxicity(docs, labels, id_col, text_col, held_out_share=held_out_share, most=most)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % held_out_share == 0, F.lit(False))
-    return (model.score(docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text")))
-            .select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+    scores = (model.score(docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text_col).alias("text")))
+              .select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+    return _scored(scores)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -239,4 +252,13 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     score the share of toxic labels. An empty frame stays empty."""
     model = fit_toxicity(docs, labels, id_col, text_col)
     packed = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("__row"), text_of(docs, text_col).alias("text"))
-    return model.score(packed).where("score < 0.5").select("__row.*")
+    return _scored(model.score(packed).where("score < 0.5").select("__row.*"))
+
+
+def _scored(rows: DataFrame) -> DataFrame:
+    """The rows written in small batches; whoever reads them later would run the
+    features in batches of the session's size. Types that no file holds stay a plan."""
+    if not storable(rows):
+        return rows
+    with small_batches(rows.sparkSession):
+        return stored(rows, "toxic-scored")
