@@ -30,3 +30,35 @@ def test_cache_is_bounded(file, kind, monkeypatch):
         texts = [f"the common words and junk{k}x{i} zq{chr(97 + i)}{chr(97 + k % 26)}" for i in range(20)]
         assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
         assert e.cache.held <= 20_300 and len(e.cache) + len(e.cache.old) < 40_000 // encoding.PIECE_BYTES + 3
+
+
+@pytest.mark.parametrize("file,kind", FILES)
+def test_new_pieces_are_asked_for_together(file, kind, monkeypatch):
+    e, plain = CachedEncoder(public_tokenizers.path(file), kind), MADE[file][1]
+    asked, learn = [], e.cache.learn
+    monkeypatch.setattr(e.cache, "learn", lambda pieces: asked.append(pieces) or learn(pieces))
+    words = [f"{a}{b}{end}" for a in ("Zqua", "été", "İst", "ǅ", "x9") for b in ("bel", "Nor", "ß", "vrk") for end in ("", "!", "'s")]
+    texts = [" ".join(words[k:] + words[:k]) for k in range(0, len(words), 7)]
+    assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) == 1 and len(asked[0]) <= 2 * len(words)
+    assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) == 1
+
+
+def test_case_of_ascii_takes_no_place_of_its_own():
+    file, kind = FILES[1]
+    e, plain = CachedEncoder(public_tokenizers.path(file), kind), MADE[file][1]
+    texts = ["the Word", "THE wORD", "É J̌ ǰ Ḱ Σ ΣΑΣ", "é ǰ ς"]
+    assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "word" in e.cache and "Word" not in e.cache and "wORD" not in e.cache
+
+
+@pytest.mark.parametrize("file,kind", FILES)
+def test_slice_larger_than_the_cache(file, kind, monkeypatch):
+    monkeypatch.setattr(encoding, "CACHE_BYTES", 4_000)
+    monkeypatch.setattr(encoding, "ASKED_AT_ONCE", 7)
+    e, plain = CachedEncoder(public_tokenizers.path(file), kind), MADE[file][1]
+    for _ in range(2):
+        texts = [f"some words w{chr(97 + i)}q stay Z{chr(97 + i)} and, {i} go." for i in range(26)]
+        assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(e.cache) + len(e.cache.old) < 4_000 // encoding.PIECE_BYTES + 3 and not e.cache.new

@@ -2,11 +2,11 @@
 
 Byte-pair merges never cross a pre-token, so a text's ids are its pre-tokens'
 ids in a row. ``CachedEncoder`` cuts texts at places that are pre-token
-borders for the given kind of tokenizer, asks the library once for each
-distinct piece it holds, and joins the pieces' ids; natural text repeats nearly all of
-its words, so most pieces are found in the cache. Texts in which the borders
-are not certain (runs of white space, unusual spaces, special tokens) go to
-the library whole.
+borders for the given kind of tokenizer, looks each distinct piece of a few
+texts up once, asks the library for those it does not hold, many in one call,
+and joins the pieces' ids; natural text repeats nearly all of its words, so
+most pieces are found in the cache. Texts in which the borders are not certain
+(runs of white space, unusual spaces, special tokens) go to the library whole.
 
 The cache is bounded in bytes. It has two generations: pieces that are asked
 for enter the young one; when that is full it becomes the old one, and what the
@@ -18,9 +18,12 @@ from __future__ import annotations
 import json
 import os
 import re
-from struct import pack
+from collections.abc import Iterator, Sequence
+from itertools import batched, pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes that a worker's cache of pieces takes at most: two generations of half of it.
 CACHE_BYTES = 160 << 20
@@ -29,9 +32,12 @@ CACHE_BYTES = 160 << 20
 #: slot at the least load, and the allocator's rounding.
 PIECE_BYTES = 190
 
+#: Pieces that the library is asked for in one call.
+ASKED_AT_ONCE = 1_000
+
 #: A full stop or comma after a letter or digit begins a pre-token, so words
 #: are found in the cache whatever follows them; not after any other sign.
-AFTER_SIGN = re.compile(r"[\W_][.,]")
+AFTER_SIGN = re.compile(r"[.,](?<=[\W_][.,])")
 
 #: White space other than a space or line break.
 OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -56,6 +62,7 @@ class CachedEncoder:
     def __init__(self, path: str, kind: str = "whole"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -65,23 +72,29 @@ class CachedEncoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.cache = _Cache(self._learn)
-        self.letters, self.model = self._letters(), self.tokenizer.model
+        self.letters, self.lowers = self._letters(), self._lowers()
+        if self.letters:
+            # the model alone: what is split at spaces are pre-tokens in the byte-level alphabet
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = Split(" ", "removed")
+            self.border = self.model.encode("!").ids
         if kind == "space_led":
             self.break_ids = len(self._encode("\n")) * self.dtype.itemsize
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """The text's pieces, or None if its borders are not certain. In a
-        ``space_led`` piece the leading space is left out; a piece that has
-        none begins with a line break or, for stops and commas, with NUL."""
+    def _pieces(self, text: str) -> str | None:
+        """The text's pieces with a space between them, or None if its borders
+        are not certain. In a ``space_led`` piece the leading space is left
+        out; a piece that has none begins with a line break or, for stops and
+        commas, with NUL."""
         if self.kind == "whole" or any(s in text for s in self.special):
             return None
         if self.kind == "space_free":
             if not AFTER_SIGN.search(text):
                 text = text.replace(".", " .").replace(",", " ,")
-            return text.replace("\n", " ").split(" ")
+            return text.replace("\n", " ")
         if not text or "\0" in text or OTHER_SPACE.search(text):
             return None
         if text[0] in " \n" or text[-1] in " \n" or any(run in text for run in ("  ", " \n", "\n ", "\n\n")):
@@ -89,11 +102,12 @@ class CachedEncoder:
         text = "\n" + text
         if not AFTER_SIGN.search(text):
             text = text.replace(".", " \0.").replace(",", " \0,")
-        return text.replace("\n", " \n").split(" ")[1:]
+        return text.replace("\n", " \n")[1:]
 
     def _letters(self) -> dict[int, str] | None:
         """The byte-level alphabet, where a word of letters is one pre-token
-        of a byte-pair model, so that the model alone can be asked for it."""
+        of a byte-pair model, so that the model alone can be asked for it. NUL
+        stands for a border of words: a pre-token that no word of letters has."""
         made = json.loads(self.tokenizer.to_str())
         before = made["pre_tokenizer"] or {}
         last = (before.get("pretokenizers") or [before])[-1]
@@ -105,36 +119,75 @@ class CachedEncoder:
         # bytes that can be seen stand for themselves, the others for the characters from 256 on, in order
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [x for x in range(256) if x not in seen]
-        return {x: chr(x) for x in seen} | {x: chr(256 + i) for i, x in enumerate(rest)}
-
-    def _learn(self, piece: str) -> bytes:
-        """A piece's ids. A word of letters is asked of the model alone, at a
-        fraction of the time, unless normalising makes something else of it."""
+        return {x: chr(x) for x in seen} | {x: chr(256 + i) for i, x in enumerate(rest)} | {0: " ! "}
+
+    def _lowers(self) -> bool:
+        """Whether A-Z are lower-cased first, and nothing else is done to ASCII
+        without white space."""
+        first = json.loads(self.tokenizer.to_str())["normalizer"] or {}
+        steps = first.get("normalizers") or [first]
+        space = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        return {"type": "Lowercase"} in steps and all(s in ({"type": "NFC"}, {"type": "Lowercase"}, space) for s in steps)
+
+    def _learn(self, pieces: Sequence[str]) -> list[bytes]:
+        """Ids of pieces, in one call of the model alone for all words of
+        letters, at a fraction of the time, and one of the library for all
+        others."""
+        found = self._words([p for p in pieces if p.isalpha() and max(p) < OLD_LETTERS]) if self.letters else {}
+        rest = [p for p in pieces if p not in found]
+        if rest:
+            made = self.tokenizer.encode_batch_fast([self._shown(p) for p in rest], add_special_tokens=False)
+            found.update((p, np.array(m.ids, self.dtype).tobytes()) for p, m in zip(rest, made, strict=True))
+        return [found[p] for p in pieces]
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters, but for those of which normalising makes
+        something else."""
+        normal = self.tokenizer.normalizer
+        plain = normal.normalize_str(" ".join(words)).split(" ") if normal else words
+        if len(plain) != len(words):
+            return {}
+        kept = [(w, p) for w, p in zip(words, plain, strict=True) if p.isalpha() and max(p) < OLD_LETTERS]
+        if not kept:
+            return {}
         lead = " " if self.kind == "space_led" else ""
-        if self.letters and piece.isalpha() and max(piece) < OLD_LETTERS:
-            plain = self.tokenizer.normalizer.normalize_str(piece) if self.tokenizer.normalizer else piece
-            if plain.isalpha() and max(plain) < OLD_LETTERS:
-                seen = (lead + plain).encode().decode("latin-1").translate(self.letters)
-                return pack(f"<{len(got := self.model.tokenize(seen))}{self.code}", *[t.id for t in got])
-        if lead and piece[:1] == "\0":
-            piece = piece[1:]
-        elif piece[:1] != "\n":
-            piece = lead + piece
-        return np.array(self._encode(piece), self.dtype).tobytes()
+        seen = "".join(f"{lead}{p}\0" for _, p in kept).encode().decode("latin-1").translate(self.letters)
+        ids = np.array(self.model.encode_batch_fast([seen], add_special_tokens=False)[0].ids, self.dtype)
+        ends = np.flatnonzero(ids == self.border[0]) if len(self.border) == 1 else ()
+        if len(ends) != len(kept):
+            return {}
+        raw, size = ids.tobytes(), ids.itemsize
+        starts = [0, *((ends + 1) * size).tolist()]
+        return {w: raw[a:b - size] for (w, _), (a, b) in zip(kept, pairwise(starts), strict=True)}
+
+    def _shown(self, piece: str) -> str:
+        """A piece as it stands in the text."""
+        if self.kind != "space_led" or piece[:1] == "\n":
+            return piece
+        return piece[1:] if piece[:1] == "\0" else " " + piece
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, in the encoder's ``dtype``."""
-        out, ids = [], self.cache.__getitem__
-        for text in texts:
-            pieces = self._pieces(text)
-            if pieces is None:
-                out.append(np.array(self._encode(text), self.dtype))
-                continue
-            joined = b"".join(map(ids, pieces))
-            if self.kind == "space_led":
-                joined = joined[self.break_ids:]
-            out.append(np.frombuffer(joined, self.dtype))
-        return out
+        cut = [self._pieces(text) for text in texts]
+        joined = self._joined([pieces for pieces in cut if pieces is not None])
+        return [np.array(self._encode(text), self.dtype) if pieces is None else np.frombuffer(next(joined), self.dtype)
+                for text, pieces in zip(texts, cut, strict=True)]
+
+    def _joined(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of texts that ``_pieces`` has cut."""
+        if not texts:
+            return
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        pieces = lists.values.dictionary_encode()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if self.lowers:
+            distinct = [p.lower() if p.isascii() else p for p in distinct]
+        found = np.empty(len(distinct), object)
+        found[:] = self.cache.of(distinct)
+        ids = found[pieces.indices.to_numpy()]
+        for a, b in pairwise(lists.offsets.to_pylist()):
+            joined = b"".join(ids[a:b].tolist())
+            yield joined[self.break_ids:] if self.kind == "space_led" else joined
 
 
 class _Cache(dict):
@@ -142,12 +195,24 @@ class _Cache(dict):
     it lacks is taken over from the old one, or learnt."""
 
     def __init__(self, learn):
-        self.learn, self.old, self.held = learn, {}, 0
+        self.learn, self.old, self.held, self.new = learn, {}, 0, {}
+
+    def of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces; those that no generation has are learnt many at once."""
+        out = list(map(self.get, pieces))
+        lacking = dict.fromkeys(p for p, ids in zip(pieces, out, strict=True) if ids is None)
+        for some in batched((p for p in lacking if p not in self.old), ASKED_AT_ONCE):
+            self.new.update(zip(some, self.learn(some), strict=True))
+        lacking = {p: self[p] for p in lacking}
+        self.new = {}
+        return [lacking[p] if ids is None else ids for p, ids in zip(pieces, out, strict=True)]
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = self.learn(piece)
+            ids = self.new.get(piece)
+        if ids is None:  # it was in the old generation, which has gone since
+            ids = self.learn([piece])[0]
         if self.held > CACHE_BYTES // 2:
             self.old, self.held = dict(self), 0
             self.clear()
