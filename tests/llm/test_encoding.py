@@ -48,7 +48,7 @@ def test_new_pieces_are_asked_for_together(file, kind, monkeypatch):
 def test_case_of_ascii_takes_no_place_of_its_own():
     file, kind = FILES[1]
     e, plain = CachedEncoder(public_tokenizers.path(file), kind), MADE[file][1]
-    texts = ["the Word", "THE wORD", "É J̌ ǰ Ḱ Σ ΣΑΣ", "é ǰ ς"]
+    texts = ["the Word", "THE wORD", "an <|ENDOFTEXT|> <|endoftext|>", "<|EndOfText|>", "É J̌ ǰ Ḱ Σ ΣΑΣ", "é ǰ ς"]
     assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert "word" in e.cache and "Word" not in e.cache and "wORD" not in e.cache
 

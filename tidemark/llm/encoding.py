@@ -69,7 +69,6 @@ class CachedEncoder:
         self.tokenizer.no_padding()
         self.kind = kind
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.cache = _Cache(self._learn)
         self.letters, self.lowers = self._letters(), self._lowers()
@@ -122,12 +121,13 @@ class CachedEncoder:
         return {x: chr(x) for x in seen} | {x: chr(256 + i) for i, x in enumerate(rest)} | {0: " ! "}
 
     def _lowers(self) -> bool:
-        """Whether A-Z are lower-cased first, and nothing else is done to ASCII
-        without white space."""
+        """Whether A-Z are lower-cased first, and nothing else is done to words
+        of ASCII letters, which are no special tokens either."""
         first = json.loads(self.tokenizer.to_str())["normalizer"] or {}
         steps = first.get("normalizers") or [first]
         space = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
-        return {"type": "Lowercase"} in steps and all(s in ({"type": "NFC"}, {"type": "Lowercase"}, space) for s in steps)
+        return ({"type": "Lowercase"} in steps and all(s in ({"type": "NFC"}, {"type": "Lowercase"}, space) for s in steps)
+                and not any(s.isalpha() for s in self.special))
 
     def _learn(self, pieces: Sequence[str]) -> list[bytes]:
         """Ids of pieces, in one call of the model alone for all words of
@@ -181,7 +181,7 @@ class CachedEncoder:
         pieces = lists.values.dictionary_encode()
         distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.lowers:
-            distinct = [p.lower() if p.isascii() else p for p in distinct]
+            distinct = [p.lower() if p.isascii() and p.isalpha() else p for p in distinct]
         found = np.empty(len(distinct), object)
         found[:] = self.cache.of(distinct)
         ids = found[pieces.indices.to_numpy()]
