@@ -62,3 +62,19 @@ def test_drop_copies_keeps_columns_and_one_row(spark):
     for i, t in sorted(ROWS, key=lambda x: (x[0] is None, x[0] or 0)):
         want.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), (i, t))
     assert kept == sorted(want.values(), key=str)
+
+
+def test_drop_copies_deals_texts_once(spark):
+    """Beside the content sort, whole rows are shuffled once: dropping repeated
+    rows finds them dealt and sorted by the join."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = drop_copies(odd(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning(who") == 2
+    assert plan.count("Exchange hashpartitioning") - plan.count("Exchange hashpartitioning(chain") == 2
+    assert plan.count("sha2(") == 1

@@ -125,8 +125,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are called. A null text counts as empty, so of null, empty and equal texts
     one row stays. Rows repeated with one id and equal texts leave one row.
     Null ids and ties as in ``exact_groups``; an empty frame stays empty."""
+    # Id and key in one struct, which is never null: null ids are equal, and the
+    # join has dealt and sorted the rows as dropping repeated ones asks for.
     stay = (exact_groups(docs, id_col, text_col).where("kept")
-            .select(F.col("doc_id").alias("stay_id"), F.col("text_sha256").alias("stay_sha")))
-    rows = whole_rows(docs, id_col, F.sha2(normalised(text_of(docs, text_col)), 256))
-    same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("key") == F.col("stay_sha"))
-    return rows.join(stay, same, "left_semi").dropDuplicates(["id", "key"]).select("whole.*")
+            .select(F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("key")).alias("who")))
+    rows = (whole_rows(docs, id_col, F.sha2(normalised(text_of(docs, text_col)), 256))
+            .select(F.struct("id", "key").alias("who"), "whole"))
+    return rows.join(stay, "who", "left_semi").dropDuplicates(["who"]).select("whole.*")
