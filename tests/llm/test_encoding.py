@@ -62,3 +62,44 @@ def test_slice_larger_than_the_cache(file, kind, monkeypatch):
         texts = [f"some words w{chr(97 + i)}q stay Z{chr(97 + i)} and, {i} go." for i in range(26)]
         assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
         assert len(e.cache) + len(e.cache.old) < 4_000 // encoding.PIECE_BYTES + 3 and not e.cache.new
+
+
+SIGNED = st.lists(st.sampled_from(["word", "Word", "É", "x²", "½", "ª", "naïve", "İ", "Σ", "ʹ", "$$$", "!!", "_", "'", "'s", "`", "\u0338", "\u0301", ".", ",",
+                                   "\n", "\t", "\u00a0", "\u2028", "\u0085", "—", "7", "×", " ", " ", "  "]),
+                  max_size=14).map("".join)
+
+
+@pytest.mark.parametrize("file", [f for f, _ in FILES])
+@settings(deadline=None, max_examples=600)
+@given(texts=st.lists(SIGNED, max_size=4))
+def test_ids_with_signs_and_unusual_spaces(file, texts):
+    cached, plain = MADE[file]
+    assert [x.tolist() for x in cached.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("file,kind", FILES)
+def test_words_with_signs_need_no_library(file, kind, monkeypatch):
+    """Words after line breaks and words with signs behind them are asked of
+    the model alone; texts that are neither are not."""
+    e, plain = CachedEncoder(public_tokenizers.path(file), kind), MADE[file][1]
+    seen, shown = [], e._shown
+    monkeypatch.setattr(e, "_shown", lambda piece: seen.append(piece) or shown(piece))
+    texts = ["a Zqword$$$ and\nZqnext line%%% or", "the naïvq!! went_ on\nÉtqé x²"]
+    assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert seen == ["x²"]
+
+
+def test_pieces_of_white_space_keep_their_place():
+    """Normalising a batch together must not shift pieces."""
+    file, kind = FILES[1]
+    e, plain = CachedEncoder(public_tokenizers.path(file), kind), MADE[file][1]
+    texts = ["Éx \t éy\tzq", "vrö\t Bqé  \x1c\tÜ"]
+    assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_letters_that_normalising_takes_a_mark_off():
+    """The mark and a full stop behind it are one pre-token."""
+    file, kind = FILES[1]
+    e, plain = CachedEncoder(public_tokenizers.path(file), kind), MADE[file][1]
+    texts = ["İ.", "word, İ, word", "\u0958.", "été."]
+    assert [x.tolist() for x in e.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
